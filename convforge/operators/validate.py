@@ -94,6 +94,39 @@ def validate_values(raw: DataFrame, value: str = "value") -> DataFrame:
             .drop("_v", "_obj", "_msgs", "_mo", "_bad", "_norm"))
 
 
+def validate_typed(conv: DataFrame, messages: str = "messages") -> DataFrame:
+    """The same rules for an already typed ARRAY<STRUCT<role, content>>.
+
+    Used for processed split files read with a declared schema and for
+    conversations assembled from the long table.  Adds ``reason`` and
+    ``bad_index`` and replaces ``messages`` by the normalised array (NULL for
+    rejected rows).
+    """
+    m = F.col(messages)
+    bad = F.try_element_at(
+        F.filter(F.transform(m, lambda x, i: F.struct(
+            i.alias("i"),
+            (F.when(x.isNull(), F.lit(NOT_OBJECT))
+             .when(~_role_ok(x["role"]), F.lit(BAD_ROLE))
+             .when(x["content"].isNull(), F.lit(CONTENT_NOT_STRING))
+             .when(is_blank(x["content"]), F.lit(BLANK_CONTENT))).alias("r"))),
+            lambda y: y["r"].isNotNull()),
+        F.lit(1))
+    norm = F.transform(m, lambda x: F.struct(x["role"].alias("role"),
+                                             py_strip(x["content"]).alias("content")))
+    has_user = F.exists(m, lambda x: x["role"] == "user")
+    has_asst = F.exists(m, lambda x: x["role"] == "assistant")
+    reason = (F.when(m.isNull() | (F.size(m) < MIN_MESSAGES), F.lit(NOT_LIST_OR_SHORT))
+              .when(F.col("_bad").isNotNull(), F.col("_bad.r"))
+              .when(~(has_user & has_asst), F.lit(MISSING_USER_OR_ASSISTANT)))
+    return (conv.withColumn("_bad", bad)
+            .withColumn("reason", reason)
+            .withColumn("bad_index", F.when(F.col("reason") == F.col("_bad.r"),
+                                            F.col("_bad.i")).cast("int"))
+            .withColumn(messages, F.when(F.col("reason").isNull(), norm))
+            .drop("_bad"))
+
+
 def accepted(validated: DataFrame, keys) -> DataFrame:
     """CONV rows: the keys plus normalised ``messages`` of accepted values (P10)."""
     return validated.where(F.col("reason").isNull()).select(*keys, "messages")

@@ -13,6 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convforge.functions.text import is_blank, preview, py_strip
+from convforge.operators import conversations as conv
+from convforge.operators import render as rd
 from convforge.operators import split as splitting
 from convforge.operators import stats as st
 from convforge.operators import validate as va
@@ -120,3 +123,114 @@ WITH {oq.PROFILE_CTE}, {oq.split_cte()}
 SELECT split, {oq.STATS_SELECT} FROM labelled GROUP BY split""")
 def q_split_stats(spark, sf_dir):
     return st.corpus_stats(conv_split(spark, sf_dir), by="split")
+
+
+# ---------------------------------------------------------------------------
+# Rendering
+# ---------------------------------------------------------------------------
+def valid_nested(spark, sf_dir) -> DataFrame:
+    """Valid conversations of the long table as (conv_id, messages)."""
+    nested = conv.to_nested(table(spark, sf_dir, "conversations"))
+    return va.accepted(va.validate_typed(nested), ["conv_id"])
+
+
+def nested_split(spark, sf_dir, val_ratio=0.1, seed=42) -> DataFrame:
+    return splitting.assign_split(valid_nested(spark, sf_dir), F.col("conv_id"),
+                                  val_ratio=val_ratio, seed=seed)
+
+
+@register("chat_text", f"""
+WITH {oq.VALID_MSGS_CTE}
+SELECT conv_id, string_agg({oq.chatml('role', 'content')}, '' ORDER BY turn) AS text
+FROM vm GROUP BY conv_id""")
+def q_chat_text(spark, sf_dir):
+    return rd.chat_text(valid_nested(spark, sf_dir), ["conv_id"])
+
+
+@register("chat_prompt", f"""
+WITH {oq.VALID_MSGS_CTE}
+SELECT conv_id, string_agg({oq.chatml('role', 'content')}, '' ORDER BY turn) || {oq.GEN_PROMPT} AS prompt
+FROM vm GROUP BY conv_id""")
+def q_chat_prompt(spark, sf_dir):
+    return (rd.chat_text(valid_nested(spark, sf_dir), ["conv_id"], add_generation_prompt=True)
+            .withColumnRenamed("text", "prompt"))
+
+
+@register("train_text", f"""
+WITH {oq.VALID_MSGS_CTE}, {oq.split_cte()},
+t AS (SELECT conv_id, string_agg({oq.chatml('role', 'content')}, '' ORDER BY turn) AS full_text
+      FROM vm GROUP BY conv_id)
+SELECT l.conv_id, l.split, l.split_rank,
+       substring(t.full_text, 1, 6144) AS text,
+       CAST(length(t.full_text) // 3 AS BIGINT) AS est_tokens,
+       length(t.full_text) > 6144 AS is_truncated,
+       CAST(length(substring(t.full_text, 1, 6144)) // 3 AS BIGINT) AS n_tokens
+FROM labelled l JOIN t USING (conv_id)""")
+def q_train_text(spark, sf_dir):
+    s = nested_split(spark, sf_dir)
+    texts = rd.chat_text(s, ["conv_id", "split", "split_rank"])
+    return rd.truncate_by_estimate(texts).select(
+        "conv_id", "split", "split_rank", "text", "est_tokens", "is_truncated", "n_tokens")
+
+
+@register("truncate_text", """
+SELECT doc_id, CAST(length(text) // 3 AS BIGINT) AS est_tokens,
+       length(text) > 6144 AS is_truncated,
+       substring(text, 1, 6144) AS text,
+       CAST(length(substring(text, 1, 6144)) // 3 AS BIGINT) AS n_tokens
+FROM documents""")
+def q_truncate_text(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rd.truncate_by_estimate(docs).select("doc_id", "est_tokens", "is_truncated", "text", "n_tokens")
+
+
+@register("query_prompts", f"""
+SELECT conv_id, turn,
+       {oq.chatml("'system'", "'You are a helpful assistant.'")} ||
+       {oq.chatml("'user'", oq.strip('text'))} || {oq.GEN_PROMPT} AS prompt
+FROM conversations
+WHERE role = 'user' AND length({oq.strip('text')}) > 0""")
+def q_query_prompts(spark, sf_dir):
+    users = (table(spark, sf_dir, "conversations")
+             .where((F.col("role") == "user") & ~is_blank(F.col("text")))
+             .select("conv_id", "turn", py_strip(F.col("text")).alias("query")))
+    return rd.build_prompts(users, ["conv_id", "turn"]).select("conv_id", "turn", "prompt")
+
+
+@register("eval_context", f"""
+WITH {oq.VALID_MSGS_CTE}, {oq.split_cte()},
+fu AS (SELECT conv_id, min(turn) AS ut FROM vm WHERE role = 'user' GROUP BY conv_id)
+SELECT vm.conv_id,
+       string_agg({oq.chatml('vm.role', 'vm.content')}, '' ORDER BY vm.turn) || {oq.GEN_PROMPT} AS prompt
+FROM vm JOIN fu USING (conv_id) JOIN labelled l USING (conv_id)
+WHERE vm.turn <= fu.ut AND l.split = 'val'
+GROUP BY vm.conv_id""")
+def q_eval_context(spark, sf_dir):
+    val = nested_split(spark, sf_dir).where(F.col("split") == splitting.VAL)
+    return rd.eval_prompts(val, ["conv_id"]).select("conv_id", "prompt")
+
+
+@register("first_user_expected", f"""
+WITH {oq.VALID_MSGS_CTE}
+SELECT conv_id,
+       arg_min(content, turn) FILTER (WHERE role = 'user') AS user_query,
+       arg_min(content, turn) FILTER (WHERE role = 'assistant') AS expected
+FROM vm GROUP BY conv_id""")
+def q_first_user_expected(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    valid_ids = valid_profile(spark, sf_dir).select("conv_id")
+    norm = va.normalize_turns(turns).join(valid_ids, "conv_id", "left_semi")
+    return rd.first_user_expected_long(norm).select("conv_id", "user_query", "expected")
+
+
+@register("message_preview", f"""
+WITH {oq.VALID_MSGS_CTE}
+SELECT conv_id, turn,
+       '[' || upper(role) || '] ' ||
+       CASE WHEN length(content) > 80 THEN substring(content, 1, 80) || '...' ELSE content END AS line
+FROM vm""")
+def q_message_preview(spark, sf_dir):
+    return (conv.to_long(valid_nested(spark, sf_dir))
+            .select("conv_id", "turn",
+                    F.concat(F.lit("["), F.upper("role"), F.lit("] "),
+                             preview(F.col("content"), 80)).alias("line")))

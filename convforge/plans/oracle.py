@@ -69,3 +69,18 @@ STATS_SELECT = """
   CAST(count(*) FILTER (WHERE n_user > 1) AS BIGINT) AS multi_turn_conversations,
   CAST(coalesce(sum(n_chars), 0) AS BIGINT) AS total_characters,
   CAST(coalesce(sum(n_chars), 0) // 3 AS BIGINT) AS estimated_tokens"""
+
+
+# Stripped messages of valid conversations.
+VALID_MSGS_CTE = PROFILE_CTE + f""",
+vm AS (
+  SELECT c.conv_id, c.turn, c.role, {strip('c.text')} AS content
+  FROM conversations c SEMI JOIN valid v ON c.conv_id = v.conv_id)"""
+
+
+def chatml(role: str, content: str) -> str:
+    """One ChatML-rendered message in DuckDB SQL."""
+    return f"('<|im_start|>' || {role} || chr(10) || {content} || '<|im_end|>' || chr(10))"
+
+
+GEN_PROMPT = "('<|im_start|>assistant' || chr(10))"
