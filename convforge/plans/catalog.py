@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from convforge.functions.text import is_blank, preview, py_strip
 from convforge.operators import conversations as conv
 from convforge.operators import render as rd
+from convforge.operators import score as sc
+from convforge.operators.ordering import md5_bucket
 from convforge.operators import split as splitting
 from convforge.operators import stats as st
 from convforge.operators import validate as va
@@ -234,3 +236,75 @@ def q_message_preview(spark, sf_dir):
             .select("conv_id", "turn",
                     F.concat(F.lit("["), F.upper("role"), F.lit("] "),
                              preview(F.col("content"), 80)).alias("line")))
+
+
+# ---------------------------------------------------------------------------
+# Scoring and perplexity
+# ---------------------------------------------------------------------------
+def split_texts(spark, sf_dir) -> DataFrame:
+    """(conv_id, split, split_rank, text) of every valid conversation."""
+    return rd.chat_text(nested_split(spark, sf_dir), ["conv_id", "split", "split_rank"])
+
+
+def unigram_val_scores(spark, sf_dir) -> DataFrame:
+    texts = split_texts(spark, sf_dir)
+    scorer = sc.UnigramScorer.fit(texts.where(F.col("split") == splitting.TRAIN))
+    return scorer.score(texts.where(F.col("split") == splitting.VAL), ["conv_id", "split_rank"])
+
+
+@register("example_scores", f"""
+WITH {oq.labelled_text_cte()} {oq.UNIGRAM_SCORES_CTE}
+SELECT conv_id, split_rank, round(loss, 6) AS loss, n_tokens FROM sc""")
+def q_example_scores(spark, sf_dir):
+    s = unigram_val_scores(spark, sf_dir)
+    return s.select("conv_id", "split_rank", F.round("loss", 6).alias("loss"), "n_tokens")
+
+
+@register("perplexity", f"""
+WITH {oq.labelled_text_cte()} {oq.UNIGRAM_SCORES_CTE}
+SELECT round(exp(sum(loss * n_tokens) / sum(n_tokens)), 4) AS perplexity,
+       CAST(sum(n_tokens) AS BIGINT) AS total_tokens,
+       CAST(count(*) AS BIGINT) AS num_samples
+FROM sc""")
+def q_perplexity(spark, sf_dir):
+    p = sc.perplexity(unigram_val_scores(spark, sf_dir))
+    return p.select(F.round("perplexity", 4).alias("perplexity"), "total_tokens", "num_samples")
+
+
+@register("running_perplexity", f"""
+WITH {oq.labelled_text_cte()} {oq.UNIGRAM_SCORES_CTE},
+r AS (SELECT split_rank,
+             sum(loss * n_tokens) OVER (ORDER BY split_rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sl,
+             sum(n_tokens) OVER (ORDER BY split_rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sn
+      FROM sc)
+SELECT CAST(split_rank AS BIGINT) AS processed, round(exp(sl / sn), 4) AS running_perplexity
+FROM r WHERE split_rank % 10 = 0""")
+def q_running_perplexity(spark, sf_dir):
+    s = unigram_val_scores(spark, sf_dir)
+    bucket = md5_bucket(splitting.shuffle_key(F.col("conv_id")))
+    r = sc.running_perplexity(s, "split_rank", bucket)
+    return r.select("processed", F.round("running_perplexity", 4).alias("running_perplexity"))
+
+
+class LengthScorer:
+    """Deterministic stand-in for a user model: loss from the text length.
+
+    loss = 1 + (len % 7) / 10, n_tokens = min(len div 3, 2048).
+    """
+
+    def __call__(self, texts):
+        return [(1.0 + (len(t) % 7) / 10.0, min(len(t) // 3, 2048)) for t in texts]
+
+
+@register("user_scorer_perplexity", f"""
+WITH {oq.labelled_text_cte()},
+s AS (SELECT 1.0 + (length(text) % 7) / 10.0 AS loss, least(length(text) // 3, 2048) AS n
+      FROM lt WHERE split = 'val')
+SELECT round(exp(sum(loss * n) / sum(n)), 4) AS perplexity,
+       CAST(sum(n) AS BIGINT) AS total_tokens, CAST(count(*) AS BIGINT) AS num_samples
+FROM s""")
+def q_user_scorer_perplexity(spark, sf_dir):
+    val = split_texts(spark, sf_dir).where(F.col("split") == splitting.VAL)
+    scores = sc.score_with(val, LengthScorer, ["conv_id"])
+    p = sc.perplexity(scores)
+    return p.select(F.round("perplexity", 4).alias("perplexity"), "total_tokens", "num_samples")

@@ -84,3 +84,25 @@ def chatml(role: str, content: str) -> str:
 
 
 GEN_PROMPT = "('<|im_start|>assistant' || chr(10))"
+
+
+# Chat text per valid conversation with its split label.
+def labelled_text_cte(val_ratio: float = 0.1, seed: int = 42) -> str:
+    return VALID_MSGS_CTE + "," + split_cte(val_ratio, seed) + f""",
+ct AS (SELECT conv_id, string_agg({chatml('role', 'content')}, '' ORDER BY turn) AS text
+       FROM vm GROUP BY conv_id),
+lt AS (SELECT l.conv_id, l.split, l.split_rank, ct.text FROM labelled l JOIN ct USING (conv_id))"""
+
+
+WORD_RE = r"'[\p{L}\p{M}\p{N}]+'"
+
+UNIGRAM_SCORES_CTE = f""",
+trtok AS (SELECT unnest(regexp_extract_all(text, {WORD_RE})) AS tok FROM lt WHERE split = 'train'),
+model AS (SELECT tok, count(*) AS cnt FROM trtok GROUP BY tok),
+tot AS (SELECT sum(cnt) AS n, count(*) AS v FROM model),
+vtok AS (SELECT conv_id, split_rank, unnest(regexp_extract_all(text, {WORD_RE})[1:2048]) AS tok
+         FROM lt WHERE split = 'val'),
+sc AS (SELECT conv_id, split_rank, CAST(count(*) AS BIGINT) AS n_tokens,
+              avg(-ln((coalesce(model.cnt, 0) + 1) / (tot.n + tot.v + 1))) AS loss
+       FROM vtok LEFT JOIN model USING (tok) CROSS JOIN tot
+       GROUP BY conv_id, split_rank)"""
