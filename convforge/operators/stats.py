@@ -62,10 +62,13 @@ def stats_report(stats: DataFrame) -> DataFrame:
         thousands(F.col("value")).alias("display"))
 
 
-def file_audit(validated: DataFrame, file_col: str = "file_name") -> DataFrame:
-    """Per file: raw values found and valid conversations kept."""
-    return (validated.groupBy(file_col)
-            .agg(F.count(F.lit(1)).alias("raw_objects"),
+def file_audit(validated: DataFrame, by="file_name") -> DataFrame:
+    """Per file: values decoded, lines that did not decode, and valid
+    conversations kept (A9).  ``by`` may be a column name or Column."""
+    decoded = F.col("reason").isNull() | (F.col("reason") != "parse_error")
+    return (validated.groupBy(by)
+            .agg(F.count_if(decoded).alias("raw_objects"),
+                 F.count_if(~decoded).alias("parse_errors"),
                  F.count_if(F.col("reason").isNull()).alias("valid_conversations")))
 
 

@@ -17,12 +17,16 @@ from convforge.functions.text import is_blank, preview, py_strip
 from convforge.operators import conversations as conv
 from convforge.operators import render as rd
 from convforge.operators import score as sc
-from convforge.operators.ordering import md5_bucket
+from convforge.operators.ordering import md5_bucket, ranked_running
 from convforge.operators import split as splitting
 from convforge.operators import stats as st
 from convforge.operators import validate as va
+from convforge.plans import injected as inj
 from convforge.plans import oracle as oq
-from convforge.session import apply_core_conf
+from convforge.plans import prepare as prep
+from convforge.sources import processed as pr
+from convforge.streaming import ingest as stream
+from convforge.session import apply_core_conf, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -308,3 +312,118 @@ def q_user_scorer_perplexity(spark, sf_dir):
     scores = sc.score_with(val, LengthScorer, ["conv_id"])
     p = sc.perplexity(scores)
     return p.select(F.round("perplexity", 4).alias("perplexity"), "total_tokens", "num_samples")
+
+
+# ---------------------------------------------------------------------------
+# Raw JSON ingest on lines derived from the table (fault injection)
+# ---------------------------------------------------------------------------
+def injected_validated(spark, sf_dir) -> DataFrame:
+    lines = inj.damaged_lines(table(spark, sf_dir, "conversations"))
+    return va.validate_values(lines)
+
+
+@register("conv_reject_reasons", f"""
+WITH {oq.INJECTED_CTE}
+SELECT conv_id, outcome, bad_index FROM expct""")
+def q_conv_reject_reasons(spark, sf_dir):
+    v = injected_validated(spark, sf_dir)
+    return v.select("conv_id", F.coalesce("reason", F.lit("ok")).alias("outcome"),
+                    F.coalesce("bad_index", F.lit(-1)).cast("bigint").alias("bad_index"))
+
+
+@register("conv_normalized", f"""
+WITH {oq.INJECTED_CTE}
+SELECT c.conv_id,
+       CAST(row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn) - 1 AS BIGINT) AS turn,
+       c.role, {oq.strip('c.text')} AS content
+FROM conversations c JOIN expct e ON c.conv_id = e.conv_id
+WHERE e.outcome = 'ok'""")
+def q_conv_normalized(spark, sf_dir):
+    acc = va.accepted(injected_validated(spark, sf_dir), ["conv_id"])
+    return conv.to_long(acc).select("conv_id", "turn", "role", "content")
+
+
+def _write_injected_jsonl(spark, sf_dir, name: str) -> str:
+    """Damaged lines written as text files under grp=<conv_id % 3>/ folders."""
+    path = scratch_path(spark, name)
+    lines = inj.damaged_lines(table(spark, sf_dir, "conversations"))
+    (lines.withColumn("grp", F.col("conv_id") % 3).select("grp", "value")
+     .write.partitionBy("grp").mode("overwrite").text(path))
+    return path
+
+
+def ingested_groups(spark, sf_dir) -> DataFrame:
+    path = _write_injected_jsonl(spark, sf_dir, "jsonl-files")
+    v = prep.ingest(spark, path, jsonl_glob="*.txt", json_glob=None, recursive=True)
+    return v.withColumn("file_group", F.regexp_extract("file_path", r"grp=(\d+)", 1).cast("bigint"))
+
+
+@register("file_audit", f"""
+WITH {oq.INJECTED_CTE}
+SELECT CAST(conv_id % 3 AS BIGINT) AS file_group,
+       CAST(count(*) FILTER (WHERE outcome <> 'parse_error') AS BIGINT) AS raw_objects,
+       CAST(count(*) FILTER (WHERE outcome = 'parse_error') AS BIGINT) AS parse_errors,
+       CAST(count(*) FILTER (WHERE outcome = 'ok') AS BIGINT) AS valid_conversations
+FROM expct GROUP BY 1""")
+def q_file_audit(spark, sf_dir):
+    return st.file_audit(ingested_groups(spark, sf_dir), by="file_group")
+
+
+@register("reject_counts", f"""
+WITH {oq.INJECTED_CTE}
+SELECT CAST(conv_id % 3 AS BIGINT) AS file_group, outcome AS reason, CAST(count(*) AS BIGINT) AS n
+FROM expct WHERE outcome <> 'ok' GROUP BY 1, 2""")
+def q_reject_counts(spark, sf_dir):
+    return st.reject_counts(ingested_groups(spark, sf_dir), by=("file_group",))
+
+
+@register("mixed_json_objects", f"""
+WITH {oq.INJECTED_MIXED_CTE}
+SELECT conv_id, outcome, errors_before FROM expct""")
+def q_mixed_json_objects(spark, sf_dir):
+    path = scratch_path(spark, "mixed-files")
+    lines = inj.damaged_lines(table(spark, sf_dir, "conversations"), pretty=True,
+                              with_id=True, allow_truncation=False)
+    text = F.concat(F.when(F.col("dmg").isin(1, 2), F.lit("@@ ")).otherwise(F.lit("")),
+                    F.col("value"), F.lit(","))
+    (lines.select((F.col("conv_id") % 3).alias("grp"), text.alias("value"))
+     .write.partitionBy("grp").mode("overwrite").text(path))
+    v = prep.ingest(spark, path, jsonl_glob=None, json_glob="*.txt", recursive=True)
+    return v.select(F.try_variant_get(F.try_parse_json("value"), "$.id", "bigint").alias("conv_id"),
+                    F.coalesce("reason", F.lit("ok")).alias("outcome"),
+                    F.col("errors_before").cast("bigint").alias("errors_before"))
+
+
+@register("stream_ingest", f"""
+WITH {oq.INJECTED_CTE}
+SELECT outcome, CAST(count(*) AS BIGINT) AS n FROM expct GROUP BY outcome""")
+def q_stream_ingest(spark, sf_dir):
+    src = scratch_path(spark, "stream-src")
+    out = scratch_path(spark, "stream-out")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    (inj.damaged_lines(table(spark, sf_dir, "conversations")).select("value")
+     .write.mode("overwrite").text(src))
+    q = stream.start_ingest(spark, src, out, ckpt, glob="*.txt")
+    q.awaitTermination()
+    v = stream.read_ingested(spark, out)
+    return (v.groupBy(F.coalesce("reason", F.lit("ok")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("jsonl_roundtrip", f"""
+WITH {oq.labelled_text_cte()}
+SELECT l.split_rank AS position, v.n_messages, v.n_chars, md5(lt.text) AS text_md5
+FROM labelled l JOIN valid v USING (conv_id) JOIN lt USING (conv_id)
+WHERE l.split = 'train'""")
+def q_jsonl_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "train-jsonl")
+    s = nested_split(spark, sf_dir)
+    pr.write_jsonl(s.where(F.col("split") == splitting.TRAIN), path, order="split_rank")
+    back = pr.read_processed(spark, path)
+    part = F.regexp_extract("file_name", r"part-(\d+)", 1).cast("int")
+    ranked = ranked_running(back, part, ["file_name", "line_index"], rank_col="position",
+                            n_buckets=100_000)
+    prof = va.profile_conversations(ranked, ["position"])
+    texts = rd.chat_text(ranked, ["position"])
+    return (prof.join(texts, "position")
+            .select("position", "n_messages", "n_chars", F.md5("text").alias("text_md5")))

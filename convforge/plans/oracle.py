@@ -106,3 +106,45 @@ sc AS (SELECT conv_id, split_rank, CAST(count(*) AS BIGINT) AS n_tokens,
               avg(-ln((coalesce(model.cnt, 0) + 1) / (tot.n + tot.v + 1))) AS loss
        FROM vtok LEFT JOIN model USING (tok) CROSS JOIN tot
        GROUP BY conv_id, split_rank)"""
+
+
+# Expected outcome of the injected raw lines (see plans/injected.py).
+INJECTED_CTE = PROFILE_CTE + """,
+inj AS (
+  SELECT conv_id, n_messages, CAST(conv_id % 12 AS INTEGER) AS m, reason, first_r, first_turn
+  FROM prof),
+expct AS (
+  SELECT conv_id, m, n_messages,
+         CASE WHEN m IN (1, 2) THEN 'parse_error'
+              WHEN m = 3 THEN 'no_messages_key'
+              WHEN m = 4 THEN 'messages_not_list_or_short'
+              WHEN n_messages < 2 THEN 'messages_not_list_or_short'
+              WHEN m = 5 THEN 'message_not_object'
+              WHEN m = 6 THEN 'missing_role_or_content'
+              WHEN m = 7 THEN 'bad_role'
+              WHEN m = 8 THEN 'blank_content'
+              WHEN m = 9 THEN 'content_not_string'
+              ELSE coalesce(reason, 'ok') END AS outcome,
+         CAST(CASE WHEN n_messages >= 2 AND m = 5 THEN 1
+                   WHEN n_messages >= 2 AND m = 7 THEN n_messages - 1
+                   WHEN n_messages >= 2 AND m IN (6, 8, 9) THEN 0
+                   WHEN m IN (0, 10, 11) AND reason = first_r THEN first_turn
+                   ELSE -1 END AS BIGINT) AS bad_index
+  FROM inj)"""
+
+# For concatenated files: no truncation damage; cases 1 and 2 get two junk
+# characters before the object instead.
+INJECTED_MIXED_CTE = PROFILE_CTE + """,
+expct AS (
+  SELECT conv_id, CAST(conv_id % 12 AS INTEGER) AS m,
+         CASE WHEN conv_id % 12 = 3 THEN 'no_messages_key'
+              WHEN conv_id % 12 = 4 THEN 'messages_not_list_or_short'
+              WHEN n_messages < 2 THEN 'messages_not_list_or_short'
+              WHEN conv_id % 12 = 5 THEN 'message_not_object'
+              WHEN conv_id % 12 = 6 THEN 'missing_role_or_content'
+              WHEN conv_id % 12 = 7 THEN 'bad_role'
+              WHEN conv_id % 12 = 8 THEN 'blank_content'
+              WHEN conv_id % 12 = 9 THEN 'content_not_string'
+              ELSE coalesce(reason, 'ok') END AS outcome,
+         CAST(CASE WHEN conv_id % 12 IN (1, 2) THEN 2 ELSE 0 END AS BIGINT) AS errors_before
+  FROM prof)"""
