@@ -70,3 +70,32 @@ def ranked_running(df: DataFrame, bucket: Column, order, sums=(),
     if total_col:
         out = out.withColumnRenamed("_total", total_col)
     return out.drop("_bkt", "_off", *[f"_o_{c}" for c in sums])
+
+
+def running_within(df: DataFrame, partition, order, block: Column, sums,
+                   prefix: str = "run_") -> DataFrame:
+    """Inclusive running sums of ``sums`` inside each ``partition`` group.
+
+    Same two-level idea as ``ranked_running`` but per group: ``block`` is an
+    order-preserving coarsening of ``order`` inside a group (e.g. ``line_no
+    div 10000``).  Per-block totals (one row per block) are prefix-summed per
+    group; each block is then summed on its own, so one enormous group is
+    spread over all of its blocks instead of one task.  The block offsets
+    are joined back with an equi-join (AQE broadcasts them when small).
+    """
+    partition = [partition] if isinstance(partition, str) else list(partition)
+    order = [order] if isinstance(order, str) else list(order)
+    sums = list(sums)
+    b = df.withColumn("_blk2", block)
+    per_block = b.groupBy(*partition, "_blk2").agg(*[F.sum(c).alias(f"_s_{c}") for c in sums])
+    before = (Window.partitionBy(*partition).orderBy("_blk2")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per_block.select(
+        *partition, "_blk2",
+        *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums])
+    within = (Window.partitionBy(*partition, "_blk2").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = b.join(offsets, [*partition, "_blk2"])
+    for c in sums:
+        out = out.withColumn(f"{prefix}{c}", F.col(f"_o_{c}") + F.sum(c).over(within))
+    return out.drop("_blk2", *[f"_o_{c}" for c in sums])

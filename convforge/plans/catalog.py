@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from convforge.functions.text import is_blank, preview, py_strip
 from convforge.operators import conversations as conv
+from convforge.operators import generate as gen
 from convforge.operators import render as rd
+from convforge.operators import replay as rp
+from convforge.operators import review as rv
 from convforge.operators import score as sc
 from convforge.operators.ordering import md5_bucket, ranked_running
 from convforge.operators import split as splitting
@@ -24,6 +27,7 @@ from convforge.operators import validate as va
 from convforge.plans import injected as inj
 from convforge.plans import oracle as oq
 from convforge.plans import prepare as prep
+from convforge.sources import curated as cur
 from convforge.sources import processed as pr
 from convforge.streaming import ingest as stream
 from convforge.session import apply_core_conf, scratch_path
@@ -427,3 +431,90 @@ def q_jsonl_roundtrip(spark, sf_dir):
     texts = rd.chat_text(ranked, ["position"])
     return (prof.join(texts, "position")
             .select("position", "n_messages", "n_chars", F.md5("text").alias("text_md5")))
+
+
+# ---------------------------------------------------------------------------
+# Generation, review, replay, curated documents
+# ---------------------------------------------------------------------------
+@register("batch_generate", f"""
+WITH p AS (
+  SELECT conv_id, turn,
+         {oq.chatml("'system'", "'You are a helpful assistant.'")} ||
+         {oq.chatml("'user'", oq.strip('text'))} || {oq.GEN_PROMPT} AS prompt
+  FROM conversations WHERE role = 'user' AND length({oq.strip('text')}) > 0)
+SELECT conv_id, turn, {oq.echo_generated('prompt')} AS generated FROM p""")
+def q_batch_generate(spark, sf_dir):
+    prompts = q_query_prompts(spark, sf_dir)
+    return gen.batch_generate(prompts, gen.EchoGenerator, ["conv_id", "turn"])
+
+
+REVIEW_COLUMNS = ["split_rank", "user_query", "expected", "generated",
+                  "user_preview", "expected_preview", "generated_preview"]
+
+
+@register("review_report", f"""
+WITH {oq.labelled_text_cte()} {oq.EVAL_CTE}
+SELECT {oq.REVIEW_SELECT} FROM rv""")
+def q_review_report(spark, sf_dir):
+    val = nested_split(spark, sf_dir).where(F.col("split") == splitting.VAL)
+    return rv.review_table(val, "split_rank", gen.EchoGenerator).select(*REVIEW_COLUMNS)
+
+
+@register("review_sample", f"""
+WITH {oq.labelled_text_cte()} {oq.EVAL_CTE}
+SELECT {oq.REVIEW_SELECT} FROM rv WHERE split_rank <= 5""")
+def q_review_sample(spark, sf_dir):
+    # The sample size is the feature here (first num_samples=5 in dataset order).
+    val = nested_split(spark, sf_dir).where(F.col("split") == splitting.VAL)
+    return rv.review_table(val, "split_rank", gen.EchoGenerator, num_samples=5).select(*REVIEW_COLUMNS)
+
+
+def replay_log(spark, sf_dir) -> DataFrame:
+    c = F.col("conv_id")
+    t = F.col("turn")
+    text = (F.when((c * 7 + t) % 13 == 5, F.lit("reset"))
+            .when((c * 7 + t) % 13 == 9, F.lit(" Reset "))
+            .when((c * 3 + t) % 29 == 7, F.lit("quit"))
+            .when((c + t) % 31 == 11, F.lit(" EXIT"))
+            .when((c + t) % 17 == 3, F.lit("   "))
+            .otherwise(F.col("text")))
+    return table(spark, sf_dir, "conversations").select(
+        (F.floor(c / 4)).cast("bigint").alias("session"),
+        (c * 1000 + t).cast("bigint").alias("line_no"), text.alias("text"))
+
+
+@register("chat_replay", f"""
+WITH {oq.REPLAY_LOG_CTE}
+SELECT session, segment, position, 'user' AS role, content FROM u
+UNION ALL
+SELECT DISTINCT session, segment, CAST(0 AS BIGINT) AS position, 'system' AS role,
+       'You are a helpful assistant.' AS content
+FROM u""")
+def q_chat_replay(spark, sf_dir):
+    return rp.replay_sessions(replay_log(spark, sf_dir))
+
+
+@register("curated_chats", f"""
+WITH {oq.VALID_MSGS_CTE}
+SELECT conv_id,
+       arg_min(content, turn) FILTER (WHERE role = 'user') AS user_text,
+       arg_min(content, turn) FILTER (WHERE role = 'assistant') AS assistant_text
+FROM vm GROUP BY conv_id""")
+def q_curated_chats(spark, sf_dir):
+    path = scratch_path(spark, "curated-md")
+    turns = table(spark, sf_dir, "conversations")
+    valid_ids = valid_profile(spark, sf_dir).select("conv_id")
+    firsts = rd.first_user_expected_long(va.normalize_turns(turns).join(valid_ids, "conv_id", "left_semi"))
+    block = F.concat(F.lit("### Conversation "), F.col("conv_id").cast("string"), F.lit("\n"),
+                     F.lit("**User:** "), F.col("user_query"), F.lit("\n\n"),
+                     F.lit("**Assistant:** "), F.col("expected"), F.lit("\n\n---"))
+    (firsts.select((F.col("conv_id") % 3).alias("grp"), block.alias("value"))
+     .write.partitionBy("grp").mode("overwrite").text(path))
+    docs = (spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
+            .text(path, wholetext=True)
+            .select(F.col("_metadata.file_name").alias("file_name"), "value"))
+    parsed = cur.parse_curated(docs)
+    return parsed.select(
+        F.regexp_extract("title", r"(\d+)", 1).cast("bigint").alias("conv_id"),
+        F.col("messages")[0]["content"].alias("user_text"),
+        F.col("messages")[1]["content"].alias("assistant_text"))

@@ -148,3 +148,55 @@ expct AS (
               ELSE coalesce(reason, 'ok') END AS outcome,
          CAST(CASE WHEN conv_id % 12 IN (1, 2) THEN 2 ELSE 0 END AS BIGINT) AS errors_before
   FROM prof)"""
+
+
+def echo_generated(prompt: str) -> str:
+    """The stand-in generator's stripped reply, in DuckDB SQL."""
+    return strip(f"(' reply:' || length({prompt}) || ' ' || right({prompt}, 63) || chr(10))")
+
+
+EVAL_CTE = f""",
+fu AS (SELECT conv_id, min(turn) AS ut FROM vm WHERE role = 'user' GROUP BY conv_id),
+ctx AS (SELECT vm.conv_id,
+               string_agg({chatml('vm.role', 'vm.content')}, '' ORDER BY vm.turn) || {GEN_PROMPT} AS prompt
+        FROM vm JOIN fu USING (conv_id) WHERE vm.turn <= fu.ut GROUP BY vm.conv_id),
+fx AS (SELECT conv_id,
+              arg_min(content, turn) FILTER (WHERE role = 'user') AS user_query,
+              arg_min(content, turn) FILTER (WHERE role = 'assistant') AS expected
+       FROM vm GROUP BY conv_id),
+rv AS (SELECT l.split_rank, fx.user_query, fx.expected, {echo_generated('ctx.prompt')} AS generated
+       FROM labelled l JOIN ctx USING (conv_id) JOIN fx USING (conv_id) WHERE l.split = 'val')"""
+
+REVIEW_SELECT = """split_rank, user_query, expected, generated,
+       substring(user_query, 1, 100) || '...' AS user_preview,
+       substring(coalesce(nullif(expected, ''), 'N/A'), 1, 100) || '...' AS expected_preview,
+       substring(generated, 1, 100) || '...' AS generated_preview"""
+
+# Replay log derived from the table: a session is four conversations; some
+# lines become commands or blanks by fixed modular rules.
+REPLAY_LOG_CTE = f"""
+lg AS (
+  SELECT CAST(conv_id // 4 AS BIGINT) AS session, CAST(conv_id * 1000 + turn AS BIGINT) AS line_no,
+         CASE WHEN (conv_id * 7 + turn) % 13 = 5 THEN 'reset'
+              WHEN (conv_id * 7 + turn) % 13 = 9 THEN ' Reset '
+              WHEN (conv_id * 3 + turn) % 29 = 7 THEN 'quit'
+              WHEN (conv_id + turn) % 31 = 11 THEN ' EXIT'
+              WHEN (conv_id + turn) % 17 = 3 THEN '   '
+              ELSE text END AS text
+  FROM conversations),
+k AS (
+  SELECT session, line_no, {strip('text')} AS content,
+         CASE WHEN length({strip('text')}) = 0 THEN 'blank'
+              WHEN lower({strip('text')}) IN ('quit', 'exit') THEN 'quit'
+              WHEN lower({strip('text')}) = 'reset' THEN 'reset'
+              ELSE 'user' END AS kind
+  FROM lg),
+q AS (SELECT session, min(line_no) FILTER (WHERE kind = 'quit') AS qline FROM k GROUP BY session),
+live AS (SELECT k.* FROM k JOIN q USING (session)
+         WHERE (q.qline IS NULL OR k.line_no < q.qline) AND k.kind IN ('reset', 'user')),
+seg AS (SELECT *, CAST(sum(CASE WHEN kind = 'reset' THEN 1 ELSE 0 END)
+                       OVER (PARTITION BY session ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment
+        FROM live),
+u AS (SELECT session, segment, content,
+             CAST(row_number() OVER (PARTITION BY session, segment ORDER BY line_no) AS BIGINT) AS position
+      FROM seg WHERE kind = 'user')"""
