@@ -43,7 +43,8 @@ def batch_generate(prompts: DataFrame, generator_factory: Callable, keys,
             res[out] = [t.strip() if t is not None else None for t in texts]
             yield res
 
-    return prompts.select(*keys, prompt).mapInPandas(run, schema)
+    cols = keys + ([prompt] if prompt not in keys else [])
+    return prompts.select(*cols).mapInPandas(run, schema)
 
 
 class EchoGenerator:

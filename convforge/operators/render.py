@@ -7,6 +7,9 @@ expected answer) uses algebraic aggregates instead of the array.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,10 +56,6 @@ def truncate_exact(df: DataFrame, tokenizer_factory, text: str = "text",
     ``tokenizer_factory()`` runs once per Arrow batch stream on the executor;
     the tokenizer object is never shipped from the driver.
     """
-    from collections.abc import Iterator
-
-    import pandas as pd
-
     limit = int(max_tokens)
 
     # Iterator form: one tokenizer per task rather than per batch.
