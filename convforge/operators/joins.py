@@ -3,11 +3,15 @@
 ``big`` has many rows per key and may be heavily skewed (one token can be a
 third of all tokens); ``small`` has at most one row per key plus a
 frequency column.  Keys whose frequency reaches ``total / max_hot`` are
-*hot*: there are fewer than ``max_hot`` of them by construction, so their
-rows of ``small`` form a table of proven size that is broadcast.  All other
-keys go through an ordinary shuffle join, where no key can hold more than
-``total / max_hot`` of the weight.  AQE skew-join remains on as a second
-line for keys that are hot in ``big`` but rare in ``small``.
+*hot*: fewer than ``max_hot`` keys can reach that share, so the hot-key list
+has a proven size bound and is broadcast.  Rows of ``big`` with a hot key get
+a salt in ``[0, salt_buckets)`` from a hash of the row (deterministic, so a
+recomputed task produces the same rows); the matching rows of ``small`` are
+replicated once per salt -- at most ``max_hot * salt_buckets`` extra rows.
+One shuffle join on ``(key, salt)`` then spreads every hot key over
+``salt_buckets`` tasks while cold keys (each below ``total / max_hot``) stay
+as they are.  AQE skew-join remains on for keys that are hot in ``big`` but
+rare in ``small``.
 """
 
 from __future__ import annotations
@@ -16,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_HOT = 50_000
+DEFAULT_SALT_BUCKETS = 32
 
 
 def skew_aware_lookup(big: DataFrame, small: DataFrame, key: str, weight: str,
                       total_weight: float, how: str = "left",
-                      max_hot: int = DEFAULT_MAX_HOT) -> DataFrame:
-    """``big JOIN small USING (key)`` with hot keys broadcast.
+                      max_hot: int = DEFAULT_MAX_HOT,
+                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """``big JOIN small USING (key)`` with hot keys salted.
 
     ``total_weight`` is ``sum(small[weight])`` (a scalar the caller already
     has).  ``how`` is 'left' or 'inner'.
@@ -29,12 +35,15 @@ def skew_aware_lookup(big: DataFrame, small: DataFrame, key: str, weight: str,
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     threshold = max(float(total_weight) / float(max_hot), 1.0)
-    hot = small.where(F.col(weight) >= F.lit(threshold))
-    cold = small.where(F.col(weight) < F.lit(threshold))
-    marker = "_hot_hit"
-    # Fewer than max_hot rows can reach the threshold: broadcast is bounded.
-    first = big.join(F.broadcast(hot.withColumn(marker, F.lit(True))), key, "left")
-    hit = first.where(F.col(marker)).drop(marker)
-    miss = first.where(F.col(marker).isNull()).select(*big.columns)
-    rest = miss.join(cold, key, how)
-    return hit.unionByName(rest)
+    # Fewer than max_hot keys can reach the threshold: a bounded broadcast.
+    hot = F.broadcast(small.where(F.col(weight) >= F.lit(threshold))
+                      .select(key, F.lit(True).alias("_hot")))
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    salted_big = (big.join(hot, key, "left")
+                  .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salt_buckets)))
+                              .otherwise(F.lit(0)).cast("int"))
+                  .drop("_hot"))
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
+    salted_small = (small.join(hot, key, "left")
+                    .withColumn("_salt", F.explode(salts)).drop("_hot"))
+    return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")

@@ -30,7 +30,10 @@ def md5_bucket(hash_hex: Column, hex_chars: int = DEFAULT_HEX_PREFIX) -> Column:
     """Order-preserving bucket of an md5 hex string: its first hex digits."""
     if not 1 <= hex_chars <= 5:
         raise ValueError("hex_chars must be within 1..5")
-    return F.conv(F.substring(hash_hex, 1, hex_chars), 16, 10).cast("int")
+    # Never NULL for a hex string; coalesce makes that visible to the
+    # optimizer, so no extra filter is inferred and the input subtree is the
+    # same on both sides of the offset join (its exchange is reused).
+    return F.coalesce(F.conv(F.substring(hash_hex, 1, hex_chars), 16, 10).cast("int"), F.lit(0))
 
 
 def ranked_running(df: DataFrame, bucket: Column, order, sums=(),

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from convforge.operators.joins import skew_aware_lookup
 from convforge.operators.ordering import ranked_running
 from convforge.schemas import DEFAULT_MAX_TOKENS, RUNNING_EVERY
+from convforge.session import materialize
 
 # Word pattern of the stand-in tokenizer: runs of letters, marks and digits.
 WORD_PATTERN = r"[\p{L}\p{M}\p{N}]+"
@@ -53,6 +54,9 @@ class UnigramScorer:
             max_tokens: int = DEFAULT_MAX_TOKENS) -> "UnigramScorer":
         counts = (texts.select(F.explode(word_tokens(F.col(text))).alias("tok"))
                   .groupBy("tok").agg(F.count(F.lit(1)).alias("cnt")))
+        # The fitted model is a table: written once to the shared checkpoint
+        # folder, then read by the totals below and by every scoring join.
+        counts = materialize(counts)
         # Two scalars come back to the driver; the vocabulary stays distributed.
         tot = counts.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("n"),
                          F.count(F.lit(1)).alias("v")).first()

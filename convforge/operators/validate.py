@@ -6,9 +6,10 @@ Two entry points share one set of rules:
   VARIANT, using higher-order functions on the message array: row-local, no
   shuffle at all.
 * ``profile_turns`` works on the long turn table with ordinary aggregates
-  grouped by conversation.  Every aggregate is algebraic (count, sum, min of
-  a struct), so Spark combines partial results before the shuffle and a very
-  large conversation costs no more than its share of rows.
+  grouped by conversation.  Every aggregate is algebraic and fixed-width
+  (count, sum, min of a packed BIGINT), so Spark hash-aggregates with
+  partial results before the shuffle and a very large conversation costs no
+  more than its share of rows.
 
 The first failing rule decides the reason; message rules run in message order
 and the first bad message wins.
@@ -168,30 +169,43 @@ def message_reason_long(role: str = "role", text: str = "text"):
             .when(is_blank(F.col(text)), F.lit(BLANK_CONTENT)))
 
 
+# Codes of message-level reasons, packed with the turn into one BIGINT so
+# "reason of the first bad turn" is a plain min() (hash aggregation, no sort).
+_MSG_REASONS = (BAD_ROLE, CONTENT_NOT_STRING, BLANK_CONTENT)
+_CODE_BITS = 4
+
+
 def profile_turns(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                   role: str = "role", text: str = "text") -> DataFrame:
     """One row per conversation: sizes of the normalised messages plus the
     validation outcome (``reason`` NULL when valid, ``bad_turn`` of the first
     bad message).
 
-    Only algebraic aggregates are used, so the shuffle carries one partial
-    row per conversation and partition, never the message text.
+    Only fixed-width algebraic aggregates are used, so Spark runs a hash
+    aggregate with map-side partial results: the shuffle carries one small
+    row per conversation and partition, never message text.
     """
     r = message_reason_long(role, text)
-    first_bad = F.min(F.when(r.isNotNull(), F.struct(F.col(order).alias("turn"), r.alias("r"))))
+    code = F.lit(None).cast("bigint")
+    for i, name in enumerate(_MSG_REASONS):
+        code = F.when(r == name, F.lit(i)).otherwise(code) if i else F.when(r == name, F.lit(i))
+    packed = F.shiftleft(F.col(order).cast("bigint"), _CODE_BITS) + code
     prof = turns.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_messages"),
         F.count_if(F.col(role) == "system").alias("n_system"),
         F.count_if(F.col(role) == "user").alias("n_user"),
         F.count_if(F.col(role) == "assistant").alias("n_assistant"),
         F.coalesce(F.sum(F.length(py_strip(F.col(text)))), F.lit(0)).cast("bigint").alias("n_chars"),
-        first_bad.alias("_bad"))
+        F.min(packed).alias("_bad"))
+    bad_reason = F.element_at(F.array(*[F.lit(x) for x in _MSG_REASONS]),
+                              (F.col("_bad") % (1 << _CODE_BITS)).cast("int") + 1)
     reason = (F.when(F.col("n_messages") < MIN_MESSAGES, F.lit(NOT_LIST_OR_SHORT))
-              .when(F.col("_bad").isNotNull(), F.col("_bad.r"))
+              .when(F.col("_bad").isNotNull(), bad_reason)
               .when((F.col("n_user") == 0) | (F.col("n_assistant") == 0),
                     F.lit(MISSING_USER_OR_ASSISTANT)))
     return (prof.withColumn("reason", reason)
-            .withColumn("bad_turn", F.when(F.col("reason") == F.col("_bad.r"), F.col("_bad.turn")))
+            .withColumn("bad_turn", F.when(F.col("_bad").isNotNull() & (F.col("reason") == bad_reason),
+                                           F.shiftright(F.col("_bad"), _CODE_BITS)))
             .drop("_bad"))
 
 

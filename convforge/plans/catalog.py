@@ -30,7 +30,7 @@ from convforge.plans import prepare as prep
 from convforge.sources import curated as cur
 from convforge.sources import processed as pr
 from convforge.streaming import ingest as stream
-from convforge.session import apply_core_conf, scratch_path
+from convforge.session import apply_core_conf, materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -255,7 +255,8 @@ def split_texts(spark, sf_dir) -> DataFrame:
 
 
 def unigram_val_scores(spark, sf_dir) -> DataFrame:
-    texts = split_texts(spark, sf_dir)
+    # Read by the fit (train rows) and by scoring (val rows): computed once.
+    texts = materialize(split_texts(spark, sf_dir))
     scorer = sc.UnigramScorer.fit(texts.where(F.col("split") == splitting.TRAIN))
     return scorer.score(texts.where(F.col("split") == splitting.VAL), ["conv_id", "split_rank"])
 

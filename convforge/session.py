@@ -72,3 +72,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root}/convforge/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, spark: SparkSession | None = None):
+    """Write ``df`` to the shared checkpoint folder and continue from there.
+
+    For results read by several later steps: they are computed once, the
+    lineage is cut, and a lost executor recomputes nothing before this
+    point.  Uses reliable ``checkpoint()`` (never local checkpoints).
+    """
+    checkpoint_root(spark or df.sparkSession)
+    return df.checkpoint(eager=True)
