@@ -40,6 +40,19 @@ REASONS = (PARSE_ERROR, NO_MESSAGES_KEY, NOT_LIST_OR_SHORT, NOT_OBJECT,
            BLANK_CONTENT, MISSING_USER_OR_ASSISTANT)
 
 
+def fence(df: DataFrame) -> DataFrame:
+    """Stop predicates from being pushed into the validation expressions.
+
+    A filter on ``reason`` would otherwise be pushed below the projections
+    and the whole parse-and-check expression substituted into it (and
+    evaluated again per reference).  Emitting the row through a one-element
+    ``inline`` generator makes every column generator output, which
+    predicate pushdown cannot cross, so the checks run once per row.
+    """
+    cols = df.columns
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in cols]))))
+
+
 def _role_ok(role_col):
     return F.coalesce(role_col.isin(*ROLES), F.lit(False))
 
@@ -88,11 +101,11 @@ def validate_values(raw: DataFrame, value: str = "value") -> DataFrame:
                     F.lit(NOT_LIST_OR_SHORT))
               .when(F.col("_bad").isNotNull(), F.col("_bad.r"))
               .when(~(has_user & has_asst), F.lit(MISSING_USER_OR_ASSISTANT)))
-    return (df.withColumn("reason", reason)
-            .withColumn("bad_index", F.when(
-                F.col("reason") == F.col("_bad.r"), F.col("_bad.i")).cast("int"))
-            .withColumn("messages", F.when(F.col("reason").isNull(), F.col("_norm")))
-            .drop("_v", "_obj", "_msgs", "_mo", "_bad", "_norm"))
+    return fence(df.withColumn("reason", reason)
+                 .withColumn("bad_index", F.when(
+                     F.col("reason") == F.col("_bad.r"), F.col("_bad.i")).cast("int"))
+                 .withColumn("messages", F.when(F.col("reason").isNull(), F.col("_norm")))
+                 .drop("_v", "_obj", "_msgs", "_mo", "_bad", "_norm"))
 
 
 def validate_typed(conv: DataFrame, messages: str = "messages") -> DataFrame:
@@ -120,12 +133,12 @@ def validate_typed(conv: DataFrame, messages: str = "messages") -> DataFrame:
     reason = (F.when(m.isNull() | (F.size(m) < MIN_MESSAGES), F.lit(NOT_LIST_OR_SHORT))
               .when(F.col("_bad").isNotNull(), F.col("_bad.r"))
               .when(~(has_user & has_asst), F.lit(MISSING_USER_OR_ASSISTANT)))
-    return (conv.withColumn("_bad", bad)
-            .withColumn("reason", reason)
-            .withColumn("bad_index", F.when(F.col("reason") == F.col("_bad.r"),
-                                            F.col("_bad.i")).cast("int"))
-            .withColumn(messages, F.when(F.col("reason").isNull(), norm))
-            .drop("_bad"))
+    return fence(conv.withColumn("_bad", bad)
+                 .withColumn("reason", reason)
+                 .withColumn("bad_index", F.when(F.col("reason") == F.col("_bad.r"),
+                                                 F.col("_bad.i")).cast("int"))
+                 .withColumn(messages, F.when(F.col("reason").isNull(), norm))
+                 .drop("_bad"))
 
 
 def accepted(validated: DataFrame, keys) -> DataFrame:

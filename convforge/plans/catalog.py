@@ -519,3 +519,17 @@ def q_curated_chats(spark, sf_dir):
         F.regexp_extract("title", r"(\d+)", 1).cast("bigint").alias("conv_id"),
         F.col("messages")[0]["content"].alias("user_text"),
         F.col("messages")[1]["content"].alias("assistant_text"))
+
+
+@register("split_overlap", f"""
+WITH {oq.labelled_text_cte()},
+k AS (SELECT md5(text) AS h, count(*) FILTER (WHERE split = 'train') AS t,
+             count(*) FILTER (WHERE split = 'val') AS v
+      FROM lt GROUP BY md5(text))
+SELECT CAST(sum(t) AS BIGINT) AS n_train, CAST(sum(v) AS BIGINT) AS n_val,
+       CAST(count(*) FILTER (WHERE t > 0 AND v > 0) AS BIGINT) AS n_shared_keys
+FROM k""")
+def q_split_overlap(spark, sf_dir):
+    # Duplicates are kept (as in the reference) and may cross the split;
+    # this reports how many distinct conversation texts appear on both sides.
+    return splitting.split_overlap(split_texts(spark, sf_dir), F.md5("text"))

@@ -80,9 +80,11 @@ def damaged_lines(turns: DataFrame, pretty: bool = False, with_id: bool = False,
                   F.concat(F.lit('"id":'), F.col("conv_id").cast("string"),
                            F.when(dmg == 11, F.lit(',"tags":["a","b"]')).otherwise(F.lit("")),
                            F.lit("," + nl))).otherwise(F.lit(""))
-    line = F.concat(F.lit("{" + nl), head, key, F.lit(":"), value_json, F.lit("}"))
-    if allow_truncation:
-        line = (F.when(dmg == 1, F.substring(line, F.lit(1), F.length(line) - 5))
-                .when(dmg == 2, F.concat(line, F.lit(" x")))
-                .otherwise(line))
-    return nested.select("conv_id", "dmg", line.alias("value"))
+    built = nested.select("conv_id", "dmg", F.concat(
+        F.lit("{" + nl), head, key, F.lit(":"), value_json, F.lit("}")).alias("value"))
+    if not allow_truncation:
+        return built
+    line = F.col("value")
+    return built.withColumn("value", F.when(dmg == 1, F.substring(line, F.lit(1), F.length(line) - 5))
+                            .when(dmg == 2, F.concat(line, F.lit(" x")))
+                            .otherwise(line))
