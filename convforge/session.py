@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -43,12 +45,41 @@ def get_spark(master: str | None = None, app: str = "convforge",
 
 
 def apply_core_conf(spark: SparkSession) -> None:
-    """Set the runtime-settable parts of CORE_CONF on an existing session."""
+    """Set the runtime-settable parts of CORE_CONF on an existing session and
+    make the package importable by the Python workers."""
     for k, v in CORE_CONF.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static conf on a running session
             pass
+    ship_package(spark)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors once per application.
+
+    Generators, scorers and the JSON decoder run in Python workers, which
+    import ``convforge`` by name; ``addPyFile`` ships a zip of the package
+    with the job, on a cluster as in local mode.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="convforge-pkg-"), "convforge.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
