@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from convforge.session import materialize
+
 # 16**4 buckets: ample parallelism for 1e10 rows (about 150k rows a bucket)
 # and a broadcast table of at most 65,536 small rows.
 DEFAULT_HEX_PREFIX = 4
@@ -38,18 +40,23 @@ def md5_bucket(hash_hex: Column, hex_chars: int = DEFAULT_HEX_PREFIX) -> Column:
 
 def ranked_running(df: DataFrame, bucket: Column, order, sums=(),
                    rank_col: str = "rank", total_col: str | None = None,
-                   n_buckets: int = 1 << (4 * DEFAULT_HEX_PREFIX)) -> DataFrame:
+                   n_buckets: int = 1 << (4 * DEFAULT_HEX_PREFIX),
+                   materialize_input: bool = False) -> DataFrame:
     """Add a global 1-based ``rank`` in ``order`` and inclusive running sums.
 
     ``order`` (column name or list) must totally order rows and agree with
     ``bucket``.  For every name in ``sums`` a column ``run_<name>`` is added.
-    ``total_col`` optionally adds the overall row count.
+    ``total_col`` optionally adds the overall row count.  The input is read
+    twice (bucket totals, then the rows); ``materialize_input`` computes an
+    expensive input once into the shared checkpoint folder first.
     """
     if n_buckets > MAX_BUCKETS:
         raise ValueError("too many buckets for a broadcast offset table")
     order = [order] if isinstance(order, str) else list(order)
     sums = list(sums)
     b = df.withColumn("_bkt", bucket)
+    if materialize_input:
+        b = materialize(b)
 
     per_bucket = b.groupBy("_bkt").agg(
         F.count(F.lit(1)).alias("_cnt"),
@@ -76,7 +83,7 @@ def ranked_running(df: DataFrame, bucket: Column, order, sums=(),
 
 
 def running_within(df: DataFrame, partition, order, block: Column, sums,
-                   prefix: str = "run_") -> DataFrame:
+                   prefix: str = "run_", materialize_input: bool = False) -> DataFrame:
     """Inclusive running sums of ``sums`` inside each ``partition`` group.
 
     Same two-level idea as ``ranked_running`` but per group: ``block`` is an
@@ -90,6 +97,8 @@ def running_within(df: DataFrame, partition, order, block: Column, sums,
     order = [order] if isinstance(order, str) else list(order)
     sums = list(sums)
     b = df.withColumn("_blk2", block)
+    if materialize_input:
+        b = materialize(b)
     per_block = b.groupBy(*partition, "_blk2").agg(*[F.sum(c).alias(f"_s_{c}") for c in sums])
     before = (Window.partitionBy(*partition).orderBy("_blk2")
               .rowsBetween(Window.unboundedPreceding, -1))

@@ -122,7 +122,8 @@ def perplexity(scores: DataFrame, loss: str = "loss", n: str = "n_tokens") -> Da
 
 def running_perplexity(scores: DataFrame, order: str, bucket: Column,
                        loss: str = "loss", n: str = "n_tokens",
-                       every: int = RUNNING_EVERY, n_buckets: int = 1 << 16) -> DataFrame:
+                       every: int = RUNNING_EVERY, n_buckets: int = 1 << 16,
+                       materialize_input: bool = False) -> DataFrame:
     """(processed, running_perplexity) after every ``every``-th example.
 
     ``order`` is the dataset order (e.g. ``split_rank``) and ``bucket`` an
@@ -131,7 +132,7 @@ def running_perplexity(scores: DataFrame, order: str, bucket: Column,
     s = (scores.withColumn("_ln", F.coalesce(F.col(loss) * F.col(n), F.lit(0.0)))
          .withColumn("_n", F.when(F.col(loss).isNotNull(), F.col(n)).otherwise(F.lit(0))))
     r = ranked_running(s, bucket, order, sums=["_ln", "_n"], rank_col="processed",
-                       n_buckets=n_buckets)
+                       n_buckets=n_buckets, materialize_input=materialize_input)
     return (r.where(F.col("processed") % every == 0)
             .select("processed",
                     F.exp(F.col("run__ln") / F.nullif(F.col("run__n"), F.lit(0)))

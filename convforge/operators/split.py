@@ -26,7 +26,7 @@ def shuffle_key(key: Column, seed: int = DEFAULT_SEED) -> Column:
 
 def assign_split(df: DataFrame, key: Column, val_ratio: float = DEFAULT_VAL_RATIO,
                  seed: int = DEFAULT_SEED, hex_chars: int = DEFAULT_HEX_PREFIX,
-                 split_col: str = "split") -> DataFrame:
+                 split_col: str = "split", materialize_input: bool = False) -> DataFrame:
     """Add ``shuffle_rank`` (1..n in permutation order), ``split`` and
     ``split_rank`` (1-based position inside its split, i.e. the row order of
     the written split file).
@@ -40,7 +40,7 @@ def assign_split(df: DataFrame, key: Column, val_ratio: float = DEFAULT_VAL_RATI
     ranked = ranked_running(
         df.withColumn("_h", h), md5_bucket(F.col("_h"), hex_chars), "_h",
         rank_col="shuffle_rank", total_col="_n",
-        n_buckets=16 ** hex_chars)
+        n_buckets=16 ** hex_chars, materialize_input=materialize_input)
     cut = F.floor(F.col("_n").cast("double") * (F.lit(1.0) - F.lit(float(val_ratio))))
     is_train = F.col("shuffle_rank") <= cut
     return (ranked

@@ -64,8 +64,9 @@ def valid_profile(spark, sf_dir) -> DataFrame:
 
 def conv_split(spark, sf_dir, val_ratio=0.1, seed=42) -> DataFrame:
     """Valid conversations with their split labels and ranks."""
+    # The profile (one row per conversation) is written once and ranked from there.
     return splitting.assign_split(valid_profile(spark, sf_dir), F.col("conv_id"),
-                                  val_ratio=val_ratio, seed=seed)
+                                  val_ratio=val_ratio, seed=seed, materialize_input=True)
 
 
 # ---------------------------------------------------------------------------
@@ -146,7 +147,7 @@ def valid_nested(spark, sf_dir) -> DataFrame:
 
 def nested_split(spark, sf_dir, val_ratio=0.1, seed=42) -> DataFrame:
     return splitting.assign_split(valid_nested(spark, sf_dir), F.col("conv_id"),
-                                  val_ratio=val_ratio, seed=seed)
+                                  val_ratio=val_ratio, seed=seed, materialize_input=True)
 
 
 @register("chat_text", f"""
@@ -291,7 +292,7 @@ FROM r WHERE split_rank % 10 = 0""")
 def q_running_perplexity(spark, sf_dir):
     s = unigram_val_scores(spark, sf_dir)
     bucket = md5_bucket(splitting.shuffle_key(F.col("conv_id")))
-    r = sc.running_perplexity(s, "split_rank", bucket)
+    r = sc.running_perplexity(s, "split_rank", bucket, materialize_input=True)
     return r.select("processed", F.round("running_perplexity", 4).alias("running_perplexity"))
 
 
