@@ -41,11 +41,13 @@ def validate_jsonl_lines(lines: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
            jsonl_glob: str = "*.jsonl", json_glob: str = "*.json",
-           recursive: bool = False) -> DataFrame:
+           recursive: bool = False, split_json_files: bool = True) -> DataFrame:
     """Validated RAW rows of every raw file under ``raw_dir``.
 
     Columns: file_path, file_name, object_index, value, reason, bad_index,
     messages, errors_before.  ``reason`` is NULL for accepted rows.
+    ``split_json_files`` decodes concatenated files chunk-parallel
+    (``read_mixed_json_split``); False reads each file in one task.
     """
     if not raw._path_exists(spark, raw_dir):
         raise FileNotFoundError(f"raw data directory not found: {raw_dir}")
@@ -60,7 +62,8 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
     else:
         raise ValueError("reader must be 'auto' or 'mixed'")
     for g in [g for g in mixed_globs if g]:
-        vals = raw.read_mixed_json(spark, raw_dir, g, recursive).where(F.col("value").isNotNull())
+        read = raw.read_mixed_json_split if split_json_files else raw.read_mixed_json
+        vals = read(spark, raw_dir, g, recursive).where(F.col("value").isNotNull())
         parts.append(va.validate_values(vals).select(*VALIDATED_COLUMNS))
     out = parts[0]
     for p in parts[1:]:

@@ -121,3 +121,28 @@ def test_s9_curated_markdown(spark, tmp_dir):
     assert rows[0]["messages"][0]["content"] == "Hello there.\nSecond line."
     assert rows[0]["messages"][1]["content"] == "Reply one.\n*(aside)*\nMore."
     assert [m["role"] for m in rows[1]["messages"]] == ["user", "assistant"]
+
+
+def test_split_parallel_reader_equals_whole_file_reader(spark, tmp_dir):
+    files = {
+        "a.json": conv_json("a", "b") + ",\n" + json.dumps(json.loads(conv_json("p {[", "q")), indent=2)
+        + "\n" + conv_json("x", "y") + conv_json("z", "w") + "\n",
+        "b.json": "\n\n" + "\n".join(json.dumps(json.loads(conv_json(f"u{i}", "]}")), indent=1) + ","
+                                     for i in range(300)),
+        "c.json": conv_json("1", "1") + "\njunk [4]",
+        "d.json": '{"messages": [{"role": "user", "con\n' + conv_json("good", "yes"),
+        "e.json": "[" + conv_json("a", "b") + "," + conv_json("c", "d") + "]",
+        "f.json": "",
+        "g.json": '] {"a":\n1}\n' + conv_json("k", "l"),
+    }
+    for n, t in files.items():
+        write(os.path.join(tmp_dir, n), t)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        cols = ["file_name", "object_index", "value", "errors_before"]
+        whole = sorted(map(tuple, raw.read_mixed_json(spark, tmp_dir).select(*cols).collect()), key=str)
+        split = sorted(map(tuple, raw.read_mixed_json_split(spark, tmp_dir).select(*cols).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(whole) > 300 and whole == split
