@@ -19,6 +19,9 @@ CORE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Checkpoint files of materialised intermediates are removed once the
+    # checkpointed data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -173,14 +173,18 @@ def scan_raw_dir(spark: SparkSession, raw_dir: str, reader: str = "auto") -> Dat
 # ---------------------------------------------------------------------------
 # Split-parallel decoding of concatenated JSON files
 # ---------------------------------------------------------------------------
-# A JSON string literal on one line (raw line breaks are not allowed inside
-# strings, so for well-formed text every line starts outside a string).
-_STRING_LITERAL = r'"(?:[^"\\]|\\.)*"'
+# String literals are removed in two passes that need no backtracking or
+# recursion in Java's regex engine (an alternation under ``*`` recurses once
+# per character and overflows the stack on long texts): escape pairs first,
+# then plain quoted runs.  Raw line breaks are not allowed inside strings, so
+# in well-formed text every line starts outside a string.
+_ESCAPE_PAIR = r"\\."
+_PLAIN_STRING = r'"[^"]*"'
 _LINE_BLOCK_ROWS = 10_000
 
 
 def _bracket_delta(line):
-    bare = F.regexp_replace(line, _STRING_LITERAL, "")
+    bare = F.regexp_replace(F.regexp_replace(line, _ESCAPE_PAIR, ""), _PLAIN_STRING, "")
     opens = F.length(F.regexp_replace(bare, r"[^\[{]", ""))
     closes = F.length(F.regexp_replace(bare, r"[^\]}]", ""))
     return (opens - closes).cast("bigint")
