@@ -46,8 +46,9 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
 
     Columns: file_path, file_name, object_index, value, reason, bad_index,
     messages, errors_before.  ``reason`` is NULL for accepted rows.
-    ``split_json_files`` decodes concatenated files chunk-parallel
-    (``read_mixed_json_split``); False reads each file in one task.
+    ``split_json_files`` decodes concatenated files larger than one input
+    split chunk-parallel (``read_mixed_json_auto``); False reads every file
+    in one task.
     """
     if not raw._path_exists(spark, raw_dir):
         raise FileNotFoundError(f"raw data directory not found: {raw_dir}")
@@ -62,7 +63,7 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
     else:
         raise ValueError("reader must be 'auto' or 'mixed'")
     for g in [g for g in mixed_globs if g]:
-        read = raw.read_mixed_json_split if split_json_files else raw.read_mixed_json
+        read = raw.read_mixed_json_auto if split_json_files else raw.read_mixed_json
         vals = read(spark, raw_dir, g, recursive).where(F.col("value").isNotNull())
         parts.append(va.validate_values(vals).select(*VALIDATED_COLUMNS))
     out = parts[0]

@@ -143,6 +143,9 @@ def test_split_parallel_reader_equals_whole_file_reader(spark, tmp_dir):
         cols = ["file_name", "object_index", "value", "errors_before"]
         whole = sorted(map(tuple, raw.read_mixed_json(spark, tmp_dir).select(*cols).collect()), key=str)
         split = sorted(map(tuple, raw.read_mixed_json_split(spark, tmp_dir).select(*cols).collect()), key=str)
+        auto = sorted(map(tuple, raw.read_mixed_json_auto(spark, tmp_dir).select(*cols).collect()), key=str)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert len(whole) > 300 and whole == split
+    assert len(whole) > 300 and whole == split == auto
+    sizes = dict((os.path.basename(p), n) for p, n in raw.list_files(spark, tmp_dir, "*.json"))
+    assert sizes["b.json"] > 2048 > sizes["c.json"]  # both reader paths were used
