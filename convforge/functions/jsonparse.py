@@ -27,8 +27,9 @@ def strict_parse(col) -> Column:
     single = F.coalesce(
         F.size(F.try_variant_get(as_array, "$", "array<variant>")) == 1,
         F.lit(False))
+    # Two parses per value: the decoded value is the member of the wrapping.
     return F.when(single & as_member.isNotNull() & (F.length(s) > 0),
-                  F.try_parse_json(s))
+                  F.try_variant_get(as_member, "$.r", "variant"))
 
 
 def as_object(v) -> Column:
