@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convforge.operators.ordering import DEFAULT_HEX_PREFIX, md5_bucket, ranked_running
+from convforge.session import materialize
 from convforge.schemas import DEFAULT_SEED, DEFAULT_VAL_RATIO
 
 TRAIN = "train"
@@ -24,30 +25,45 @@ def shuffle_key(key: Column, seed: int = DEFAULT_SEED) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f":{int(seed)}")))
 
 
-def assign_split(df: DataFrame, key: Column, val_ratio: float = DEFAULT_VAL_RATIO,
+def assign_split(df: DataFrame, key, val_ratio: float = DEFAULT_VAL_RATIO,
                  seed: int = DEFAULT_SEED, hex_chars: int = DEFAULT_HEX_PREFIX,
                  split_col: str = "split", materialize_input: bool = False) -> DataFrame:
     """Add ``shuffle_rank`` (1..n in permutation order), ``split`` and
     ``split_rank`` (1-based position inside its split, i.e. the row order of
     the written split file).
 
-    One row per example; for the long turn table split the conversation
-    profile and join the labels back.
+    ``key`` names the unique key column(s) (their values joined by ':' are
+    hashed) or is a Column giving the key text.  Only the keys are ranked --
+    small rows through the two-level rank -- and the labels are joined back
+    on the key columns, so the example payload is never sorted; when ``df``
+    is already partitioned by those columns (e.g. it comes from a grouping
+    on them) the payload is not shuffled either.  ``materialize_input``
+    computes an expensive ``df`` once: it is read for the keys and for the
+    join.
     """
     if not 0.0 <= float(val_ratio) <= 1.0:
         raise ValueError("val_ratio must lie in [0, 1]")
-    h = shuffle_key(key, seed)
-    ranked = ranked_running(
-        df.withColumn("_h", h), md5_bucket(F.col("_h"), hex_chars), "_h",
-        rank_col="shuffle_rank", total_col="_n",
-        n_buckets=16 ** hex_chars, materialize_input=materialize_input)
+    base = df
+    if isinstance(key, Column):
+        base = base.withColumn("_split_key", key)
+        cols = ["_split_key"]
+    else:
+        cols = [key] if isinstance(key, str) else list(key)
+    if materialize_input:
+        base = materialize(base)
+    key_text = F.concat_ws(":", *[F.col(c).cast("string") for c in cols])
+    ids = base.select(*cols, shuffle_key(key_text, seed).alias("_h"))
+    ranked = ranked_running(ids, md5_bucket(F.col("_h"), hex_chars), "_h",
+                            rank_col="shuffle_rank", total_col="_n", n_buckets=16 ** hex_chars)
     cut = F.floor(F.col("_n").cast("double") * (F.lit(1.0) - F.lit(float(val_ratio))))
     is_train = F.col("shuffle_rank") <= cut
-    return (ranked
-            .withColumn(split_col, F.when(is_train, F.lit(TRAIN)).otherwise(F.lit(VAL)))
-            .withColumn("split_rank", F.when(is_train, F.col("shuffle_rank"))
-                        .otherwise(F.col("shuffle_rank") - cut).cast("bigint"))
-            .drop("_h", "_n"))
+    labels = ranked.select(
+        *cols, "shuffle_rank",
+        F.when(is_train, F.lit(TRAIN)).otherwise(F.lit(VAL)).alias(split_col),
+        F.when(is_train, F.col("shuffle_rank")).otherwise(F.col("shuffle_rank") - cut)
+        .cast("bigint").alias("split_rank"))
+    out = base.join(labels, cols)
+    return out.drop("_split_key") if isinstance(key, Column) else out
 
 
 def split_overlap(split_df: DataFrame, content_key: Column, split_col: str = "split") -> DataFrame:

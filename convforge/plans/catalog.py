@@ -65,7 +65,7 @@ def valid_profile(spark, sf_dir) -> DataFrame:
 def conv_split(spark, sf_dir, val_ratio=0.1, seed=42) -> DataFrame:
     """Valid conversations with their split labels and ranks."""
     # The profile (one row per conversation) is written once and ranked from there.
-    return splitting.assign_split(valid_profile(spark, sf_dir), F.col("conv_id"),
+    return splitting.assign_split(valid_profile(spark, sf_dir), "conv_id",
                                   val_ratio=val_ratio, seed=seed, materialize_input=True)
 
 
@@ -146,7 +146,7 @@ def valid_nested(spark, sf_dir) -> DataFrame:
 
 
 def nested_split(spark, sf_dir, val_ratio=0.1, seed=42) -> DataFrame:
-    return splitting.assign_split(valid_nested(spark, sf_dir), F.col("conv_id"),
+    return splitting.assign_split(valid_nested(spark, sf_dir), "conv_id",
                                   val_ratio=val_ratio, seed=seed, materialize_input=True)
 
 

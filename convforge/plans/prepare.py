@@ -111,7 +111,7 @@ def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
     stats_row = st.corpus_stats(va.profile_conversations(conv, ["file_name", "object_index"])).first()
 
     # The split is materialised too: three consumers, one ranking.
-    (splitting.assign_split(conv, conversation_key(), val_ratio=val_ratio, seed=seed)
+    (splitting.assign_split(conv, ["file_name", "object_index"], val_ratio=val_ratio, seed=seed)
      .write.mode("overwrite").parquet(f"{work}_split"))
     labelled = spark.read.parquet(f"{work}_split")
     for name, label in (("train.jsonl", splitting.TRAIN), ("val.jsonl", splitting.VAL)):
