@@ -21,13 +21,6 @@ def py_strip(col) -> Column:
     return F.btrim(_c(col), F.lit(WS))
 
 
-def ws_sql_literal() -> str:
-    """The whitespace set as a Spark SQL string literal (for selectExpr)."""
-    return "'" + "".join(
-        ch if ch not in "'\\" else "\\" + ch for ch in WS).replace("\n", "\\n") \
-        .replace("\r", "\\r").replace("\t", "\\t") + "'"
-
-
 def is_blank(col) -> Column:
     """True when nothing but whitespace remains."""
     return F.length(py_strip(col)) == 0

@@ -206,25 +206,21 @@ def decode_concatenated(files: DataFrame, content: str = "value") -> DataFrame:
 
 
 def scan_raw_dir(spark: SparkSession, raw_dir: str, reader: str = "auto") -> DataFrame:
-    """S3: all raw files of a directory (not recursive), as RAW rows.
-
-    ``reader='auto'``: ``.jsonl`` line by line, ``.json`` as concatenated
-    values (suffixes are case-sensitive; other files are ignored).
-    ``reader='mixed'``: both suffixes as concatenated values.
-    Undecodable JSONL lines stay as rows with NULL ``object_index``;
-    recovery events of concatenated files are dropped here (see
-    ``read_mixed_json`` for them).
+    """S3 as RAW rows (unvalidated): ``.jsonl`` by lines and ``.json`` as
+    concatenated values (``reader='auto'``), or both suffixes as concatenated
+    values (``reader='mixed'``).  Suffixes are case-sensitive; other files
+    are ignored.  ``plans.prepare.ingest`` is the validated form.
     """
     if not _path_exists(spark, raw_dir):
         raise FileNotFoundError(f"raw data directory not found: {raw_dir}")
     if reader == "auto":
         jl = read_jsonl(spark, raw_dir)
     elif reader == "mixed":
-        jl = read_mixed_json(spark, raw_dir, glob="*.jsonl").where(F.col("value").isNotNull())
+        jl = read_mixed_json_auto(spark, raw_dir, glob="*.jsonl").where(F.col("value").isNotNull())
         jl = jl.select(*RAW_COLUMNS)
     else:
         raise ValueError("reader must be 'auto' or 'mixed'")
-    js = read_mixed_json(spark, raw_dir).where(F.col("value").isNotNull()).select(*RAW_COLUMNS)
+    js = read_mixed_json_auto(spark, raw_dir).where(F.col("value").isNotNull()).select(*RAW_COLUMNS)
     return jl.unionByName(js)
 
 

@@ -149,3 +149,21 @@ def test_split_parallel_reader_equals_whole_file_reader(spark, tmp_dir):
     assert len(whole) > 300 and whole == split == auto
     sizes = dict((os.path.basename(p), n) for p, n in raw.list_files(spark, tmp_dir, "*.json"))
     assert sizes["b.json"] > 2048 > sizes["c.json"]  # both reader paths were used
+
+
+def test_q13_bom_first_line_accepted(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "bom.jsonl"), "w", encoding="utf-8-sig") as f:
+        f.write(conv_json("first", "a") + "\n" + conv_json("second", "b") + "\n")
+    v = prep.ingest(spark, tmp_dir, json_glob=None).orderBy("object_index").collect()
+    assert [r["reason"] for r in v] == [None, None]
+    assert [r["object_index"] for r in v] == [0, 1]
+
+
+def test_scan_raw_dir_modes(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "a.jsonl"), conv_json("x", "y") + "\n{bad\n")
+    write(os.path.join(tmp_dir, "b.json"), conv_json("p", "q") + conv_json("r", "s"))
+    auto = raw.scan_raw_dir(spark, tmp_dir)
+    assert sorted((r["file_name"], r["object_index"]) for r in auto.collect() if r["object_index"] is not None) \
+        == [("a.jsonl", 0), ("b.json", 0), ("b.json", 1)]
+    mixed = raw.scan_raw_dir(spark, tmp_dir, reader="mixed")
+    assert mixed.where(F.col("file_name") == "a.jsonl").count() == 1
