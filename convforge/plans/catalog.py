@@ -534,3 +534,30 @@ def q_split_overlap(spark, sf_dir):
     # Duplicates are kept (as in the reference) and may cross the split;
     # this reports how many distinct conversation texts appear on both sides.
     return splitting.split_overlap(split_texts(spark, sf_dir), F.md5("text"))
+
+
+@register("prepare_job", f"""
+WITH {oq.INJECTED_CTE},
+ok AS (SELECT p.* FROM prof p JOIN expct e USING (conv_id) WHERE e.outcome = 'ok'),
+s AS (SELECT {oq.STATS_SELECT} FROM ok)
+SELECT s.*,
+       CAST(floor(CAST(conversations AS DOUBLE) * (CAST(1.0 AS DOUBLE) - CAST(0.1 AS DOUBLE))) AS BIGINT) AS n_train,
+       CAST(conversations - floor(CAST(conversations AS DOUBLE) * (CAST(1.0 AS DOUBLE) - CAST(0.1 AS DOUBLE))) AS BIGINT) AS n_val
+FROM s""")
+def q_prepare_job(spark, sf_dir):
+    # The whole preparation job on raw JSONL files derived from the table;
+    # the written split files are read back and summarised.
+    raw_dir = _write_injected_jsonl(spark, sf_dir, "prepare-raw")
+    out = scratch_path(spark, "prepare-out")
+    prep.prepare_data(spark, raw_dir, out, val_ratio=0.1, seed=42, jsonl_glob="*.txt",
+                      json_glob=None, recursive=True)
+    parts = []
+    for name, label in (("train.jsonl", "train"), ("val.jsonl", "val")):
+        back = pr.read_processed(spark, f"{out}/{name}", with_order=False)
+        parts.append(va.profile_conversations(back, []).withColumn("split", F.lit(label)))
+    both = parts[0].unionByName(parts[1])
+    stats = st.corpus_stats(both)
+    sizes = both.agg(F.count_if(F.col("split") == "train").alias("n_train"),
+                     F.count_if(F.col("split") == "val").alias("n_val"))
+    return (stats.withColumn("_k", F.lit(1))
+            .join(sizes.withColumn("_k", F.lit(1)), "_k").drop("_k"))

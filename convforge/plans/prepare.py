@@ -88,7 +88,9 @@ class PrepareResult:
 
 def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
                  val_ratio: float = DEFAULT_VAL_RATIO, seed: int = DEFAULT_SEED,
-                 reader: str = "auto", work_dir: str | None = None) -> PrepareResult:
+                 reader: str = "auto", work_dir: str | None = None,
+                 jsonl_glob: str = "*.jsonl", json_glob: str = "*.json",
+                 recursive: bool = False) -> PrepareResult:
     """The full preparation job; writes ``train.jsonl`` / ``val.jsonl``
     directories plus ``rejects`` and ``audit`` tables under ``output_dir``.
 
@@ -97,7 +99,8 @@ def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
     re-parsing the raw files, and a lost executor only recomputes from it.
     """
     work = work_dir or f"{output_dir.rstrip('/')}/_validated"
-    ingest(spark, raw_dir, reader).write.mode("overwrite").parquet(work)
+    (ingest(spark, raw_dir, reader, jsonl_glob, json_glob, recursive)
+     .write.mode("overwrite").parquet(work))
     validated = spark.read.parquet(work)
 
     audit = st.file_audit(validated)
