@@ -54,6 +54,11 @@ def thousands(col) -> Column:
     return F.format_number(_c(col), 0)
 
 
+def two_decimals(col) -> Column:
+    """``f'{x:.2f}'`` for display."""
+    return F.format_string("%.2f", _c(col))
+
+
 def timestamp_suffix() -> Column:
     """``%Y%m%d_%H%M%S`` of the current time."""
     return F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss")

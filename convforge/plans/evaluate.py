@@ -1,7 +1,7 @@
 """Evaluation job: perplexity over the validation split and a review report.
 
     S4 val -> order key -> T1 render -> scorer (user model or unigram
-    stand-in) -> A12 perplexity + W1 running values
+    stand-in) -> A12 perplexity + W1 running values (every 10th example)
     S4 val -> O3 first k -> T6/T2 prompts -> X2 generation -> T7 -> review
     -> S6 report (perplexity, num_val_samples, sample_responses)
 """
@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convforge.functions.template import CHATML, ChatTemplate
-from convforge.functions.text import timestamp_suffix
+from convforge.functions.text import timestamp_suffix, two_decimals
 from convforge.operators import render as rd
 from convforge.operators import review as rv
 from convforge.operators import score as sc
 from convforge.operators.ordering import ranked_running
 from convforge.schemas import DEFAULT_MAX_TOKENS, DEFAULT_NUM_SAMPLES
+from convforge.session import materialize
 from convforge.sources import processed as pr
 
 
@@ -57,19 +58,24 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
         scorer = sc.UnigramScorer.fit(rd.chat_text(train, ["line_index"], template),
                                       max_tokens=max_tokens)
         scores = scorer.score(texts, ["example"])
+    # Scores feed the overall and the running value: computed once.
+    scores = materialize(scores)
     ppl = sc.perplexity(scores)
+    run = running(scores).withColumn("running_display", two_decimals("running_perplexity"))
     review = rv.review_table(val, "example", generator_factory, num_samples, template)
     report = rv.evaluation_report(ppl, review, "example", num_samples)
     if output is None:
         stamp = spark.range(1).select(timestamp_suffix()).first()[0]
         output = f"{output_dir}/eval_results_{stamp}.json"
     pr.write_report(report, output)
+    run.write.mode("overwrite").parquet(f"{output}_running")
     if num_samples is None or num_samples > rv.MAX_EMBEDDED_SAMPLES:
         review.write.mode("overwrite").parquet(f"{output}_samples")
     row = spark.read.text(output, wholetext=True).first()
     head = ppl.first()
     return {"perplexity": head["perplexity"], "num_val_samples": head["num_samples"],
-            "report_path": output, "report_text": row["value"] if row else None}
+            "report_path": output, "running_path": f"{output}_running",
+            "report_text": row["value"] if row else None}
 
 
 def running(scores: DataFrame, order: str = "example", every: int = 10) -> DataFrame:

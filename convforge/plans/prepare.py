@@ -72,11 +72,6 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
     return out
 
 
-def conversation_key() -> F.Column:
-    """Stable key of a raw conversation: file name and index inside it."""
-    return F.concat(F.col("file_name"), F.lit(":"), F.col("object_index").cast("string"))
-
-
 @dataclass
 class PrepareResult:
     stats: dict

@@ -50,6 +50,14 @@ def test_prepare_train_text_evaluate(spark, tmp_dir):
     assert doc["num_val_samples"] == 6 and len(doc["sample_responses"]) == 3
     assert doc["perplexity"] > 1.0
     assert doc["sample_responses"][0]["generated"].startswith("reply:")
+    assert spark.read.parquet(r["running_path"]).count() == 0  # 6 examples: none is a 10th
+
+    r2 = ev.evaluate(spark, f"{out}/train.jsonl", EchoGenerator, train_path=f"{out}/train.jsonl",
+                     num_samples=None, output=os.path.join(tmp_dir, "eval2.json"))
+    run = spark.read.parquet(r2["running_path"]).orderBy("processed").collect()
+    assert [x["processed"] for x in run] == [10, 20, 30, 40]
+    assert run[-1]["running_display"] == f"{run[-1]['running_perplexity']:.2f}"
+    assert spark.read.parquet(r2["report_path"] + "_samples").count() == 48
 
 
 def test_inference_queries(spark):
