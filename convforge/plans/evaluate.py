@@ -82,3 +82,34 @@ def running(scores: DataFrame, order: str = "example", every: int = 10) -> DataF
     """W1 on scores keyed by a contiguous 1-based dataset position."""
     bucket = F.floor((F.col(order) - 1) / F.lit(10_000)).cast("bigint")
     return sc.running_perplexity(scores, order, bucket, every=every)
+
+
+def main(argv=None) -> int:
+    """``python -m convforge.plans.evaluate --generator pkg.mod:factory ...``"""
+    import argparse
+
+    from convforge.plans.cli import load_factory, session
+
+    ap = argparse.ArgumentParser(description="Perplexity and sample review on the validation split")
+    ap.add_argument("--val_path", default="data/val.jsonl")
+    ap.add_argument("--train_path", default="data/train.jsonl",
+                    help="fits the stand-in scorer when no --scorer is given")
+    ap.add_argument("--generator", required=True, help="module:factory of the text generator")
+    ap.add_argument("--scorer", default=None, help="module:factory of the scorer")
+    ap.add_argument("--num_samples", type=int, default=DEFAULT_NUM_SAMPLES)
+    ap.add_argument("--max_tokens", type=int, default=DEFAULT_MAX_TOKENS)
+    ap.add_argument("--output", default=None)
+    a = ap.parse_args(argv)
+    spark = session("convforge-evaluate")
+    r = evaluate(spark, a.val_path, load_factory(a.generator), load_factory(a.scorer),
+                 train_path=a.train_path, num_samples=a.num_samples, max_tokens=a.max_tokens,
+                 output=a.output)
+    ppl = r["perplexity"]
+    print(f"Validation samples: {r['num_val_samples']}")
+    print(f"Validation Perplexity: {ppl:.2f}" if ppl is not None else "Validation Perplexity: n/a")
+    print(f"Results saved to: {r['report_path']}")
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -32,3 +32,41 @@ def answer_one(spark: SparkSession, text: str, generator_factory: Callable, **kw
     """A single query; returns the reply string."""
     out = answer_queries(pr.query_table(spark, text), generator_factory, **kw)
     return out.first()["generated"]
+
+
+def main(argv=None) -> int:
+    """``python -m convforge.plans.inference --generator pkg.mod:factory --query '...'``
+
+    Without ``--query``, answers every line of ``--queries_file`` (or a
+    table with a ``query`` column via ``--queries_table`` + ``--format``)
+    and writes the answers as JSON lines to ``--output``.
+    """
+    import argparse
+
+    from convforge.plans.cli import load_factory, session
+
+    ap = argparse.ArgumentParser(description="Answer user queries with a generator")
+    ap.add_argument("--generator", required=True, help="module:factory of the text generator")
+    ap.add_argument("--query", default=None)
+    ap.add_argument("--queries_file", default=None, help="text file, one query per line")
+    ap.add_argument("--output", default=None)
+    ap.add_argument("--system_prompt", default=None)
+    a = ap.parse_args(argv)
+    spark = session("convforge-inference")
+    factory = load_factory(a.generator)
+    if a.query:
+        print(answer_one(spark, a.query, factory, system_prompt=a.system_prompt))
+        return 0
+    if not a.queries_file or not a.output:
+        ap.error("give --query, or --queries_file with --output")
+    from pyspark.sql import functions as F
+    q = (spark.read.text(a.queries_file)
+         .select(F.monotonically_increasing_id().alias("query_id"), F.col("value").alias("query"))
+         .where(F.length(F.trim("query")) > 0))
+    out = answer_queries(q, factory, system_prompt=a.system_prompt)
+    out.select(F.to_json(F.struct("query", "generated")).alias("value")).write.mode("overwrite").text(a.output)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -120,3 +120,41 @@ def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
                          val=sizes.get(splitting.VAL, 0),
                          audit=spark.read.parquet(f"{output_dir}/audit"),
                          rejects=spark.read.parquet(f"{output_dir}/rejects"))
+
+
+def main(argv=None) -> int:
+    """``python -m convforge.plans.prepare --raw_dir data/raw --output_dir data``"""
+    import argparse
+
+    from convforge.plans.cli import session
+
+    ap = argparse.ArgumentParser(description="Validate raw conversations, report statistics, "
+                                             "write an exact train/validation split")
+    ap.add_argument("--raw_dir", default="data/raw")
+    ap.add_argument("--output_dir", default="data")
+    ap.add_argument("--val_ratio", type=float, default=DEFAULT_VAL_RATIO)
+    ap.add_argument("--seed", type=int, default=DEFAULT_SEED)
+    ap.add_argument("--reader", choices=["auto", "mixed"], default="auto")
+    a = ap.parse_args(argv)
+    spark = session("convforge-prepare")
+    try:
+        res = prepare_data(spark, a.raw_dir, a.output_dir, a.val_ratio, a.seed, a.reader)
+    except FileNotFoundError as e:
+        print(f"Error: {e}")
+        return 1
+    except ValueError as e:
+        print(f"\n{e}")
+        return 1
+    for r in res.audit.orderBy("file_name").collect():
+        print(f"{r['file_name']}: raw objects {r['raw_objects']}, undecodable {r['parse_errors']}, "
+              f"valid conversations {r['valid_conversations']}")
+    stats = spark.createDataFrame([res.stats])
+    print("\nDataset Statistics")
+    for r in st.stats_report(stats).orderBy("position").collect():  # eight rows
+        print(f"  {r['label']}: {r['display']}")
+    print(f"\nDone. Train: {res.train}, Val: {res.val}")
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -56,3 +56,26 @@ def first_text_preview(texts: DataFrame, width: int = 500) -> DataFrame:
     """O5 for formatted text: the first example's first ``width`` characters."""
     return (texts.orderBy("file_name", "line_index").limit(1)
             .select(F.substring("text", 1, width).alias("preview")))
+
+
+def main(argv=None) -> int:
+    """``python -m convforge.plans.training_text --train data/train.jsonl --out texts``"""
+    import argparse
+
+    from convforge.plans.cli import session
+
+    ap = argparse.ArgumentParser(description="Render split files to training text")
+    ap.add_argument("--train", default="data/train.jsonl")
+    ap.add_argument("--val", default="data/val.jsonl")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--max_tokens", type=int, default=DEFAULT_MAX_TOKENS)
+    a = ap.parse_args(argv)
+    spark = session("convforge-training-text")
+    counts = write_training_texts(spark, a.train, a.out, a.val, max_tokens=a.max_tokens)
+    for k, v in counts.items():
+        print(f"{k} samples: {v}")
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -66,3 +66,24 @@ def test_inference_queries(spark):
     assert out[0]["prompt"].startswith("<|im_start|>system\nS<|im_end|>")
     assert out[1]["generated"].endswith("When?<|im_end|>\n<|im_start|>assistant")
     assert inf.answer_one(spark, "hello", EchoGenerator).startswith("reply:")
+
+
+def test_command_line_jobs(tmp_dir, capsys, spark):
+    raw_dir = os.path.join(tmp_dir, "raw")
+    out = os.path.join(tmp_dir, "data")
+    make_raw(raw_dir, n=30)
+    assert prep.main(["--raw_dir", raw_dir, "--output_dir", out]) == 0
+    text = capsys.readouterr().out
+    assert "Multi Turn Conversations: 0" in text and "Conversations: 27" in text
+    assert "Train: 24, Val: 3" in text
+    assert ev.main(["--val_path", f"{out}/val.jsonl", "--train_path", f"{out}/train.jsonl",
+                    "--generator", "convforge.operators.generate:EchoGenerator",
+                    "--output", os.path.join(tmp_dir, "r.json")]) == 0
+    assert "Validation Perplexity:" in capsys.readouterr().out
+    assert inf.main(["--generator", "convforge.operators.generate:EchoGenerator",
+                     "--query", "hello"]) == 0
+    assert capsys.readouterr().out.startswith("reply:")
+    assert tt.main(["--train", f"{out}/train.jsonl", "--val", f"{out}/val.jsonl",
+                    "--out", os.path.join(tmp_dir, "texts")]) == 0
+    assert "train samples: 24" in capsys.readouterr().out
+    assert prep.main(["--raw_dir", os.path.join(tmp_dir, "missing")]) == 1
