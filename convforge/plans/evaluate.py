@@ -35,20 +35,25 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
              scorer_factory: Callable | None = None, train_path: str | None = None,
              num_samples: int | None = DEFAULT_NUM_SAMPLES, max_samples: int | None = None,
              template: ChatTemplate = CHATML, max_tokens: int = DEFAULT_MAX_TOKENS,
-             output: str | None = None, output_dir: str = "outputs") -> dict:
+             output: str | None = None, output_dir: str = "outputs",
+             tokenizer_factory: Callable | None = None) -> dict:
     """Run the evaluation; returns perplexity, sample count and report path.
 
     ``scorer_factory`` scores with a user model; without it the unigram
     stand-in is fitted on ``train_path``.  ``max_samples`` limits perplexity
-    to the first examples (O2), ``num_samples`` the review (O3).
+    to the first examples (O2), ``num_samples`` the review (O3).  Texts are
+    cut to ``max_tokens`` real tokens with ``tokenizer_factory`` (e.g.
+    ``render.TokenizerFile``), else by the 3-characters-a-token estimate.
     """
     val = pr.read_processed(spark, val_path)
     if val is None:
         raise FileNotFoundError(f"{val_path} not found; run the preparation first")
     val = with_dataset_order(val)
     scored_src = val if max_samples is None else val.where(F.col("example") <= max_samples)
-    texts = rd.truncate_by_estimate(rd.chat_text(scored_src, ["example"], template),
-                                    max_tokens=max_tokens)
+    rendered = rd.chat_text(scored_src, ["example"], template)
+    texts = (rd.truncate_exact(rendered, tokenizer_factory, max_tokens=max_tokens)
+             if tokenizer_factory is not None
+             else rd.truncate_by_estimate(rendered, max_tokens=max_tokens))
     if scorer_factory is not None:
         scores = sc.score_with(texts, scorer_factory, ["example"])
     else:
@@ -99,11 +104,13 @@ def main(argv=None) -> int:
     ap.add_argument("--num_samples", type=int, default=DEFAULT_NUM_SAMPLES)
     ap.add_argument("--max_tokens", type=int, default=DEFAULT_MAX_TOKENS)
     ap.add_argument("--output", default=None)
+    ap.add_argument("--tokenizer", default=None, help="tokenizer.json for exact truncation")
     a = ap.parse_args(argv)
     spark = session("convforge-evaluate")
     r = evaluate(spark, a.val_path, load_factory(a.generator), load_factory(a.scorer),
                  train_path=a.train_path, num_samples=a.num_samples, max_tokens=a.max_tokens,
-                 output=a.output)
+                 output=a.output,
+                 tokenizer_factory=rd.TokenizerFile(a.tokenizer) if a.tokenizer else None)
     ppl = r["perplexity"]
     print(f"Validation samples: {r['num_val_samples']}")
     print(f"Validation Perplexity: {ppl:.2f}" if ppl is not None else "Validation Perplexity: n/a")

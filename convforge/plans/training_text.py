@@ -69,9 +69,13 @@ def main(argv=None) -> int:
     ap.add_argument("--val", default="data/val.jsonl")
     ap.add_argument("--out", required=True)
     ap.add_argument("--max_tokens", type=int, default=DEFAULT_MAX_TOKENS)
+    ap.add_argument("--tokenizer", default=None,
+                    help="tokenizer.json for exact token budgets (default: 3 characters a token)")
     a = ap.parse_args(argv)
     spark = session("convforge-training-text")
-    counts = write_training_texts(spark, a.train, a.out, a.val, max_tokens=a.max_tokens)
+    factory = rd.TokenizerFile(a.tokenizer) if a.tokenizer else None
+    counts = write_training_texts(spark, a.train, a.out, a.val, max_tokens=a.max_tokens,
+                                  tokenizer_factory=factory)
     for k, v in counts.items():
         print(f"{k} samples: {v}")
     return 0
