@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convforge.functions.text import is_blank
 from convforge.operators import split as splitting
 from convforge.operators import stats as st
 from convforge.operators import validate as va
@@ -27,16 +28,19 @@ from convforge.schemas import DEFAULT_SEED, DEFAULT_VAL_RATIO
 from convforge.sources import processed as pr
 from convforge.sources import raw
 
-VALIDATED_COLUMNS = ["file_path", "file_name", "object_index", "value", "reason",
+VALIDATED_COLUMNS = ["file_path", "file_name", "object_index", "line_no", "value", "reason",
                      "bad_index", "messages", "errors_before"]
 
 
 def validate_jsonl_lines(lines: DataFrame) -> DataFrame:
-    """Validate JSONL lines, then number decodable values within each file."""
+    """Validate JSONL lines (blank ones included), number decodable values
+    within each file and give every line its 1-based physical line number,
+    then drop the blank lines."""
     v = va.validate_values(lines)
     v = raw.number_within_file(v, counted=F.col("reason").isNull()
-                               | (F.col("reason") != va.PARSE_ERROR))
-    return v.withColumn("errors_before", F.lit(0)).select(*VALIDATED_COLUMNS)
+                               | (F.col("reason") != va.PARSE_ERROR), line_col="line_no")
+    return (v.where(~is_blank(F.col("value")))
+            .withColumn("errors_before", F.lit(0)).select(*VALIDATED_COLUMNS))
 
 
 def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
@@ -44,8 +48,9 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
            recursive: bool = False, split_json_files: bool = True) -> DataFrame:
     """Validated RAW rows of every raw file under ``raw_dir``.
 
-    Columns: file_path, file_name, object_index, value, reason, bad_index,
-    messages, errors_before.  ``reason`` is NULL for accepted rows.
+    Columns: file_path, file_name, object_index, line_no (JSONL only, the
+    reference's warning line), value, reason, bad_index, messages,
+    errors_before.  ``reason`` is NULL for accepted rows.
     ``split_json_files`` decodes concatenated files larger than one input
     split chunk-parallel (``read_mixed_json_auto``); False reads every file
     in one task.
@@ -56,7 +61,7 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
     if reader == "auto":
         if jsonl_glob:
             parts.append(validate_jsonl_lines(
-                raw.read_jsonl_lines(spark, raw_dir, jsonl_glob, recursive)))
+                raw.read_jsonl_lines(spark, raw_dir, jsonl_glob, recursive, keep_blank=True)))
         mixed_globs = [json_glob]
     elif reader == "mixed":
         mixed_globs = [jsonl_glob, json_glob]
@@ -65,7 +70,8 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
     for g in [g for g in mixed_globs if g]:
         read = raw.read_mixed_json_auto if split_json_files else raw.read_mixed_json
         vals = read(spark, raw_dir, g, recursive).where(F.col("value").isNotNull())
-        parts.append(va.validate_values(vals).select(*VALIDATED_COLUMNS))
+        parts.append(va.validate_values(vals)
+                     .withColumn("line_no", F.lit(None).cast("bigint")).select(*VALIDATED_COLUMNS))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -100,7 +106,7 @@ def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
 
     audit = st.file_audit(validated)
     audit.write.mode("overwrite").parquet(f"{output_dir}/audit")
-    rejects = va.rejected(validated, ["file_name", "object_index"])
+    rejects = va.rejected(validated, ["file_name", "object_index", "line_no"])
     rejects.write.mode("overwrite").parquet(f"{output_dir}/rejects")
 
     conv = va.accepted(validated, ["file_name", "object_index"])

@@ -42,7 +42,7 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 def number_within_file(df: DataFrame, file_col: str = "file_name", block_col: str = "_blk",
                        seq_col: str = "_seq", out: str = "object_index",
-                       counted=None) -> DataFrame:
+                       counted=None, line_col: str | None = None) -> DataFrame:
     """0-based position of each row inside its file, in file order.
 
     ``(file, block start, sequence id)`` orders the rows of a file: blocks
@@ -50,30 +50,38 @@ def number_within_file(df: DataFrame, file_col: str = "file_name", block_col: st
     sorts one split at a time and the per-block totals (one row per split)
     give each split's offset inside its file.  With ``counted`` (a boolean
     column) only those rows are numbered and only they advance the count;
-    the others get NULL.
+    the others get NULL.  ``line_col`` also adds the 1-based number of the
+    row among all rows (the physical line number when blank lines are
+    kept), from the same window.
     """
     w = F.lit(1) if counted is None else F.when(counted, F.lit(1)).otherwise(F.lit(0))
     within = (Window.partitionBy(file_col, block_col).orderBy(seq_col)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = df.withColumn("_w", w).withColumn("_r", F.sum("_w").over(within))
-    per_block = ranked.groupBy(file_col, block_col).agg(F.sum("_w").alias("_c"))
+    ranked = (df.withColumn("_w", w).withColumn("_r", F.sum("_w").over(within))
+              .withColumn("_all", F.count(F.lit(1)).over(within)))
+    per_block = ranked.groupBy(file_col, block_col).agg(F.sum("_w").alias("_c"),
+                                                        F.count(F.lit(1)).alias("_n"))
     before = (Window.partitionBy(file_col).orderBy(block_col)
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = per_block.select(file_col, block_col,
-                               F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+                               F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+                               F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_all"))
     idx = (F.col("_off") + F.col("_r") - 1).cast("int")
-    return (ranked.join(offsets, [file_col, block_col])
-            .withColumn(out, F.when(F.col("_w") == 1, idx))
-            .drop("_w", "_r", "_off"))
+    out_df = (ranked.join(offsets, [file_col, block_col])
+              .withColumn(out, F.when(F.col("_w") == 1, idx)))
+    if line_col:
+        out_df = out_df.withColumn(line_col, (F.col("_off_all") + F.col("_all")).cast("bigint"))
+    return out_df.drop("_w", "_r", "_all", "_off", "_off_all")
 
 
 def read_jsonl_lines(spark: SparkSession, path: str, glob: str = "*.jsonl",
-                     recursive: bool = False) -> DataFrame:
-    """Non-blank lines of JSONL files with their file-order keys.
+                     recursive: bool = False, keep_blank: bool = False) -> DataFrame:
+    """Lines of JSONL files with their file-order keys.
 
     Columns: file_path, file_name, _blk (input split start), _seq (grows within a
     split), value.  Number them with ``number_within_file`` after
-    validation, counting only decodable values.
+    validation, counting only decodable values.  Blank lines are dropped
+    unless ``keep_blank`` (to count physical line numbers first).
     """
     lines = (spark.read.option("pathGlobFilter", glob)
              .option("recursiveFileLookup", str(recursive).lower())
@@ -83,7 +91,7 @@ def read_jsonl_lines(spark: SparkSession, path: str, glob: str = "*.jsonl",
                      F.col("_metadata.file_block_start").alias("_blk"),
                      F.monotonically_increasing_id().alias("_seq"),
                      "value"))
-    return lines.where(~is_blank(F.col("value")))
+    return lines if keep_blank else lines.where(~is_blank(F.col("value")))
 
 
 def read_jsonl(spark: SparkSession, path: str, glob: str = "*.jsonl",

@@ -15,20 +15,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convforge.functions.text import is_blank
 from convforge.operators import validate as va
-from convforge.sources import raw
+from convforge.plans.prepare import validate_jsonl_lines
 
 
 def _batch_writer(output_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         # The batch is a static DataFrame: sequence ids are allowed here.
-        lines = (batch.withColumn("_seq", F.monotonically_increasing_id())
-                 .where(~is_blank(F.col("value"))))
-        v = va.validate_values(lines)
-        v = raw.number_within_file(v, counted=F.col("reason").isNull()
-                                   | (F.col("reason") != va.PARSE_ERROR))
-        v = v.select("file_name", "object_index", "value", "reason", "bad_index", "messages")
+        # Files are never split across batches, so numbering matches the
+        # batch job (same rules, same function).
+        lines = batch.withColumn("_seq", F.monotonically_increasing_id())
+        v = validate_jsonl_lines(lines)
+        v = v.select("file_name", "object_index", "line_no", "value", "reason", "bad_index",
+                     "messages")
         v.write.mode("overwrite").parquet(f"{output_dir}/validated/batch_id={batch_id}")
     return write
 

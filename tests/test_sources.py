@@ -26,10 +26,12 @@ def test_c2_jsonl_blank_lines_and_numbering(spark, tmp_dir):
           "\n".join([conv_json("u0", "a0"), "", "   ", "{broken", conv_json("u1", "a1"),
                      '{"x": 1}', conv_json("u2", "a2")]) + "\n")
     v = prep.ingest(spark, tmp_dir, json_glob=None)
-    rows = sorted((r["object_index"] if r["object_index"] is not None else -1, r["reason"])
+    rows = sorted((r["object_index"] if r["object_index"] is not None else -1, r["reason"], r["line_no"])
                   for r in v.collect())
-    # blanks are not values; the broken line is reported but not numbered
-    assert rows == [(-1, "parse_error"), (0, None), (1, None), (2, "no_messages_key"), (3, None)]
+    # blanks are not values; the broken line is reported (with its physical
+    # line number, as the reference warns) but not numbered as a value
+    assert rows == [(-1, "parse_error", 4), (0, None, 1), (1, None, 5),
+                    (2, "no_messages_key", 6), (3, None, 7)]
 
 
 def test_jsonl_numbering_across_splits(spark, tmp_dir):
