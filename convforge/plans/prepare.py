@@ -37,8 +37,10 @@ def validate_jsonl_lines(lines: DataFrame) -> DataFrame:
     within each file and give every line its 1-based physical line number,
     then drop the blank lines."""
     v = va.validate_values(lines)
-    v = raw.number_within_file(v, counted=F.col("reason").isNull()
-                               | (F.col("reason") != va.PARSE_ERROR), line_col="line_no")
+    # Numbered per full path: base names can repeat across folders.
+    v = raw.number_within_file(v, file_col="file_path",
+                               counted=F.col("reason").isNull() | (F.col("reason") != va.PARSE_ERROR),
+                               line_col="line_no")
     return (v.where(~is_blank(F.col("value")))
             .withColumn("errors_before", F.lit(0)).select(*VALIDATED_COLUMNS))
 
@@ -104,18 +106,21 @@ def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
      .write.mode("overwrite").parquet(work))
     validated = spark.read.parquet(work)
 
-    audit = st.file_audit(validated)
+    # A flat folder (the reference's layout) identifies a file by its name;
+    # a recursive listing needs the full path, since names can repeat.
+    file_key = "file_path" if recursive else "file_name"
+    audit = st.file_audit(validated, by=file_key)
     audit.write.mode("overwrite").parquet(f"{output_dir}/audit")
-    rejects = va.rejected(validated, ["file_name", "object_index", "line_no"])
+    rejects = va.rejected(validated, ["file_path", "file_name", "object_index", "line_no"])
     rejects.write.mode("overwrite").parquet(f"{output_dir}/rejects")
 
-    conv = va.accepted(validated, ["file_name", "object_index"])
+    conv = va.accepted(validated, [file_key, "object_index"])
     if conv.isEmpty():  # P14
         raise ValueError("no valid conversations found")
-    stats_row = st.corpus_stats(va.profile_conversations(conv, ["file_name", "object_index"])).first()
+    stats_row = st.corpus_stats(va.profile_conversations(conv, [file_key, "object_index"])).first()
 
     # The split is materialised too: three consumers, one ranking.
-    (splitting.assign_split(conv, ["file_name", "object_index"], val_ratio=val_ratio, seed=seed)
+    (splitting.assign_split(conv, [file_key, "object_index"], val_ratio=val_ratio, seed=seed)
      .write.mode("overwrite").parquet(f"{work}_split"))
     labelled = spark.read.parquet(f"{work}_split")
     for name, label in (("train.jsonl", splitting.TRAIN), ("val.jsonl", splitting.VAL)):

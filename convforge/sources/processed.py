@@ -46,10 +46,11 @@ def read_processed(spark: SparkSession, path: str, with_order: bool = True) -> D
     df = spark.read.schema(CONV_FILE).json(path)
     if not with_order:
         return df
-    df = df.select(F.col("_metadata.file_name").alias("file_name"),
+    df = df.select(F.col("_metadata.file_path").alias("file_path"),
+                   F.col("_metadata.file_name").alias("file_name"),
                    F.col("_metadata.file_block_start").alias("_blk"),
                    F.monotonically_increasing_id().alias("_seq"), "messages")
-    return (number_within_file(df, out="line_index")
+    return (number_within_file(df, file_col="file_path", out="line_index")
             .select("file_name", "line_index", "messages"))
 
 

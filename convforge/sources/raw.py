@@ -99,7 +99,8 @@ def read_jsonl(spark: SparkSession, path: str, glob: str = "*.jsonl",
     """S1 as RAW rows: decodable values numbered within their file, lines
     that do not decode kept with NULL ``object_index``."""
     lines = read_jsonl_lines(spark, path, glob, recursive)
-    numbered = number_within_file(lines, counted=strict_parse(F.col("value")).isNotNull())
+    numbered = number_within_file(lines, file_col="file_path",
+                                  counted=strict_parse(F.col("value")).isNotNull())
     return numbered.select(*RAW_COLUMNS)
 
 

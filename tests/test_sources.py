@@ -169,3 +169,16 @@ def test_scan_raw_dir_modes(spark, tmp_dir):
         == [("a.jsonl", 0), ("b.json", 0), ("b.json", 1)]
     mixed = raw.scan_raw_dir(spark, tmp_dir, reader="mixed")
     assert mixed.where(F.col("file_name") == "a.jsonl").count() == 1
+
+
+def test_same_file_name_in_two_folders(spark, tmp_dir):
+    for sub, words in (("a", ["x0", "x1"]), ("b", ["y0", "y1", "y2"])):
+        os.makedirs(os.path.join(tmp_dir, sub))
+        write(os.path.join(tmp_dir, sub, "part.jsonl"),
+              "\n".join(conv_json(w, "r") for w in words) + "\n")
+    v = prep.ingest(spark, tmp_dir, json_glob=None, recursive=True).collect()
+    got = sorted((r["file_path"].rsplit("/", 2)[-2], r["object_index"]) for r in v)
+    assert got == [("a", 0), ("a", 1), ("b", 0), ("b", 1), ("b", 2)]
+    out = os.path.join(tmp_dir, "out")
+    res = prep.prepare_data(spark, tmp_dir, out, val_ratio=0.4, recursive=True, json_glob=None)
+    assert (res.train, res.val) == (3, 2) and res.stats["conversations"] == 5
