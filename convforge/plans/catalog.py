@@ -20,7 +20,7 @@ from convforge.operators import render as rd
 from convforge.operators import replay as rp
 from convforge.operators import review as rv
 from convforge.operators import score as sc
-from convforge.operators.ordering import md5_bucket, ranked_running
+from convforge.operators.ordering import md5_bucket
 from convforge.operators import split as splitting
 from convforge.operators import stats as st
 from convforge.operators import validate as va
@@ -361,7 +361,7 @@ def _write_injected_jsonl(spark, sf_dir, name: str) -> str:
 def ingested_groups(spark, sf_dir) -> DataFrame:
     path = _write_injected_jsonl(spark, sf_dir, "jsonl-files")
     v = prep.ingest(spark, path, jsonl_glob="*.txt", json_glob=None, recursive=True)
-    return v.withColumn("file_group", F.regexp_extract("file_path", r"grp=(\d+)", 1).cast("bigint"))
+    return v.withColumn("file_group", F.regexp_extract("file_path", r"grp=(\d+)", 1).try_cast("bigint"))
 
 
 @register("file_audit", f"""
@@ -426,9 +426,7 @@ def q_jsonl_roundtrip(spark, sf_dir):
     s = nested_split(spark, sf_dir)
     pr.write_jsonl(s.where(F.col("split") == splitting.TRAIN), path, order="split_rank")
     back = pr.read_processed(spark, path)
-    part = F.regexp_extract("file_name", r"part-(\d+)", 1).cast("int")
-    ranked = ranked_running(back, part, ["file_name", "line_index"], rank_col="position",
-                            n_buckets=100_000)
+    ranked = pr.dataset_order(back, "position")
     prof = va.profile_conversations(ranked, ["position"])
     texts = rd.chat_text(ranked, ["position"])
     return (prof.join(texts, "position")
@@ -517,7 +515,7 @@ def q_curated_chats(spark, sf_dir):
             .select(F.col("_metadata.file_name").alias("file_name"), "value"))
     parsed = cur.parse_curated(docs)
     return parsed.select(
-        F.regexp_extract("title", r"(\d+)", 1).cast("bigint").alias("conv_id"),
+        F.regexp_extract("title", r"(\d+)", 1).try_cast("bigint").alias("conv_id"),
         F.col("messages")[0]["content"].alias("user_text"),
         F.col("messages")[1]["content"].alias("assistant_text"))
 

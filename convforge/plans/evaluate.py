@@ -18,7 +18,6 @@ from convforge.functions.text import timestamp_suffix, two_decimals
 from convforge.operators import render as rd
 from convforge.operators import review as rv
 from convforge.operators import score as sc
-from convforge.operators.ordering import ranked_running
 from convforge.schemas import DEFAULT_MAX_TOKENS, DEFAULT_NUM_SAMPLES
 from convforge.session import materialize
 from convforge.sources import processed as pr
@@ -26,9 +25,7 @@ from convforge.sources import processed as pr
 
 def with_dataset_order(split: DataFrame, order: str = "example") -> DataFrame:
     """Add a 1-based dataset position from (part file, line) order."""
-    part = F.regexp_extract("file_name", r"part-(\d+)", 1).cast("int")
-    return ranked_running(split, part, ["file_name", "line_index"], rank_col=order,
-                          n_buckets=100_000)
+    return pr.dataset_order(split, order)
 
 
 def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,

@@ -54,6 +54,19 @@ def read_processed(spark: SparkSession, path: str, with_order: bool = True) -> D
             .select("file_name", "line_index", "messages"))
 
 
+def dataset_order(split: DataFrame, out: str = "example") -> DataFrame:
+    """Add a 1-based dataset position from (file, line) order.
+
+    Part files written by Spark are numbered in write order; a plain single
+    file (as another tool would write it) is one bucket.  Each file is one
+    bucket of the two-level rank, so no task sorts more than one file.
+    """
+    from convforge.operators.ordering import ranked_running
+    part = F.coalesce(F.regexp_extract("file_name", r"part-(\d+)", 1).try_cast("int"), F.lit(0))
+    return ranked_running(split, part, ["file_name", "line_index"], rank_col=out,
+                          n_buckets=100_000)
+
+
 def query_table(spark: SparkSession, queries, column: str = "query") -> DataFrame:
     """A literal list of queries (or one query) as a table."""
     if isinstance(queries, str):

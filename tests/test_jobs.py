@@ -60,6 +60,23 @@ def test_prepare_train_text_evaluate(spark, tmp_dir):
     assert spark.read.parquet(r2["report_path"] + "_samples").count() == 48
 
 
+def test_evaluate_plain_single_file(spark, tmp_dir):
+    # a split file as a plain JSONL file, the reference's own format
+    path = os.path.join(tmp_dir, "val.jsonl")
+    with open(path, "w", encoding="utf-8") as f:
+        for i in range(23):
+            f.write(json.dumps({"messages": [{"role": "user", "content": f"q {i}"},
+                                             {"role": "assistant", "content": f"a {i}"}]},
+                               ensure_ascii=False) + "\n")
+    r = ev.evaluate(spark, path, EchoGenerator, train_path=path, num_samples=2,
+                    output=os.path.join(tmp_dir, "r.json"))
+    assert r["num_val_samples"] == 23
+    run = spark.read.parquet(r["running_path"]).orderBy("processed").collect()
+    assert [x["processed"] for x in run] == [10, 20]
+    order = pr.dataset_order(pr.read_processed(spark, path)).orderBy("example").collect()
+    assert [x["messages"][0]["content"] for x in order] == [f"q {i}" for i in range(23)]
+
+
 def test_inference_queries(spark):
     q = pr.query_table(spark, ["Mera naam?", "When?"])
     out = {r["query_id"]: r for r in inf.answer_queries(q, EchoGenerator, system_prompt="S").collect()}
