@@ -22,6 +22,9 @@ CORE_CONF = {
     # Checkpoint files of materialised intermediates are removed once the
     # checkpointed data is no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Long-lived sessions: let the cleaner find unreferenced shuffle,
+    # broadcast and checkpoint data every few minutes (default 30).
+    "spark.cleaner.periodicGC.interval": "5min",
 }
 
 
