@@ -26,6 +26,10 @@ from convforge.schemas import MIN_MESSAGES, ROLES
 
 # Reject reasons, in rule order.
 PARSE_ERROR = "parse_error"
+# A value beyond Spark's VARIANT size limit cannot be decoded as VARIANT; it
+# is reported with its own reason rather than as malformed JSON.
+VALUE_TOO_LARGE = "value_too_large"
+VARIANT_LIMIT_BYTES = 16 * 1024 * 1024
 NO_MESSAGES_KEY = "no_messages_key"
 NOT_LIST_OR_SHORT = "messages_not_list_or_short"
 NOT_OBJECT = "message_not_object"
@@ -35,7 +39,7 @@ CONTENT_NOT_STRING = "content_not_string"
 BLANK_CONTENT = "blank_content"
 MISSING_USER_OR_ASSISTANT = "missing_user_or_assistant"
 
-REASONS = (PARSE_ERROR, NO_MESSAGES_KEY, NOT_LIST_OR_SHORT, NOT_OBJECT,
+REASONS = (PARSE_ERROR, VALUE_TOO_LARGE, NO_MESSAGES_KEY, NOT_LIST_OR_SHORT, NOT_OBJECT,
            MISSING_ROLE_OR_CONTENT, BAD_ROLE, CONTENT_NOT_STRING,
            BLANK_CONTENT, MISSING_USER_OR_ASSISTANT)
 
@@ -94,7 +98,9 @@ def validate_values(raw: DataFrame, value: str = "value") -> DataFrame:
               py_strip(F.try_variant_get(o["content"], "$", "string")).alias("content")))))
     has_user = F.exists("_norm", lambda m: m["role"] == "user")
     has_asst = F.exists("_norm", lambda m: m["role"] == "assistant")
-    reason = (F.when(F.col("_v").isNull(), F.lit(PARSE_ERROR))
+    too_large = F.octet_length(F.col(value)) >= F.lit(VARIANT_LIMIT_BYTES)
+    reason = (F.when(F.col("_v").isNull() & too_large, F.lit(VALUE_TOO_LARGE))
+              .when(F.col("_v").isNull(), F.lit(PARSE_ERROR))
               .when(F.col("_obj").isNull() | ~F.map_contains_key("_obj", "messages"),
                     F.lit(NO_MESSAGES_KEY))
               .when(F.col("_msgs").isNull() | (F.size("_msgs") < MIN_MESSAGES),

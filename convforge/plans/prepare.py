@@ -39,7 +39,8 @@ def validate_jsonl_lines(lines: DataFrame) -> DataFrame:
     v = va.validate_values(lines)
     # Numbered per full path: base names can repeat across folders.
     v = raw.number_within_file(v, file_col="file_path",
-                               counted=F.col("reason").isNull() | (F.col("reason") != va.PARSE_ERROR),
+                               counted=F.col("reason").isNull()
+                               | ~F.col("reason").isin(va.PARSE_ERROR, va.VALUE_TOO_LARGE),
                                line_col="line_no")
     return (v.where(~is_blank(F.col("value")))
             .withColumn("errors_before", F.lit(0)).select(*VALIDATED_COLUMNS))

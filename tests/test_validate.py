@@ -121,3 +121,8 @@ def test_strict_parse_matches_python(spark):
         except ValueError:
             return False
     assert got == [py_ok(s) for s in samples]
+
+
+def test_oversized_value_has_its_own_reason(spark):
+    big = ok_conv(("user", "x" * (40 * 1024 * 1024)), ("assistant", "y"))
+    assert [o[0] for o in outcomes(spark, [big, "{bad"])] == ["value_too_large", "parse_error"]
