@@ -138,17 +138,28 @@ def eval_prompts(conv: DataFrame, keys, template: ChatTemplate = CHATML,
 
 
 def first_user_expected_long(turns: DataFrame, key: str = "conv_id", order: str = "turn",
-                             role: str = "role", content: str = "content") -> DataFrame:
+                             role: str = "role", text: str = "text",
+                             valid_only: bool = False) -> DataFrame:
     """Long-table form of T6/T7 extraction with algebraic aggregates.
 
     (key, user_turn, user_query, expected): the first user message, its turn,
-    and the first assistant message anywhere.  ``min`` of a (turn, content)
-    struct combines map-side, so a huge conversation is not gathered.
+    and the first assistant message anywhere, contents stripped.  ``min`` of
+    a (turn, content) struct combines map-side, so a huge conversation is not
+    gathered.  ``valid_only`` evaluates the validation rules in the same
+    grouping and keeps valid conversations only (one scan, no join).
     """
+    from convforge.functions.text import py_strip
+    from convforge.operators.validate import profile_aggregates, profile_outcome
+
     def first(r):
         return F.min(F.when(F.col(role) == r, F.struct(F.col(order).alias("t"),
-                                                        F.col(content).alias("c"))))
-    agg = turns.groupBy(key).agg(first("user").alias("_u"), first("assistant").alias("_a"))
+                                                        py_strip(F.col(text)).alias("c"))))
+    aggs = [first("user").alias("_u"), first("assistant").alias("_a")]
+    if valid_only:
+        aggs += profile_aggregates(order, role, text)
+    agg = turns.groupBy(key).agg(*aggs)
+    if valid_only:
+        agg = profile_outcome(agg).where(F.col("reason").isNull())
     return (agg.select(key, F.col("_u.t").alias("user_turn"), F.col("_u.c").alias("user_query"),
                        F.col("_a.c").alias("expected"))
             .where(F.col("user_query").isNotNull() & (F.col("user_query") != "")))

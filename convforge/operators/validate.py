@@ -194,28 +194,27 @@ _MSG_REASONS = (BAD_ROLE, CONTENT_NOT_STRING, BLANK_CONTENT)
 _CODE_BITS = 4
 
 
-def profile_turns(turns: DataFrame, key: str = "conv_id", order: str = "turn",
-                  role: str = "role", text: str = "text") -> DataFrame:
-    """One row per conversation: sizes of the normalised messages plus the
-    validation outcome (``reason`` NULL when valid, ``bad_turn`` of the first
-    bad message).
-
-    Only fixed-width algebraic aggregates are used, so Spark runs a hash
-    aggregate with map-side partial results: the shuffle carries one small
-    row per conversation and partition, never message text.
-    """
+def profile_aggregates(order: str = "turn", role: str = "role", text: str = "text") -> list:
+    """The per-conversation aggregate expressions of ``profile_turns``, for
+    callers that add their own aggregates to the same grouping."""
     r = message_reason_long(role, text)
     code = F.lit(None).cast("bigint")
     for i, name in enumerate(_MSG_REASONS):
         code = F.when(r == name, F.lit(i)).otherwise(code) if i else F.when(r == name, F.lit(i))
     packed = F.shiftleft(F.col(order).cast("bigint"), _CODE_BITS) + code
-    prof = turns.groupBy(key).agg(
+    return [
         F.count(F.lit(1)).alias("n_messages"),
         F.count_if(F.col(role) == "system").alias("n_system"),
         F.count_if(F.col(role) == "user").alias("n_user"),
         F.count_if(F.col(role) == "assistant").alias("n_assistant"),
         F.coalesce(F.sum(F.length(py_strip(F.col(text)))), F.lit(0)).cast("bigint").alias("n_chars"),
-        F.min(packed).alias("_bad"))
+        F.min(packed).alias("_bad"),
+    ]
+
+
+def profile_outcome(prof: DataFrame) -> DataFrame:
+    """Turn the aggregates of ``profile_aggregates`` into ``reason`` and
+    ``bad_turn``."""
     bad_reason = F.element_at(F.array(*[F.lit(x) for x in _MSG_REASONS]),
                               (F.col("_bad") % (1 << _CODE_BITS)).cast("int") + 1)
     reason = (F.when(F.col("n_messages") < MIN_MESSAGES, F.lit(NOT_LIST_OR_SHORT))
@@ -228,6 +227,19 @@ def profile_turns(turns: DataFrame, key: str = "conv_id", order: str = "turn",
             .drop("_bad"))
 
 
+def profile_turns(turns: DataFrame, key: str = "conv_id", order: str = "turn",
+                  role: str = "role", text: str = "text") -> DataFrame:
+    """One row per conversation: sizes of the normalised messages plus the
+    validation outcome (``reason`` NULL when valid, ``bad_turn`` of the first
+    bad message).
+
+    Only fixed-width algebraic aggregates are used, so Spark runs a hash
+    aggregate with map-side partial results: the shuffle carries one small
+    row per conversation and partition, never message text.
+    """
+    return profile_outcome(turns.groupBy(key).agg(*profile_aggregates(order, role, text)))
+
+
 def normalize_turns(turns: DataFrame, text: str = "text") -> DataFrame:
     """Long form with stripped content (P9); other columns unchanged."""
     return turns.withColumn("content", py_strip(F.col(text))).drop(text)

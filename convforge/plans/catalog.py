@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convforge.functions.template import CHATML
 from convforge.functions.text import is_blank, preview, py_strip
 from convforge.operators import conversations as conv
 from convforge.operators import generate as gen
@@ -229,9 +230,8 @@ SELECT conv_id,
 FROM vm GROUP BY conv_id""")
 def q_first_user_expected(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
-    valid_ids = valid_profile(spark, sf_dir).select("conv_id")
-    norm = va.normalize_turns(turns).join(valid_ids, "conv_id", "left_semi")
-    return rd.first_user_expected_long(norm).select("conv_id", "user_query", "expected")
+    return rd.first_user_expected_long(turns, valid_only=True).select(
+        "conv_id", "user_query", "expected")
 
 
 @register("message_preview", f"""
@@ -427,10 +427,10 @@ def q_jsonl_roundtrip(spark, sf_dir):
     pr.write_jsonl(s.where(F.col("split") == splitting.TRAIN), path, order="split_rank")
     back = pr.read_processed(spark, path)
     ranked = pr.dataset_order(back, "position")
-    prof = va.profile_conversations(ranked, ["position"])
-    texts = rd.chat_text(ranked, ["position"])
-    return (prof.join(texts, "position")
-            .select("position", "n_messages", "n_chars", F.md5("text").alias("text_md5")))
+    # Both summaries are row-local: one projection, no self-join.
+    with_text = ranked.withColumn("text_md5", F.md5(CHATML.render(F.col("messages"))))
+    return va.profile_conversations(with_text, ["position", "text_md5"]).select(
+        "position", "n_messages", "n_chars", "text_md5")
 
 
 # ---------------------------------------------------------------------------
@@ -503,8 +503,7 @@ FROM vm GROUP BY conv_id""")
 def q_curated_chats(spark, sf_dir):
     path = scratch_path(spark, "curated-md")
     turns = table(spark, sf_dir, "conversations")
-    valid_ids = valid_profile(spark, sf_dir).select("conv_id")
-    firsts = rd.first_user_expected_long(va.normalize_turns(turns).join(valid_ids, "conv_id", "left_semi"))
+    firsts = rd.first_user_expected_long(turns, valid_only=True)
     block = F.concat(F.lit("### Conversation "), F.col("conv_id").cast("string"), F.lit("\n"),
                      F.lit("**User:** "), F.col("user_query"), F.lit("\n\n"),
                      F.lit("**Assistant:** "), F.col("expected"), F.lit("\n\n---"))
