@@ -75,6 +75,8 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
         vals = read(spark, raw_dir, g, recursive).where(F.col("value").isNotNull())
         parts.append(va.validate_values(vals)
                      .withColumn("line_no", F.lit(None).cast("bigint")).select(*VALIDATED_COLUMNS))
+    if not parts:
+        raise ValueError("no file pattern given: set jsonl_glob and/or json_glob")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
