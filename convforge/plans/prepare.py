@@ -159,9 +159,14 @@ def main(argv=None) -> int:
     except ValueError as e:
         print(f"\n{e}")
         return 1
-    for r in res.audit.orderBy("file_name").collect():
+    for r in res.audit.orderBy("file_name").collect():  # one row per file
         print(f"{r['file_name']}: raw objects {r['raw_objects']}, undecodable {r['parse_errors']}, "
               f"valid conversations {r['valid_conversations']}")
+    # Rejects by file and reason (at most files x reasons rows); every
+    # rejected object with its index and line is in <output_dir>/rejects.
+    for r in (st.reject_counts(res.rejects, by=("file_name",))
+              .orderBy("file_name", "reason").collect()):
+        print(f"  {r['file_name']}: skipped {r['n']} ({r['reason']})")
     stats = spark.createDataFrame([res.stats])
     print("\nDataset Statistics")
     for r in st.stats_report(stats).orderBy("position").collect():  # eight rows

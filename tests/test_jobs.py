@@ -93,6 +93,7 @@ def test_command_line_jobs(tmp_dir, capsys, spark):
     text = capsys.readouterr().out
     assert "Multi Turn Conversations: 0" in text and "Conversations: 27" in text
     assert "Train: 24, Val: 3" in text
+    assert "a.jsonl: skipped 2 (bad_role)" in text
     assert ev.main(["--val_path", f"{out}/val.jsonl", "--train_path", f"{out}/train.jsonl",
                     "--generator", "convforge.operators.generate:EchoGenerator",
                     "--output", os.path.join(tmp_dir, "r.json")]) == 0
