@@ -17,15 +17,28 @@ from pyspark.sql import DataFrame
 from convforge.schemas import DEFAULT_GENERATION
 
 
+def micro_batches(items: list, size: int | None):
+    """Consecutive slices of at most ``size`` items (all at once if None)."""
+    if not size:
+        yield items
+        return
+    for i in range(0, len(items), size):
+        yield items[i:i + size]
+
+
 def batch_generate(prompts: DataFrame, generator_factory: Callable, keys,
                    prompt: str = "prompt", out: str = "generated",
-                   params: dict | None = None) -> DataFrame:
+                   params: dict | None = None, batch_size: int | None = None,
+                   num_partitions: int | None = None) -> DataFrame:
     """(keys..., generated) for every prompt row.
 
     ``keys`` are carried through unchanged (any columns, not only ids).
 
     ``generator_factory()`` must return a callable
-    ``gen(list_of_prompts, **params) -> list_of_strings``.
+    ``gen(list_of_prompts, **params) -> list_of_strings``.  ``batch_size``
+    caps how many prompts one call receives (device memory);
+    ``num_partitions`` spreads the prompt rows round-robin over that many
+    tasks first (e.g. one per accelerator).
     """
     import pandas as pd
 
@@ -38,13 +51,17 @@ def batch_generate(prompts: DataFrame, generator_factory: Callable, keys,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gen = generator_factory()
         for pdf in batches:
-            texts = gen(pdf[prompt].tolist(), **gen_params)
+            texts = [t for chunk in micro_batches(pdf[prompt].tolist(), batch_size)
+                     for t in gen(chunk, **gen_params)]
             res = pdf[keys].copy()
             res[out] = [t.strip() if t is not None else None for t in texts]
             yield res
 
     cols = keys + ([prompt] if prompt not in keys else [])
-    return prompts.select(*cols).mapInPandas(run, schema)
+    src = prompts.select(*cols)
+    if num_partitions:
+        src = src.repartition(int(num_partitions))
+    return src.mapInPandas(run, schema)
 
 
 class EchoGenerator:

@@ -25,7 +25,8 @@ MAX_EMBEDDED_SAMPLES = 1000
 
 def review_table(conv: DataFrame, order: str, generator_factory: Callable,
                  num_samples: int | None = None, template: ChatTemplate = CHATML,
-                 params: dict | None = None, messages: str = "messages") -> DataFrame:
+                 params: dict | None = None, messages: str = "messages",
+                 batch_size: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """(order, user_query, expected, generated, *_preview) rows.
 
     ``num_samples`` keeps the first examples by ``order`` (a TakeOrdered, no
@@ -37,7 +38,7 @@ def review_table(conv: DataFrame, order: str, generator_factory: Callable,
     prompts = eval_prompts(src, [order], template, messages)
     # The carried columns ride through the Python worker: no self-join.
     gen = batch_generate(prompts, generator_factory, [order, "user_query", "expected"],
-                         params=params)
+                         params=params, batch_size=batch_size, num_partitions=num_partitions)
     w = REVIEW_PREVIEW_CHARS
     return (gen
             .withColumn("user_preview", preview(F.col("user_query"), w, always_ellipsis=True))

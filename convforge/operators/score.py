@@ -83,12 +83,16 @@ class UnigramScorer:
                           .alias("loss"), "n_tokens")
 
 
-def score_with(texts: DataFrame, scorer_factory: Callable, keys, text: str = "text") -> DataFrame:
+def score_with(texts: DataFrame, scorer_factory: Callable, keys, text: str = "text",
+               batch_size: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """Score with a user model (X3): ``scorer_factory()`` returns a callable
     mapping a list of texts to a list of ``(loss, n_tokens)`` pairs.
 
-    Runs in ``mapInPandas``: Arrow batches in, one model per task.
+    Runs in ``mapInPandas``: Arrow batches in, one model per task;
+    ``batch_size`` caps the texts per model call, ``num_partitions`` spreads
+    the rows over that many tasks first.
     """
+    from convforge.operators.generate import micro_batches
     import pandas as pd
 
     keys = list(keys)
@@ -98,13 +102,17 @@ def score_with(texts: DataFrame, scorer_factory: Callable, keys, text: str = "te
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = scorer_factory()
         for pdf in batches:
-            res = model(pdf[text].tolist())
+            res = [r for chunk in micro_batches(pdf[text].tolist(), batch_size)
+                   for r in model(chunk)]
             out = pdf[keys].copy()
             out["loss"] = [float(r[0]) if r[0] is not None else None for r in res]
             out["n_tokens"] = [int(r[1]) for r in res]
             yield out
 
-    return texts.select(*keys, text).mapInPandas(run, schema)
+    src = texts.select(*keys, text)
+    if num_partitions:
+        src = src.repartition(int(num_partitions))
+    return src.mapInPandas(run, schema)
 
 
 def perplexity(scores: DataFrame, loss: str = "loss", n: str = "n_tokens") -> DataFrame:

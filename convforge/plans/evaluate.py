@@ -33,12 +33,15 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
              num_samples: int | None = DEFAULT_NUM_SAMPLES, max_samples: int | None = None,
              template: ChatTemplate = CHATML, max_tokens: int = DEFAULT_MAX_TOKENS,
              output: str | None = None, output_dir: str = "outputs",
-             tokenizer_factory: Callable | None = None) -> dict:
+             tokenizer_factory: Callable | None = None, batch_size: int | None = None,
+             num_partitions: int | None = None) -> dict:
     """Run the evaluation; returns perplexity, sample count and report path.
 
     ``scorer_factory`` scores with a user model; without it the unigram
     stand-in is fitted on ``train_path``.  ``max_samples`` limits perplexity
-    to the first examples (O2), ``num_samples`` the review (O3).  Texts are
+    to the first examples (O2), ``num_samples`` the review (O3).
+    ``batch_size`` / ``num_partitions`` size the model calls (see
+    ``generate.batch_generate``).  Texts are
     cut to ``max_tokens`` real tokens with ``tokenizer_factory`` (e.g.
     ``render.TokenizerFile``), else by the 3-characters-a-token estimate.
     """
@@ -52,7 +55,8 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
              if tokenizer_factory is not None
              else rd.truncate_by_estimate(rendered, max_tokens=max_tokens))
     if scorer_factory is not None:
-        scores = sc.score_with(texts, scorer_factory, ["example"])
+        scores = sc.score_with(texts, scorer_factory, ["example"], batch_size=batch_size,
+                               num_partitions=num_partitions)
     else:
         if train_path is None:
             raise ValueError("the stand-in scorer needs train_path")
@@ -64,7 +68,8 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
     scores = materialize(scores)
     ppl = sc.perplexity(scores)
     run = running(scores).withColumn("running_display", two_decimals("running_perplexity"))
-    review = rv.review_table(val, "example", generator_factory, num_samples, template)
+    review = rv.review_table(val, "example", generator_factory, num_samples, template,
+                             batch_size=batch_size, num_partitions=num_partitions)
     report = rv.evaluation_report(ppl, review, "example", num_samples)
     if output is None:
         stamp = spark.range(1).select(timestamp_suffix()).first()[0]
@@ -102,12 +107,15 @@ def main(argv=None) -> int:
     ap.add_argument("--max_tokens", type=int, default=DEFAULT_MAX_TOKENS)
     ap.add_argument("--output", default=None)
     ap.add_argument("--tokenizer", default=None, help="tokenizer.json for exact truncation")
+    ap.add_argument("--batch_size", type=int, default=None, help="examples per model call")
+    ap.add_argument("--num_partitions", type=int, default=None, help="tasks for model calls")
     a = ap.parse_args(argv)
     spark = session("convforge-evaluate")
     r = evaluate(spark, a.val_path, load_factory(a.generator), load_factory(a.scorer),
                  train_path=a.train_path, num_samples=a.num_samples, max_tokens=a.max_tokens,
                  output=a.output,
-                 tokenizer_factory=rd.TokenizerFile(a.tokenizer) if a.tokenizer else None)
+                 tokenizer_factory=rd.TokenizerFile(a.tokenizer) if a.tokenizer else None,
+                 batch_size=a.batch_size, num_partitions=a.num_partitions)
     ppl = r["perplexity"]
     print(f"Validation samples: {r['num_val_samples']}")
     print(f"Validation Perplexity: {ppl:.2f}" if ppl is not None else "Validation Perplexity: n/a")

@@ -19,13 +19,15 @@ from convforge.sources import processed as pr
 def answer_queries(queries: DataFrame, generator_factory: Callable, keys=("query_id",),
                    query: str = "query", system_prompt: str | None = None,
                    default_system: str = DEFAULT_SYSTEM_PROMPT,
-                   template: ChatTemplate = CHATML, params: dict | None = None) -> DataFrame:
+                   template: ChatTemplate = CHATML, params: dict | None = None,
+                   batch_size: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """(keys..., query, prompt, generated) for every query row."""
     keys = list(keys)
     prompts = rd.build_prompts(queries.select(*keys, query), keys + [query], query,
                                system_prompt, default_system, template)
     return gen.batch_generate(prompts.select(*keys, query, "prompt"), generator_factory,
-                              keys + [query, "prompt"], params=params)
+                              keys + [query, "prompt"], params=params, batch_size=batch_size,
+                              num_partitions=num_partitions)
 
 
 def answer_one(spark: SparkSession, text: str, generator_factory: Callable, **kw) -> str:

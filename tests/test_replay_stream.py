@@ -47,3 +47,15 @@ def test_generate_strips_and_passes_params(spark):
     out = {r["k"]: r["generated"] for r in
            gen.batch_generate(df, Gen, ["k"], params={"temperature": 0.2}).collect()}
     assert out == {0: "a|512|0.2", 1: "b|512|0.2"}
+
+
+def test_generate_micro_batches_and_partitions(spark):
+    class Gen:
+        def __call__(self, prompts, **params):
+            assert len(prompts) <= 3
+            return [f"{p}|{len(prompts)}" for p in prompts]
+    df = spark.range(20).selectExpr("id as k", "cast(id as string) as prompt").coalesce(1)
+    out = gen.batch_generate(df, Gen, ["k"], batch_size=3, num_partitions=4)
+    rows = {r["k"]: r["generated"] for r in out.collect()}
+    assert sorted(rows) == list(range(20))
+    assert all(v.split("|")[0] == str(k) for k, v in rows.items())
