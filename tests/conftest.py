@@ -14,7 +14,8 @@ def spark():
     from convforge.session import get_spark
     s = get_spark("local[4]", app="convforge-tests", shuffle_partitions=8,
                   extra={"spark.ui.enabled": "false",
-                         "spark.ui.showConsoleProgress": "false"})
+                         "spark.ui.showConsoleProgress": "false",
+                         "spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
     # Tests set their own shared folder only where the session names none.
     if not s.conf.get("spark.checkpoint.dir", None):

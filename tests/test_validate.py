@@ -124,5 +124,5 @@ def test_strict_parse_matches_python(spark):
 
 
 def test_oversized_value_has_its_own_reason(spark):
-    big = ok_conv(("user", "x" * (40 * 1024 * 1024)), ("assistant", "y"))
+    big = ok_conv(("user", "x" * (24 * 1024 * 1024)), ("assistant", "y"))
     assert [o[0] for o in outcomes(spark, [big, "{bad"])] == ["value_too_large", "parse_error"]
