@@ -32,8 +32,8 @@ def assign_split(df: DataFrame, key, val_ratio: float = DEFAULT_VAL_RATIO,
     ``split_rank`` (1-based position inside its split, i.e. the row order of
     the written split file).
 
-    ``key`` names the unique key column(s) (their values joined by ':' are
-    hashed) or is a Column giving the key text.  Only the keys are ranked --
+    ``key`` names the unique, non-NULL key column(s) (their values joined by
+    ':' are hashed) or is a Column giving the key text.  Only the keys are ranked --
     small rows through the two-level rank -- and the labels are joined back
     on the key columns, so the example payload is never sorted; when ``df``
     is already partitioned by those columns (e.g. it comes from a grouping

@@ -28,14 +28,18 @@ from convforge.schemas import DEFAULT_SEED, DEFAULT_VAL_RATIO
 from convforge.sources import processed as pr
 from convforge.sources import raw
 
-VALIDATED_COLUMNS = ["file_path", "file_name", "object_index", "line_no", "value", "reason",
-                     "bad_index", "messages", "errors_before"]
+VALIDATED_COLUMNS = ["file_path", "file_name", "object_index", "element_index", "line_no",
+                     "value", "reason", "bad_index", "messages", "errors_before"]
 
 
-def validate_jsonl_lines(lines: DataFrame) -> DataFrame:
+def validate_jsonl_lines(lines: DataFrame, explode_arrays: bool = False) -> DataFrame:
     """Validate JSONL lines (blank ones included), number decodable values
     within each file and give every line its 1-based physical line number,
     then drop the blank lines."""
+    if explode_arrays:
+        lines = raw.explode_top_level_arrays(lines)
+    else:
+        lines = lines.withColumn("element_index", F.lit(None).cast("int"))
     v = va.validate_values(lines)
     # Numbered per full path: base names can repeat across folders.
     v = raw.number_within_file(v, file_col="file_path",
@@ -48,7 +52,8 @@ def validate_jsonl_lines(lines: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
            jsonl_glob: str = "*.jsonl", json_glob: str = "*.json",
-           recursive: bool = False, split_json_files: bool = True) -> DataFrame:
+           recursive: bool = False, split_json_files: bool = True,
+           explode_arrays: bool = False) -> DataFrame:
     """Validated RAW rows of every raw file under ``raw_dir``.
 
     Columns: file_path, file_name, object_index, line_no (JSONL only, the
@@ -56,7 +61,9 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
     errors_before.  ``reason`` is NULL for accepted rows.
     ``split_json_files`` decodes concatenated files larger than one input
     split chunk-parallel (``read_mixed_json_auto``); False reads every file
-    in one task.
+    in one task.  ``explode_arrays`` turns each element of a top-level JSON
+    array into its own value (``element_index``); by default such an array
+    is one rejected value, as in the reference.
     """
     if not raw._path_exists(spark, raw_dir):
         raise FileNotFoundError(f"raw data directory not found: {raw_dir}")
@@ -64,7 +71,8 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
     if reader == "auto":
         if jsonl_glob:
             parts.append(validate_jsonl_lines(
-                raw.read_jsonl_lines(spark, raw_dir, jsonl_glob, recursive, keep_blank=True)))
+                raw.read_jsonl_lines(spark, raw_dir, jsonl_glob, recursive, keep_blank=True),
+                explode_arrays))
         mixed_globs = [json_glob]
     elif reader == "mixed":
         mixed_globs = [jsonl_glob, json_glob]
@@ -73,6 +81,8 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
     for g in [g for g in mixed_globs if g]:
         read = raw.read_mixed_json_auto if split_json_files else raw.read_mixed_json
         vals = read(spark, raw_dir, g, recursive).where(F.col("value").isNotNull())
+        vals = (raw.explode_top_level_arrays(vals) if explode_arrays
+                else vals.withColumn("element_index", F.lit(None).cast("int")))
         parts.append(va.validate_values(vals)
                      .withColumn("line_no", F.lit(None).cast("bigint")).select(*VALIDATED_COLUMNS))
     if not parts:
@@ -96,7 +106,7 @@ def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
                  val_ratio: float = DEFAULT_VAL_RATIO, seed: int = DEFAULT_SEED,
                  reader: str = "auto", work_dir: str | None = None,
                  jsonl_glob: str = "*.jsonl", json_glob: str = "*.json",
-                 recursive: bool = False) -> PrepareResult:
+                 recursive: bool = False, explode_arrays: bool = False) -> PrepareResult:
     """The full preparation job; writes ``train.jsonl`` / ``val.jsonl``
     directories plus ``rejects`` and ``audit`` tables under ``output_dir``.
 
@@ -105,7 +115,8 @@ def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
     re-parsing the raw files, and a lost executor only recomputes from it.
     """
     work = work_dir or f"{output_dir.rstrip('/')}/_validated"
-    (ingest(spark, raw_dir, reader, jsonl_glob, json_glob, recursive)
+    (ingest(spark, raw_dir, reader, jsonl_glob, json_glob, recursive,
+            explode_arrays=explode_arrays)
      .write.mode("overwrite").parquet(work))
     validated = spark.read.parquet(work)
 
@@ -114,16 +125,23 @@ def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
     file_key = "file_path" if recursive else "file_name"
     audit = st.file_audit(validated, by=file_key)
     audit.write.mode("overwrite").parquet(f"{output_dir}/audit")
-    rejects = va.rejected(validated, ["file_path", "file_name", "object_index", "line_no"])
+    rejects = va.rejected(validated, ["file_path", "file_name", "object_index", "element_index",
+                                      "line_no"])
     rejects.write.mode("overwrite").parquet(f"{output_dir}/rejects")
 
-    conv = va.accepted(validated, [file_key, "object_index"])
+    # Split keys must be non-NULL and unique.  Exploded array elements add
+    # their position (-1 for values that were not arrays).
+    keys = [file_key, "object_index"]
+    if explode_arrays:
+        validated = validated.withColumn("_element", F.coalesce("element_index", F.lit(-1)))
+        keys.append("_element")
+    conv = va.accepted(validated, keys)
     if conv.isEmpty():  # P14
         raise ValueError("no valid conversations found")
-    stats_row = st.corpus_stats(va.profile_conversations(conv, [file_key, "object_index"])).first()
+    stats_row = st.corpus_stats(va.profile_conversations(conv, keys)).first()
 
     # The split is materialised too: three consumers, one ranking.
-    (splitting.assign_split(conv, [file_key, "object_index"], val_ratio=val_ratio, seed=seed)
+    (splitting.assign_split(conv, keys, val_ratio=val_ratio, seed=seed)
      .write.mode("overwrite").parquet(f"{work}_split"))
     labelled = spark.read.parquet(f"{work}_split")
     for name, label in (("train.jsonl", splitting.TRAIN), ("val.jsonl", splitting.VAL)):

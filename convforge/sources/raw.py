@@ -152,6 +152,20 @@ def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
     return decode_concatenated(files)
 
 
+def explode_top_level_arrays(values: DataFrame, value: str = "value") -> DataFrame:
+    """Option for Q4: a value that is a JSON array becomes one value per
+    element (re-encoded JSON), with ``element_index`` its position; other
+    values pass unchanged with ``element_index`` NULL.  An empty array stays
+    one (rejected) value.  Off by default: the reference rejects the array
+    whole."""
+    arr = F.try_variant_get(strict_parse(F.col(value)), "$", "array<variant>")
+    usable = F.when(F.size(arr) > 0, arr)
+    return (values.select("*", F.posexplode_outer(usable).alias("element_index", "_elem"))
+            .withColumn(value, F.coalesce(F.to_json("_elem"), F.col(value)))
+            .withColumn("element_index", F.col("element_index").cast("int"))
+            .drop("_elem"))
+
+
 def list_files(spark: SparkSession, path: str, glob: str, recursive: bool = False):
     """(path, size) of the data files under ``path`` matching ``glob``.
 

@@ -182,3 +182,20 @@ def test_same_file_name_in_two_folders(spark, tmp_dir):
     out = os.path.join(tmp_dir, "out")
     res = prep.prepare_data(spark, tmp_dir, out, val_ratio=0.4, recursive=True, json_glob=None)
     assert (res.train, res.val) == (3, 2) and res.stats["conversations"] == 5
+
+
+def test_q4_optional_array_explosion(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "arr.json"),
+          "[" + conv_json("a", "b") + "," + conv_json("c", "d") + ', 5]' + conv_json("e", "f"))
+    write(os.path.join(tmp_dir, "l.jsonl"), "[" + conv_json("g", "h") + "]\n[]\n" + conv_json("i", "j") + "\n")
+    plain = prep.ingest(spark, tmp_dir)
+    assert plain.where(F.col("reason").isNull()).count() == 2  # arrays rejected whole
+    ex = prep.ingest(spark, tmp_dir, explode_arrays=True)
+    got = sorted((r["file_name"], r["object_index"], r["element_index"], r["reason"]) for r in ex.collect())
+    assert got == [("arr.json", 0, 0, None), ("arr.json", 0, 1, None), ("arr.json", 0, 2, "no_messages_key"),
+                   ("arr.json", 1, None, None),
+                   ("l.jsonl", 0, 0, None), ("l.jsonl", 1, None, "no_messages_key"),
+                   ("l.jsonl", 2, None, None)]
+    res = prep.prepare_data(spark, tmp_dir, os.path.join(tmp_dir, "out"), val_ratio=0.2,
+                            explode_arrays=True)
+    assert res.stats["conversations"] == 5 and (res.train, res.val) == (4, 1)
