@@ -75,6 +75,12 @@ def ship_package(spark: SparkSession) -> None:
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    # Images that install the package on every worker can turn this off.
+    if spark.conf.get("spark.convforge.shipPackage", "true").lower() == "false":
+        _SHIPPED.add(app)
+        return
+    # The zip is code, built on the driver; Spark's file server hands it to
+    # the executors (as with --py-files), which never read the driver path.
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
     zpath = os.path.join(tempfile.mkdtemp(prefix="convforge-pkg-"), "convforge.zip")
