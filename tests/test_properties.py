@@ -78,3 +78,70 @@ def test_stats_of_union_are_sums(spark):
             assert whole[k] >= sa[k] + sb[k]
         else:
             assert whole[k] == sa[k] + sb[k]
+
+
+LINE = st_.sampled_from(["hi", "  ", "", "reset", " RESET ", "quit", "Exit", "ok", "q 2", "नमस्ते"])
+
+
+def python_replay(lines, system="SYS"):
+    """The terminal loop's turn logic, sequentially, per session."""
+    out, segment, position = [], 0, 0
+    for text in lines:
+        s = text.strip()
+        if not s:
+            continue
+        if s.lower() in ("quit", "exit"):
+            break
+        if s.lower() == "reset":
+            segment, position = segment + 1, 0
+            continue
+        if position == 0:
+            out.append((segment, 0, "system", system))
+        position += 1
+        out.append((segment, position, "user", s))
+    return out
+
+
+@SLOW
+@given(st_.lists(st_.lists(LINE, max_size=25), min_size=1, max_size=4))
+def test_replay_matches_sequential_loop(spark, sessions):
+    from convforge.operators import replay as rp
+    rows = [(sid, i, t) for sid, lines in enumerate(sessions) for i, t in enumerate(lines)]
+    if not rows:
+        return
+    df = spark.createDataFrame(rows, "session long, line_no long, text string")
+    got = sorted((r["session"], r["segment"], r["position"], r["role"], r["content"])
+                 for r in rp.replay_sessions(df, system_prompt="SYS", block=3).collect())
+    expect = sorted((sid, *t) for sid, lines in enumerate(sessions) for t in python_replay(lines))
+    assert got == expect
+
+
+@SLOW
+@given(st_.lists(st_.sampled_from(["good", "blank", "bad", "array"]), min_size=1, max_size=60))
+def test_jsonl_numbering_matches_enumerate(spark, tmp_dir, kinds):
+    import os
+    from convforge.plans import prepare as prep
+    text = {"good": json.dumps({"messages": [{"role": "user", "content": "q"},
+                                             {"role": "assistant", "content": "a"}]}),
+            "blank": "   ", "bad": "{oops", "array": "[1, 2]"}
+    d = os.path.join(tmp_dir, f"n{abs(hash(tuple(kinds)))}")
+    os.makedirs(d, exist_ok=True)  # an example may be replayed
+    with open(os.path.join(d, "f.jsonl"), "w") as f:
+        f.write("\n".join(text[k] for k in kinds) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        got = sorted((r["line_no"], r["object_index"]) for r in
+                     prep.ingest(spark, d, json_glob=None).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    expect, idx = [], 0
+    for line_no, k in enumerate(kinds, 1):
+        if k == "blank":
+            continue
+        if k == "bad":
+            expect.append((line_no, None))
+        else:
+            expect.append((line_no, idx))
+            idx += 1
+    assert sorted(expect, key=str) == sorted(got, key=str)
