@@ -145,3 +145,33 @@ def test_jsonl_numbering_matches_enumerate(spark, tmp_dir, kinds):
             expect.append((line_no, idx))
             idx += 1
     assert sorted(expect, key=str) == sorted(got, key=str)
+
+
+PIECE = st_.sampled_from([
+    "OBJ", "PRETTY", "ARR", ",", "\n", " ", "\n\n", "@@", "}", "]", "{", "[",
+    '"open', '"str"', "42", "{\"a\": [1, {\"b\": \"}{\"}]}", "tr", "null",
+])
+
+
+@SLOW
+@given(st_.lists(st_.lists(PIECE, max_size=30), min_size=1, max_size=3))
+def test_chunked_concatenated_reader_equals_whole_file(spark, tmp_dir, files):
+    import os
+    from convforge.sources import raw
+    obj = json.dumps({"messages": [{"role": "user", "content": "q ]"},
+                                   {"role": "assistant", "content": "a {"}]})
+    render = {"OBJ": obj, "PRETTY": json.dumps(json.loads(obj), indent=2), "ARR": "[" + obj + "]"}
+    d = os.path.join(tmp_dir, f"m{abs(hash(tuple(map(tuple, files))))}")
+    os.makedirs(d, exist_ok=True)  # an example may be replayed
+    for i, pieces in enumerate(files):
+        with open(os.path.join(d, f"f{i}.json"), "w") as f:
+            f.write("".join(render.get(p, p) for p in pieces))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        cols = ["file_name", "object_index", "value", "errors_before"]
+        whole = sorted(map(tuple, raw.read_mixed_json(spark, d).select(*cols).collect()), key=str)
+        split = sorted(map(tuple, raw.read_mixed_json_split(spark, d).select(*cols).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert whole == split
