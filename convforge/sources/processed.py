@@ -77,5 +77,7 @@ def query_table(spark: SparkSession, queries, column: str = "query") -> DataFram
 
 def write_report(report: DataFrame, path: str) -> None:
     """A one-row report as indented JSON in a single text file."""
-    (report.select(F.to_json(F.struct(*report.columns), {"pretty": "true"}).alias("value"))
+    # Keys with NULL values (e.g. perplexity of an empty split) stay in the report.
+    opts = {"pretty": "true", "ignoreNullFields": "false"}
+    (report.select(F.to_json(F.struct(*report.columns), opts).alias("value"))
      .coalesce(1).write.mode("overwrite").text(path))

@@ -60,6 +60,18 @@ def test_prepare_train_text_evaluate(spark, tmp_dir):
     assert spark.read.parquet(r2["report_path"] + "_samples").count() == 48
 
 
+def test_empty_validation_split_reports_null_perplexity(spark, tmp_dir):
+    raw_dir = os.path.join(tmp_dir, "raw")
+    make_raw(raw_dir, n=10)
+    out = os.path.join(tmp_dir, "data")
+    res = prep.prepare_data(spark, raw_dir, out, val_ratio=0.0)
+    assert (res.train, res.val) == (9, 0)
+    r = ev.evaluate(spark, f"{out}/val.jsonl", EchoGenerator, train_path=f"{out}/train.jsonl",
+                    output=os.path.join(tmp_dir, "r.json"))
+    doc = json.loads(r["report_text"])
+    assert doc == {"perplexity": None, "num_val_samples": 0, "sample_responses": []}
+
+
 def test_evaluate_plain_single_file(spark, tmp_dir):
     # a split file as a plain JSONL file, the reference's own format
     path = os.path.join(tmp_dir, "val.jsonl")
