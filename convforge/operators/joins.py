@@ -47,3 +47,16 @@ def skew_aware_lookup(big: DataFrame, small: DataFrame, key: str, weight: str,
     salted_small = (small.join(hot, key, "left")
                     .withColumn("_salt", F.explode(salts)).drop("_hot"))
     return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")
+
+
+def attach_results(examples: DataFrame, results: DataFrame, keys) -> DataFrame:
+    """Attach externally produced results (scores, generations) to the
+    examples they belong to, keyed by the examples' unique key columns.
+
+    A left join: examples without a result keep NULLs.  Both sides have one
+    row per key, so no key can be skewed; AQE picks broadcast or shuffle by
+    the measured size of ``results``.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    extra = [c for c in results.columns if c not in keys]
+    return examples.join(results.select(*keys, *extra), keys, "left")

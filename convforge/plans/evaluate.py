@@ -18,6 +18,7 @@ from convforge.functions.text import timestamp_suffix, two_decimals
 from convforge.operators import render as rd
 from convforge.operators import review as rv
 from convforge.operators import score as sc
+from convforge.operators.joins import attach_results
 from convforge.schemas import DEFAULT_MAX_TOKENS, DEFAULT_NUM_SAMPLES
 from convforge.session import materialize
 from convforge.sources import processed as pr
@@ -34,14 +35,16 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
              template: ChatTemplate = CHATML, max_tokens: int = DEFAULT_MAX_TOKENS,
              output: str | None = None, output_dir: str = "outputs",
              tokenizer_factory: Callable | None = None, batch_size: int | None = None,
-             num_partitions: int | None = None) -> dict:
+             num_partitions: int | None = None, scores_table: DataFrame | None = None) -> dict:
     """Run the evaluation; returns perplexity, sample count and report path.
 
     ``scorer_factory`` scores with a user model; without it the unigram
     stand-in is fitted on ``train_path``.  ``max_samples`` limits perplexity
     to the first examples (O2), ``num_samples`` the review (O3).
     ``batch_size`` / ``num_partitions`` size the model calls (see
-    ``generate.batch_generate``).  Texts are
+    ``generate.batch_generate``).  ``scores_table`` takes scores produced
+    elsewhere -- (file_name, line_index, loss, n_tokens) of the validation
+    files -- instead of scoring here (J3).  Texts are
     cut to ``max_tokens`` real tokens with ``tokenizer_factory`` (e.g.
     ``render.TokenizerFile``), else by the 3-characters-a-token estimate.
     """
@@ -54,7 +57,12 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
     texts = (rd.truncate_exact(rendered, tokenizer_factory, max_tokens=max_tokens)
              if tokenizer_factory is not None
              else rd.truncate_by_estimate(rendered, max_tokens=max_tokens))
-    if scorer_factory is not None:
+    if scores_table is not None:
+        keyed = scored_src.select("example", "file_name", "line_index")
+        scores = attach_results(keyed, scores_table, ["file_name", "line_index"]).select(
+            "example", F.col("loss").cast("double").alias("loss"),
+            F.coalesce(F.col("n_tokens").cast("bigint"), F.lit(0)).alias("n_tokens"))
+    elif scorer_factory is not None:
         scores = sc.score_with(texts, scorer_factory, ["example"], batch_size=batch_size,
                                num_partitions=num_partitions)
     else:

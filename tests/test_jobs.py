@@ -72,6 +72,22 @@ def test_empty_validation_split_reports_null_perplexity(spark, tmp_dir):
     assert doc == {"perplexity": None, "num_val_samples": 0, "sample_responses": []}
 
 
+def test_evaluate_with_external_scores(spark, tmp_dir):
+    import math
+    path = os.path.join(tmp_dir, "val.jsonl")
+    with open(path, "w", encoding="utf-8") as f:
+        for i in range(4):
+            f.write(json.dumps({"messages": [{"role": "user", "content": f"q{i}"},
+                                             {"role": "assistant", "content": "a"}]}) + "\n")
+    # scores computed elsewhere, keyed by file and line of the validation file
+    ext = spark.createDataFrame([("val.jsonl", 0, 2.0, 10), ("val.jsonl", 1, 1.0, 30),
+                                 ("val.jsonl", 2, 1.0, 0), ("val.jsonl", 3, 1.0, 0)],
+                                "file_name string, line_index int, loss double, n_tokens long")
+    r = ev.evaluate(spark, path, EchoGenerator, scores_table=ext, num_samples=1,
+                    output=os.path.join(tmp_dir, "r.json"))
+    assert math.isclose(r["perplexity"], math.exp(1.25)) and r["num_val_samples"] == 4
+
+
 def test_evaluate_plain_single_file(spark, tmp_dir):
     # a split file as a plain JSONL file, the reference's own format
     path = os.path.join(tmp_dir, "val.jsonl")
