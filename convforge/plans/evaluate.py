@@ -117,13 +117,16 @@ def main(argv=None) -> int:
     ap.add_argument("--tokenizer", default=None, help="tokenizer.json for exact truncation")
     ap.add_argument("--batch_size", type=int, default=None, help="examples per model call")
     ap.add_argument("--num_partitions", type=int, default=None, help="tasks for model calls")
+    ap.add_argument("--scores_table", default=None,
+                    help="Parquet of (file_name, line_index, loss, n_tokens) scored elsewhere")
     a = ap.parse_args(argv)
     spark = session("convforge-evaluate")
+    scores = spark.read.parquet(a.scores_table) if a.scores_table else None
     r = evaluate(spark, a.val_path, load_factory(a.generator), load_factory(a.scorer),
                  train_path=a.train_path, num_samples=a.num_samples, max_tokens=a.max_tokens,
                  output=a.output,
                  tokenizer_factory=rd.TokenizerFile(a.tokenizer) if a.tokenizer else None,
-                 batch_size=a.batch_size, num_partitions=a.num_partitions)
+                 batch_size=a.batch_size, num_partitions=a.num_partitions, scores_table=scores)
     ppl = r["perplexity"]
     print(f"Validation samples: {r['num_val_samples']}")
     print(f"Validation Perplexity: {ppl:.2f}" if ppl is not None else "Validation Perplexity: n/a")

@@ -167,10 +167,13 @@ def main(argv=None) -> int:
     ap.add_argument("--val_ratio", type=float, default=DEFAULT_VAL_RATIO)
     ap.add_argument("--seed", type=int, default=DEFAULT_SEED)
     ap.add_argument("--reader", choices=["auto", "mixed"], default="auto")
+    ap.add_argument("--explode_arrays", action="store_true",
+                    help="one value per element of a top-level JSON array")
     a = ap.parse_args(argv)
     spark = session("convforge-prepare")
     try:
-        res = prepare_data(spark, a.raw_dir, a.output_dir, a.val_ratio, a.seed, a.reader)
+        res = prepare_data(spark, a.raw_dir, a.output_dir, a.val_ratio, a.seed, a.reader,
+                           explode_arrays=a.explode_arrays)
     except FileNotFoundError as e:
         print(f"Error: {e}")
         return 1

@@ -133,3 +133,19 @@ def test_command_line_jobs(tmp_dir, capsys, spark):
                     "--out", os.path.join(tmp_dir, "texts")]) == 0
     assert "train samples: 24" in capsys.readouterr().out
     assert prep.main(["--raw_dir", os.path.join(tmp_dir, "missing")]) == 1
+    arr_dir = os.path.join(tmp_dir, "arr")
+    os.makedirs(arr_dir)
+    with open(os.path.join(arr_dir, "a.json"), "w") as f:
+        f.write(json.dumps([json.loads(r) for r in [
+            json.dumps({"messages": [{"role": "user", "content": f"q{i}"},
+                                     {"role": "assistant", "content": "a"}]}) for i in range(5)]]))
+    assert prep.main(["--raw_dir", arr_dir, "--output_dir", os.path.join(tmp_dir, "o2"),
+                      "--explode_arrays"]) == 0
+    assert "Conversations: 5" in capsys.readouterr().out
+    scores = os.path.join(tmp_dir, "scores")
+    spark.createDataFrame([("x", 0, 1.0, 3)], "file_name string, line_index int, loss double, "
+                          "n_tokens long").write.parquet(scores)
+    assert ev.main(["--val_path", f"{out}/val.jsonl", "--generator",
+                    "convforge.operators.generate:EchoGenerator", "--scores_table", scores,
+                    "--output", os.path.join(tmp_dir, "r3.json")]) == 0
+    assert "Validation Perplexity: n/a" in capsys.readouterr().out  # no score matched
