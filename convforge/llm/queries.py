@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convforge.llm import mixing, sharding
+from convforge.llm import mixing, quality, sharding
 from convforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,14 @@ def register(name: str):
     return deco
 
 
+@register("op1_quality")
+def op1(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, quality.learnable(labels))
+    return (quality.score(docs, model)
+            .select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted"))
+
+
 @register("op4_mixing")
 def op4(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
