@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from convforge.llm.common import batch, held_out, text_buffers
 
-LEVEL = 3
+LEVEL = 6
 HALF_LENGTH = 200.0
 
 
@@ -89,13 +89,15 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarr
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", dictionary_docs: int = 2600, snippet: int = 400,
+        label_col: str = "quality", dictionary_docs: int = 1500, snippet: int = 800,
         calibration_docs: int = 8000) -> QualityModel:
     """Fit on a bounded sample of labelled rows, chosen by a hash of the id.
 
-    Half of the labelled ids (by hash) may enter the dictionaries, the other half
-    calibrates: ``dictionary_docs`` snippets of ``snippet`` characters per label
-    (about 1 MB) fill each dictionary, ``calibration_docs`` texts the calibration.  An id with conflicting labels counts as bad; null
+    Three quarters of the labelled ids (by hash) may enter the dictionaries, the
+    others calibrate.  Up to ``dictionary_docs`` snippets of ``snippet`` characters
+    per label (about 1 MB) fill each dictionary, both cut to the size of the
+    smaller one (else the larger fits any text better); ``calibration_docs`` whole
+    texts fit the calibration.  An id with conflicting labels counts as bad; null
     labels and ids without a text are left out.  With one class only, every
     score is that class's rate with add-one smoothing (no rows: 0.5).
     """
@@ -103,8 +105,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                  .where("_id is not null and _y is not null")
                  .groupBy("_id").agg(F.min("_y").alias("_y"))
                  .withColumn("_h", F.xxhash64(F.col("_id").cast("string"), F.lit("quality")))
-                 .withColumn("_side", F.pmod("_h", F.lit(2))))
-    picked = [r for y in (0, 1) for r in lab.where((F.col("_side") == 0) & (F.col("_y") == y))
+                 .withColumn("_side", F.pmod("_h", F.lit(4))))
+    picked = [r for y in (0, 1) for r in lab.where((F.col("_side") > 0) & (F.col("_y") == y))
               .orderBy("_h", "_id")
               .limit(dictionary_docs).collect()]  # bounded: ids only
     spark = docs.sparkSession
@@ -118,8 +120,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                   .groupBy("_id").agg(F.max(F.struct("_h", "_y", "_s")).alias("r"))
                   .select("r.*").orderBy("_h").collect())  # bounded: dictionary_docs snippets per label
     good, bad = (b"\n".join(r["_s"].encode() for r in rows if r["_y"] == y) for y in (1, 0))
+    size = min(len(good), len(bad))
+    good, bad = good[:size], bad[:size]
 
-    rest = lab.where("_side = 1").orderBy("_h", "_id").limit(calibration_docs).select("_id", "_y")
+    rest = lab.where("_side = 0").orderBy("_h", "_id").limit(calibration_docs).select("_id", "_y")
     cal = source.join(F.broadcast(rest), "_id")
     got = _differences(cal, good, bad, "_text", ["_id", "_y"]).select("_y", "_diff", "_bytes").collect()
     y = np.array([r["_y"] for r in got], dtype=float)
