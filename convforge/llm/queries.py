@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convforge.llm import mixing, quality, sharding
+from convforge.llm import fingerprints, mixing, quality, secrets, sharding
 from convforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,14 @@ def op4(spark, sf_dir):
 @register("op7_sharding")
 def op7(spark, sf_dir):
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), n_shards=24)
+
+
+@register("op6_secrets")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return secrets.find(docs, secrets.fit(secrets.corpus_samples(docs)))
+
+
+@register("op10_fingerprints")
+def op10(spark, sf_dir):
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
