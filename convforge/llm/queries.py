@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convforge.llm import fingerprints, mixing, quality, secrets, sharding
+from convforge.llm import fingerprints, jaccard, mixing, quality, secrets, sharding
 from convforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op6(spark, sf_dir):
 @register("op10_fingerprints")
 def op10(spark, sf_dir):
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@register("op9_ngram_jaccard")
+def op9(spark, sf_dir):
+    return jaccard.ngram_jaccard_join(table(spark, sf_dir, "documents"), words=3, similarity=(90, 100))
