@@ -77,6 +77,9 @@ _BYTE_LOWER = _BYTE[_LOWER]
 _GRAM = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Also every other ASCII character that is not a letter or digit.
+_PUNCTUATION = _SPACE.copy()
+_PUNCTUATION[[c for c in range(128) if not chr(c).isalnum()]] = True
 _P = 0x9E3779B97F4A7C15
 _P_INV = pow(_P, -1, 2**64)
 _pow = {}
@@ -111,14 +114,7 @@ class Words:
 
     def grams(self, n: int) -> np.ndarray:
         """Hash of the n words from every position (meaningful inside a row)."""
-        w = self.hash
-        if len(w) < n:
-            return np.zeros(0, dtype=np.uint64)
-        m = len(w) - n + 1
-        g = w[:m] * _GRAM[0]
-        for k in range(1, n):
-            g = g + w[k:m + k] * _GRAM[k]
-        return mix64(g)
+        return word_grams(self.hash, n)
 
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all n-word shingles (not distinct) and their row offsets; a
@@ -139,6 +135,17 @@ class Words:
         return out, off
 
 
+def word_grams(w: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from every position of a word-hash sequence."""
+    if len(w) < n:
+        return np.zeros(0, dtype=np.uint64)
+    m = len(w) - n + 1
+    g = w[:m] * _GRAM[0]
+    for k in range(1, n):
+        g = g + w[k:m + k] * _GRAM[k]
+    return mix64(g)
+
+
 def gram_hash(words: np.ndarray) -> np.uint64:
     """Hash of one word sequence, as ``Words.grams`` gives it for its length."""
     with np.errstate(over="ignore"):
@@ -160,9 +167,12 @@ def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return off, data
 
 
-def blocks(column, lower: bool = True, block_bytes: int = 1 << 21) -> Iterator[Words]:
+def blocks(column, lower: bool = True, block_bytes: int = 1 << 21,
+           punctuation: bool = False) -> Iterator[Words]:
     """Words of a column in blocks of whole rows of about ``block_bytes`` (a
-    longer text is a block of its own), which bounds the arrays held at once."""
+    longer text is a block of its own), which bounds the arrays held at once.
+    ``punctuation``: ASCII punctuation separates words too."""
+    separator = _PUNCTUATION if punctuation else _SPACE
     off, data = text_buffers(column)
     n, a = len(off) - 1, 0
     table = _BYTE_LOWER if lower else _BYTE
@@ -179,7 +189,7 @@ def blocks(column, lower: bool = True, block_bytes: int = 1 << 21) -> Iterator[W
             w.hash = np.zeros(0, dtype=np.uint64)
             w.offset = np.zeros(b - a + 1, dtype=np.int64)
         else:
-            space = _SPACE[w.data]
+            space = separator[w.data]
             before = np.empty(size, dtype=bool)
             before[0], before[1:] = True, space[:-1]
             after = np.empty(size, dtype=bool)

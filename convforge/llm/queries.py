@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convforge.llm import fingerprints, jaccard, mixing, quality, secrets, sharding
+from convforge.llm import decontam, fingerprints, jaccard, mixing, quality, secrets, sharding
 from convforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op1(spark, sf_dir):
             .select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted"))
 
 
+@register("op2_decontamination")
+def op2(spark, sf_dir):
+    return decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op4_mixing")
 def op4(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
