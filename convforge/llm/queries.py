@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convforge.llm import decontam, fingerprints, jaccard, mixing, quality, secrets, sharding
+from convforge.llm import decontam, fingerprints, jaccard, langid, mixing, quality, secrets, sharding
 from convforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,14 @@ def op7(spark, sf_dir):
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), n_shards=24)
 
 
+@register("op5_langid")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(langid.learnable(docs))
+    return (langid.predict(docs, model)
+            .select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score"))
+
+
 @register("op6_secrets")
 def op6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
