@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convforge.llm.common import _BYTE, _powers, blocks, held_out, mix64
+from convforge.llm.common import _BYTE, _powers, blocks, held_out
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = 0x20  # byte that stands for the word-start marker; no word has it inside
@@ -56,41 +56,35 @@ class Pieces:
         self.keys, self.ids = h[order], order
         self.map = np.zeros(1 << _BITS, dtype=bool)
         self.map[(h >> _SHIFT).astype(np.int64)] = True
-        self.count = len(pieces)
 
     @staticmethod
     def _hash(p: bytes) -> np.uint64:
         b = np.frombuffer(p, dtype=np.uint8)
-        return mix64(np.array([(_BYTE[b] * _powers(len(b))[0]).sum(dtype=np.uint64)]))[0]
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Piece ids, ``count`` for no piece."""
-        out = np.full(len(h), self.count, dtype=np.int64)
-        at = np.flatnonzero(self.map[(h >> _SHIFT).astype(np.int64)])
-        where = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
-        ok = self.keys[where] == h[at]
-        out[at[ok]] = self.ids[where[ok]]
-        return out
+        return (_BYTE[b] * _powers(len(b))[0]).sum(dtype=np.uint64)
 
     def spans(self, words: np.ndarray):
-        """(start, end, piece ids) for all byte ranges of equally long words, by end."""
+        """(start, end, words, pieces): of equally long words, those whose bytes from
+        start to end are a piece, and that piece; ascending by end."""
         n = words.shape[1]
         p, q = _powers(n)
-        total = np.zeros((len(words), n + 1), dtype=np.uint64)
-        np.cumsum(_BYTE[words] * p, axis=1, out=total[:, 1:])
+        total = np.zeros((n + 1, len(words)), dtype=np.uint64)
+        np.cumsum(_BYTE[words.T] * p[:, None], axis=0, out=total[1:])
         for e in range(1, n + 1):
             for s in range(max(0, e - self.longest), e):
-                ids = self.find(mix64((total[:, e] - total[:, s]) * q[s]))
-                if e == s + 1 or (ids < self.count).any():
-                    yield s, e, ids
+                h = (total[e] - total[s]) * q[s]
+                at = np.flatnonzero(self.map[h >> _SHIFT])
+                if len(at):
+                    where = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
+                    ok = self.keys[where] == h[at]
+                    yield s, e, at[ok], self.ids[where[ok]]
 
 
 def forward(pieces: Pieces, words: np.ndarray, prob: np.ndarray) -> np.ndarray:
-    """Probability of every word under every language; ``prob`` has a last row of zeros."""
+    """Probability of every word under every language."""
     alpha = np.zeros((words.shape[1] + 1, len(words), prob.shape[1]))
     alpha[0] = 1.0
-    for s, e, ids in pieces.spans(words):
-        alpha[e] += alpha[s] * prob[ids]
+    for s, e, at, ids in pieces.spans(words):
+        alpha[e][at] += alpha[s][at] * prob[ids]
     return alpha[-1]
 
 
@@ -101,17 +95,16 @@ def _expected(pieces: Pieces, words: np.ndarray, weight: np.ndarray, prob: np.nd
     alpha = np.zeros((n + 1, len(words), prob.shape[1]))
     beta = np.zeros_like(alpha)
     alpha[0], beta[n] = 1.0, 1.0
-    for s, e, ids in spans:
-        alpha[e] += alpha[s] * prob[ids]
-    for s, e, ids in sorted(spans, key=lambda x: -x[0]):
-        beta[s] += prob[ids] * beta[e]
+    for s, e, at, ids in spans:
+        alpha[e][at] += alpha[s][at] * prob[ids]
+    for s, e, at, ids in sorted(spans, key=lambda x: -x[0]):
+        beta[s][at] += prob[ids] * beta[e][at]
     share = weight / np.maximum(alpha[n], 1e-300)
     out = np.zeros_like(prob)
-    for s, e, ids in spans:
-        c = alpha[s] * prob[ids] * beta[e] * share
+    for s, e, at, ids in spans:
+        c = alpha[s][at] * prob[ids] * beta[e][at] * share[at]
         for k in range(prob.shape[1]):
             out[:, k] += np.bincount(ids, weights=c[:, k], minlength=len(prob))
-    out[-1] = 0
     return out
 
 
@@ -127,11 +120,25 @@ def _by_length(words: list[bytes]):
                 np.array([i for _, i in g])) for n, g in groups.items()}
 
 
+def _runs(w, rows: np.ndarray):
+    """The words ``rows`` of a block as ``_by_length`` gives them: (matrix, index in
+    ``rows``), gathered from the block's bytes."""
+    start, size = w.start[rows], w.end[rows] - w.start[rows]
+    for k in range(0, int(size.max(initial=0)), LONGEST):
+        left = np.minimum(size - k, LONGEST)
+        for n in np.unique(left[left > 0]):
+            i = np.flatnonzero(left == n)
+            m = w.data[(start[i] + k)[:, None] + np.arange(n)]
+            if k == 0:
+                m = np.column_stack([np.full(len(i), MARK, dtype=np.uint8), m])
+            yield m, i
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
     pieces: list[bytes]
-    prob: np.ndarray  # (pieces + 1, languages), last row zero
+    prob: np.ndarray  # (pieces, languages)
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -145,7 +152,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     pieces = load_pieces(vocabulary)
     languages = sorted(counts)
     if not languages:
-        return LanguageModel([], pieces, np.zeros((len(pieces) + 1, 0)))
+        return LanguageModel([], pieces, np.zeros((len(pieces), 0)))
     share = F.create_map(*[x for k, v in counts.items()
                            for x in (F.lit(k), F.lit(min(1.0, docs_per_language / v)))])
     u = F.xxhash64(F.coalesce("_id", F.lit("")), F.lit("language")).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
@@ -172,8 +179,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     lang = np.array([languages.index(x) for x in got.column("lang").to_pylist()], dtype=np.int64)
     n = got.column("n").to_numpy().astype(float)
     table = Pieces(pieces)
-    prob = np.full((len(pieces) + 1, len(languages)), 1.0 / len(pieces))
-    prob[-1] = 0
+    prob = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
     groups = _by_length(words)
     for _ in range(rounds):
         total = np.zeros_like(prob)
@@ -187,7 +193,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         # A shared floor keeps every piece possible in every language.
         floor = (total.sum(axis=1, keepdims=True) + 1.0) / (total.sum() + len(prob))
         prob = (total + smooth * floor) / (total.sum(axis=0) + smooth)
-        prob[-1] = 0
     return LanguageModel(languages, pieces, prob)
 
 
@@ -197,7 +202,7 @@ def learnable(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text",
-            keep: tuple[str, ...] = ("doc_id",), cache_words: int = 200_000) -> DataFrame:
+            keep: tuple[str, ...] = ("doc_id",), cache_words: int = 1_000_000) -> DataFrame:
     """``keep`` columns plus ``lang_pred`` and ``score``, the posterior probability
     of the predicted language (equal priors) given the whole text.
 
@@ -227,18 +232,15 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                 logs = np.zeros((len(keys), langs))
                 logs[have] = value[at[have]]
                 new = np.flatnonzero(~have)
-                raw = w.data.tobytes()
-                groups = _by_length([raw[w.start[k]:w.end[k]] for k in first[new]])
-                for m, index in groups.values():
-                    p = np.log(np.maximum(forward(table, m, model.prob), 1e-300))
-                    np.add.at(logs, new[index], p)
+                for m, index in _runs(w, first[new]):  # a word once per run length and offset
+                    logs[new[index]] += np.log(np.maximum(forward(table, m, model.prob), 1e-300))
                 if len(new) and len(known) + len(new) <= cache_words:
                     known = np.concatenate([known, keys[new]])
                     order = np.argsort(known)
                     known, value = known[order], np.concatenate([value, logs[new]])[order]
-                per_word = logs[inverse]
-                run_sum = np.concatenate([np.zeros((1, langs)), np.cumsum(per_word, axis=0)])
-                total[w.first:w.first + len(w)] = run_sum[w.offset[1:]] - run_sum[w.offset[:-1]]
+                filled = np.flatnonzero(np.diff(w.offset))
+                if len(filled):
+                    total[w.first + filled] = np.add.reduceat(logs[inverse], w.offset[filled], axis=0)
             pred, score = [], []
             best = total.argmax(axis=1) if langs else None
             if langs:
