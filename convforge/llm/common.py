@@ -107,11 +107,17 @@ class Words:
     within ``data``, ``row_start`` the bytes at which rows begin.
     """
 
-    __slots__ = ("first", "data", "row_start", "start", "end", "hash", "offset")
+    __slots__ = ("first", "data", "row_start", "start", "end", "hash", "offset", "_total", "_q")
 
     def __len__(self):
         return len(self.offset) - 1
 
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(words longer than n bytes, hash of their first n bytes)."""
+        at = np.flatnonzero(self.end - self.start > n)
+        s = self.start[at]
+        return at, mix64((self._total[s + n] - self._total[s]) * self._q[s] + _GRAM[n % len(_GRAM)])
+
     def grams(self, n: int) -> np.ndarray:
         """Hash of the n words from every position (meaningful inside a row)."""
         return word_grams(self.hash, n)
@@ -186,6 +192,7 @@ def blocks(column, lower: bool = True, block_bytes: int = 1 << 21,
         size = len(w.data)
         if size == 0:
             w.start = w.end = np.zeros(0, dtype=np.int64)
+            w._total = w._q = np.zeros(1, dtype=np.uint64)
             w.hash = np.zeros(0, dtype=np.uint64)
             w.offset = np.zeros(b - a + 1, dtype=np.int64)
         else:
@@ -203,12 +210,32 @@ def blocks(column, lower: bool = True, block_bytes: int = 1 << 21,
             total = np.empty(size + 1, dtype=np.uint64)
             total[0] = 0
             np.cumsum(table[w.data] * p, out=total[1:])
+            w._total, w._q = total, q
             w.hash = mix64((total[w.end] - total[w.start]) * q[w.start])
             w.offset = np.searchsorted(w.start, rows)
         yield w
         a = b
 
 
+_BITS = 20
+_BIT_SHIFT = np.uint64(64 - _BITS)
+
+
+def bitmap(values: np.ndarray) -> np.ndarray:
+    """Which leading bits occur among ``values``: a cheap first test for ``find``."""
+    m = np.zeros(1 << _BITS, dtype=bool)
+    m[values >> _BIT_SHIFT] = True
+    return m
+
+
+def find(values: np.ndarray, table: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in ``values`` that occur in the sorted ``table``, and where."""
+    at = np.flatnonzero(bits[values >> _BIT_SHIFT])
+    where = np.searchsorted(table, values[at])
+    ok = table[np.minimum(where, len(table) - 1)] == values[at]
+    return at[ok], where[ok]
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """A record batch of ``schema`` from columns by name."""
     return pa.RecordBatch.from_arrays(

@@ -20,29 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convforge.llm.common import blocks, gram_hash, word_grams
+from convforge.llm.common import bitmap, blocks, find, gram_hash, word_grams
 
 RARE = 1e-9
 SHORTEST, LONGEST = 3, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of test items that one pass over the documents takes (bounded broadcast).
 BLOCK_WORDS = 500_000
-_BITS = 20
-_BIT_SHIFT = np.uint64(64 - _BITS)
-
-
-def _bitmap(values: np.ndarray) -> np.ndarray:
-    m = np.zeros(1 << _BITS, dtype=bool)
-    m[(values >> _BIT_SHIFT).astype(np.int64)] = True
-    return m
-
-
-def _find(values: np.ndarray, table: np.ndarray, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in ``values`` that occur in the sorted ``table``, and where."""
-    at = np.flatnonzero(bitmap[(values >> _BIT_SHIFT).astype(np.int64)])
-    where = np.searchsorted(table, values[at])
-    ok = table[np.minimum(where, len(table) - 1)] == values[at]
-    return at[ok], where[ok]
 
 
 def _item_words(texts: list[str]) -> list[np.ndarray]:
@@ -58,12 +42,12 @@ def _frequencies(texts: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray,
 
     def run(batches):
         table = shared.value
-        bitmap = _bitmap(table)
+        bits = bitmap(table)
         count, total = np.zeros(len(table), dtype=np.int64), 0
         for b in batches:
             for w in blocks(b.column(0), punctuation=True):
                 total += len(w.hash)
-                _, where = _find(w.hash, table, bitmap)
+                _, where = find(w.hash, table, bits)
                 count += np.bincount(where, minlength=len(table))
         seen = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays(
@@ -168,13 +152,13 @@ def _block(docs: DataFrame, items: list[tuple], threshold: float) -> DataFrame:
 
     def run(batches):
         items, seeds = shared.value
-        maps = {n: _bitmap(keys) for n, (keys, _) in seeds.items()}
+        maps = {n: bitmap(keys) for n, (keys, _) in seeds.items()}
         for b in batches:
             found = []  # row, item, score, start, end
             for w in blocks(b.column(1), punctuation=True):
                 hits = []
                 for n, (keys, places) in seeds.items():
-                    at, where = _find(word_grams(w.hash, n), keys, maps[n])
+                    at, where = find(word_grams(w.hash, n), keys, maps[n])
                     if not len(at):
                         continue
                     row = np.searchsorted(w.offset, at, side="right") - 1

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convforge.llm import decontam, fingerprints, jaccard, langid, mixing, quality, secrets, sharding
+from convforge.llm import decontam, fingerprints, jaccard, langid, licenses, mixing, quality, secrets, sharding, toxicity
 from convforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,12 @@ def op2(spark, sf_dir):
     return decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op3_toxicity")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @register("op4_mixing")
 def op4(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -68,6 +74,11 @@ def op10(spark, sf_dir):
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@register("op8_licenses")
+def op8(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @register("op9_ngram_jaccard")
 def op9(spark, sf_dir):
     return jaccard.ngram_jaccard_join(table(spark, sf_dir, "documents"), words=3, similarity=(90, 100))
