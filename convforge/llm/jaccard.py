@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convforge.llm.common import blocks, mix64, written
+from convforge.llm.common import attach_small, blocks, mix64, written
 from convforge.llm.components import components
 
 SKETCH_BITS = 22
@@ -144,7 +144,7 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, n
     """
     used = pairs.select(F.explode(F.array("u", "v")).alias("cid")).distinct()
     wanted = written(classes.select("cid", "rep", "d1", "d2").join(used, "cid"), "join-used")
-    source = docs.join(wanted.withColumnRenamed("rep", "_id"), "_id").select("cid", "d1", "d2", "_text")
+    source = attach_small(docs, wanted.withColumnRenamed("rep", "_id"), "_id").select("cid", "d1", "d2", "_text")
 
     def sets(batches):
         seen = set()  # a repeated row gives its set once per task

@@ -10,8 +10,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convforge.llm import mixing, sharding
-from convforge.llm.common import table, written
+from convforge.llm import decontam, jaccard, mixing, quality, sharding
+from convforge.llm.common import attach_small, table, written
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    model = quality.fit(docs, quality.learnable(table(spark, sf_dir, "labels")))
+    columns = docs.columns
+    return quality.score(docs, model, keep=tuple(columns)).where("predicted = 1").select(*columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the least id; five-word
+    shingles, Jaccard similarity 0.8 or more.  Of repeated rows with that id one
+    stays; rows without words or without an id belong to no group and stay."""
+    groups = jaccard.ngram_jaccard_join(docs, words=5, similarity=(80, 100))
+    gone = written(groups.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct(),
+                   "duplicate-ids")
+    left = attach_small(docs, gone, "doc_id", "left_anti").select(*docs.columns)
+    twice = written(groups.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count()
+                    .where("count > 1").select("doc_id"), "repeated-ids")
+    if twice.isEmpty():
+        return left
+    # Rows that share an id: once per id and text.
+    once = attach_small(left, twice, "doc_id").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return attach_small(left, twice, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    found = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    gone = written(found.select("doc_id").distinct(), "contaminated-ids")
+    return attach_small(docs, gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +51,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keep = tuple(f"_doc_{i}" for i in range(len(names)))
     mixed = mixing.mix_sources(docs.select("*", *[F.col(c).alias(k) for c, k in zip(names, keep)]),
                                keep=keep)
-    return (mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"), F.lit(1))))
+    return (mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
                  .select(*[F.col(k).alias(c) for c, k in zip(names, keep)]))
 
 
@@ -31,6 +62,9 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", quality_filter),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
     ("mixing", mix),
     ("sharding", shard),
 ]
