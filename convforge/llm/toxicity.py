@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from convforge.llm.common import bitmap, blocks, find, written
 
 LEAST_DOCS = 3
+LEAST_Z = 2.5  # log odds over its standard error; less is noise
 PREFIXES = (5, 6, 7, 8)  # bytes
 
 
@@ -127,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # Log odds over its standard error: strong and well-attested words first.
     p, q = (F.col("t") + 0.5) / (n_t + 1.0), (F.col("c") + 0.5) / (n_c + 1.0)
     z = (F.log(p / (1 - p)) - F.log(q / (1 - q))) / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-    top = (words.withColumn("z", z).orderBy(F.abs("z").desc(), "word").limit(vocabulary)
+    top = (words.withColumn("z", z).where(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "word").limit(vocabulary)
                 .select("word", "z").collect())
     if not top or not any(r["_y"] > 0 for r in picked) or not any(r["_y"] == 0 for r in picked):
         return SeverityModel(np.zeros(0, np.uint64), np.zeros(0), np.full(levels, 60.0))
