@@ -14,6 +14,7 @@ linked sets share a token in a short prefix of each.
 3. Each class is compared with its group's pivot, pivots with the pivots of
    qualifying groups.  Then qualifying groups are opened, but only towards
    members that these links have not already put in the same component.
+   Sizes and parity bitmaps bound the difference of two sets before that.
 4. Every comparison is verified on the full sets.  Components of the links give
    the result, so no group of copies is expanded into all its pairs.
 
@@ -101,8 +102,19 @@ def _digest(u: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+def _parity(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bitmap of a set (a power of two of at least twice its size in bits, 128
+    to 4096) and the same folded to half its length.  Two bitmaps of one length
+    differ in at most as many bits as the sets in elements."""
+    m = min(4096, max(128, 1 << (2 * len(u) - 1).bit_length()))
+    odd = np.bincount((u & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    full = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return full, full[:len(full) // 2] ^ full[len(full) // 2:]
+
+
 def _sets(docs: DataFrame, words: int, num: int, den: int, classes: np.ndarray) -> DataFrame:
-    """(_id, n, d1, d2, tokens): size and digest of each set and its prefix in token order."""
+    """(_id, n, d1, d2, bits, half, tokens): size, digest and parity bitmap of each set
+    and its prefix in token order."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)  # 2**SKETCH_BITS small integers
 
     def run(batches):
@@ -111,12 +123,13 @@ def _sets(docs: DataFrame, words: int, num: int, den: int, classes: np.ndarray)
             rows = b.num_rows
             n = np.zeros(rows, dtype=np.int64)
             d = np.zeros((rows, 2), dtype=np.int64)
-            tokens = [None] * rows
+            tokens, bits, half = [None] * rows, [None] * rows, [None] * rows
             for w in blocks(b.column(1)):
                 for r, u in _distinct(*w.shingles(words)):
                     i = w.first + r
                     n[i] = m = len(u)
                     d[i] = _digest(u)
+                    bits[i], half[i] = _parity(u)
                     p = m - (num * m + den - 1) // den + 1
                     key = (rank[(u >> _SHIFT).astype(np.int64)].astype(np.uint64) << np.uint64(55)) \
                         | (u >> np.uint64(9))
@@ -125,11 +138,13 @@ def _sets(docs: DataFrame, words: int, num: int, den: int, classes: np.ndarray)
                     tokens[i] = u[first].view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n), pa.array(np.ascontiguousarray(d[:, 0])),
-                 pa.array(np.ascontiguousarray(d[:, 1])), pa.array(tokens, pa.list_(pa.int64()))],
-                names=["_id", "n", "d1", "d2", "tokens"])
+                 pa.array(np.ascontiguousarray(d[:, 1])),
+                 *[pa.array(x, pa.list_(pa.int64())) for x in (bits, half, tokens)]],
+                names=["_id", "n", "d1", "d2", "bits", "half", "tokens"])
 
     kind = docs.schema["_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"_id {kind}, n bigint, d1 bigint, d2 bigint, tokens array<bigint>")
+    return docs.mapInArrow(run, f"_id {kind}, n bigint, d1 bigint, d2 bigint, "
+                                "bits array<bigint>, half array<bigint>, tokens array<bigint>")
 
 
 def _ceil(expr: str, num: int, den: int) -> str:
@@ -199,7 +214,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = _sketch(src.select("_text"), words)
     sets = written(_sets(src, words, num, den, order), "join-rows")
     classes = written(sets.where("n > 0").groupBy("n", "d1", "d2")
-                      .agg(F.min("_id").alias("rep"), F.first("tokens").alias("tokens"))
+                      .agg(F.min("_id").alias("rep"), F.first(F.struct("tokens", "bits", "half")).alias("s"))
+                      .select("n", "d1", "d2", "rep", "s.*")
                       .withColumn("cid", F.monotonically_increasing_id()), "join-classes")
 
     # Prefix tokens that at least two classes have, one of them in its index prefix.
@@ -240,15 +256,28 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = written(_verify(src, classes, tried, words, num, den), "join-links")
     roots = components(links)
 
-    # Open the qualifying groups towards members of other components.
+    # Open the qualifying groups towards members of other components whose size and
+    # parity bitmap allow the similarity.  Most of a group of copies is in one
+    # component by now: its members meet only the group's other members.
     part = written(member.join(roots.withColumnRenamed("v", "cid"), "cid", "left")
-                   .select("cid", "n", "grp", F.coalesce("root", "cid").alias("root")), "join-parts")
-    kinds = part.groupBy("grp", F.col("root").alias("other")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    facing = (opened.join(part.select("cid", "root"), "cid").join(kinds, "grp")
-              .where("root <> other and hi >= least and lo <= n").select("cid", "n", "least", "grp", "other"))
-    pairs = (facing.join(part.select("grp", F.col("root").alias("other"), F.col("cid").alias("m"),
-                                     F.col("n").alias("size")), ["grp", "other"])
-             .where("size >= least and size <= n")
+                   .join(classes.select("cid", "bits", "half"), "cid")
+                   .select("cid", "n", "grp", "bits", "half", F.coalesce("root", "cid").alias("root")), "join-parts")
+    sizes = part.groupBy("grp", "root").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("grp").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots"))
+    main = main.where("roots > 1").select("grp", F.col("m.root").alias("main"))
+    asking = (opened.join(main, "grp").join(part.select("cid", "root", "bits", "half"), "cid"))
+    target = part.select("grp", F.col("root").alias("other"), F.col("cid").alias("m"), F.col("n").alias("size"),
+                         F.col("bits").alias("bits2"), F.col("half").alias("half2"))
+    # (Sizes further apart than a factor of two have no bitmaps of one length.)
+    fits = F.expr(f"""other <> root and size >= least and size <= n and
+        (greatest(size(bits), size(bits2)) > 2 * least(size(bits), size(bits2)) or aggregate(zip_with(
+            case when size(bits) <= size(bits2) then bits else half end,
+            case when size(bits2) <= size(bits) then bits2 else half2 end,
+            (x, y) -> bit_count(x ^ y)), 0, (a, x) -> a + coalesce(x, 0))
+        <= n + size - 2 * ({_ceil('n + size', num, num + den)}))""")
+    rest = target.join(main, "grp").where("other <> main").drop("main")
+    pairs = (asking.where("root = main").join(rest, "grp").where(fits).select("cid", "m")
+             .unionByName(asking.where("root <> main").join(target, "grp").where(fits).select("cid", "m"))
              .select(F.greatest("cid", "m").alias("u"), F.least("cid", "m").alias("v")).distinct()
              .join(tried, ["u", "v"], "left_anti"))
     pairs = written(pairs, "join-pairs")
@@ -262,6 +291,6 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .withColumn("root", F.coalesce("root", "cid")))
     names = named.groupBy("root").agg(F.min("rep").alias("component"))
     named = named.join(names, "root").select("n", "d1", "d2", "component")
-    return (sets.drop("tokens").join(named, ["n", "d1", "d2"], "left")
+    return (sets.select("_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"], "left")
                 .select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
                         F.coalesce("component", "_id").alias("component_id")))
