@@ -60,3 +60,12 @@ def attach_results(examples: DataFrame, results: DataFrame, keys) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     extra = [c for c in results.columns if c not in keys]
     return examples.join(results.select(*keys, *extra), keys, "left")
+
+
+def lookup_small(big: DataFrame, small: DataFrame, keys, how: str = "inner",
+                 max_rows: int = 500_000) -> DataFrame:
+    """Join a narrow, already written table: broadcast when its counted rows are
+    within ``max_rows``, else a shuffle join."""
+    if small.limit(max_rows + 1).count() <= max_rows:
+        small = F.broadcast(small)
+    return big.join(small, keys, how)

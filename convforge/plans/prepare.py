@@ -47,21 +47,18 @@ def validate_jsonl_lines(lines: DataFrame, explode_arrays: bool = False) -> Data
                                | ~F.col("reason").isin(va.PARSE_ERROR, va.VALUE_TOO_LARGE),
                                line_col="line_no")
     return (v.where(~is_blank(F.col("value")))
-            .withColumn("errors_before", F.lit(0)).select(*VALIDATED_COLUMNS))
+            .withColumn("errors_before", F.lit(0).cast("bigint")).select(*VALIDATED_COLUMNS))
 
 
 def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
            jsonl_glob: str = "*.jsonl", json_glob: str = "*.json",
-           recursive: bool = False, split_json_files: bool = True,
-           explode_arrays: bool = False) -> DataFrame:
+           recursive: bool = False, explode_arrays: bool = False) -> DataFrame:
     """Validated RAW rows of every raw file under ``raw_dir``.
 
     Columns: file_path, file_name, object_index, line_no (JSONL only, the
     reference's warning line), value, reason, bad_index, messages,
     errors_before.  ``reason`` is NULL for accepted rows.
-    ``split_json_files`` decodes concatenated files larger than one input
-    split chunk-parallel (``read_mixed_json_auto``); False reads every file
-    in one task.  ``explode_arrays`` turns each element of a top-level JSON
+    ``explode_arrays`` turns each element of a top-level JSON
     array into its own value (``element_index``); by default such an array
     is one rejected value, as in the reference.
     """
@@ -79,8 +76,7 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
     else:
         raise ValueError("reader must be 'auto' or 'mixed'")
     for g in [g for g in mixed_globs if g]:
-        read = raw.read_mixed_json_auto if split_json_files else raw.read_mixed_json
-        vals = read(spark, raw_dir, g, recursive).where(F.col("value").isNotNull())
+        vals = raw.read_mixed_json(spark, raw_dir, g, recursive).where(F.col("value").isNotNull())
         vals = (raw.explode_top_level_arrays(vals) if explode_arrays
                 else vals.withColumn("element_index", F.lit(None).cast("int")))
         parts.append(va.validate_values(vals)

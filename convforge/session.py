@@ -97,13 +97,17 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (unit tests, a bare local session) is a
-    private temporary folder created and registered.
+    Only when a session whose executors run in the driver's process has none
+    (unit tests, a bare local session) is a private temporary folder created
+    and registered; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="convforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -117,6 +121,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/convforge/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def write_through(df, name: str):
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
+
+    Like ``materialize``, for results of which later steps read some columns or
+    rows only.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df, spark: SparkSession | None = None):
     """Write ``df`` to the shared checkpoint folder and continue from there.
 

@@ -10,25 +10,19 @@ so they can be reported; ``operators.validate.validate_values`` marks them
 * ``.jsonl`` files are split by Spark's line reader like any large text
   file, so one file is read by many tasks.
 * ``.json`` files hold concatenated / pretty-printed values with optional
-  commas between them.  ``read_mixed_json_split`` reads them line-split,
-  finds value boundaries with a bracket-depth prefix sum and decodes chunks
-  in parallel; only files that need error recovery are decoded whole
-  (``read_mixed_json``, one Python UDTF call per file, which defines the
-  recovery semantics).  Spark's own ``multiLine`` JSON would return only the
-  first value of such a file.
+  commas between them; ``sources.concatenated`` decodes them split by split.
+  Spark's own ``multiLine`` JSON would return only the first value of such a
+  file.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
 from convforge.functions.jsonparse import strict_parse
 from convforge.functions.text import is_blank
-from convforge.schemas import MIXED_JSON_SEPARATORS
+from convforge.sources.concatenated import read_mixed_json
 
 RAW_COLUMNS = ["file_name", "object_index", "value"]
 
@@ -66,7 +60,7 @@ def number_within_file(df: DataFrame, file_col: str = "file_name", block_col: st
     offsets = per_block.select(file_col, block_col,
                                F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
                                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_all"))
-    idx = (F.col("_off") + F.col("_r") - 1).cast("int")
+    idx = (F.col("_off") + F.col("_r") - 1).cast("bigint")
     out_df = (ranked.join(offsets, [file_col, block_col])
               .withColumn(out, F.when(F.col("_w") == 1, idx)))
     if line_col:
@@ -104,54 +98,6 @@ def read_jsonl(spark: SparkSession, path: str, glob: str = "*.jsonl",
     return numbered.select(*RAW_COLUMNS)
 
 
-@udtf(returnType="object_index int, pos int, value string, errors_before int")
-class ConcatenatedJson:
-    """Decode a text of concatenated JSON values.
-
-    Separators (space, tab, CR, LF, comma) between values are skipped; where
-    no value decodes, one character is skipped and decoding resumes, so
-    intact values after damage are recovered.  Each value is re-encoded as
-    compact JSON; ``errors_before`` counts skipped positions since the
-    previous value (a trailing row with NULL value carries the rest).
-    """
-
-    def eval(self, content: str):
-        if content is None:
-            return
-        text = content.strip()
-        # The decoder's scanner reports "no value starts here" with a cheap
-        # StopIteration; raw_decode would build a JSONDecodeError whose line
-        # number costs a scan of the text so far, per skipped character.
-        scan = json.JSONDecoder().scan_once
-        i, n, k, errors = 0, len(text), 0, 0
-        while i < n:
-            if text[i] in MIXED_JSON_SEPARATORS:
-                i += 1
-                continue
-            try:
-                obj, end = scan(text, i)
-            except (StopIteration, json.JSONDecodeError):
-                errors += 1
-                i += 1
-                continue
-            yield k, i, json.dumps(obj, ensure_ascii=False), errors
-            k, errors, i = k + 1, 0, end
-        if errors:
-            yield None, None, None, errors
-
-
-def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
-                    recursive: bool = False) -> DataFrame:
-    """Concatenated / pretty-printed JSON files, one UDTF call per file."""
-    # wholetext must be the text() argument: its default would override an option.
-    files = (spark.read.option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", str(recursive).lower())
-             .text(path, wholetext=True)
-             .select(F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_name").alias("file_name"), "value"))
-    return decode_concatenated(files)
-
-
 def explode_top_level_arrays(values: DataFrame, value: str = "value") -> DataFrame:
     """Option for Q4: a value that is a JSON array becomes one value per
     element (re-encoded JSON), with ``element_index`` its position; other
@@ -166,68 +112,6 @@ def explode_top_level_arrays(values: DataFrame, value: str = "value") -> DataFra
             .drop("_elem"))
 
 
-def list_files(spark: SparkSession, path: str, glob: str, recursive: bool = False):
-    """(path, size) of the data files under ``path`` matching ``glob``.
-
-    A driver-side metadata listing, as Spark's own file index does for any
-    scan; hidden files ('_' or '.' prefix) are skipped like Spark does.
-    """
-    import fnmatch
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = []
-    if fs.getFileStatus(root).isFile():
-        it_status = [fs.getFileStatus(root)]
-    else:
-        it = fs.listFiles(root, bool(recursive))
-        it_status = []
-        while it.hasNext():
-            it_status.append(it.next())
-    for st in it_status:
-        name = st.getPath().getName()
-        if name.startswith(("_", ".")) or not fnmatch.fnmatchcase(name, glob):
-            continue
-        if recursive and any(part.startswith(("_", ".")) for part in
-                             st.getPath().toUri().getPath().split("/")[:-1] if part):
-            continue
-        out.append((st.getPath().toString(), int(st.getLen())))
-    return out
-
-
-def read_mixed_json_auto(spark: SparkSession, path: str, glob: str = "*.json",
-                         recursive: bool = False) -> DataFrame:
-    """S2 choosing the reader per file: a file within one input split is
-    decoded whole (one task reads it anyway, no extra shuffle); larger files
-    go through the chunk-parallel ``read_mixed_json_split``."""
-    limit = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    files = list_files(spark, path, glob, recursive)
-    small = [p for p, n in files if n <= limit]
-    big = [p for p, n in files if n > limit]
-    parts = []
-    if small:
-        whole = (spark.read.text(small, wholetext=True)
-                 .select(F.col("_metadata.file_path").alias("file_path"),
-                         F.col("_metadata.file_name").alias("file_name"), "value"))
-        parts.append(decode_concatenated(whole))
-    if big:
-        parts.append(read_mixed_json_split(spark, big))
-    if not parts:
-        return spark.createDataFrame(
-            [], "file_path string, file_name string, object_index int, value string, errors_before int")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def decode_concatenated(files: DataFrame, content: str = "value") -> DataFrame:
-    """(file_path, file_name, content) rows -> RAW rows plus ``errors_before``."""
-    out = files.lateralJoin(ConcatenatedJson(F.col(content).outer()).alias("d"))
-    return out.select("file_path", "file_name", F.col("d.object_index").alias("object_index"),
-                      F.col("d.value").alias("value"), F.col("d.errors_before").alias("errors_before"))
-
-
 def scan_raw_dir(spark: SparkSession, raw_dir: str, reader: str = "auto") -> DataFrame:
     """S3 as RAW rows (unvalidated): ``.jsonl`` by lines and ``.json`` as
     concatenated values (``reader='auto'``), or both suffixes as concatenated
@@ -239,100 +123,9 @@ def scan_raw_dir(spark: SparkSession, raw_dir: str, reader: str = "auto") -> Dat
     if reader == "auto":
         jl = read_jsonl(spark, raw_dir)
     elif reader == "mixed":
-        jl = read_mixed_json_auto(spark, raw_dir, glob="*.jsonl").where(F.col("value").isNotNull())
+        jl = read_mixed_json(spark, raw_dir, glob="*.jsonl").where(F.col("value").isNotNull())
         jl = jl.select(*RAW_COLUMNS)
     else:
         raise ValueError("reader must be 'auto' or 'mixed'")
-    js = read_mixed_json_auto(spark, raw_dir).where(F.col("value").isNotNull()).select(*RAW_COLUMNS)
+    js = read_mixed_json(spark, raw_dir).where(F.col("value").isNotNull()).select(*RAW_COLUMNS)
     return jl.unionByName(js)
-
-
-# ---------------------------------------------------------------------------
-# Split-parallel decoding of concatenated JSON files
-# ---------------------------------------------------------------------------
-# String literals are removed in two passes that need no backtracking or
-# recursion in Java's regex engine (an alternation under ``*`` recurses once
-# per character and overflows the stack on long texts): escape pairs first,
-# then plain quoted runs.  Raw line breaks are not allowed inside strings, so
-# in well-formed text every line starts outside a string.
-_ESCAPE_PAIR = r"\\."
-_PLAIN_STRING = r'"[^"]*"'
-_LINE_BLOCK_ROWS = 10_000
-
-
-def _bracket_delta(line):
-    bare = F.regexp_replace(F.regexp_replace(line, _ESCAPE_PAIR, ""), _PLAIN_STRING, "")
-    opens = F.length(F.regexp_replace(bare, r"[^\[{]", ""))
-    closes = F.length(F.regexp_replace(bare, r"[^\]}]", ""))
-    return (opens - closes).cast("bigint")
-
-
-def read_mixed_json_split(spark: SparkSession, path, glob: str = "*.json",
-                          recursive: bool = False) -> DataFrame:
-    """S2 without reading any file in one task, exact for every file.
-
-    1. Lines are read like any text file (split by input blocks).  Each line
-       gets its bracket-depth change outside string literals; a two-level
-       running sum per file gives the depth at every line start.
-    2. A non-blank line starting at depth 0 opens a *chunk*; a running count
-       of such lines numbers the chunks of a file.  A chunk holds at most one
-       multi-line value plus single-line values, so its size is bounded by
-       the records, not by the file.
-    3. Each chunk is decoded by the same UDTF as whole files, and values are
-       numbered per file in (chunk, position) order.
-    4. A chunk that decoded cleanly (no skipped character) ends exactly where
-       the whole-file decoder would be, so clean files are exact.  Files with
-       any recovery event are decoded again whole (``read_mixed_json``),
-       which defines the damaged-file semantics; only those files take the
-       one-task path.
-
-    Returns the same columns as ``read_mixed_json``.
-    """
-    from convforge.operators.ordering import running_within
-    from convforge.session import materialize
-
-    lines = (spark.read.option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", str(recursive).lower())
-             .text(path)
-             .select(F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_name").alias("file_name"),
-                     F.col("_metadata.file_block_start").alias("_blk"),
-                     F.monotonically_increasing_id().alias("_seq"),
-                     "value"))
-    # Sequence ids depend only on the input split and row order, which are
-    # the same on every read of these files.
-    lines = lines.withColumn("_d", _bracket_delta(F.col("value")))
-    depth = running_within(lines, "file_path", "_seq", F.col("_blk"), ["_d"])
-    # The depth pass is read twice by the chunk pass: compute it once.
-    starts = materialize(depth.withColumn(
-        "_start", ((F.col("run__d") - F.col("_d") == 0) & ~is_blank(F.col("value"))).cast("bigint")))
-    chunked = running_within(starts, "file_path", "_seq", F.col("_blk"), ["_start"])
-    chunks = (chunked.groupBy("file_path", "file_name", F.col("run__start").alias("chunk"))
-              .agg(F.array_sort(F.collect_list(F.struct("_blk", "_seq", "value"))).alias("_ls"))
-              .select("file_path", "file_name", "chunk",
-                      F.array_join(F.transform("_ls", lambda x: x["value"]), "\n").alias("value")))
-    decoded = materialize(
-        chunks.lateralJoin(ConcatenatedJson(F.col("value").outer()).alias("d"))
-        .select("file_path", "file_name", "chunk",
-                F.col("d.object_index").alias("_local"), F.col("d.value").alias("value"),
-                F.col("d.errors_before").alias("errors_before")))
-
-    dirty = (decoded.groupBy("file_path")
-             .agg(F.max(F.coalesce("errors_before", F.lit(0))).alias("_e"))
-             .where(F.col("_e") > 0).select("file_path"))
-    clean = decoded.join(dirty, "file_path", "left_anti").where(F.col("value").isNotNull())
-    numbered = running_within(
-        clean.withColumn("_one", F.lit(1).cast("bigint")),
-        "file_path", ["chunk", "_local"],
-        F.floor(F.col("chunk") / F.lit(_LINE_BLOCK_ROWS)).cast("bigint"), ["_one"])
-    out = numbered.select("file_path", "file_name",
-                          (F.col("run__one") - 1).cast("int").alias("object_index"),
-                          "value", F.col("errors_before").cast("int").alias("errors_before"))
-    # The list of damaged files is metadata (one path per file).
-    bad_paths = [r["file_path"] for r in dirty.collect()]
-    if bad_paths:
-        whole = (spark.read.text(bad_paths, wholetext=True)
-                 .select(F.col("_metadata.file_path").alias("file_path"),
-                         F.col("_metadata.file_name").alias("file_name"), "value"))
-        out = out.unionByName(decode_concatenated(whole))
-    return out

@@ -125,32 +125,51 @@ def test_s9_curated_markdown(spark, tmp_dir):
     assert [m["role"] for m in rows[1]["messages"]] == ["user", "assistant"]
 
 
-def test_split_parallel_reader_equals_whole_file_reader(spark, tmp_dir):
-    files = {
-        "a.json": conv_json("a", "b") + ",\n" + json.dumps(json.loads(conv_json("p {[", "q")), indent=2)
-        + "\n" + conv_json("x", "y") + conv_json("z", "w") + "\n",
-        "b.json": "\n\n" + "\n".join(json.dumps(json.loads(conv_json(f"u{i}", "]}")), indent=1) + ","
-                                     for i in range(300)),
-        "c.json": conv_json("1", "1") + "\njunk [4]",
-        "d.json": '{"messages": [{"role": "user", "con\n' + conv_json("good", "yes"),
-        "e.json": "[" + conv_json("a", "b") + "," + conv_json("c", "d") + "]",
-        "f.json": "",
-        "g.json": '] {"a":\n1}\n' + conv_json("k", "l"),
-    }
-    for n, t in files.items():
-        write(os.path.join(tmp_dir, n), t)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
-    try:
-        cols = ["file_name", "object_index", "value", "errors_before"]
-        whole = sorted(map(tuple, raw.read_mixed_json(spark, tmp_dir).select(*cols).collect()), key=str)
-        split = sorted(map(tuple, raw.read_mixed_json_split(spark, tmp_dir).select(*cols).collect()), key=str)
-        auto = sorted(map(tuple, raw.read_mixed_json_auto(spark, tmp_dir).select(*cols).collect()), key=str)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert len(whole) > 300 and whole == split == auto
-    sizes = dict((os.path.basename(p), n) for p, n in raw.list_files(spark, tmp_dir, "*.json"))
-    assert sizes["b.json"] > 2048 > sizes["c.json"]  # both reader paths were used
+COLUMNS = ["file_name", "object_index", "value", "errors_before"]
+
+FILES = {
+    "a": conv_json("a", "b") + ",\n" + json.dumps(json.loads(conv_json("p {[", "q")), indent=2)
+         + "\n" + conv_json("x", "y") + conv_json("z", "w") + "\n",
+    "b": "\n\n" + "\n".join(json.dumps(json.loads(conv_json(f"u{i}", "]}")), indent=1) + ","
+                               for i in range(60)),
+    "c": conv_json("1", "1") + "\njunk [4]",
+    "d": '{"messages": [{"role": "user", "con\n' + conv_json("good", "yes"),
+    "e": "[" + conv_json("a", "b") + "," + conv_json("c", "d") + "]",
+    "f": "",
+    "g": '] {"a":\n1}\n' + conv_json("k", "l"),
+    "h": "}\n" + "\n".join(conv_json(f"s{i}", "t") for i in range(30)),
+    "i": "[\n" + ",\n".join(conv_json(f"s{i}", "t") for i in range(30)),
+    "j": "\u00a0" + conv_json("nbsp", "x") + "\u00a0\n\u00a0" + conv_json("nbsp", "y") + "\u00a0\n",
+    "k": "[" * 50_000 + conv_json("deep", "x"),
+    "l": '{"a": NaN, ' + conv_json("nan", "x")[1:] + "\n-Infinity",
+}
+
+
+def test_every_split_size_and_suffix_gives_the_same_values(spark, tmp_dir):
+    """A file is decoded alike as one split or many, whatever its name's suffix."""
+    seen = {}
+    for suffix, size in (("json", "128m"), ("jsonl", "4096"), ("txt", "600")):
+        folder = os.path.join(tmp_dir, f"_landing-{suffix}")  # a hidden parent is no hidden file
+        os.makedirs(folder)
+        for n, t in FILES.items():
+            write(os.path.join(folder, f"{n}.{suffix}"), t)
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = raw.read_mixed_json(spark, folder, glob=f"*.{suffix}", recursive=suffix == "json")
+            rows = [(r[0].split(".")[0], *r[1:]) for r in map(tuple, got.select(*COLUMNS).collect())]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        seen[suffix, size] = sorted(rows, key=str)
+    first = seen["json", "128m"]
+    assert all(rows == first for rows in seen.values())
+    by = {n: sorted((r for r in first if r[0] == n and r[2] is not None), key=lambda r: r[1]) for n in FILES}
+    assert [len(by[n]) for n in "abcefghijl"] == [4, 60, 2, 1, 0, 2, 30, 30, 2, 2]
+    assert [r[3] for r in by["c"]] == [0, 4]
+    assert [r[3] for r in by["h"]][:2] == [1, 0] and [r[3] for r in by["i"]][:2] == [1, 0]
+    assert [r[3] for r in by["j"]] == [0, 2]
+    assert json.loads(by["k"][-1][2]) and len(by["k"]) >= 1
+    assert json.loads(by["l"][0][2])["a"] is None
 
 
 def test_q13_bom_first_line_accepted(spark, tmp_dir):
