@@ -16,18 +16,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def to_nested(turns: DataFrame, key: str = "conv_id", order: str = "turn",
+def to_nested(turns: DataFrame, key="conv_id", order: str = "turn",
               role: str = "role", text: str = "text") -> DataFrame:
-    """Long turns -> one row per conversation with an ordered message array.
+    """Long turns -> one row per conversation (``key``: its key column or columns)
+    with an ordered message array.
 
     Messages keep their raw text; apply ``validate`` for strip / checks.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     msg = F.struct(F.col(order).alias("o"),
                    F.struct(F.col(role).alias("role"),
                             F.col(text).alias("content")).alias("m"))
-    return (turns.groupBy(key)
+    return (turns.groupBy(*keys)
             .agg(F.array_sort(F.collect_list(msg)).alias("_ms"))
-            .select(key, F.transform("_ms", lambda x: x["m"]).alias("messages")))
+            .select(*keys, F.transform("_ms", lambda x: x["m"]).alias("messages")))
 
 
 def to_long(conv: DataFrame, keys=("conv_id",), messages: str = "messages") -> DataFrame:

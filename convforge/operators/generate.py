@@ -10,10 +10,12 @@ Generation parameters are passed through unchanged.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 
+from convforge.functions.template import CHATML, ChatTemplate
 from convforge.schemas import DEFAULT_GENERATION
 
 
@@ -64,10 +66,49 @@ def batch_generate(prompts: DataFrame, generator_factory: Callable, keys,
     return src.mapInPandas(run, schema)
 
 
+def chat_replies(conv: DataFrame, generator_factory: Callable, keys, template: ChatTemplate = CHATML,
+                 params: dict | None = None, messages: str = "messages") -> DataFrame:
+    """(keys..., messages) with a reply after every user message.
+
+    ``messages`` holds a conversation's system prompt and user messages, as replay
+    gives them.  Each reply is generated from the whole history so far, replies
+    included; the conversations of an Arrow batch take their turns together.
+    """
+    import pandas as pd
+
+    keys = list(keys)
+    gen_params = dict(DEFAULT_GENERATION)
+    gen_params.update(params or {})
+    src = conv.select(*keys, messages)
+    before, after = template.message_prefix.split("{role}", 1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gen = generator_factory()
+        for pdf in batches:
+            todo = [list(m) for m in pdf[messages]]
+            done: list[list] = [[] for _ in todo]
+            while any(todo):
+                asked = []
+                for i, left in enumerate(todo):
+                    while left:
+                        m = left.pop(0)
+                        done[i].append({"role": m["role"], "content": m["content"]})
+                        if m["role"] == "user":
+                            asked.append(i)
+                            break
+                prompts = ["".join(before + m["role"] + after + m["content"] + template.message_suffix
+                                   for m in done[i]) + template.generation_prompt for i in asked]
+                for i, reply in zip(asked, gen(prompts, **gen_params) if prompts else []):
+                    done[i].append({"role": "assistant", "content": reply.strip()})
+            yield pdf[keys].assign(**{messages: done})
+
+    return src.mapInPandas(run, src.schema)
+
+
 class EchoGenerator:
-    """Deterministic stand-in model: replies with the prompt length and the
-    prompt's last 63 characters (enough to show the tail of the query).
-    Useful for tests and dry runs of the evaluation plan."""
+    """Deterministic stand-in model: replies with the length and the digest of the
+    whole prompt, so that any damage to it shows.  Useful for tests and dry runs
+    of the evaluation plan."""
 
     def __call__(self, prompts, **params):
-        return [f" reply:{len(p)} {p[-63:]}\n" for p in prompts]
+        return [f" reply:{len(p)} {hashlib.md5(p.encode()).hexdigest()}\n" for p in prompts]

@@ -7,8 +7,8 @@ task.  Here the order key is coarsened into buckets that preserve its order
 1. count rows (and sum the running columns) per bucket -- a map-side
    combined aggregate whose result has at most ``n_buckets`` rows;
 2. prefix-sum that small table;
-3. broadcast it (its size is bounded by ``n_buckets``, independent of the
-   data) and add each bucket's offset to a window partitioned by bucket.
+3. join it on the bucket and add each bucket's offset to a window
+   partitioned by bucket.
 
 Each bucket is sorted independently, so the work spreads over all tasks.
 Buckets must not be skewed: derive them from a hash (``md5_bucket``) or from
@@ -51,7 +51,7 @@ def ranked_running(df: DataFrame, bucket: Column, order, sums=(),
     expensive input once into the shared checkpoint folder first.
     """
     if n_buckets > MAX_BUCKETS:
-        raise ValueError("too many buckets for a broadcast offset table")
+        raise ValueError("too many buckets for one ordered offset table")
     order = [order] if isinstance(order, str) else list(order)
     sums = list(sums)
     b = df.withColumn("_bkt", bucket)
@@ -73,7 +73,9 @@ def ranked_running(df: DataFrame, bucket: Column, order, sums=(),
 
     within = Window.partitionBy("_bkt").orderBy(*order)
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = (b.join(F.broadcast(offsets), "_bkt")
+    # The window needs the rows by bucket anyway: the join shares that shuffle, or
+    # AQE broadcasts the offsets by their measured size.
+    out = (b.join(offsets, "_bkt")
            .withColumn(rank_col, (F.col("_off") + F.row_number().over(within)).cast("bigint")))
     for c in sums:
         out = out.withColumn(f"run_{c}", F.col(f"_o_{c}") + F.sum(c).over(upto))

@@ -163,32 +163,3 @@ def first_user_expected_long(turns: DataFrame, key: str = "conv_id", order: str
     return (agg.select(key, F.col("_u.t").alias("user_turn"), F.col("_u.c").alias("user_query"),
                        F.col("_a.c").alias("expected"))
             .where(F.col("user_query").isNotNull() & (F.col("user_query") != "")))
-
-
-class TokenizerFile:
-    """Factory for ``truncate_exact``: a tokenizer saved as ``tokenizer.json``.
-
-    ``TokenizerFile(path)`` is pickled to the executors; calling it there
-    loads the file once per task (the ``tokenizers`` package must be
-    installed on the workers).  The returned object has ``encode(text) ->
-    ids`` and ``decode(ids) -> text``; special tokens are not added, since
-    the chat template already contains them.
-    """
-
-    def __init__(self, path: str):
-        self.path = path
-
-    def __call__(self):
-        try:
-            from tokenizers import Tokenizer
-        except ImportError as e:  # pragma: no cover - depends on the image
-            raise RuntimeError("the 'tokenizers' package is needed for exact token counts") from e
-        tok = Tokenizer.from_file(self.path)
-
-        class _Codec:
-            def encode(self, text):
-                return tok.encode(text, add_special_tokens=False).ids
-
-            def decode(self, ids):
-                return tok.decode(ids, skip_special_tokens=False)
-        return _Codec()

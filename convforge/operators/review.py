@@ -18,11 +18,6 @@ from convforge.operators.generate import batch_generate
 from convforge.operators.render import eval_prompts
 from convforge.schemas import REVIEW_PREVIEW_CHARS
 
-# A report embeds the sample rows in one JSON document; beyond this many the
-# samples stay a table and the report only points to it.
-MAX_EMBEDDED_SAMPLES = 1000
-
-
 def review_table(conv: DataFrame, order: str, generator_factory: Callable,
                  num_samples: int | None = None, template: ChatTemplate = CHATML,
                  params: dict | None = None, messages: str = "messages",
@@ -47,20 +42,23 @@ def review_table(conv: DataFrame, order: str, generator_factory: Callable,
             .withColumn("generated_preview", preview(F.col("generated"), w, always_ellipsis=True)))
 
 
-def evaluation_report(ppl: DataFrame, review: DataFrame, order: str,
-                      num_samples: int | None) -> DataFrame:
-    """One row: perplexity, num_val_samples, sample_responses (S6 shape).
+def evaluation_report(ppl: DataFrame, n_val: int, review: DataFrame, order: str) -> DataFrame:
+    """S6 as lines (pos, sub, value) of one JSON document: perplexity,
+    num_val_samples (A14: the size of the split, scored or not) and
+    sample_responses, one line per review row in ``order``, however many."""
+    first = review.agg(F.min(order)).head()[0]
+    def line(pos, value):
+        value = F.lit(value) if isinstance(value, str) else value
+        return F.struct(F.lit(pos).alias("pos"), value.alias("value"))
 
-    ``ppl`` is the one-row output of ``score.perplexity``.  Samples are
-    embedded only for a bounded ``num_samples``.
-    """
-    head = ppl.select("perplexity", F.col("num_samples").alias("num_val_samples"))
-    if num_samples is None or num_samples > MAX_EMBEDDED_SAMPLES:
-        return head
-    samples = review.agg(F.sort_array(F.collect_list(F.struct(
-        F.col(order).alias("_o"),
-        F.struct("user_query", "expected", "generated").alias("s")))).alias("_a"))
-    samples = samples.select(F.transform("_a", lambda x: x["s"]).alias("sample_responses"))
-    # Both sides hold exactly one row: a constant-key join.
-    return (head.withColumn("_k", F.lit(1))
-            .join(samples.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+    shown = F.concat(F.lit('  "perplexity" : '), F.coalesce(F.col("perplexity").cast("string"), F.lit("null")),
+                     F.lit(","))
+    head = ppl.select(F.explode(F.array(
+        line(0, "{"), line(1, shown), line(2, f'  "num_val_samples" : {int(n_val)},'),
+        line(3, '  "sample_responses" : ['), line(5, "  ]"), line(6, "}"))).alias("x")).select(
+        "x.pos", F.lit(0).cast("bigint").alias("sub"), "x.value")
+    text = F.to_json(F.struct("user_query", "expected", "generated"), {"ignoreNullFields": "false"})
+    comma = F.when(F.col(order) == F.lit(first), F.lit("    ")).otherwise(F.lit("   ,"))
+    rows = review.select(F.lit(4).alias("pos"), F.col(order).cast("bigint").alias("sub"),
+                         F.concat(comma, text).alias("value"))
+    return head.unionByName(rows)

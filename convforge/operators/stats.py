@@ -15,7 +15,7 @@ from convforge.functions.text import pretty_key, thousands
 from convforge.schemas import CHARS_PER_TOKEN, STATS_COLUMNS
 
 
-def _stat_exprs():
+def stat_exprs():
     z = F.lit(0).cast("bigint")
     chars = F.coalesce(F.sum("n_chars"), z)
     return [
@@ -42,8 +42,8 @@ def corpus_stats(profile: DataFrame, by=None) -> DataFrame:
     """
     if by:
         by = [by] if isinstance(by, str) else list(by)
-        return profile.groupBy(*by).agg(*_stat_exprs())
-    return profile.agg(*_stat_exprs())
+        return profile.groupBy(*by).agg(*stat_exprs())
+    return profile.agg(*stat_exprs())
 
 
 def stats_report(stats: DataFrame) -> DataFrame:

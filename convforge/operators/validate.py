@@ -17,8 +17,12 @@ and the first bad message wins.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from convforge.functions.jsonparse import as_object, strict_parse, variant_type
 from convforge.functions.text import is_blank, py_strip
@@ -26,9 +30,7 @@ from convforge.schemas import MIN_MESSAGES, ROLES
 
 # Reject reasons, in rule order.
 PARSE_ERROR = "parse_error"
-# A value beyond Spark's VARIANT size limit cannot be decoded as VARIANT; it
-# is reported with its own reason rather than as malformed JSON.
-VALUE_TOO_LARGE = "value_too_large"
+# From this size on a value may be beyond Spark's VARIANT limit.
 VARIANT_LIMIT_BYTES = 16 * 1024 * 1024
 NO_MESSAGES_KEY = "no_messages_key"
 NOT_LIST_OR_SHORT = "messages_not_list_or_short"
@@ -39,7 +41,7 @@ CONTENT_NOT_STRING = "content_not_string"
 BLANK_CONTENT = "blank_content"
 MISSING_USER_OR_ASSISTANT = "missing_user_or_assistant"
 
-REASONS = (PARSE_ERROR, VALUE_TOO_LARGE, NO_MESSAGES_KEY, NOT_LIST_OR_SHORT, NOT_OBJECT,
+REASONS = (PARSE_ERROR, NO_MESSAGES_KEY, NOT_LIST_OR_SHORT, NOT_OBJECT,
            MISSING_ROLE_OR_CONTENT, BAD_ROLE, CONTENT_NOT_STRING,
            BLANK_CONTENT, MISSING_USER_OR_ASSISTANT)
 
@@ -74,6 +76,50 @@ def _message_reason(obj):
             .when(is_blank(content_str), F.lit(BLANK_CONTENT)))
 
 
+def _judge(text: str) -> tuple:
+    """(reason, bad_index, messages) of one JSON text, for ``_judged`` only."""
+    def clean(s):  # unpaired surrogates have no UTF-8 form
+        return s.strip().encode("utf-8", "replace").decode()
+
+    try:
+        value = json.loads(text.strip(), parse_constant=lambda _: None)
+    except (ValueError, RecursionError):
+        return PARSE_ERROR, None, None
+    if not (isinstance(value, dict) and "messages" in value):
+        return NO_MESSAGES_KEY, None, None
+    items = value["messages"]
+    if not isinstance(items, list) or len(items) < MIN_MESSAGES:
+        return NOT_LIST_OR_SHORT, None, None
+    tests = ((lambda m: isinstance(m, dict), NOT_OBJECT),
+             (lambda m: {"role", "content"} <= m.keys(), MISSING_ROLE_OR_CONTENT),
+             (lambda m: isinstance(m["role"], str) and m["role"] in ROLES, BAD_ROLE),
+             (lambda m: isinstance(m["content"], str), CONTENT_NOT_STRING),
+             (lambda m: m["content"].strip() != "", BLANK_CONTENT))
+    for i, m in enumerate(items):
+        fault = next((reason for holds, reason in tests if not holds(m)), None)
+        if fault:
+            return fault, i, None
+    if not {"user", "assistant"} <= {m["role"] for m in items}:
+        return MISSING_USER_OR_ASSISTANT, None, None
+    return None, None, [{"role": m["role"], "content": clean(m["content"])} for m in items]
+
+
+_JUDGED = StructType([
+    StructField("reason", StringType()), StructField("bad_index", IntegerType()),
+    StructField("messages", ArrayType(StructType([StructField("role", StringType()),
+                                                  StructField("content", StringType())])))])
+
+
+@F.pandas_udf(_JUDGED)
+def _judged(texts: pd.Series) -> pd.DataFrame:
+    """The same rules in Python, for the few values that VARIANT cannot hold: very
+    large ones and ones with NaN or Infinity, which count as null.  Other rows
+    come as NULL and cost nothing."""
+    rows = [(None, None, None) if t is None else _judge(t) for t in texts]
+    out = pd.DataFrame(rows, columns=["reason", "bad_index", "messages"])
+    return out.astype({"bad_index": "Int32", "reason": "object", "messages": "object"})
+
+
 def validate_values(raw: DataFrame, value: str = "value") -> DataFrame:
     """Decode and check every raw value; add ``reason``, ``bad_index``, ``messages``.
 
@@ -98,8 +144,12 @@ def validate_values(raw: DataFrame, value: str = "value") -> DataFrame:
               py_strip(F.try_variant_get(o["content"], "$", "string")).alias("content")))))
     has_user = F.exists("_norm", lambda m: m["role"] == "user")
     has_asst = F.exists("_norm", lambda m: m["role"] == "assistant")
-    too_large = F.octet_length(F.col(value)) >= F.lit(VARIANT_LIMIT_BYTES)
-    reason = (F.when(F.col("_v").isNull() & too_large, F.lit(VALUE_TOO_LARGE))
+    text = F.col(value)
+    odd = F.col("_v").isNull() & ((F.octet_length(text) >= F.lit(VARIANT_LIMIT_BYTES))
+                                  | text.contains("NaN") | text.contains("Infinity"))
+    df = df.withColumn("_odd", F.coalesce(odd, F.lit(False)))
+    df = df.withColumn("_j", _judged(F.when(F.col("_odd"), text)))
+    reason = (F.when(F.col("_odd"), F.col("_j.reason"))
               .when(F.col("_v").isNull(), F.lit(PARSE_ERROR))
               .when(F.col("_obj").isNull() | ~F.map_contains_key("_obj", "messages"),
                     F.lit(NO_MESSAGES_KEY))
@@ -108,10 +158,11 @@ def validate_values(raw: DataFrame, value: str = "value") -> DataFrame:
               .when(F.col("_bad").isNotNull(), F.col("_bad.r"))
               .when(~(has_user & has_asst), F.lit(MISSING_USER_OR_ASSISTANT)))
     return fence(df.withColumn("reason", reason)
-                 .withColumn("bad_index", F.when(
+                 .withColumn("bad_index", F.when(F.col("_odd"), F.col("_j.bad_index")).when(
                      F.col("reason") == F.col("_bad.r"), F.col("_bad.i")).cast("int"))
-                 .withColumn("messages", F.when(F.col("reason").isNull(), F.col("_norm")))
-                 .drop("_v", "_obj", "_msgs", "_mo", "_bad", "_norm"))
+                 .withColumn("messages", F.when(F.col("reason").isNull(), F.when(
+                     F.col("_odd"), F.col("_j.messages")).otherwise(F.col("_norm"))))
+                 .drop("_v", "_obj", "_msgs", "_mo", "_bad", "_norm", "_odd", "_j"))
 
 
 def validate_typed(conv: DataFrame, messages: str = "messages") -> DataFrame:
@@ -238,8 +289,3 @@ def profile_turns(turns: DataFrame, key: str = "conv_id", order: str = "turn",
     row per conversation and partition, never message text.
     """
     return profile_outcome(turns.groupBy(key).agg(*profile_aggregates(order, role, text)))
-
-
-def normalize_turns(turns: DataFrame, text: str = "text") -> DataFrame:
-    """Long form with stripped content (P9); other columns unchanged."""
-    return turns.withColumn("content", py_strip(F.col(text))).drop(text)

@@ -8,9 +8,11 @@ can be compared value by value.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from convforge.functions.template import CHATML
@@ -25,13 +27,14 @@ from convforge.operators.ordering import md5_bucket
 from convforge.operators import split as splitting
 from convforge.operators import stats as st
 from convforge.operators import validate as va
+from convforge.plans import evaluate as ev
 from convforge.plans import injected as inj
 from convforge.plans import oracle as oq
 from convforge.plans import prepare as prep
 from convforge.sources import curated as cur
 from convforge.sources import processed as pr
 from convforge.streaming import ingest as stream
-from convforge.session import apply_core_conf, materialize, scratch_path
+from convforge.session import apply_core_conf, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -146,9 +149,18 @@ def valid_nested(spark, sf_dir) -> DataFrame:
     return va.accepted(va.validate_typed(nested), ["conv_id"])
 
 
-def nested_split(spark, sf_dir, val_ratio=0.1, seed=42) -> DataFrame:
-    return splitting.assign_split(valid_nested(spark, sf_dir), "conv_id",
-                                  val_ratio=val_ratio, seed=seed, materialize_input=True)
+def nested_split(spark, sf_dir, split: str | None = None, val_ratio=0.1, seed=42) -> DataFrame:
+    """(conv_id, split, split_rank, messages) of valid conversations, of one split or
+    both.  The split is ranked on the narrow profile; only the turns of the
+    wanted conversations are then nested (the join and the grouping share one
+    shuffle on conv_id)."""
+    keys = ["conv_id", "split", "split_rank"]
+    labels = conv_split(spark, sf_dir, val_ratio, seed).select(*keys)
+    if split is not None:
+        labels = labels.where(F.col("split") == split)
+    turns = (table(spark, sf_dir, "conversations").join(labels, "conv_id")
+             .select(*keys, "turn", "role", py_strip(F.col("text")).alias("text")))
+    return conv.to_nested(turns, keys)
 
 
 @register("chat_text", f"""
@@ -218,7 +230,7 @@ FROM vm JOIN fu USING (conv_id) JOIN labelled l USING (conv_id)
 WHERE vm.turn <= fu.ut AND l.split = 'val'
 GROUP BY vm.conv_id""")
 def q_eval_context(spark, sf_dir):
-    val = nested_split(spark, sf_dir).where(F.col("split") == splitting.VAL)
+    val = nested_split(spark, sf_dir, splitting.VAL)
     return rd.eval_prompts(val, ["conv_id"]).select("conv_id", "prompt")
 
 
@@ -241,25 +253,24 @@ SELECT conv_id, turn,
        CASE WHEN length(content) > 80 THEN substring(content, 1, 80) || '...' ELSE content END AS line
 FROM vm""")
 def q_message_preview(spark, sf_dir):
-    return (conv.to_long(valid_nested(spark, sf_dir))
-            .select("conv_id", "turn",
-                    F.concat(F.lit("["), F.upper("role"), F.lit("] "),
-                             preview(F.col("content"), 80)).alias("line")))
+    turns = table(spark, sf_dir, "conversations").join(
+        valid_profile(spark, sf_dir).select("conv_id"), "conv_id", "left_semi")
+    return turns.select("conv_id", "turn", F.concat(
+        F.lit("["), F.upper("role"), F.lit("] "), preview(py_strip(F.col("text")), 80)).alias("line"))
 
 
 # ---------------------------------------------------------------------------
 # Scoring and perplexity
 # ---------------------------------------------------------------------------
-def split_texts(spark, sf_dir) -> DataFrame:
-    """(conv_id, split, split_rank, text) of every valid conversation."""
-    return rd.chat_text(nested_split(spark, sf_dir), ["conv_id", "split", "split_rank"])
+def split_texts(spark, sf_dir, split: str | None = None) -> DataFrame:
+    """(conv_id, split, split_rank, text) of valid conversations, of one split or both."""
+    return rd.chat_text(nested_split(spark, sf_dir, split), ["conv_id", "split", "split_rank"])
 
 
 def unigram_val_scores(spark, sf_dir) -> DataFrame:
-    # Read by the fit (train rows) and by scoring (val rows): computed once.
-    texts = materialize(split_texts(spark, sf_dir))
-    scorer = sc.UnigramScorer.fit(texts.where(F.col("split") == splitting.TRAIN))
-    return scorer.score(texts.where(F.col("split") == splitting.VAL), ["conv_id", "split_rank"])
+    # Each split is rendered where it is read; no text is written.
+    scorer = sc.UnigramScorer.fit(split_texts(spark, sf_dir, splitting.TRAIN))
+    return scorer.score(split_texts(spark, sf_dir, splitting.VAL), ["conv_id", "split_rank"])
 
 
 @register("example_scores", f"""
@@ -297,24 +308,25 @@ def q_running_perplexity(spark, sf_dir):
 
 
 class LengthScorer:
-    """Deterministic stand-in for a user model: loss from the text length.
+    """Deterministic stand-in for a user model: loss from the digest of the whole text.
 
-    loss = 1 + (len % 7) / 10, n_tokens = min(len div 3, 2048).
+    loss = 1 + (code of the digest's first character % 7) / 10, n_tokens = min(len div 3, 2048).
     """
 
     def __call__(self, texts):
-        return [(1.0 + (len(t) % 7) / 10.0, min(len(t) // 3, 2048)) for t in texts]
+        return [(1.0 + (ord(hashlib.md5(t.encode()).hexdigest()[0]) % 7) / 10.0, min(len(t) // 3, 2048))
+                for t in texts]
 
 
 @register("user_scorer_perplexity", f"""
 WITH {oq.labelled_text_cte()},
-s AS (SELECT 1.0 + (length(text) % 7) / 10.0 AS loss, least(length(text) // 3, 2048) AS n
+s AS (SELECT 1.0 + (ascii(md5(text)) % 7) / 10.0 AS loss, least(length(text) // 3, 2048) AS n
       FROM lt WHERE split = 'val')
 SELECT round(exp(sum(loss * n) / sum(n)), 4) AS perplexity,
        CAST(sum(n) AS BIGINT) AS total_tokens, CAST(count(*) AS BIGINT) AS num_samples
 FROM s""")
 def q_user_scorer_perplexity(spark, sf_dir):
-    val = split_texts(spark, sf_dir).where(F.col("split") == splitting.VAL)
+    val = split_texts(spark, sf_dir, splitting.VAL)
     scores = sc.score_with(val, LengthScorer, ["conv_id"])
     p = sc.perplexity(scores)
     return p.select(F.round("perplexity", 4).alias("perplexity"), "total_tokens", "num_samples")
@@ -411,9 +423,9 @@ def q_stream_ingest(spark, sf_dir):
      .write.mode("overwrite").text(src))
     q = stream.start_ingest(spark, src, out, ckpt, glob="*.txt")
     q.awaitTermination()
-    v = stream.read_ingested(spark, out)
-    return (v.groupBy(F.coalesce("reason", F.lit("ok")).alias("outcome"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    v = (stream.accepted_conversations(spark, out).select(F.lit("ok").alias("outcome"))
+         .unionByName(stream.rejected_values(spark, out).select(F.col("reason").alias("outcome"))))
+    return v.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("jsonl_roundtrip", f"""
@@ -423,8 +435,8 @@ FROM labelled l JOIN valid v USING (conv_id) JOIN lt USING (conv_id)
 WHERE l.split = 'train'""")
 def q_jsonl_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "train-jsonl")
-    s = nested_split(spark, sf_dir)
-    pr.write_jsonl(s.where(F.col("split") == splitting.TRAIN), path, order="split_rank")
+    s = nested_split(spark, sf_dir, splitting.TRAIN)
+    pr.write_jsonl(s, path, order="split_rank")
     back = pr.read_processed(spark, path)
     ranked = pr.dataset_order(back, "position")
     # Both summaries are row-local: one projection, no self-join.
@@ -456,7 +468,7 @@ REVIEW_COLUMNS = ["split_rank", "user_query", "expected", "generated",
 WITH {oq.labelled_text_cte()} {oq.EVAL_CTE}
 SELECT {oq.REVIEW_SELECT} FROM rv""")
 def q_review_report(spark, sf_dir):
-    val = nested_split(spark, sf_dir).where(F.col("split") == splitting.VAL)
+    val = nested_split(spark, sf_dir, splitting.VAL)
     return rv.review_table(val, "split_rank", gen.EchoGenerator).select(*REVIEW_COLUMNS)
 
 
@@ -465,7 +477,7 @@ WITH {oq.labelled_text_cte()} {oq.EVAL_CTE}
 SELECT {oq.REVIEW_SELECT} FROM rv WHERE split_rank <= 5""")
 def q_review_sample(spark, sf_dir):
     # The sample size is the feature here (first num_samples=5 in dataset order).
-    val = nested_split(spark, sf_dir).where(F.col("split") == splitting.VAL)
+    val = nested_split(spark, sf_dir, splitting.VAL)
     return rv.review_table(val, "split_rank", gen.EchoGenerator, num_samples=5).select(*REVIEW_COLUMNS)
 
 
@@ -495,26 +507,34 @@ def q_chat_replay(spark, sf_dir):
 
 
 @register("curated_chats", f"""
-WITH {oq.VALID_MSGS_CTE}
-SELECT conv_id,
-       arg_min(content, turn) FILTER (WHERE role = 'user') AS user_text,
-       arg_min(content, turn) FILTER (WHERE role = 'assistant') AS assistant_text
-FROM vm GROUP BY conv_id""")
+WITH {oq.VALID_MSGS_CTE},
+t AS (SELECT conv_id, turn, role, content,
+             lead(content) OVER (PARTITION BY conv_id ORDER BY turn) AS reply,
+             lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS reply_role
+      FROM vm)
+SELECT conv_id, turn, content AS user_text, reply AS assistant_text
+FROM t WHERE role = 'user' AND reply_role = 'assistant'""")
 def q_curated_chats(spark, sf_dir):
+    # Every user turn that an assistant turn follows is written as one curated block.
     path = scratch_path(spark, "curated-md")
-    turns = table(spark, sf_dir, "conversations")
-    firsts = rd.first_user_expected_long(turns, valid_only=True)
-    block = F.concat(F.lit("### Conversation "), F.col("conv_id").cast("string"), F.lit("\n"),
-                     F.lit("**User:** "), F.col("user_query"), F.lit("\n\n"),
-                     F.lit("**Assistant:** "), F.col("expected"), F.lit("\n\n---"))
-    (firsts.select((F.col("conv_id") % 3).alias("grp"), block.alias("value"))
+    turns = table(spark, sf_dir, "conversations").join(
+        valid_profile(spark, sf_dir).select("conv_id"), "conv_id", "left_semi")
+    follows = Window.partitionBy("conv_id").orderBy("turn")
+    pairs = (turns.withColumn("reply", F.lead("text").over(follows))
+             .withColumn("reply_role", F.lead("role").over(follows))
+             .where("role = 'user' and reply_role = 'assistant'"))
+    block = F.concat(F.lit("### Conversation "), F.col("conv_id").cast("string"), F.lit("."),
+                     F.col("turn").cast("string"), F.lit("\n**User:** "), py_strip(F.col("text")),
+                     F.lit("\n\n**Assistant:** "), py_strip(F.col("reply")), F.lit("\n\n---"))
+    (pairs.select((F.col("conv_id") % 3).alias("grp"), block.alias("value"))
      .write.partitionBy("grp").mode("overwrite").text(path))
     docs = (spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
             .text(path, wholetext=True)
             .select(F.col("_metadata.file_name").alias("file_name"), "value"))
     parsed = cur.parse_curated(docs)
     return parsed.select(
-        F.regexp_extract("title", r"(\d+)", 1).try_cast("bigint").alias("conv_id"),
+        F.regexp_extract("title", r"(\d+)\.(\d+)", 1).try_cast("bigint").alias("conv_id"),
+        F.regexp_extract("title", r"(\d+)\.(\d+)", 2).try_cast("bigint").alias("turn"),
         F.col("messages")[0]["content"].alias("user_text"),
         F.col("messages")[1]["content"].alias("assistant_text"))
 
@@ -553,8 +573,120 @@ def q_prepare_job(spark, sf_dir):
         back = pr.read_processed(spark, f"{out}/{name}", with_order=False)
         parts.append(va.profile_conversations(back, []).withColumn("split", F.lit(label)))
     both = parts[0].unionByName(parts[1])
-    stats = st.corpus_stats(both)
-    sizes = both.agg(F.count_if(F.col("split") == "train").alias("n_train"),
-                     F.count_if(F.col("split") == "val").alias("n_val"))
-    return (stats.withColumn("_k", F.lit(1))
-            .join(sizes.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+    return both.agg(*st.stat_exprs(), F.count_if(F.col("split") == "train").alias("n_train"),
+                    F.count_if(F.col("split") == "val").alias("n_val"))
+
+
+# ---------------------------------------------------------------------------
+# Whole jobs on files: large and damaged files, rejects, the report
+# ---------------------------------------------------------------------------
+@contextmanager
+def split_size(spark, size: str):
+    """A small input-split size while files are read, so that files span many splits."""
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _write_mixed_files(spark, sf_dir, name: str) -> str:
+    """Three files of pretty-printed values in conv_id order; before the values of
+    cases 1 and 2 stand two closing brackets that belong to nothing."""
+    path = scratch_path(spark, name)
+    lines = inj.damaged_lines(table(spark, sf_dir, "conversations"), pretty=True,
+                              with_id=True, allow_truncation=False)
+    text = F.concat(F.when(F.col("dmg").isin(1, 2), F.lit("}\n] ")).otherwise(F.lit("")),
+                    F.col("value"), F.lit(","))
+    (lines.select((F.col("conv_id") % 3).alias("grp"), "conv_id", text.alias("value"))
+     .repartition(3, "grp").sortWithinPartitions("grp", "conv_id").select("grp", "value")
+     .write.partitionBy("grp").mode("overwrite").text(path))
+    return path
+
+
+@register("mixed_json_large", f"""
+WITH {oq.INJECTED_MIXED_CTE}
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id % 3 ORDER BY conv_id) - 1 AS BIGINT) AS object_index,
+       outcome, errors_before FROM expct""")
+def q_mixed_json_large(spark, sf_dir):
+    path = _write_mixed_files(spark, sf_dir, "mixed-large")
+    with split_size(spark, "64k"):  # reading is eager
+        v = prep.ingest(spark, path, jsonl_glob=None, json_glob="*.txt", recursive=True)
+    return v.select(F.try_variant_get(F.try_parse_json("value"), "$.id", "bigint").alias("conv_id"),
+                    F.col("object_index"), F.coalesce("reason", F.lit("ok")).alias("outcome"),
+                    F.col("errors_before"))
+
+
+@register("ingest_rejects", f"""
+WITH {oq.INJECTED_CTE},
+l AS (SELECT conv_id, CASE WHEN conv_id % 2 = 0 THEN 'lines' ELSE 'values' END AS folder, outcome, bad_index
+      FROM expct WHERE conv_id % 2 = 0 OR m NOT IN (1, 2)),
+n AS (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY conv_id) AS pos,
+             count(*) FILTER (WHERE outcome <> 'parse_error') OVER (PARTITION BY folder ORDER BY conv_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS counted
+      FROM l)
+SELECT folder, outcome AS reason, bad_index,
+       CAST(CASE WHEN outcome <> 'parse_error' THEN counted - 1 ELSE -1 END AS BIGINT) AS object_index,
+       CAST(CASE WHEN folder = 'lines' THEN 2 * pos - 1 ELSE -1 END AS BIGINT) AS line_no
+FROM n WHERE outcome <> 'ok'""")
+def q_ingest_rejects(spark, sf_dir):
+    # One folder with files of both kinds and blank lines between the lines of the
+    # one; the kinds are told apart by part number, the writer's only choice of name.
+    path = scratch_path(spark, "both-kinds")
+    lines = inj.damaged_lines(table(spark, sf_dir, "conversations"))
+    odd = F.col("conv_id") % 2
+    text = F.when(odd == 0, F.concat(F.col("value"), F.lit("\n \t"))).otherwise(F.col("value"))
+    (lines.where((odd == 0) | ~F.col("dmg").isin(1, 2))
+     .select(odd.alias("kind"), "conv_id", text.alias("value"))
+     .repartitionByRange(2, "kind").sortWithinPartitions("conv_id").select("value")
+     .write.mode("overwrite").text(path))
+    with split_size(spark, "64k"):
+        v = prep.ingest(spark, path, jsonl_glob="part-00000*", json_glob="part-00001*")
+    rejects = va.rejected(v, ["file_name", "object_index", "line_no"])
+    return rejects.select(
+        F.when(F.col("file_name").startswith("part-00000"), F.lit("lines")).otherwise(F.lit("values")).alias("folder"),
+        "reason", F.coalesce("bad_index", F.lit(-1)).cast("bigint").alias("bad_index"),
+        F.coalesce("object_index", F.lit(-1)).alias("object_index"),
+        F.coalesce("line_no", F.lit(-1)).alias("line_no"))
+
+
+@register("folder_order", f"""
+WITH {oq.labelled_text_cte()}
+SELECT CAST(row_number() OVER (ORDER BY split, split_rank) AS BIGINT) AS position, md5(text) AS text_md5
+FROM lt""")
+def q_folder_order(spark, sf_dir):
+    # Two folders whose files have the same names: order and keys stay unique.
+    root = scratch_path(spark, "two-folders")
+    for label in (splitting.TRAIN, splitting.VAL):
+        pr.write_jsonl(nested_split(spark, sf_dir, label), f"{root}/part={label}", order="split_rank")
+    both = pr.dataset_order(pr.read_processed(spark, root), "position")
+    return both.select("position", F.md5(CHATML.render(F.col("messages"))).alias("text_md5"))
+
+
+@register("eval_report", f"""
+WITH {oq.labelled_text_cte()} {oq.EVAL_CTE},
+k AS (SELECT *, row_number() OVER (ORDER BY split_rank) AS pos FROM rv),
+x AS (SELECT 1.0 + (split_rank % 7) / 10.0 AS loss, 10 + split_rank % 5 AS n FROM lt WHERE split = 'val')
+SELECT (SELECT round(exp(sum(loss * n) / sum(n)), 4) FROM x) AS perplexity,
+       (SELECT CAST(count(*) AS BIGINT) FROM lt WHERE split = 'val') AS num_val_samples,
+       CAST(pos - 1 AS BIGINT) AS position, user_query, expected, generated
+FROM k""")
+def q_eval_report(spark, sf_dir):
+    # The evaluation job on a written validation split, with scores made elsewhere
+    # (by key), every example reviewed; its report file is read back.
+    root = scratch_path(spark, "eval-report")
+    val = nested_split(spark, sf_dir, splitting.VAL)
+    pr.write_jsonl(val, f"{root}/val.jsonl", order="split_rank")
+    ordered = pr.dataset_order(pr.read_processed(spark, f"{root}/val.jsonl"))
+    scores = ordered.select("file_name", "line_index", (F.lit(1.0) + F.col("example") % 7 / 10.0).alias("loss"),
+                            (F.lit(10) + F.col("example") % 5).alias("n_tokens"))
+    ev.evaluate(spark, f"{root}/val.jsonl", gen.EchoGenerator, scores_table=scores, num_samples=None,
+                output=f"{root}/report.json")
+    doc = spark.read.schema("perplexity double, num_val_samples bigint, sample_responses array<struct<"
+                            "user_query: string, expected: string, generated: string>>").json(
+        f"{root}/report.json", multiLine=True)
+    return (doc.select("perplexity", "num_val_samples", F.posexplode("sample_responses").alias("position", "s"))
+            .select(F.round("perplexity", 4).alias("perplexity"), "num_val_samples",
+                    F.col("position").cast("bigint").alias("position"), "s.user_query", "s.expected", "s.generated"))

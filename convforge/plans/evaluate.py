@@ -44,9 +44,10 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
     ``batch_size`` / ``num_partitions`` size the model calls (see
     ``generate.batch_generate``).  ``scores_table`` takes scores produced
     elsewhere -- (file_name, line_index, loss, n_tokens) of the validation
-    files -- instead of scoring here (J3).  Texts are
-    cut to ``max_tokens`` real tokens with ``tokenizer_factory`` (e.g.
-    ``render.TokenizerFile``), else by the 3-characters-a-token estimate.
+    files -- instead of scoring here (J3).  A user model's texts are cut to
+    ``max_tokens`` real tokens with ``tokenizer_factory``, else by the
+    3-characters-a-token estimate; the stand-in scorer counts its own words
+    and cuts at ``max_tokens`` of them.
     """
     val = pr.read_processed(spark, val_path)
     if val is None:
@@ -54,15 +55,15 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
     val = with_dataset_order(val)
     scored_src = val if max_samples is None else val.where(F.col("example") <= max_samples)
     rendered = rd.chat_text(scored_src, ["example"], template)
-    texts = (rd.truncate_exact(rendered, tokenizer_factory, max_tokens=max_tokens)
-             if tokenizer_factory is not None
-             else rd.truncate_by_estimate(rendered, max_tokens=max_tokens))
     if scores_table is not None:
         keyed = scored_src.select("example", "file_name", "line_index")
         scores = attach_results(keyed, scores_table, ["file_name", "line_index"]).select(
             "example", F.col("loss").cast("double").alias("loss"),
             F.coalesce(F.col("n_tokens").cast("bigint"), F.lit(0)).alias("n_tokens"))
     elif scorer_factory is not None:
+        texts = (rd.truncate_exact(rendered, tokenizer_factory, max_tokens=max_tokens)
+                 if tokenizer_factory is not None
+                 else rd.truncate_by_estimate(rendered, max_tokens=max_tokens))
         scores = sc.score_with(texts, scorer_factory, ["example"], batch_size=batch_size,
                                num_partitions=num_partitions)
     else:
@@ -71,26 +72,23 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
         train = pr.read_processed(spark, train_path)
         scorer = sc.UnigramScorer.fit(rd.chat_text(train, ["line_index"], template),
                                       max_tokens=max_tokens)
-        scores = scorer.score(texts, ["example"])
+        scores = scorer.score(rendered, ["example"])
     # Scores feed the overall and the running value: computed once.
     scores = materialize(scores)
     ppl = sc.perplexity(scores)
     run = running(scores).withColumn("running_display", two_decimals("running_perplexity"))
-    review = rv.review_table(val, "example", generator_factory, num_samples, template,
-                             batch_size=batch_size, num_partitions=num_partitions)
-    report = rv.evaluation_report(ppl, review, "example", num_samples)
+    # Generated once: the report reads it twice.
+    review = materialize(rv.review_table(val, "example", generator_factory, num_samples, template,
+                                         batch_size=batch_size, num_partitions=num_partitions))
+    n_val = val.count()
+    report = rv.evaluation_report(ppl, n_val, review, "example")
     if output is None:
         stamp = spark.range(1).select(timestamp_suffix()).first()[0]
         output = f"{output_dir}/eval_results_{stamp}.json"
     pr.write_report(report, output)
     run.write.mode("overwrite").parquet(f"{output}_running")
-    if num_samples is None or num_samples > rv.MAX_EMBEDDED_SAMPLES:
-        review.write.mode("overwrite").parquet(f"{output}_samples")
-    row = spark.read.text(output, wholetext=True).first()
-    head = ppl.first()
-    return {"perplexity": head["perplexity"], "num_val_samples": head["num_samples"],
-            "report_path": output, "running_path": f"{output}_running",
-            "report_text": row["value"] if row else None}
+    return {"perplexity": ppl.first()["perplexity"], "num_val_samples": n_val,
+            "report_path": output, "running_path": f"{output}_running"}
 
 
 def running(scores: DataFrame, order: str = "example", every: int = 10) -> DataFrame:
@@ -114,7 +112,8 @@ def main(argv=None) -> int:
     ap.add_argument("--num_samples", type=int, default=DEFAULT_NUM_SAMPLES)
     ap.add_argument("--max_tokens", type=int, default=DEFAULT_MAX_TOKENS)
     ap.add_argument("--output", default=None)
-    ap.add_argument("--tokenizer", default=None, help="tokenizer.json for exact truncation")
+    ap.add_argument("--tokenizer", default=None,
+                    help="module:factory of a tokenizer (encode, decode) for exact truncation")
     ap.add_argument("--batch_size", type=int, default=None, help="examples per model call")
     ap.add_argument("--num_partitions", type=int, default=None, help="tasks for model calls")
     ap.add_argument("--scores_table", default=None,
@@ -125,12 +124,12 @@ def main(argv=None) -> int:
     r = evaluate(spark, a.val_path, load_factory(a.generator), load_factory(a.scorer),
                  train_path=a.train_path, num_samples=a.num_samples, max_tokens=a.max_tokens,
                  output=a.output,
-                 tokenizer_factory=rd.TokenizerFile(a.tokenizer) if a.tokenizer else None,
+                 tokenizer_factory=load_factory(a.tokenizer) if a.tokenizer else None,
                  batch_size=a.batch_size, num_partitions=a.num_partitions, scores_table=scores)
     ppl = r["perplexity"]
-    print(f"Validation samples: {r['num_val_samples']}")
-    print(f"Validation Perplexity: {ppl:.2f}" if ppl is not None else "Validation Perplexity: n/a")
-    print(f"Results saved to: {r['report_path']}")
+    shown = "n/a" if ppl is None else f"{ppl:.2f}"
+    print(f"{r['num_val_samples']} validation examples, perplexity {shown}")
+    print(f"report: {r['report_path']}")
     return 0
 
 

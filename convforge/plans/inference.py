@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from convforge.functions.template import CHATML, ChatTemplate
 from convforge.operators import generate as gen
 from convforge.operators import render as rd
+from convforge.operators import replay as rp
+from convforge.operators.conversations import to_nested
 from convforge.schemas import DEFAULT_SYSTEM_PROMPT
 from convforge.sources import processed as pr
 
@@ -36,12 +38,25 @@ def answer_one(spark: SparkSession, text: str, generator_factory: Callable, **kw
     return out.first()["generated"]
 
 
+def answer_sessions(log: DataFrame, generator_factory: Callable, session: str = "session",
+                    line_no: str = "line_no", text: str = "text",
+                    system_prompt: str = DEFAULT_SYSTEM_PROMPT, template: ChatTemplate = CHATML,
+                    params: dict | None = None) -> DataFrame:
+    """R2 -> conversations -> X2: replay logged sessions and generate the replies.
+
+    (session, segment, messages): system prompt, then user messages and replies
+    in turn; every reply sees the history before it.
+    """
+    rows = rp.replay_sessions(log, session, line_no, text, system_prompt)
+    nested = to_nested(rows, [session, "segment"], order="position", text="content")
+    return gen.chat_replies(nested, generator_factory, [session, "segment"], template, params)
+
+
 def main(argv=None) -> int:
     """``python -m convforge.plans.inference --generator pkg.mod:factory --query '...'``
 
-    Without ``--query``, answers every line of ``--queries_file`` (or a
-    table with a ``query`` column via ``--queries_table`` + ``--format``)
-    and writes the answers as JSON lines to ``--output``.
+    Without ``--query``, answers every line of ``--queries_file`` and writes the
+    answers as JSON lines to ``--output``.
     """
     import argparse
 
@@ -62,9 +77,10 @@ def main(argv=None) -> int:
     if not a.queries_file or not a.output:
         ap.error("give --query, or --queries_file with --output")
     from pyspark.sql import functions as F
+    from convforge.functions.text import is_blank
     q = (spark.read.text(a.queries_file)
          .select(F.monotonically_increasing_id().alias("query_id"), F.col("value").alias("query"))
-         .where(F.length(F.trim("query")) > 0))
+         .where(~is_blank(F.col("query"))))
     out = answer_queries(q, factory, system_prompt=a.system_prompt)
     out.select(F.to_json(F.struct("query", "generated")).alias("value")).write.mode("overwrite").text(a.output)
     return 0

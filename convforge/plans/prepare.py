@@ -3,21 +3,21 @@
 The data-preparation job of the reference (``prepare_data``), as one Spark
 plan:
 
-    scan .jsonl (split by lines) + .json (one UDTF call per file)
+    scan .jsonl (split by lines) + .json (decoded split by split)
       -> strict parse + rule chain (row-local)
-      -> number decoded values within each file (window per input split)
+      -> number decoded values within each file (counts per input split)
       -> write the validated table once to shared storage (lineage cut)
       -> audit, rejects, statistics, exact split, JSONL split files
 
-Shuffles: the per-split numbering window, the rank of the split, and the
-small aggregates.  Everything else is row-local.
+Shuffles: the rank of the split and the small aggregates.  Everything else is
+row-local.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from convforge.functions.text import is_blank
@@ -25,6 +25,7 @@ from convforge.operators import split as splitting
 from convforge.operators import stats as st
 from convforge.operators import validate as va
 from convforge.schemas import DEFAULT_SEED, DEFAULT_VAL_RATIO
+from convforge.sources import curated as cur
 from convforge.sources import processed as pr
 from convforge.sources import raw
 
@@ -43,8 +44,7 @@ def validate_jsonl_lines(lines: DataFrame, explode_arrays: bool = False) -> Data
     v = va.validate_values(lines)
     # Numbered per full path: base names can repeat across folders.
     v = raw.number_within_file(v, file_col="file_path",
-                               counted=F.col("reason").isNull()
-                               | ~F.col("reason").isin(va.PARSE_ERROR, va.VALUE_TOO_LARGE),
+                               counted=F.col("reason").isNull() | (F.col("reason") != va.PARSE_ERROR),
                                line_col="line_no")
     return (v.where(~is_blank(F.col("value")))
             .withColumn("errors_before", F.lit(0).cast("bigint")).select(*VALIDATED_COLUMNS))
@@ -52,7 +52,8 @@ def validate_jsonl_lines(lines: DataFrame, explode_arrays: bool = False) -> Data
 
 def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
            jsonl_glob: str = "*.jsonl", json_glob: str = "*.json",
-           recursive: bool = False, explode_arrays: bool = False) -> DataFrame:
+           recursive: bool = False, explode_arrays: bool = False,
+           curated_glob: str | None = None, assistant_label: str = "Assistant") -> DataFrame:
     """Validated RAW rows of every raw file under ``raw_dir``.
 
     Columns: file_path, file_name, object_index, line_no (JSONL only, the
@@ -81,6 +82,15 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
                 else vals.withColumn("element_index", F.lit(None).cast("int")))
         parts.append(va.validate_values(vals)
                      .withColumn("line_no", F.lit(None).cast("bigint")).select(*VALIDATED_COLUMNS))
+    if curated_glob:
+        # Hand-written Markdown chats join the corpus as values of their own.
+        blocks = cur.read_curated_markdown(spark, raw_dir, curated_glob, assistant_label=assistant_label)
+        by_file = Window.partitionBy("file_path").orderBy("block_index")  # a hand-written file
+        v = va.validate_typed(blocks.withColumn("value", F.to_json(F.struct("messages")))
+                              .withColumn("object_index", F.row_number().over(by_file).cast("bigint") - 1))
+        parts.append(v.withColumn("element_index", F.lit(None).cast("int"))
+                     .withColumn("line_no", F.lit(None).cast("bigint"))
+                     .withColumn("errors_before", F.lit(0).cast("bigint")).select(*VALIDATED_COLUMNS))
     if not parts:
         raise ValueError("no file pattern given: set jsonl_glob and/or json_glob")
     out = parts[0]
@@ -102,7 +112,8 @@ def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
                  val_ratio: float = DEFAULT_VAL_RATIO, seed: int = DEFAULT_SEED,
                  reader: str = "auto", work_dir: str | None = None,
                  jsonl_glob: str = "*.jsonl", json_glob: str = "*.json",
-                 recursive: bool = False, explode_arrays: bool = False) -> PrepareResult:
+                 recursive: bool = False, explode_arrays: bool = False,
+                 curated_glob: str | None = None, assistant_label: str = "Assistant") -> PrepareResult:
     """The full preparation job; writes ``train.jsonl`` / ``val.jsonl``
     directories plus ``rejects`` and ``audit`` tables under ``output_dir``.
 
@@ -112,13 +123,13 @@ def prepare_data(spark: SparkSession, raw_dir: str, output_dir: str,
     """
     work = work_dir or f"{output_dir.rstrip('/')}/_validated"
     (ingest(spark, raw_dir, reader, jsonl_glob, json_glob, recursive,
-            explode_arrays=explode_arrays)
+            explode_arrays=explode_arrays, curated_glob=curated_glob, assistant_label=assistant_label)
      .write.mode("overwrite").parquet(work))
     validated = spark.read.parquet(work)
 
-    # A flat folder (the reference's layout) identifies a file by its name;
-    # a recursive listing needs the full path, since names can repeat.
-    file_key = "file_path" if recursive else "file_name"
+    # Files are known by their name relative to the folder: unique also below
+    # subfolders, and the same split wherever the folder lies.
+    file_key = "file_name"
     audit = st.file_audit(validated, by=file_key)
     audit.write.mode("overwrite").parquet(f"{output_dir}/audit")
     rejects = va.rejected(validated, ["file_path", "file_name", "object_index", "element_index",
@@ -163,13 +174,16 @@ def main(argv=None) -> int:
     ap.add_argument("--val_ratio", type=float, default=DEFAULT_VAL_RATIO)
     ap.add_argument("--seed", type=int, default=DEFAULT_SEED)
     ap.add_argument("--reader", choices=["auto", "mixed"], default="auto")
+    ap.add_argument("--curated_glob", default=None, help="also read curated Markdown chats, e.g. '*.md'")
+    ap.add_argument("--assistant_label", default="Assistant", help="speaker label in curated chats")
     ap.add_argument("--explode_arrays", action="store_true",
                     help="one value per element of a top-level JSON array")
     a = ap.parse_args(argv)
     spark = session("convforge-prepare")
     try:
         res = prepare_data(spark, a.raw_dir, a.output_dir, a.val_ratio, a.seed, a.reader,
-                           explode_arrays=a.explode_arrays)
+                           explode_arrays=a.explode_arrays, curated_glob=a.curated_glob,
+                           assistant_label=a.assistant_label)
     except FileNotFoundError as e:
         print(f"Error: {e}")
         return 1
@@ -177,18 +191,18 @@ def main(argv=None) -> int:
         print(f"\n{e}")
         return 1
     for r in res.audit.orderBy("file_name").collect():  # one row per file
-        print(f"{r['file_name']}: raw objects {r['raw_objects']}, undecodable {r['parse_errors']}, "
-              f"valid conversations {r['valid_conversations']}")
+        print(f"{r['file_name']}: {r['valid_conversations']} of {r['raw_objects']} values kept, "
+              f"{r['parse_errors']} undecodable")
     # Rejects by file and reason (at most files x reasons rows); every
     # rejected object with its index and line is in <output_dir>/rejects.
     for r in (st.reject_counts(res.rejects, by=("file_name",))
               .orderBy("file_name", "reason").collect()):
-        print(f"  {r['file_name']}: skipped {r['n']} ({r['reason']})")
+        print(f"  {r['file_name']}: {r['n']} x {r['reason']}")
     stats = spark.createDataFrame([res.stats])
-    print("\nDataset Statistics")
+    print("corpus:")
     for r in st.stats_report(stats).orderBy("position").collect():  # eight rows
         print(f"  {r['label']}: {r['display']}")
-    print(f"\nDone. Train: {res.train}, Val: {res.val}")
+    print(f"written: {res.train} training, {res.val} validation")
     return 0
 
 

@@ -62,7 +62,7 @@ def main(argv=None) -> int:
     """``python -m convforge.plans.training_text --train data/train.jsonl --out texts``"""
     import argparse
 
-    from convforge.plans.cli import session
+    from convforge.plans.cli import load_factory, session
 
     ap = argparse.ArgumentParser(description="Render split files to training text")
     ap.add_argument("--train", default="data/train.jsonl")
@@ -70,10 +70,11 @@ def main(argv=None) -> int:
     ap.add_argument("--out", required=True)
     ap.add_argument("--max_tokens", type=int, default=DEFAULT_MAX_TOKENS)
     ap.add_argument("--tokenizer", default=None,
-                    help="tokenizer.json for exact token budgets (default: 3 characters a token)")
+                    help="module:factory of a tokenizer (encode, decode) for exact token budgets "
+                         "(default: 3 characters a token)")
     a = ap.parse_args(argv)
     spark = session("convforge-training-text")
-    factory = rd.TokenizerFile(a.tokenizer) if a.tokenizer else None
+    factory = load_factory(a.tokenizer) if a.tokenizer else None
     counts = write_training_texts(spark, a.train, a.out, a.val, max_tokens=a.max_tokens,
                                   tokenizer_factory=factory)
     for k, v in counts.items():

@@ -58,6 +58,16 @@ def _attempt(text: str, at: int):
         return "deep"
 
 
+def _encode(value) -> str:
+    """Compact JSON; unpaired surrogates, which have no UTF-8 form, stay escaped."""
+    s = json.dumps(value, ensure_ascii=False)
+    try:
+        s.encode()
+    except UnicodeEncodeError:
+        s = json.dumps(value)
+    return s
+
+
 def _junk(text: str, a: int, b: int) -> int:
     """Characters of text[a:b] that are no separators."""
     return b - a - sum(len(s) for s in _SEPARATOR.findall(text, a, b))
@@ -86,7 +96,7 @@ def spans(text: str, final: bool = True, begin: int = 0, until: int | None = Non
             return out, at, total + lost
         if isinstance(got, tuple):
             skipped, total = skipped + lost, total + lost
-            out.append(Span(at, got[1], json.dumps(got[0], ensure_ascii=False), skipped, total))
+            out.append(Span(at, got[1], _encode(got[0]), skipped, total))
             place, skipped = got[1], 0
             continue
         step = 1
@@ -201,7 +211,8 @@ def _decode_whole(pdfs):
 
 def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
                     recursive: bool = False) -> DataFrame:
-    """(file_path, file_name, object_index, value, errors_before).
+    """(file_path, file_name, object_index, value, errors_before); ``file_name``
+    is relative to ``path``.
 
     Values are numbered from 0 within their file and re-encoded as compact JSON;
     ``errors_before`` counts the characters skipped since the previous value (a
@@ -281,5 +292,8 @@ def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
         again = write_through(whole.mapInPandas(
             _decode_whole, "file_path string, object_index bigint, value string, errors_before bigint"), "json-whole")
         out = lookup_small(out, undecided, ["file_path"], "left_anti").unionByName(again)
-    return out.select("file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
-                      "object_index", "value", "errors_before")
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getRawPath().rstrip("/") + "/"
+    at = F.locate(root, F.col("file_path"))
+    name = (F.when(at > 0, F.substring(F.col("file_path"), at + F.lit(len(root)), F.lit(1 << 30)))
+            .otherwise(F.element_at(F.split("file_path", "/"), -1)))
+    return out.select("file_path", name.alias("file_name"), "object_index", "value", "errors_before")

@@ -21,14 +21,16 @@ from convforge.functions.text import py_strip
 def parse_curated(docs: DataFrame, user_label: str = "User",
                   assistant_label: str = "Assistant", system_prompt: str | None = None,
                   text: str = "value") -> DataFrame:
-    """(file_name, block_index, title, messages) from whole-document rows."""
+    """(file_name, block_index, title, messages) from whole-document rows; a
+    ``file_path`` is carried along."""
+    keep = ["file_path"] if "file_path" in docs.columns else []
     u, a = re.escape(user_label), re.escape(assistant_label)
-    blocks = docs.select("file_name", F.posexplode(F.split(F.col(text), r"\n\s*-{3,}\s*(?:\n|$)"))
+    blocks = docs.select("file_name", *keep, F.posexplode(F.split(F.col(text), r"\n\s*-{3,}\s*(?:\n|$)"))
                          .alias("block_index", "block"))
     user_re = rf"(?s)\*\*{u}:\*\*(.*?)\*\*{a}:\*\*"
     asst_re = rf"(?s)\*\*{a}:\*\*(.*)$"
     parsed = (blocks.where(F.col("block").rlike(user_re))
-              .select("file_name", F.col("block_index").cast("int").alias("block_index"),
+              .select("file_name", *keep, F.col("block_index").cast("int").alias("block_index"),
                       py_strip(F.regexp_extract("block", r"(?m)^###\s*(.*)$", 1)).alias("title"),
                       py_strip(F.regexp_extract("block", user_re, 1)).alias("user"),
                       py_strip(F.regexp_extract("block", asst_re, 1)).alias("assistant")))
@@ -37,10 +39,11 @@ def parse_curated(docs: DataFrame, user_label: str = "User",
     if system_prompt is not None:
         msgs = F.concat(F.array(F.struct(F.lit("system").alias("role"),
                                          F.lit(system_prompt).alias("content"))), msgs)
-    return parsed.select("file_name", "block_index", "title", msgs.alias("messages"))
+    return parsed.select("file_name", *keep, "block_index", "title", msgs.alias("messages"))
 
 
 def read_curated_markdown(spark: SparkSession, path: str, glob: str = "*.md", **kw) -> DataFrame:
     docs = (spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
-            .select(F.col("_metadata.file_name").alias("file_name"), "value"))
+            .select(F.col("_metadata.file_path").alias("file_path"),
+                    F.col("_metadata.file_name").alias("file_name"), "value"))
     return parse_curated(docs, **kw)

@@ -8,11 +8,13 @@ a declared schema -- never inferred.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from convforge.operators.joins import lookup_small
 from convforge.schemas import CONV_FILE
-from convforge.sources.raw import _path_exists, number_within_file
+from convforge.session import write_through
+from convforge.sources.raw import _path_exists, number_within_file, relative_name
 
 
 def write_jsonl(conv: DataFrame, path: str, order: str | None = None,
@@ -37,8 +39,8 @@ def write_jsonl(conv: DataFrame, path: str, order: str | None = None,
 def read_processed(spark: SparkSession, path: str, with_order: bool = True) -> DataFrame:
     """A split directory or file -> (file_name, line_index, messages).
 
-    ``file_name`` + ``line_index`` give the dataset order (part files are
-    named in write order).  Returns None when the path does not exist, so a
+    ``file_name`` (relative to ``path``) + ``line_index`` give the dataset order
+    (part files are named in write order).  Returns None when the path does not exist, so a
     missing validation split just disables validation.
     """
     if not _path_exists(spark, path):
@@ -47,9 +49,8 @@ def read_processed(spark: SparkSession, path: str, with_order: bool = True) -> D
     if not with_order:
         return df
     df = df.select(F.col("_metadata.file_path").alias("file_path"),
-                   F.col("_metadata.file_name").alias("file_name"),
-                   F.col("_metadata.file_block_start").alias("_blk"),
-                   F.monotonically_increasing_id().alias("_seq"), "messages")
+                   relative_name(spark, path).alias("file_name"),
+                   F.col("_metadata.file_block_start").alias("_blk"), "messages")
     return (number_within_file(df, file_col="file_path", out="line_index")
             .select("file_name", "line_index", "messages"))
 
@@ -57,14 +58,18 @@ def read_processed(spark: SparkSession, path: str, with_order: bool = True) -> D
 def dataset_order(split: DataFrame, out: str = "example") -> DataFrame:
     """Add a 1-based dataset position from (file, line) order.
 
-    Part files written by Spark are numbered in write order; a plain single
-    file (as another tool would write it) is one bucket.  Each file is one
-    bucket of the two-level rank, so no task sorts more than one file.
+    Files are ordered by folder, part number (as Spark numbers its part files)
+    and name.  Lines are numbered from 0 within their file already, so only the
+    files' row counts are summed up, one narrow row per file; no row is sorted.
     """
-    from convforge.operators.ordering import ranked_running
-    part = F.coalesce(F.regexp_extract("file_name", r"part-(\d+)", 1).try_cast("int"), F.lit(0))
-    return ranked_running(split, part, ["file_name", "line_index"], rank_col=out,
-                          n_buckets=100_000)
+    folder = F.regexp_extract("file_name", r"^(.*/)?[^/]*$", 1)
+    part = F.coalesce(F.regexp_extract("file_name", r"part-(\d+)[^/]*$", 1).try_cast("bigint"), F.lit(-1))
+    before = Window.orderBy(folder, part, "file_name").rowsBetween(Window.unboundedPreceding, -1)
+    counts = split.groupBy("file_name").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = write_through(counts.select(
+        "file_name", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")), "file-offsets")
+    return (lookup_small(split, offsets, ["file_name"])
+            .withColumn(out, F.col("_off") + F.col("line_index") + 1).drop("_off"))
 
 
 def query_table(spark: SparkSession, queries, column: str = "query") -> DataFrame:
@@ -76,8 +81,7 @@ def query_table(spark: SparkSession, queries, column: str = "query") -> DataFram
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """A one-row report as indented JSON in a single text file."""
-    # Keys with NULL values (e.g. perplexity of an empty split) stay in the report.
-    opts = {"pretty": "true", "ignoreNullFields": "false"}
-    (report.select(F.to_json(F.struct(*report.columns), opts).alias("value"))
-     .coalesce(1).write.mode("overwrite").text(path))
+    """Report lines (pos, sub, value) as one JSON text file.  The rows pass
+    through one sorting task one by one; they are never gathered in a value."""
+    (report.repartition(1).sortWithinPartitions("pos", "sub").select("value")
+     .write.mode("overwrite").text(path))

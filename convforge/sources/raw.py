@@ -17,11 +17,15 @@ so they can be reported; ``operators.validate.validate_values`` marks them
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from convforge.functions.jsonparse import strict_parse
 from convforge.functions.text import is_blank
+from convforge.operators.joins import lookup_small
+from convforge.session import write_through
 from convforge.sources.concatenated import read_mixed_json
 
 RAW_COLUMNS = ["file_name", "object_index", "value"]
@@ -34,56 +38,87 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def number_within_file(df: DataFrame, file_col: str = "file_name", block_col: str = "_blk",
-                       seq_col: str = "_seq", out: str = "object_index",
-                       counted=None, line_col: str | None = None) -> DataFrame:
+def relative_name(spark: SparkSession, path: str):
+    """The file's name relative to the folder ``path``: unique within it, and the
+    same wherever the folder lies.  For a single file or a pattern, its base name."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path).toUri().getRawPath().rstrip("/") + "/"
+    at = F.locate(root, F.col("_metadata.file_path"))
+    return (F.when(at > 0, F.substring(F.col("_metadata.file_path"), at + F.lit(len(root)), F.lit(1 << 30)))
+            .otherwise(F.col("_metadata.file_name")))
+
+
+_ORDINALS = ("_all", "_counted")
+
+
+def _local_ordinals(file_at: int, block_at: int, counted_at: int | None):
+    """Running counts per input split, of all rows and of the counted ones: the rows
+    of a split arrive in order in one task, so nothing is shuffled."""
+    def run(batches):
+        split, rows, counted = None, 0, 0
+        for b in batches:
+            paths, starts = b.column(file_at).to_pylist(), b.column(block_at).to_pylist()
+            flags = b.column(counted_at).to_pylist() if counted_at is not None else [True] * b.num_rows
+            every, some = [], []
+            for p, s, f in zip(paths, starts, flags):
+                if (p, s) != split:
+                    split, rows, counted = (p, s), 0, 0
+                rows += 1
+                counted += bool(f)
+                every.append(rows)
+                some.append(counted)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(every, pa.int64()), pa.array(some, pa.int64())],
+                                             names=[*b.schema.names, *_ORDINALS])
+    return run
+
+
+def number_within_file(df: DataFrame, file_col: str = "file_path", block_col: str = "_blk",
+                       out: str = "object_index", counted=None, line_col: str | None = None) -> DataFrame:
     """0-based position of each row inside its file, in file order.
 
-    ``(file, block start, sequence id)`` orders the rows of a file: blocks
-    are input splits and the sequence id grows within a split.  The window
-    sorts one split at a time and the per-block totals (one row per split)
-    give each split's offset inside its file.  With ``counted`` (a boolean
-    column) only those rows are numbered and only they advance the count;
-    the others get NULL.  ``line_col`` also adds the 1-based number of the
-    row among all rows (the physical line number when blank lines are
-    kept), from the same window.
+    ``df`` must still have the rows of the scan in scan order (row-local steps
+    only).  One pass counts within each input split (``block_col``) and writes the
+    rows; one narrow row per split is then summed up within its file and joined
+    back.  With ``counted`` (a boolean column) only those rows are numbered and
+    only they advance the count; the others get NULL.  ``line_col`` adds the
+    1-based number among all rows.
     """
-    w = F.lit(1) if counted is None else F.when(counted, F.lit(1)).otherwise(F.lit(0))
-    within = (Window.partitionBy(file_col, block_col).orderBy(seq_col)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (df.withColumn("_w", w).withColumn("_r", F.sum("_w").over(within))
-              .withColumn("_all", F.count(F.lit(1)).over(within)))
-    per_block = ranked.groupBy(file_col, block_col).agg(F.sum("_w").alias("_c"),
-                                                        F.count(F.lit(1)).alias("_n"))
+    if counted is not None:
+        df = df.withColumn("_is", F.coalesce(counted, F.lit(False)))
+    names = df.columns
+    schema = StructType([*df.schema.fields, *[StructField(c, LongType()) for c in _ORDINALS]])
+    rows = write_through(df.mapInArrow(_local_ordinals(
+        names.index(file_col), names.index(block_col),
+        names.index("_is") if counted is not None else None), schema), "numbered")
+    per_block = rows.groupBy(file_col, block_col).agg(F.max("_all").alias("_n"), F.max("_counted").alias("_c"))
     before = (Window.partitionBy(file_col).orderBy(block_col)
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_block.select(file_col, block_col,
-                               F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
-                               F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_all"))
-    idx = (F.col("_off") + F.col("_r") - 1).cast("bigint")
-    out_df = (ranked.join(offsets, [file_col, block_col])
-              .withColumn(out, F.when(F.col("_w") == 1, idx)))
+    offsets = write_through(per_block.select(
+        file_col, block_col, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_c0")), "split-offsets")
+    index = F.col("_c0") + F.col("_counted") - 1
+    res = lookup_small(rows, offsets, [file_col, block_col]).withColumn(
+        out, index if counted is None else F.when(F.col("_is"), index))
     if line_col:
-        out_df = out_df.withColumn(line_col, (F.col("_off_all") + F.col("_all")).cast("bigint"))
-    return out_df.drop("_w", "_r", "_all", "_off", "_off_all")
+        res = res.withColumn(line_col, F.col("_n0") + F.col("_all"))
+    return res.drop("_is", *_ORDINALS, "_n0", "_c0")
 
 
 def read_jsonl_lines(spark: SparkSession, path: str, glob: str = "*.jsonl",
                      recursive: bool = False, keep_blank: bool = False) -> DataFrame:
     """Lines of JSONL files with their file-order keys.
 
-    Columns: file_path, file_name, _blk (input split start), _seq (grows within a
-    split), value.  Number them with ``number_within_file`` after
-    validation, counting only decodable values.  Blank lines are dropped
+    Columns: file_path, file_name (relative to ``path``), _blk (input split start),
+    value.  Number them with ``number_within_file`` after validation, counting
+    only decodable values.  Blank lines are dropped
     unless ``keep_blank`` (to count physical line numbers first).
     """
     lines = (spark.read.option("pathGlobFilter", glob)
              .option("recursiveFileLookup", str(recursive).lower())
              .text(path)
              .select(F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_name").alias("file_name"),
+                     relative_name(spark, path).alias("file_name"),
                      F.col("_metadata.file_block_start").alias("_blk"),
-                     F.monotonically_increasing_id().alias("_seq"),
                      "value"))
     return lines if keep_blank else lines.where(~is_blank(F.col("value")))
 

@@ -17,18 +17,23 @@ from pyspark.sql import functions as F
 
 from convforge.operators import validate as va
 from convforge.plans.prepare import validate_jsonl_lines
+from convforge.session import write_through
+from convforge.sources.raw import relative_name
+
+
+KEYS = ["file_path", "file_name", "object_index", "line_no"]
 
 
 def _batch_writer(output_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The batch is a static DataFrame: sequence ids are allowed here.
-        # Files are never split across batches, so numbering matches the
-        # batch job (same rules, same function).
-        lines = batch.withColumn("_seq", F.monotonically_increasing_id())
-        v = validate_jsonl_lines(lines)
-        v = v.select("file_name", "object_index", "line_no", "value", "reason", "bad_index",
-                     "messages")
-        v.write.mode("overwrite").parquet(f"{output_dir}/validated/batch_id={batch_id}")
+        # The batch is a static scan of whole files, so numbering matches the
+        # batch job (same rules, same function).  The numbered rows are written
+        # once; both tables are cut from them.
+        v = write_through(validate_jsonl_lines(batch), "stream-batch")
+        (va.accepted(v, KEYS).write.mode("overwrite")
+         .parquet(f"{output_dir}/accepted/batch_id={batch_id}"))
+        (va.rejected(v, KEYS).write.mode("overwrite")
+         .parquet(f"{output_dir}/rejected/batch_id={batch_id}"))
     return write
 
 
@@ -47,7 +52,7 @@ def start_ingest(spark: SparkSession, source_dir: str, output_dir: str,
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(source_dir).select(
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
+        relative_name(spark, source_dir).alias("file_name"),
         F.col("_metadata.file_block_start").alias("_blk"),
         "value")
     w = (lines.writeStream.foreachBatch(_batch_writer(output_dir))
@@ -56,10 +61,11 @@ def start_ingest(spark: SparkSession, source_dir: str, output_dir: str,
     return w.start()
 
 
-def read_ingested(spark: SparkSession, output_dir: str) -> DataFrame:
-    """Everything the stream has written: validated rows of all batches."""
-    return spark.read.parquet(f"{output_dir}/validated")
+def accepted_conversations(spark: SparkSession, output_dir: str) -> DataFrame:
+    """Accepted conversations of all batches: their keys and messages."""
+    return spark.read.parquet(f"{output_dir}/accepted")
 
 
-def accepted_conversations(spark: SparkSession, output_dir: str) -> DataFrame:
-    return va.accepted(read_ingested(spark, output_dir), ["file_name", "object_index"])
+def rejected_values(spark: SparkSession, output_dir: str) -> DataFrame:
+    """Rejected values of all batches: their keys, reason, bad_index and value."""
+    return spark.read.parquet(f"{output_dir}/rejected")

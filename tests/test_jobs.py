@@ -1,5 +1,6 @@
 """End-to-end jobs: prepare -> training text -> evaluate -> inference."""
 
+import glob
 import json
 import os
 
@@ -46,7 +47,7 @@ def test_prepare_train_text_evaluate(spark, tmp_dir):
     report = os.path.join(tmp_dir, "eval.json")
     r = ev.evaluate(spark, f"{out}/val.jsonl", EchoGenerator, train_path=f"{out}/train.jsonl",
                     num_samples=3, output=report)
-    doc = json.loads(r["report_text"])
+    doc = json.load(open(glob.glob(r["report_path"] + "/part-*")[0], encoding="utf-8"))
     assert doc["num_val_samples"] == 6 and len(doc["sample_responses"]) == 3
     assert doc["perplexity"] > 1.0
     assert doc["sample_responses"][0]["generated"].startswith("reply:")
@@ -57,7 +58,11 @@ def test_prepare_train_text_evaluate(spark, tmp_dir):
     run = spark.read.parquet(r2["running_path"]).orderBy("processed").collect()
     assert [x["processed"] for x in run] == [10, 20, 30, 40]
     assert run[-1]["running_display"] == f"{run[-1]['running_perplexity']:.2f}"
-    assert spark.read.parquet(r2["report_path"] + "_samples").count() == 48
+    doc = json.load(open(glob.glob(r2["report_path"] + "/part-*")[0], encoding="utf-8"))
+    assert len(doc["sample_responses"]) == 48 and doc["num_val_samples"] == 48
+    r3 = ev.evaluate(spark, f"{out}/val.jsonl", EchoGenerator, train_path=f"{out}/train.jsonl",
+                     max_samples=3, num_samples=1, output=os.path.join(tmp_dir, "eval3.json"))
+    assert r3["num_val_samples"] == 6  # the split, not what was scored
 
 
 def test_empty_validation_split_reports_null_perplexity(spark, tmp_dir):
@@ -68,7 +73,7 @@ def test_empty_validation_split_reports_null_perplexity(spark, tmp_dir):
     assert (res.train, res.val) == (9, 0)
     r = ev.evaluate(spark, f"{out}/val.jsonl", EchoGenerator, train_path=f"{out}/train.jsonl",
                     output=os.path.join(tmp_dir, "r.json"))
-    doc = json.loads(r["report_text"])
+    doc = json.load(open(glob.glob(r["report_path"] + "/part-*")[0], encoding="utf-8"))
     assert doc == {"perplexity": None, "num_val_samples": 0, "sample_responses": []}
 
 
@@ -109,7 +114,9 @@ def test_inference_queries(spark):
     q = pr.query_table(spark, ["Mera naam?", "When?"])
     out = {r["query_id"]: r for r in inf.answer_queries(q, EchoGenerator, system_prompt="S").collect()}
     assert out[0]["prompt"].startswith("<|im_start|>system\nS<|im_end|>")
-    assert out[1]["generated"].endswith("When?<|im_end|>\n<|im_start|>assistant")
+    import hashlib
+    assert out[1]["generated"] == (f"reply:{len(out[1]['prompt'])} "
+                                   + hashlib.md5(out[1]["prompt"].encode()).hexdigest())
     assert inf.answer_one(spark, "hello", EchoGenerator).startswith("reply:")
 
 
@@ -120,12 +127,12 @@ def test_command_line_jobs(tmp_dir, capsys, spark):
     assert prep.main(["--raw_dir", raw_dir, "--output_dir", out]) == 0
     text = capsys.readouterr().out
     assert "Multi Turn Conversations: 0" in text and "Conversations: 27" in text
-    assert "Train: 24, Val: 3" in text
-    assert "a.jsonl: skipped 2 (bad_role)" in text
+    assert "24 training, 3 validation" in text
+    assert "a.jsonl: 2 x bad_role" in text
     assert ev.main(["--val_path", f"{out}/val.jsonl", "--train_path", f"{out}/train.jsonl",
                     "--generator", "convforge.operators.generate:EchoGenerator",
                     "--output", os.path.join(tmp_dir, "r.json")]) == 0
-    assert "Validation Perplexity:" in capsys.readouterr().out
+    assert "validation examples, perplexity" in capsys.readouterr().out
     assert inf.main(["--generator", "convforge.operators.generate:EchoGenerator",
                      "--query", "hello"]) == 0
     assert capsys.readouterr().out.startswith("reply:")
@@ -148,4 +155,34 @@ def test_command_line_jobs(tmp_dir, capsys, spark):
     assert ev.main(["--val_path", f"{out}/val.jsonl", "--generator",
                     "convforge.operators.generate:EchoGenerator", "--scores_table", scores,
                     "--output", os.path.join(tmp_dir, "r3.json")]) == 0
-    assert "Validation Perplexity: n/a" in capsys.readouterr().out  # no score matched
+    assert "perplexity n/a" in capsys.readouterr().out  # no score matched
+
+
+def test_curated_chats_join_the_corpus(spark, tmp_dir):
+    raw_dir = os.path.join(tmp_dir, "raw")
+    make_raw(raw_dir, n=10)
+    with open(os.path.join(raw_dir, "chats.md"), "w") as f:
+        f.write("# Chats\n\n---\n\n### One\n**User:** Hi\n\n**Bot:** Hello\n\n---\n\n"
+                "### Two\n**User:** Q\n\n**Bot:** A\n\n---\n\n### Three\n**User:** Q\n\n**Bot:**  \n")
+    res = prep.prepare_data(spark, raw_dir, os.path.join(tmp_dir, "data"), curated_glob="*.md",
+                            assistant_label="Bot")
+    assert res.stats["conversations"] == 9 + 2
+    audit = {r["file_name"]: (r["raw_objects"], r["valid_conversations"]) for r in res.audit.collect()}
+    assert audit["chats.md"] == (3, 2)
+
+
+def test_sessions_are_answered_with_their_history(spark):
+    class Counter:
+        def __call__(self, prompts, **params):
+            return [f" reply {p.count('<|im_start|>user')} after {p.count('<|im_start|>assistant') - 1}" for p in prompts]
+
+    log = spark.createDataFrame([("s", 1, "a"), ("s", 2, " "), ("s", 3, "b"), ("s", 4, "reset"), ("s", 5, "c"),
+                                 ("t", 1, "d"), ("t", 2, "quit"), ("t", 3, "e")],
+                                "session string, line_no long, text string")
+    got = {(r["session"], r["segment"]): [(m["role"], m["content"]) for m in r["messages"]]
+           for r in inf.answer_sessions(log, Counter, system_prompt="S").collect()}
+    assert got == {
+        ("s", 0): [("system", "S"), ("user", "a"), ("assistant", "reply 1 after 0"),
+                   ("user", "b"), ("assistant", "reply 2 after 1")],
+        ("s", 1): [("system", "S"), ("user", "c"), ("assistant", "reply 1 after 0")],
+        ("t", 0): [("system", "S"), ("user", "d"), ("assistant", "reply 1 after 0")]}

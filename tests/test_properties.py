@@ -12,32 +12,39 @@ from convforge.operators import split as splitting
 from convforge.operators import stats as st
 from convforge.operators import validate as va
 
-ROLE = st_.sampled_from(["system", "user", "assistant", "tool", "User"])
-TEXT = st_.sampled_from(["hi", " pad ", "", "   ", "नमस्ते", "a\nb", "　x　"])
-CONV = st_.lists(st_.tuples(ROLE, TEXT), min_size=0, max_size=5)
-
 SLOW = settings(max_examples=15, deadline=None,
                 suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
-def python_reason(msgs):
-    """The rule chain restated over Python values, as the reference states it."""
-    if len(msgs) < 2:
-        return "messages_not_list_or_short"
-    for role, content in msgs:
-        if role not in ("system", "user", "assistant"):
-            return "bad_role"
-        if not content.strip():
-            return "blank_content"
-    roles = {r for r, _ in msgs}
-    if "user" not in roles or "assistant" not in roles:
-        return "missing_user_or_assistant"
-    return None
+# Conversations are built with their outcome: a sound one, then one fault put in.
+GOOD = st_.sampled_from(["hi", " pad ", "नमस्ते", "a\nb", "　x　"])
+EMPTY = st_.sampled_from(["", "   ", "\u3000", "\n\t"])
+FAULTS = ["none", "short", "role", "empty", "one_sided"]
+
+
+@st_.composite
+def built(draw):
+    """([(role, content)], expected reason) of one conversation."""
+    middle = draw(st_.lists(st_.tuples(st_.sampled_from(["system", "user", "assistant"]), GOOD), max_size=3))
+    sound = draw(st_.permutations([*middle, ("user", draw(GOOD)), ("assistant", draw(GOOD))]))
+    fault = draw(st_.sampled_from(FAULTS))
+    at = draw(st_.integers(0, len(sound) - 1))
+    if fault == "short":
+        return sound[:draw(st_.integers(0, 1))], "messages_not_list_or_short"
+    if fault == "role":
+        return [*sound[:at], (draw(st_.sampled_from(["tool", "User"])), draw(GOOD)), *sound[at:]], "bad_role"
+    if fault == "empty":
+        return [*sound[:at], ("user", draw(EMPTY)), *sound[at:]], "blank_content"
+    if fault == "one_sided":
+        left = draw(st_.sampled_from(["user", "assistant"]))
+        return [("system", "s"), *[(left, c) for _, c in sound]], "missing_user_or_assistant"
+    return list(sound), None
 
 
 @SLOW
-@given(st_.lists(CONV, min_size=1, max_size=8))
-def test_three_validators_agree_with_python(spark, convs):
+@given(st_.lists(built(), min_size=1, max_size=8))
+def test_three_validators_find_the_built_fault(spark, cases):
+    convs = [m for m, _ in cases]
     lines = [json.dumps({"messages": [{"role": r, "content": c} for r, c in m]}) for m in convs]
     raw = spark.createDataFrame(list(enumerate(lines)), "k long, value string")
     from_json = {r["k"]: r["reason"] for r in va.validate_values(raw).collect()}
@@ -45,10 +52,9 @@ def test_three_validators_agree_with_python(spark, convs):
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     long = {r["conv_id"]: r["reason"] for r in va.profile_turns(turns).collect()}
     typed = {r["conv_id"]: r["reason"] for r in va.validate_typed(conv.to_nested(turns)).collect()}
-    expect = {i: python_reason(m) for i, m in enumerate(convs)}
+    expect = dict(enumerate(reason for _, reason in cases))
     assert from_json == expect
-    assert {k: v for k, v in long.items()} == {k: v for k, v in expect.items() if convs[k]}
-    assert typed == long
+    assert long == typed == {k: v for k, v in expect.items() if convs[k]}
 
 
 @SLOW
@@ -80,39 +86,37 @@ def test_stats_of_union_are_sums(spark):
             assert whole[k] == sa[k] + sb[k]
 
 
-LINE = st_.sampled_from(["hi", "  ", "", "reset", " RESET ", "quit", "Exit", "ok", "q 2", "नमस्ते"])
+# A log is built from the conversations it must give back.
+SAID = st_.sampled_from(["hi", "ok", "q 2", "नमस्ते", "reset me", "exiting"])
+NOISE = st_.lists(st_.sampled_from(["", "  ", "\u3000"]), max_size=2)
 
 
-def python_replay(lines, system="SYS"):
-    """The terminal loop's turn logic, sequentially, per session."""
-    out, segment, position = [], 0, 0
-    for text in lines:
-        s = text.strip()
-        if not s:
-            continue
-        if s.lower() in ("quit", "exit"):
-            break
-        if s.lower() == "reset":
-            segment, position = segment + 1, 0
-            continue
-        if position == 0:
-            out.append((segment, 0, "system", system))
-        position += 1
-        out.append((segment, position, "user", s))
-    return out
+@st_.composite
+def session(draw):
+    """(log lines, {segment: user messages}) of one session."""
+    lines, said = [], {}
+    for segment in range(draw(st_.integers(0, 4))):
+        for text in draw(st_.lists(SAID, max_size=5)):
+            lines += [*draw(NOISE), draw(st_.sampled_from(["", " "])) + text]
+            said.setdefault(segment, []).append(text)
+        lines += [*draw(NOISE), draw(st_.sampled_from(["reset", " RESET "]))]
+    if draw(st_.booleans()):
+        lines += [draw(st_.sampled_from(["quit", "Exit "])), *draw(st_.lists(SAID, max_size=3))]
+    return lines, said
 
 
 @SLOW
-@given(st_.lists(st_.lists(LINE, max_size=25), min_size=1, max_size=4))
-def test_replay_matches_sequential_loop(spark, sessions):
+@given(st_.lists(session(), min_size=1, max_size=4))
+def test_replay_gives_back_the_logged_conversations(spark, sessions):
     from convforge.operators import replay as rp
-    rows = [(sid, i, t) for sid, lines in enumerate(sessions) for i, t in enumerate(lines)]
+    rows = [(sid, i, t) for sid, (lines, _) in enumerate(sessions) for i, t in enumerate(lines)]
     if not rows:
         return
     df = spark.createDataFrame(rows, "session long, line_no long, text string")
     got = sorted((r["session"], r["segment"], r["position"], r["role"], r["content"])
                  for r in rp.replay_sessions(df, system_prompt="SYS", block=3).collect())
-    expect = sorted((sid, *t) for sid, lines in enumerate(sessions) for t in python_replay(lines))
+    expect = sorted((sid, segment, i, "user" if i else "system", c) for sid, (_, said) in enumerate(sessions)
+                    for segment, texts in said.items() for i, c in enumerate(["SYS", *texts]))
     assert got == expect
 
 

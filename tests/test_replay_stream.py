@@ -31,12 +31,14 @@ def test_stream_equals_batch(spark, tmp_dir):
     q = stream.start_ingest(spark, src, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"),
                             max_files_per_trigger=1)
     q.awaitTermination()
-    s = stream.read_ingested(spark, os.path.join(tmp_dir, "out"))
+    ok = stream.accepted_conversations(spark, os.path.join(tmp_dir, "out"))
+    bad = stream.rejected_values(spark, os.path.join(tmp_dir, "out"))
     b = prep.ingest(spark, src, json_glob=None)
-    key = ["file_name", "object_index", "reason"]
-    assert sorted(map(tuple, s.select(*key).collect()), key=str) == \
-        sorted(map(tuple, b.select(*key).collect()), key=str)
-    assert s.where(F.col("reason").isNull()).count() == 6
+    key = ["file_path", "file_name", "object_index", "line_no"]
+    for got, want in ((ok, b.where(F.col("reason").isNull())), (bad, b.where(F.col("reason").isNotNull()))):
+        assert sorted(map(tuple, got.select(*key).collect()), key=str) == \
+            sorted(map(tuple, want.select(*key).collect()), key=str)
+    assert ok.count() == 6 and {r["reason"] for r in bad.collect()} == {"parse_error", "no_messages_key"}
 
 
 def test_generate_strips_and_passes_params(spark):

@@ -123,6 +123,13 @@ def test_strict_parse_matches_python(spark):
     assert got == [py_ok(s) for s in samples]
 
 
-def test_oversized_value_has_its_own_reason(spark):
-    big = ok_conv(("user", "x" * (24 * 1024 * 1024)), ("assistant", "y"))
-    assert [o[0] for o in outcomes(spark, [big, "{bad"])] == ["value_too_large", "parse_error"]
+def test_values_beyond_variant_meet_the_same_rules(spark):
+    """Neither size nor NaN in a key that does not matter decides validity."""
+    big = "x" * (24 * 1024 * 1024)
+    nan = ok_conv(("user", "q"), ("assistant", "a"))[:-1] + ', "score": NaN, "p": [-Infinity, "NaN"]}'
+    lines = [ok_conv(("user", big), ("assistant", "y")), ok_conv(("user", big), ("tool", "y")), "{bad", nan,
+             '{"messages": NaN}', "NaN", '{"a": "NaN"', ok_conv(("user", big), ("user", "y")),
+             '{"messages": [{"role": "user", "content": NaN}, {"role": "assistant", "content": "a"}]}']
+    assert [o[0] for o in outcomes(spark, lines)] == [
+        None, "bad_role", "parse_error", None, "messages_not_list_or_short", "no_messages_key", "parse_error",
+        "missing_user_or_assistant", "content_not_string"]
