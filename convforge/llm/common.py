@@ -40,6 +40,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes of text that a Python worker and the JVM beside it hold at once.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, for a step in Python: Arrow batches of bounded size from now on."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def attach_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Equi-join ``small`` (already materialised) to ``big``: broadcast when its
@@ -173,7 +185,7 @@ def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return off, data
 
 
-def blocks(column, lower: bool = True, block_bytes: int = 1 << 21,
+def blocks(column, lower: bool = True, block_bytes: int = 1 << 20,
            punctuation: bool = False) -> Iterator[Words]:
     """Words of a column in blocks of whole rows of about ``block_bytes`` (a
     longer text is a block of its own), which bounds the arrays held at once.

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convforge.llm.common import bitmap, blocks, find, gram_hash, word_grams
+from convforge.llm.common import bitmap, blocks, bounded_batches, find, gram_hash, word_grams
 
 RARE = 1e-9
 SHORTEST, LONGEST = 3, 8
@@ -207,7 +207,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     digits and non-ASCII characters.  Null, empty or blank texts and items match
     nothing; repeated rows and items are each reported; no rows give no rows.
     """
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    src = bounded_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     it = (items.select(F.col(item_col).cast("bigint").alias("k"), F.col(item_text_col).cast("string").alias("t"))
                .where("t is not null"))
     words = it.agg(F.sum(F.size(F.split("t", r"\s+")))).head()[0] or 0

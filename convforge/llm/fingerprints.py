@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convforge.llm.common import batch, written
+from convforge.llm.common import batch, bounded_batches, written
 
 LANES = 512
 TOUCHED = 4
@@ -86,7 +86,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``n_chars`` (code points) and ``fingerprint`` of every row (null text: empty)."""
     from pyspark.sql.types import LongType, StringType, StructField, StructType
     cols = [F.col(id_col), *[F.col(c) for c in keep]]
-    src = docs.select(*cols, F.col(text_col).cast("string").alias("_text"))
+    src = bounded_batches(docs).select(*cols, F.col(text_col).cast("string").alias("_text"))
     out = StructType([*src.schema.fields[:-1], StructField("n_chars", LongType()),
                       StructField("fingerprint", StringType())])
 
@@ -115,7 +115,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = (docs.select(F.col(id_col).cast("bigint").alias("_id"),
+    src = (bounded_batches(docs).select(F.col(id_col).cast("bigint").alias("_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
                .repartitionByRange(parts, "_id").sortWithinPartitions("_id", "_text"))
     schema = pa.schema([("_id", pa.int64()), ("_part", pa.int64()), ("_edge", pa.string()),

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convforge.llm.common import attach_small, blocks, mix64, written
+from convforge.llm.common import attach_small, blocks, bounded_batches, mix64, written
 from convforge.llm.components import components
 
 SKETCH_BITS = 22
@@ -49,23 +49,16 @@ def _sketch(texts: DataFrame, words: int) -> np.ndarray:
     step = size // SKETCH_BLOCKS
 
     def count(batches):
-        total = np.zeros(size, dtype=np.int64)
+        total = np.zeros(size, dtype=np.uint32)  # a task reads no 2**32 words
         for b in batches:
-            held, n = [], 0
             for w in blocks(b.column(0)):
                 s, _ = w.shingles(words)
-                held.append((s >> _SHIFT).astype(np.int64))
-                n += len(s)
-                if n > size:
-                    total += np.bincount(np.concatenate(held), minlength=size)
-                    held, n = [], 0
-            if n:
-                total += np.bincount(np.concatenate(held), minlength=size)
+                np.add.at(total, (s >> _SHIFT).astype(np.int64), np.uint32(1))
         if total.any():
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part] * SKETCH_BLOCKS, pa.int64()), pa.array(range(SKETCH_BLOCKS), pa.int64()),
-                 pa.array([zlib.compress(total[k * step:(k + 1) * step].tobytes(), 1)
+                 pa.array([zlib.compress(total[k * step:(k + 1) * step].astype(np.int64).tobytes(), 1)
                            for k in range(SKETCH_BLOCKS)], pa.binary())], names=["part", "block", "counts"])
 
     def merge(t: pa.Table) -> pa.Table:
@@ -210,7 +203,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     num, den = similarity
     g = math.gcd(num, den)
     num, den = num // g, den // g
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    src = bounded_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     order = _sketch(src.select("_text"), words)
     sets = written(_sets(src, words, num, den, order), "join-rows")
     classes = written(sets.where("n > 0").groupBy("n", "d1", "d2")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convforge.llm.common import _BYTE, _powers, blocks, held_out
+from convforge.llm.common import _BYTE, _powers, blocks, bounded_batches, held_out
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = 0x20  # byte that stands for the word-start marker; no word has it inside
@@ -209,7 +209,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text",
     A null text, one without a letter, or a model without languages: 'und' and 0.
     Ties go to the first language in order.
     """
-    src = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
+    src = bounded_batches(docs).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
                       F.col(text_col).cast("string").alias("_text"))
     ddl = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]],
                      "lang_pred string", "score double"])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convforge.llm.common import blocks, mix64
+from convforge.llm.common import blocks, bounded_batches, mix64
 
 WORDS = 2  # words per shingle: notices are short
 CONTAINMENT = 0.8
@@ -134,7 +134,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
     """
     shared = docs.sparkSession.sparkContext.broadcast(
         _classes(NOTICES if templates is None else templates, containment))
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    src = bounded_batches(docs).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     kind = src.schema["_id"].dataType.simpleString()
 
     def run(batches):

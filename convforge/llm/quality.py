@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convforge.llm.common import batch, held_out, text_buffers
+from convforge.llm.common import bounded_batches, held_out, text_buffers
 
 LEVEL = 6
 HALF_LENGTH = 200.0
@@ -53,7 +53,7 @@ def _compressor(data: bytes):
 def _differences(docs: DataFrame, good: bytes, bad: bytes, text_col: str, carried: list[str]) -> DataFrame:
     """``carried`` columns plus difference (bytes) and n_bytes of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast((good, bad))
-    source = docs.select(*carried, F.col(text_col).cast("string").alias("_text"))
+    source = bounded_batches(docs).select(*carried, F.col(text_col).cast("string").alias("_text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
 
     def run(batches):

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from convforge.llm.common import bounded_batches
+
 
 
 # The base patterns and their least lengths.
@@ -112,7 +114,7 @@ def corpus_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
     fixed patterns are random strings, words of texts without such values ordinary
     ones.  A batch emits its MAX_PER_LABEL least ordinary words by hash, which hold
     those of the corpus, however it is divided."""
-    src = docs.select(F.col(text_col).cast("string").alias("_text"))
+    src = bounded_batches(docs).select(F.col(text_col).cast("string").alias("_text"))
     word = re.compile(r"[A-Za-z0-9+/_=-]{4,}")
 
     def run(batches):
@@ -148,7 +150,7 @@ def find(docs: DataFrame, model: MarkovModel, id_col: str = "doc_id", text_col:
     in the order assign, access, hex, random; joined by commas ('' without any).
     A random span is a candidate run that overlaps no base span.
     """
-    src = docs.select(F.col(id_col).alias("_id"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
+    src = bounded_batches(docs).select(F.col(id_col).alias("_id"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
                       F.col(text_col).cast("string").alias("_text"))
     ddl = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]],
                      "n_assign bigint", "n_access bigint", "n_hex bigint", "n_random bigint",

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convforge.llm.common import bitmap, blocks, find, written
+from convforge.llm.common import bitmap, blocks, bounded_batches, find, written
 
 LEAST_DOCS = 3
 LEAST_Z = 2.5  # log odds over its standard error; less is noise
@@ -159,7 +159,7 @@ def severity(docs: DataFrame, model: SeverityModel, text_col: str = "text",
     """``keep`` columns plus ``severity`` (expected grade), ``p_toxic`` (probability
     of any grade above 0) and ``toxic`` (p_toxic >= 0.5) of every whole text.
     Null and empty texts have no feature and get the score of none."""
-    src = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
+    src = bounded_batches(docs).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
                       F.col(text_col).cast("string").alias("_text"))
     ddl = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]],
                      "severity double", "p_toxic double", "toxic boolean"])
