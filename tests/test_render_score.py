@@ -110,17 +110,14 @@ def test_running_within_matches_cumsum(spark):
         assert r["run_v"] == sum(x[2] for x in rows if x[0] == r["g"] and x[1] <= r["i"])
 
 
-class WordCodec:
-    """A user tokenizer: words are tokens."""
-
-    def encode(self, text):
-        return text.split()
-
-    def decode(self, ids):
-        return " ".join(ids)
+def test_exact_truncation_with_a_user_tokenizer(spark):
+    class WordCodec:  # words are tokens
+        def encode(self, text):
+            return text.split()
 
+        def decode(self, ids):
+            return " ".join(ids)
 
-def test_exact_truncation_with_a_user_tokenizer(spark):
     df = spark.createDataFrame([(0, "the cat sat on the mat"), (1, "a dog")], "k long, text string")
     out = {r["k"]: r for r in rd.truncate_exact(df, WordCodec, max_tokens=3).collect()}
     assert out[0]["n_tokens"] == 3 and out[0]["is_truncated"] and out[0]["text"] == "the cat sat"
