@@ -28,7 +28,7 @@ def test_stages(spark, small_docs):
     kept = {r["doc_id"] for r in q.where("predicted = 1").collect()}
     assert {r["doc_id"] for r in rows["quality"][1].collect()} == kept
 
-    from test_jaccard import brute
+    from llm.test_jaccard import brute
     before, after = rows["near_duplicates"]
     groups = brute([(r["doc_id"], r["text"]) for r in before.collect()], 5, 80, 100)
     assert sorted(r["doc_id"] for r in after.collect()) == sorted({c for _, _, c in groups})
