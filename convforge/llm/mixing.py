@@ -8,7 +8,8 @@ target; ``lambda_s`` solves the convex dual by Newton steps, guarded by a
 bracket.  A rate depends on source and size only, so every step aggregates the
 histogram (source, size, documents).  Rates become whole copies by
 hash-dithered rounding whose offset per source is then moved until the words
-taken meet the target within about one document.  DataFrame operations only.
+taken meet the target within about one document, and that document is chosen
+for the least rest.  DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -162,8 +163,26 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     flip = F.col("_can") & (F.col("_c1").isNull() | (F.col("_b1") < F.col("_c1"))
                             | ((F.col("_b1") == F.col("_c1")) & (F.col("_b2") <= F.col("_c2"))))
     copies = F.col("_base") + F.when(flip, F.when(F.col("_up"), 1).otherwise(-1)).otherwise(0)
-    return (attach_small(flips, cut, "_key", "left")
+    rounded = (attach_small(flips, cut, "_key", "left")
+               .select("_id", "_key", "_size", "source_size", "target", "_open", "rate",
+                       copies.cast("bigint").alias("_copies"), *[f"_keep_{i}" for i in range(len(keep))]))
+
+    # What is left of a source's gap: the one document that closes most of it
+    # (equal rows move together).
+    left = written(rounded.groupBy("_key").agg(
+        (F.max("target") - F.sum(F.col("_copies") * F.col("_size"))).alias("_left")), "mix-left")
+    movable = F.when(F.col("_left") > 0, F.col("_copies") < cap).otherwise(F.col("_copies") > 0)
+    best = (attach_small(rounded, left, "_key").where((F.col("_size") > 0) & F.col("_open") & movable)
+            .groupBy("_key", "_left", "_id", "_size").agg(F.sum("_size").alias("_words"))
+            .withColumn("_miss", F.abs(F.abs("_left") - F.col("_words")))
+            .where(F.col("_miss") < F.abs("_left"))
+            .groupBy("_key", "_left").agg(F.min(F.struct("_miss", "_id", "_size")).alias("_b"))
+            .select("_key", F.when(F.col("_left") > 0, 1).otherwise(-1).alias("_move"),
+                    F.col("_b._id").alias("_best_id"), F.col("_b._size").alias("_best_size")))
+    moved = F.col("_copies") + F.when(F.col("_id").eqNullSafe(F.col("_best_id"))
+                                      & (F.col("_size") == F.col("_best_size")), F.col("_move")).otherwise(0)
+    return (attach_small(rounded, written(best, "mix-best"), "_key", "left")
+            .withColumn("copies", moved.cast("bigint"))
             .select(F.col("_id").alias(id_col), F.col("_size").alias("size"), "source_size",
-                    "target", (copies * F.col("_size")).cast("bigint").alias("taken"),
-                    "rate", copies.cast("bigint").alias("copies"),
-                    *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)]))
+                    "target", (F.col("copies") * F.col("_size")).cast("bigint").alias("taken"),
+                    "rate", "copies", *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)]))
