@@ -6,11 +6,12 @@ a fixed-size counting sketch over the whole corpus, ties by hash), so that
 linked sets share a token in a short prefix of each.
 
 1. Classes that share prefix tokens are partitioned into groups of similar
-   sets: a class belongs to the group of its first shared token.
+   sets: those with one first shared token that may be near the group's pivot.
 2. The token-group matrix holds, per token and group, the union of the members'
-   index prefixes with the range of their sizes and the most tokens that can
-   follow.  From it a class's overlap with any member of a group is bounded;
-   only groups whose bound reaches the required overlap qualify.
+   index prefixes with the range of their sizes, the most tokens that can
+   follow, and the group's centre and radius in parity signatures.  From it a
+   class's overlap with any member of a group is bounded; only groups whose
+   bound reaches the required overlap qualify.
 3. Each class is compared with its group's pivot, pivots with the pivots of
    qualifying groups.  Then qualifying groups are opened, but only towards
    members that these links have not already put in the same component.
@@ -95,18 +96,45 @@ def _digest(u: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-def _parity(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Parity bitmap of a set (a power of two of at least twice its size in bits, 128
-    to 4096) and the same folded to half its length.  Two bitmaps of one length
-    differ in at most as many bits as the sets in elements."""
+def _parity(u: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set: a power of two of at least twice its size in bits, 128
+    to 4096.  Two bitmaps of one length differ in at most as many bits as the sets
+    in elements; folding a bitmap in half gives the one of half the length."""
     m = min(4096, max(128, 1 << (2 * len(u) - 1).bit_length()))
     odd = np.bincount((u & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
-    full = np.packbits(odd.astype(np.uint8)).view(np.int64)
-    return full, full[:len(full) // 2] ^ full[len(full) // 2:]
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _signature(u: np.ndarray) -> np.ndarray:
+    """The 512-bit parity bitmap of a set, as eight integers (any two sets compare)."""
+    odd = np.bincount((u & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+SIGNATURE = [f"s{k}" for k in range(8)]
+CENTRE = [f"p{k}" for k in range(8)]
+
+
+def _apart(a, b) -> str:
+    """SQL: bits in which two signatures differ, at most the elements in which the sets do."""
+    return "(" + " + ".join(f"bit_count({x} ^ {y})" for x, y in zip(a, b)) + ")"
+
+
+def _plausible(n: str, bits: str, size: str, bits2: str, num: int, den: int) -> str:
+    """SQL: two parity bitmaps allow the similarity of sets with n and size elements.
+    (Sizes further apart than a factor of two have no bitmaps of one length.)"""
+    def half(b):
+        return f"""zip_with(slice({b}, 1, size({b}) div 2), slice({b}, size({b}) div 2 + 1, size({b}) div 2),
+                (x, y) -> x ^ y)"""
+    return f"""(greatest(size({bits}), size({bits2})) > 2 * least(size({bits}), size({bits2})) or aggregate(zip_with(
+            case when size({bits}) <= size({bits2}) then {bits} else {half(bits)} end,
+            case when size({bits2}) <= size({bits}) then {bits2} else {half(bits2)} end,
+            (x, y) -> bit_count(x ^ y)), 0, (a, x) -> a + coalesce(x, 0))
+        <= {n} + {size} - 2 * ({_ceil(f'{n} + {size}', num, num + den)}))"""
 
 
 def _sets(docs: DataFrame, words: int, num: int, den: int, classes: np.ndarray) -> DataFrame:
-    """(_id, n, d1, d2, bits, half, tokens): size, digest and parity bitmap of each set
+    """(_id, n, d1, d2, s0..s7, bits, tokens): size, digest and parity bitmaps of each set
     and its prefix in token order."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)  # 2**SKETCH_BITS small integers
 
@@ -116,13 +144,14 @@ def _sets(docs: DataFrame, words: int, num: int, den: int, classes: np.ndarray)
             rows = b.num_rows
             n = np.zeros(rows, dtype=np.int64)
             d = np.zeros((rows, 2), dtype=np.int64)
-            tokens, bits, half = [None] * rows, [None] * rows, [None] * rows
+            g = np.zeros((rows, len(SIGNATURE)), dtype=np.int64)
+            tokens, bits = [None] * rows, [None] * rows
             for w in blocks(b.column(1)):
                 for r, u in _distinct(*w.shingles(words)):
                     i = w.first + r
                     n[i] = m = len(u)
                     d[i] = _digest(u)
-                    bits[i], half[i] = _parity(u)
+                    bits[i], g[i] = _parity(u), _signature(u)
                     p = m - (num * m + den - 1) // den + 1
                     key = (rank[(u >> _SHIFT).astype(np.int64)].astype(np.uint64) << np.uint64(55)) \
                         | (u >> np.uint64(9))
@@ -132,12 +161,13 @@ def _sets(docs: DataFrame, words: int, num: int, den: int, classes: np.ndarray)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n), pa.array(np.ascontiguousarray(d[:, 0])),
                  pa.array(np.ascontiguousarray(d[:, 1])),
-                 *[pa.array(x, pa.list_(pa.int64())) for x in (bits, half, tokens)]],
-                names=["_id", "n", "d1", "d2", "bits", "half", "tokens"])
+                 *[pa.array(np.ascontiguousarray(g[:, k])) for k in range(len(SIGNATURE))],
+                 *[pa.array(x, pa.list_(pa.int64())) for x in (bits, tokens)]],
+                names=["_id", "n", "d1", "d2", *SIGNATURE, "bits", "tokens"])
 
     kind = docs.schema["_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"_id {kind}, n bigint, d1 bigint, d2 bigint, "
-                                "bits array<bigint>, half array<bigint>, tokens array<bigint>")
+                                + "".join(f"{c} bigint, " for c in SIGNATURE) + "bits array<bigint>, tokens array<bigint>")
 
 
 def _ceil(expr: str, num: int, den: int) -> str:
@@ -207,68 +237,89 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = _sketch(src.select("_text"), words)
     sets = written(_sets(src, words, num, den, order), "join-rows")
     classes = written(sets.where("n > 0").groupBy("n", "d1", "d2")
-                      .agg(F.min("_id").alias("rep"), F.first(F.struct("tokens", "bits", "half")).alias("s"))
+                      .agg(F.min("_id").alias("rep"), F.first(F.struct("tokens", "bits", *SIGNATURE)).alias("s"))
                       .select("n", "d1", "d2", "rep", "s.*")
                       .withColumn("cid", F.monotonically_increasing_id()), "join-classes")
 
     # Prefix tokens that at least two classes have, one of them in its index prefix.
-    posts = (classes.select("cid", "n", F.posexplode("tokens").alias("pos", "token"))
-             .withColumn("idx", F.expr(f"pos <= n - {_ceil('n', 2 * num, num + den)}")))
-    common = (posts.groupBy("token").agg(F.count("*").alias("c"), F.max("idx").alias("any"))
-                   .where("c > 1 and any").select("token"))
-    posts = written(posts.join(common, "token"), "join-posts")
-
-    # Groups of similar classes and their pivots (fewest rare tokens of their own first).
-    member = posts.groupBy("cid").agg(F.min(F.struct("pos", "token")).alias("f"), F.max("n").alias("n"))
-    member = member.select("cid", "n", F.col("f.pos").alias("at"), F.col("f.token").alias("grp"))
-    pivots = member.groupBy("grp").agg(F.min(F.struct("at", "cid", "n")).alias("p"))
-    member = written(member.drop("at").join(
-        pivots.select("grp", F.col("p.cid").alias("pivot"), F.col("p.n").alias("pivot_n")), "grp"),
-        "join-members")
+    # Size and position travel as one number, as these are most of the rows moved.
+    posts = classes.select("cid", "n", F.posexplode("tokens").alias("pos", "token"))
+    idx = F.expr(f"pos <= n - {_ceil('n', 2 * num, num + den)}")
+    common = (posts.select("token", F.when(idx, 1 + (1 << 40)).otherwise(1).cast("bigint").alias("w"))
+              .groupBy("token").agg(F.sum("w").alias("w"))
+              .where(f"w % {1 << 40} > 1 and w > {1 << 40}").select("token"))
+    posts = (posts.select("token", "cid", F.expr("shiftleft(n, 32) + pos").alias("at"))
+             .join(common, "token")
+             .select("cid", "token", F.shiftright("at", 32).alias("n"),
+                     (F.col("at") % (1 << 32)).alias("pos")).withColumn("idx", idx))
+    posts = written(posts, "join-posts")
+
+    # Groups of similar classes: those with one first shared token, around a pivot
+    # (fewest rare tokens of its own first); one that cannot be as similar to the
+    # pivot as the join asks is a group of its own.
+    maps = written(classes.select("cid", "n", *SIGNATURE, "bits")
+                   .join(posts.select("cid").distinct(), "cid", "left_semi"), "join-maps")
+    first = posts.groupBy("cid").agg(F.min(F.struct("pos", "token")).alias("f")).join(maps.drop("bits"), "cid")
+    first = first.select("cid", "n", F.col("f.token").alias("token"), F.col("f.pos").alias("at"), *SIGNATURE)
+    pivots = (first.groupBy("token").agg(F.min(F.struct("at", "cid", "n", *SIGNATURE)).alias("p"))
+              .select("token", F.col("p.cid").alias("pivot"), F.col("p.n").alias("pivot_n"),
+                      *[F.col(f"p.{c}").alias(f"p{k}") for k, c in enumerate(SIGNATURE)]))
+    differ = f"(n + {{}}) * {den - num} div {num + den}"  # elements that two linked sets may differ in
+    near = F.expr(f"""{den} * least(n, pivot_n) >= {num} * greatest(n, pivot_n)
+        and {_apart(SIGNATURE, CENTRE)} <= {differ.format('pivot_n')}""")
+    member = written(first.drop("at").join(pivots, "token").withColumn("near", near).select(
+        "cid", "n", *SIGNATURE, F.when(F.col("near"), F.col("pivot")).otherwise(F.col("cid")).alias("grp"),
+        F.when(F.col("near"), F.expr(_apart(SIGNATURE, CENTRE))).otherwise(0).alias("away")), "join-members")
+    # A group's centre and radius: q is at least as far from a member as from the
+    # centre less the radius.
+    centres = member.where("cid = grp").select("grp", F.col("n").alias("centre_n"),
+                                               *[F.col(c).alias(f"p{k}") for k, c in enumerate(SIGNATURE)])
+    radius = member.groupBy("grp").agg(F.max("away").alias("radius"))
 
     # Token-group matrix, and the qualifying groups of every class.
-    rows = posts.join(member.select("cid", "grp"), "cid")
+    rows = written(posts.join(member.select("cid", "grp", *SIGNATURE), "cid"), "join-rows")
     matrix = (rows.where("idx").groupBy("token", "grp")
-                  .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.expr("n - pos")).alias("rest")))
-    query = posts.select("token", "cid", "n", "pos").withColumn("least", F.expr(_ceil("n", num, den)))
-    bound = F.expr(f"least(n - pos, rest) >= {_ceil('n + greatest(lo, least)', num, num + den)}")
-    opened = written(query.join(matrix, "token").where((F.col("hi") >= F.col("least"))
-                                                       & (F.col("lo") <= F.col("n")) & bound)
-                     .select("cid", "n", "least", "grp").distinct(), "join-open")
-
-    fits = F.expr(f"{den} * least(n, pivot_n) >= {num} * greatest(n, pivot_n)")
-    star = member.where(fits & (F.col("cid") != F.col("pivot"))).select(
-        F.greatest("cid", "pivot").alias("u"), F.least("cid", "pivot").alias("v"))
-    own = member.select("cid", F.col("grp").alias("own"), F.col("pivot").alias("p1"), F.col("pivot_n").alias("n1"))
-    other = member.where("cid = pivot").select("grp", F.col("pivot").alias("p2"), F.col("pivot_n").alias("n2"))
-    between = (opened.select("cid", "grp").join(own, "cid").where("grp <> own")
-               .select("p1", "n1", "grp").distinct().join(other, "grp")
-               .where(F.expr(f"p1 <> p2 and {den} * least(n1, n2) >= {num} * greatest(n1, n2)"))
-               .select(F.greatest("p1", "p2").alias("u"), F.least("p1", "p2").alias("v")))
+                  .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.expr("n - pos")).alias("rest"))
+                  .join(centres.drop("centre_n").join(radius, "grp"), "grp"))
+    query = rows.select("token", "cid", "n", "pos", F.col("grp").alias("own"), *SIGNATURE).withColumn(
+        "least", F.expr(_ceil("n", num, den)))
+    bound = F.expr(f"""grp <> own and hi >= least and lo <= n
+        and least(n - pos, rest) >= {_ceil('n + greatest(lo, least)', num, num + den)}
+        and {_apart(SIGNATURE, CENTRE)} - radius <= {differ.format('least(hi, n)')}""")
+    opened = written(query.join(matrix, "token").where(bound)
+                     .select("cid", "n", "least", "own", "grp").distinct()
+                     .unionByName(member.select("cid", "n", F.expr(_ceil("n", num, den)).alias("least"),
+                                                F.col("grp").alias("own"), "grp")), "join-open")
+
+    star = member.where("cid <> grp").select(F.greatest("cid", "grp").alias("u"), F.least("cid", "grp").alias("v"))
+    ends = centres.select("grp", "centre_n")
+    between = (opened.where("grp <> own").select("own", "grp").distinct()
+               .join(ends, "grp").join(ends.toDF("own", "n1"), "own")
+               .where(F.expr(f"{den} * least(n1, centre_n) >= {num} * greatest(n1, centre_n)"))
+               .select(F.greatest("own", "grp").alias("u"), F.least("own", "grp").alias("v")))
     tried = written(star.unionByName(between).distinct(), "join-pairs")
-    links = written(_verify(src, classes, tried, words, num, den), "join-links")
+    maps = maps.select("cid", "n", "bits")
+    likely = written(tried.join(maps.toDF("u", "n", "bits"), "u").join(maps.toDF("v", "size", "bits2"), "v")
+                     .where(_plausible("n", "bits", "size", "bits2", num, den)).select("u", "v"), "join-likely")
+    links = written(_verify(src, classes, likely, words, num, den), "join-links")
     roots = components(links)
 
     # Open the qualifying groups towards members of other components whose size and
     # parity bitmap allow the similarity.  Most of a group of copies is in one
     # component by now: its members meet only the group's other members.
     part = written(member.join(roots.withColumnRenamed("v", "cid"), "cid", "left")
-                   .join(classes.select("cid", "bits", "half"), "cid")
-                   .select("cid", "n", "grp", "bits", "half", F.coalesce("root", "cid").alias("root")), "join-parts")
+                   .join(maps.select("cid", "bits"), "cid")
+                   .select("cid", "n", "grp", "bits", F.coalesce("root", "cid").alias("root")), "join-parts")
     sizes = part.groupBy("grp", "root").agg(F.count("*").alias("c"))
     main = sizes.groupBy("grp").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots"))
-    main = main.where("roots > 1").select("grp", F.col("m.root").alias("main"))
-    asking = (opened.join(main, "grp").join(part.select("cid", "root", "bits", "half"), "cid"))
+    main = main.select("grp", F.col("m.root").alias("main"), "roots")
+    asking = (opened.drop("own").join(main, "grp").join(part.select("cid", "root", "bits"), "cid")
+              .where("roots > 1 or root <> main"))
     target = part.select("grp", F.col("root").alias("other"), F.col("cid").alias("m"), F.col("n").alias("size"),
-                         F.col("bits").alias("bits2"), F.col("half").alias("half2"))
-    # (Sizes further apart than a factor of two have no bitmaps of one length.)
-    fits = F.expr(f"""other <> root and size >= least and size <= n and
-        (greatest(size(bits), size(bits2)) > 2 * least(size(bits), size(bits2)) or aggregate(zip_with(
-            case when size(bits) <= size(bits2) then bits else half end,
-            case when size(bits2) <= size(bits) then bits2 else half2 end,
-            (x, y) -> bit_count(x ^ y)), 0, (a, x) -> a + coalesce(x, 0))
-        <= n + size - 2 * ({_ceil('n + size', num, num + den)}))""")
-    rest = target.join(main, "grp").where("other <> main").drop("main")
+                         F.col("bits").alias("bits2"))
+    fits = F.expr("other <> root and size >= least and size <= n and "
+                  + _plausible("n", "bits", "size", "bits2", num, den))
+    rest = target.join(main.where("roots > 1"), "grp").where("other <> main").drop("main", "roots")
     pairs = (asking.where("root = main").join(rest, "grp").where(fits).select("cid", "m")
              .unionByName(asking.where("root <> main").join(target, "grp").where(fits).select("cid", "m"))
              .select(F.greatest("cid", "m").alias("u"), F.least("cid", "m").alias("v")).distinct()
