@@ -96,7 +96,7 @@ def _order(s: str) -> int:
 
 def fit(samples: DataFrame, string_col: str = "string", label_col: str = "random",
         order_col: str = "order", max_per_label: int = MAX_PER_LABEL,
-        threshold: float = 0.5) -> MarkovModel:
+        threshold: float = 0.1) -> MarkovModel:
     """Train both models on distinct labelled strings, the ``max_per_label`` least
     in ``order_col`` (a hash of the string) per label.  Null strings and labels are left out; without
     samples the ratio is zero everywhere and nothing is added."""
