@@ -1,11 +1,13 @@
 """Quality score from two compression dictionaries.
 
 One zstandard dictionary holds snippets of text labelled good, the other of
-text labelled bad.  A text is compressed whole with each; the difference of
-the two sizes over the text's size in bytes (positive: the good dictionary
-fits better) is calibrated by a logistic regression on labelled rows outside
-the dictionaries, with a length term because the difference of a short text
-says little.
+text labelled bad.  All of a text is compressed with each, in consecutive
+pieces of at most ``PIECE`` bytes that each start from the fresh dictionary (in
+one long frame the text itself displaces it).  The difference of the two summed
+sizes over the text's size in bytes (positive: the good dictionary fits better)
+is calibrated by a logistic regression on labelled rows outside the
+dictionaries, with a length term because the difference of a short text says
+little.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from convforge.llm.common import bounded_batches, held_out, text_buffers
 
 LEVEL = 6
 HALF_LENGTH = 200.0
+PIECE = 16 << 10
 
 
 @dataclass
@@ -50,6 +53,12 @@ def _compressor(data: bytes):
     return zstandard.ZstdCompressor(dict_data=d, **options)
 
 
+def _pieces(n: int) -> list[tuple[int, int]]:
+    """(begin, end) of the fewest pieces of at most PIECE that cover n bytes, of equal size up to one byte."""
+    k = -(-n // PIECE)
+    return [(n * i // k, n * (i + 1) // k) for i in range(k)]
+
+
 def _differences(docs: DataFrame, good: bytes, bad: bytes, text_col: str, carried: list[str]) -> DataFrame:
     """``carried`` columns plus difference (bytes) and n_bytes of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast((good, bad))
@@ -66,7 +75,8 @@ def _differences(docs: DataFrame, good: bytes, bad: bytes, text_col: str, carrie
             view = memoryview(data)
             for i in np.flatnonzero(n):
                 text = view[off[i]:off[i + 1]]
-                diff[i] = len(second.compress(text)) - len(first.compress(text))
+                diff[i] = sum(len(second.compress(text[a:z])) - len(first.compress(text[a:z]))
+                              for a, z in _pieces(int(n[i])))
             kept = [b.column(i) for i in range(b.num_columns - 1)]
             schema = schema or pa.schema([*list(b.schema)[:-1], pa.field("_diff", pa.int64()),
                                           pa.field("_bytes", pa.int64())])

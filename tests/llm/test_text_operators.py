@@ -58,6 +58,26 @@ def test_quality_of_awkward_rows(awkward, nothing, small_docs, small_labels):
     assert quality.fit(small_docs, nulls).weights == (0.0, 0.0, 0.0)
 
 
+def test_quality_of_long_texts_does_not_drift(spark):
+    rng = random.Random(3)
+    kinds = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(30_000)]
+             for _ in range(2)]
+    some = lambda kind, n: " ".join(rng.choices(kinds[kind], k=n))
+    good, bad = (some(k, 150_000)[:1_000_000].encode() for k in (1, 0))
+    model = quality.QualityModel(good, bad, (0.1, 0.0, 0.0))
+    rows = [(kind, n, some(kind, n)) for kind in (0, 1) for n in (3_000, 30_000, 600_000)]
+    docs = spark.createDataFrame(rows, "doc_id int, n int, text string")
+    got = {(r["doc_id"], r["n"]): r["score"] for r in quality.score(docs, model, keep=("doc_id", "n")).collect()}
+    for kind in (0, 1):
+        assert abs(got[kind, 3_000] - 0.5) > 0.2
+        assert all(abs(got[kind, n] - got[kind, 3_000]) < 0.05 for n in (30_000, 600_000)), got
+    # Every byte is in one piece, none above the bound.
+    for n in (1, quality.PIECE, quality.PIECE + 1, 5 * quality.PIECE - 1):
+        p = quality._pieces(n)
+        assert p[0][0] == 0 and p[-1][1] == n and all(a[1] == b[0] for a, b in zip(p, p[1:]))
+        assert all(0 < z - a <= quality.PIECE for a, z in p)
+
+
 # --- language --------------------------------------------------------------
 def test_forward_sums_all_segmentations():
     pieces = sorted({b" a", b"ab", b"b", b" ", b"a", b"c", b"abc", b"bc"})
