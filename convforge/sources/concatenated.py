@@ -9,9 +9,11 @@ split's head, the lines up to its last closing bracket without a partner; the
 next split's values that began before the true end are dropped.  Values are
 written once and never shuffled; only one narrow row per split is joined.
 
-A bracket that stays open through a whole further split (a value larger than an
-input split, or a stray opening bracket before well-formed text) is decided
-from the file's remaining text, in one row per such file.
+A value that the next split's head does not end is decided over its own splits:
+the bracket balances of the file's splits (one narrow row each) tell by which
+split it can have ended at all, and its text is joined with twice as many further
+splits each round until it ends, proves to be no value or has reached that one.
+The splits it runs over whole lose their values; all others keep theirs.
 """
 
 from __future__ import annotations
@@ -128,31 +130,39 @@ def head_of(text: str) -> str:
     return text[:end]
 
 
-_SPLIT = ("file_path string, blk bigint, ord bigint, pos bigint, value string, skipped bigint, cum bigint, "
-          "open boolean, tail string, head string, n bigint, total bigint, blank bigint, last boolean")
+def balance(text: str) -> tuple[int, int]:
+    """(lowest, final) number of opening less closing brackets outside strings."""
+    depth, lowest = 0, 0
+    for m in _TOKEN.finditer(text):
+        c = m.group()
+        if c in "[{":
+            depth += 1
+        elif c in "]}":
+            depth -= 1
+            lowest = min(lowest, depth)
+    return lowest, depth
 
 
-def _decode_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines in scan order -> value rows, then one summary row per input split."""
-    names = [f.split()[0] for f in _SPLIT.split(", ")]
-    kinds = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_()}
-    schema = pa.schema([(n, kinds[f.split()[1]]) for n, f in zip(names, _SPLIT.split(", "))])
+def most_open(tail: str) -> int:
+    """The most brackets of an open value's text that can be open at its end, wherever
+    in it a value may begin (inside a string, too: strings end with their line)."""
+    lowest, depth = balance(tail)
+    return depth - lowest + max(x.count("[") + x.count("{") for x in tail.split("\n"))
+
+
+_SPLIT = ("file_path string, blk bigint, ord bigint, pos bigint, value string, skipped bigint, cum bigint, "
+          "open boolean, tail string, head string, n bigint, total bigint, blank bigint, last boolean, "
+          "lowest bigint, final bigint, deepest bigint")
+
 
-    def finish(key, lines):
+def _split_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bool, str]]:
+    """Lines in scan order -> (file_path, blk, last, text) of every input split."""
+    def whole(key, lines):
         path, blk, last = key
         text = "\n".join(lines) + ("" if last else "\n")
         # White space at the file's two ends is none of its content.
         text = text.lstrip() if blk == 0 else text
-        text = text.rstrip() if last else text
-        got, place, total = spans(text, final=last)
-        rows = [(path, blk, i, s.begin, s.text, s.skipped, s.total) + (None,) * 7 for i, s in enumerate(got)]
-        is_open = not last and place < len(text)
-        blank = 0 if is_open else _junk(text, max(len(text.rstrip()), got[-1].end if got else 0), len(text))
-        rows.append((path, blk, None, None, None, None, got[-1].total if got else None, is_open,
-                     text[place:] if is_open else None, head_of(text) if blk else None,
-                     len(got), total, blank, last))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        return path, blk, last, text.rstrip() if last else text
 
     key, lines = None, []
     for b in batches:
@@ -160,11 +170,35 @@ def _decode_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for p, s, e, v in zip(path, blk, last, value):
             if (p, s, e) != key:
                 if key is not None:
-                    yield finish(key, lines)
+                    yield whole(key, lines)
                 key, lines = (p, s, e), []
             lines.append(v)
     if key is not None:
-        yield finish(key, lines)
+        yield whole(key, lines)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for path, blk, _, text in _split_texts(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([blk], pa.int64()), pa.array([text])],
+                                         names=["file_path", "at_blk", "text"])
+
+
+def _decode_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in scan order -> value rows, then one summary row per input split."""
+    names = [f.split()[0] for f in _SPLIT.split(", ")]
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_()}
+    schema = pa.schema([(n, kinds[f.split()[1]]) for n, f in zip(names, _SPLIT.split(", "))])
+
+    for path, blk, last, text in _split_texts(batches):
+        got, place, total = spans(text, final=last)
+        rows = [(path, blk, i, s.begin, s.text, s.skipped, s.total) + (None,) * 10 for i, s in enumerate(got)]
+        is_open = not last and place < len(text)
+        blank = 0 if is_open else _junk(text, max(len(text.rstrip()), got[-1].end if got else 0), len(text))
+        rows.append((path, blk, None, None, None, None, got[-1].total if got else None, is_open,
+                     text[place:] if is_open else None, head_of(text) if blk else None,
+                     len(got), total, blank, last, *balance(text), most_open(text[place:]) if is_open else None))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
 _JOINED = ("file_path string, blk bigint, next_blk bigint, j bigint, value string, skipped bigint, cum bigint, "
@@ -196,17 +230,103 @@ def _decode_seams(pdfs):
         yield frame.astype({n: "Int64" for n, k in (f.split() for f in _JOINED.split(", ")) if k == "bigint"})
 
 
-def _decode_whole(pdfs):
+def _reach(pdf):
+    """One file's splits -> for every undecided one its place in the file's order and
+    that of the split by which its values end (its own: they never do)."""
+    import numpy as np
     import pandas as pd
-    for pdf in pdfs:
-        for path, text in zip(pdf["file_path"], pdf["text"]):
-            got, _, total = spans(text.strip())
-            rows = [(path, i, s.text, s.skipped) for i, s in enumerate(got)]
-            rest = total - (got[-1].total if got else 0)
-            if rest:
-                rows.append((path, None, None, rest))
-            out = pd.DataFrame(rows, columns=["file_path", "object_index", "value", "errors_before"])
-            yield out.astype({"object_index": "Int64", "errors_before": "Int64"})
+    pdf = pdf.sort_values("blk")
+    end = pdf["final"].to_numpy(dtype=np.int64).cumsum()
+    low = end - pdf["final"].to_numpy(dtype=np.int64) + pdf["lowest"].to_numpy(dtype=np.int64)
+    rows, falling = [], []  # falling: splits after i that go lower than all between, the next one last
+    for i in range(len(pdf) - 1, -1, -1):
+        if pdf["undecided"].iat[i]:
+            # The first split down to the target; with none, the one that gets lowest.
+            target, a, z = end[i] - int(pdf["deepest"].iat[i]), 0, len(falling)
+            while a < z:
+                mid = (a + z) // 2
+                a, z = (mid + 1, z) if low[falling[mid]] <= target else (a, mid)
+            k = falling[a - 1] if a else (falling[0] if falling else i)
+            rows.append((pdf["file_path"].iat[i], int(pdf["blk"].iat[i]), i, k if low[k] < end[i] else i))
+        while falling and low[falling[-1]] >= low[i]:
+            falling.pop()
+        falling.append(i)
+    return pd.DataFrame(rows, columns=["file_path", "blk", "i", "until"])
+
+
+def _decode_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (file_path, blk, i, until, k, at_blk, text), sorted, where k = i has the open
+    value's text and the others whole splits -> rows like those of _decode_seams."""
+    names = [f.split()[0] for f in _JOINED.split(", ")]
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_()}
+    schema = pa.schema([(n, kinds[f.split()[1]]) for n, f in zip(names, _JOINED.split(", "))])
+
+    def finish(key, parts):
+        path, blk, until = key
+        text, mark = "".join(t for _, _, t in parts), len(parts[0][2])
+        got, place, total = spans(text, final=parts[-1][0] >= until, until=mark)
+        if place < mark:
+            rows = [(path, blk, *[None] * 11, True)]
+        else:
+            # The split that the last value ends in; those between are run over whole.
+            at, cut, before, cut_total = None, place - mark, [], 0
+            for _, at, t in parts[1:]:
+                if cut <= len(t):
+                    before, _, cut_total = spans(t, until=cut)
+                    break
+                cut -= len(t)
+            rows = [(path, blk, at, j, s.text, s.skipped, s.total, *[None] * 6, None) for j, s in enumerate(got)]
+            rows.append((path, blk, at, None, None, None, None, len(got), total,
+                         got[-1].total if got else None, cut, len(before), cut_total, False))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    key, parts = None, []
+    for b in batches:
+        for path, blk, _, until, k, at, text in zip(*(c.to_pylist() for c in b.columns)):
+            if key is not None and (path, blk, until) != key:
+                yield finish(key, parts)
+                parts = []
+            key = (path, blk, until)
+            parts.append((k, at, text))
+    if key is not None:
+        yield finish(key, parts)
+
+
+def _decide(src: DataFrame, parts: DataFrame, ends: DataFrame, undecided: DataFrame) -> list[DataFrame]:
+    """Rows of _decode_chains for every ``undecided`` split (file_path, blk)."""
+    files = write_through(undecided.select("file_path").distinct(), "json-undecided-files")
+    # A broadcast join keeps the lines in scan order; a shuffle join would not.
+    few = files.limit(500_001).count() <= 500_000
+    lines = (src.join(F.broadcast(files), ["file_path"], "left_semi") if few else src).select(*src.columns)
+    splits = write_through(
+        lookup_small(ends.select("file_path", "blk", "lowest", "final", "deepest"), files, ["file_path"])
+        .join(undecided.withColumn("undecided", F.lit(True)), ["file_path", "blk"], "left")
+        .na.fill(False, ["undecided"])
+        .withColumn("k", F.row_number().over(Window.partitionBy("file_path").orderBy("blk")) - 1), "json-balances")
+    left = write_through(splits.groupBy("file_path").applyInPandas(
+        _reach, "file_path string, blk bigint, i bigint, until bigint"), "json-reach")
+    done, further = [], 2
+    while not left.isEmpty():
+        wanted = write_through(
+            left.select("*", F.explode(F.sequence("i", F.least("until", F.col("i") + further))).alias("k"))
+            .join(splits.select("file_path", "k", F.col("blk").alias("at_blk")), ["file_path", "k"])
+            .select("file_path", "blk", "i", "until", "k", "at_blk"), "json-wanted")
+        tails = (wanted.where("k = i")
+                 .join(parts.where("open").select("file_path", "blk", F.col("tail").alias("text")), ["file_path", "blk"])
+                 .select(*wanted.columns, "text"))
+        whole = wanted.where("k > i")
+        needed = write_through(whole.select("file_path", "at_blk").distinct(), "json-needed")
+        texts = lookup_small(lines.mapInArrow(_texts, "file_path string, at_blk bigint, text string"),
+                             needed, ["file_path", "at_blk"])
+        rows = (tails.unionByName(whole.join(texts, ["file_path", "at_blk"]).select(*tails.columns))
+                .repartition("file_path", "blk").sortWithinPartitions("file_path", "blk", "k"))
+        got = write_through(rows.mapInArrow(_decode_chains, _JOINED), "json-chains")
+        done.append(got.where("not coalesce(undecided, false)"))
+        left = write_through(left.join(got.where("undecided").select("file_path", "blk"), ["file_path", "blk"]),
+                             "json-left")
+        further *= 2
+    return done
 
 
 def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
@@ -230,7 +350,7 @@ def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
     by_file = Window.partitionBy("file_path").orderBy("blk")
     ends = write_through(
         parts.where("n is not null")
-        .select("file_path", "blk", "n", "total", "blank", F.col("cum").alias("last_cum"))
+        .select("file_path", "blk", "n", "total", "blank", F.col("cum").alias("last_cum"), "lowest", "final", "deepest")
         .withColumn("next_blk", F.lead("blk").over(by_file))
         # White space at the end of the file's last lines is none of its content.
         .withColumn("total", F.col("total") - F.when(F.col("next_blk").isNull(), F.col("blank")).otherwise(0)),
@@ -243,27 +363,41 @@ def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
              .select("file_path", "blk", "next_blk", "tail", F.coalesce("head", F.lit("")).alias("head"),
                      F.coalesce("next_last", F.lit(True)).alias("next_last")))
     joined = write_through(seams.mapInPandas(_decode_seams, _JOINED), "json-seams")
-    undecided = write_through(joined.where("undecided").select("file_path").distinct(), "json-undecided")
+    undecided = write_through(joined.where("undecided").select("file_path", "blk"), "json-undecided")
+    joined = joined.where("not coalesce(undecided, false)")
+    if not undecided.isEmpty():
+        for rows in _decide(src, parts, ends, undecided):
+            joined = joined.unionByName(rows)
 
-    # One narrow row per split: its share of the file's numbers.
+    # One narrow row per split: its share of the file's numbers.  In a split that a value
+    # from before runs over whole (``over``), nothing counts; what begins inside a value
+    # ends by its end, so of several cuts in one split the last is the value's.
     cuts = joined.where("cut is not null")
-    table = (ends.join(cuts.select("file_path", F.col("next_blk").alias("blk"), "cut", "dropped", "cut_total"),
-                       ["file_path", "blk"], "left")
-             .join(cuts.select("file_path", "blk", "added", "added_total", "added_last"), ["file_path", "blk"], "left")
+    before = by_file.rowsBetween(Window.unboundedPreceding, -1)
+    table = (ends.join(cuts.where("next_blk is not null").groupBy("file_path", F.col("next_blk").alias("blk"))
+                       .agg(F.max(F.struct("cut", "dropped", "cut_total")).alias("c"))
+                       .select("file_path", "blk", "c.*"), ["file_path", "blk"], "left")
+             .join(cuts.select("file_path", "blk", F.col("next_blk").alias("ends_in"), "added", "added_total",
+                               "added_last"), ["file_path", "blk"], "left")
              .na.fill(0, ["cut", "dropped", "cut_total", "added", "added_total"])
+             .withColumn("over", F.coalesce(F.max("ends_in").over(before) > F.col("blk"), F.lit(False)))
+             .withColumn("cut", F.when(F.col("over"), F.lit(1 << 62)).otherwise(F.col("cut")))
+             .withColumn("dropped", F.when(F.col("over"), F.col("n")).otherwise(F.col("dropped")))
+             .withColumn("cut_total", F.when(F.col("over"), F.col("total")).otherwise(F.col("cut_total")))
+             .withColumn("added", F.when(F.col("over"), 0).otherwise(F.col("added")))
+             .withColumn("added_total", F.when(F.col("over"), 0).otherwise(F.col("added_total")))
              .withColumn("own", F.col("n") - F.col("dropped"))
              .withColumn("own_total", F.col("total") - F.col("cut_total"))
              .withColumn("count", F.col("own") + F.col("added"))
              .withColumn("errors", F.col("own_total") + F.col("added_total"))
              .withColumn("at_last", F.when(F.col("added") > 0, F.col("own_total") + F.col("added_last"))
                          .when(F.col("own") > 0, F.col("last_cum") - F.col("cut_total"))))
-    before = by_file.rowsBetween(Window.unboundedPreceding, -1)
     table = (table.withColumn("index0", F.coalesce(F.sum("count").over(before), F.lit(0)))
              .withColumn("errors0", F.coalesce(F.sum("errors").over(before), F.lit(0)))
              .withColumn("at", F.col("errors0") + F.col("at_last"))
              .withColumn("carry", F.col("errors0") - F.coalesce(F.max("at").over(before), F.lit(0))))
     table = write_through(table.select("file_path", "blk", "cut", "dropped", "cut_total", "own", "own_total",
-                                       "index0", "errors0", "carry", "errors", "at"), "json-table")
+                                       "index0", "errors0", "carry", "errors", "at", "over"), "json-table")
 
     first = F.col("ord") == F.col("dropped")
     own = (lookup_small(parts.where("ord is not null").select("file_path", "blk", "ord", "pos", "value",
@@ -276,7 +410,8 @@ def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
     since = F.when(F.col("own") > 0, F.col("own_total") - (F.col("last_cum") - F.col("cut_total"))).otherwise(
         F.col("own_total") + F.col("carry"))
     added = (joined.where("j is not null").select("file_path", "blk", "j", "value", "skipped")
-             .join(table.join(ends.select("file_path", "blk", "last_cum"), ["file_path", "blk"]), ["file_path", "blk"])
+             .join(table.where("not over").join(ends.select("file_path", "blk", "last_cum"), ["file_path", "blk"]),
+                   ["file_path", "blk"])
              .select("file_path", (F.col("index0") + F.col("own") + F.col("j")).alias("object_index"), "value",
                      (F.col("skipped") + F.when(F.col("j") == 0, since).otherwise(0)).alias("errors_before")))
     rest = (table.groupBy("file_path").agg(F.sum("errors").alias("e"), F.max("at").alias("at"))
@@ -284,14 +419,6 @@ def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
                     F.lit(None).cast("string").alias("value"),
                     (F.col("e") - F.coalesce("at", F.lit(0))).alias("errors_before")).where("errors_before > 0"))
     out = own.unionByName(added).unionByName(rest)
-    if not undecided.isEmpty():
-        order = src.withColumn("seq", F.monotonically_increasing_id())
-        whole = (lookup_small(order, undecided, ["file_path"]).groupBy("file_path")
-                 .agg(F.array_sort(F.collect_list(F.struct("blk", "seq", "value"))).alias("l"))
-                 .select("file_path", F.array_join(F.transform("l", lambda x: x["value"]), "\n").alias("text")))
-        again = write_through(whole.mapInPandas(
-            _decode_whole, "file_path string, object_index bigint, value string, errors_before bigint"), "json-whole")
-        out = lookup_small(out, undecided, ["file_path"], "left_anti").unionByName(again)
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getRawPath().rstrip("/") + "/"
     at = F.locate(root, F.col("file_path"))
     name = (F.when(at > 0, F.substring(F.col("file_path"), at + F.lit(len(root)), F.lit(1 << 30)))

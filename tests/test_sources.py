@@ -172,6 +172,55 @@ def test_every_split_size_and_suffix_gives_the_same_values(spark, tmp_dir):
     assert json.loads(by["l"][0][2])["a"] is None
 
 
+def test_value_over_many_splits_is_decided_over_its_own_splits(spark, tmp_dir, monkeypatch):
+    """Values over many splits, stray brackets that close far away, late or never, and
+    invalid ones: the rows of one split, and no other split's values decoded again."""
+    from convforge.sources import concatenated
+    small = [conv_json(f"s{i}", "t {[") + ("," if i % 2 else "") for i in range(120)]
+    big = json.dumps({"messages": [{"role": "user" if i % 2 == 0 else "assistant", "content": f"m ]}} {i}"}
+                                   for i in range(60)]}, indent=1)
+    listed = ",\n".join(small[i] for i in range(0, 40, 2))
+    files = {
+        "one": [*small[:60], "x " + big + " y", *small[60:]],
+        "two": [*small[:60], big + big, "@@", *small[60:90], big],
+        "never": [*small[:30], "[", listed, big, *small[30:60]],
+        "late": [*small[:30], "[[", listed, "@@", *small[30:60], "]", big, "]"],
+        "array": ["7", "[" + listed + ",", big + ",", "[" + big + "]]", *small[:20]],
+        "broken": ["[", listed, ", [", big, ", {", listed, "}]", big, "]", "\u00a0"],
+    }
+    for n, parts in files.items():
+        write(os.path.join(tmp_dir, f"{n}.json"), "\n".join(parts) + "\n")
+    again = {}
+
+    def spy(df, name, through=concatenated.write_through):
+        out = through(df, name)
+        if "value" in out.columns and name != "json-splits":
+            for r in out.where("value is not null").groupBy("file_path").count().collect():
+                n = os.path.basename(r["file_path"])
+                again[n] = again.get(n, 0) + r["count"]
+        return out
+
+    monkeypatch.setattr(concatenated, "write_through", spy)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = {}
+    try:
+        for size in ("128m", "1500"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            again.clear()
+            got = raw.read_mixed_json(spark, tmp_dir).select(*COLUMNS).collect()
+            seen[size] = sorted(map(tuple, got), key=str)
+            if size == "1500":
+                assert again["one.json"] < 60, again
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for n, parts in files.items():
+        want, _, _ = concatenated.spans(("\n".join(parts) + "\n").strip())
+        for size, rows in seen.items():
+            values = sorted((r[1:] for r in rows if r[0] == f"{n}.json" and r[2] is not None), key=lambda r: r[0])
+            assert values == [(i, s.text, s.skipped) for i, s in enumerate(want)], (n, size)
+    assert seen["1500"] == seen["128m"]
+
+
 def test_q13_bom_first_line_accepted(spark, tmp_dir):
     with open(os.path.join(tmp_dir, "bom.jsonl"), "w", encoding="utf-8-sig") as f:
         f.write(conv_json("first", "a") + "\n" + conv_json("second", "b") + "\n")
