@@ -302,6 +302,28 @@ def test_fingerprint_is_a_multiset_hash():
     assert fingerprints.likeness(fingerprints.vector(a), fingerprints.vector(b)) < 0.2
 
 
+def test_likeness_of_long_texts_is_the_multiset_likeness():
+    from collections import Counter
+    rng = random.Random(8)
+
+    def true(a, b):
+        a, b = Counter(a), Counter(b)
+        return (a & b).total() / max((a | b).total(), 1)
+
+    for n in (4, 40, 100, 400, 2000, 10_000, 60_000):
+        new = [rng.randbytes(8) for _ in range(n)]
+        text = [rng.randbytes(8) for _ in range(n)]
+        repeated = [rng.choice(text[:max(n // 3, 1)]) for _ in range(n)]
+        keep = n - n // 4
+        for a, b in ((text, [*text[:keep], *new[:n // 4]]), (text, new), (text, text[:n // 2]),
+                     (text, [*text, *new[:n // 50]]), (repeated, [*repeated[:keep], *new[:n // 4]])):
+            got = fingerprints.likeness(fingerprints.vector(a), fingerprints.vector(b))
+            assert abs(got - true(a, b)) < 0.1, (n, got, true(a, b))
+    lines = [b"}"] * 300 + [b"return"] * 20
+    got = fingerprints.likeness(fingerprints.vector(lines), fingerprints.vector(lines[150:]))
+    assert abs(got - 170 / 320) < 0.01
+
+
 @pytest.mark.parametrize("parts", ["1", "8"])
 def test_fingerprints_equal_brute_force(spark, small_docs, awkward, nothing, parts):
     was = spark.conf.get("spark.sql.shuffle.partitions")
