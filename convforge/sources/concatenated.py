@@ -296,9 +296,6 @@ def _decode_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _decide(src: DataFrame, parts: DataFrame, ends: DataFrame, undecided: DataFrame) -> list[DataFrame]:
     """Rows of _decode_chains for every ``undecided`` split (file_path, blk)."""
     files = write_through(undecided.select("file_path").distinct(), "json-undecided-files")
-    # A broadcast join keeps the lines in scan order; a shuffle join would not.
-    few = files.limit(500_001).count() <= 500_000
-    lines = (src.join(F.broadcast(files), ["file_path"], "left_semi") if few else src).select(*src.columns)
     splits = write_through(
         lookup_small(ends.select("file_path", "blk", "lowest", "final", "deepest"), files, ["file_path"])
         .join(undecided.withColumn("undecided", F.lit(True)), ["file_path", "blk"], "left")
@@ -317,6 +314,10 @@ def _decide(src: DataFrame, parts: DataFrame, ends: DataFrame, undecided: DataFr
                  .select(*wanted.columns, "text"))
         whole = wanted.where("k > i")
         needed = write_through(whole.select("file_path", "at_blk").distinct(), "json-needed")
+        # Only their lines go to Python; a broadcast join keeps them in scan order, a shuffle join would not.
+        few = needed.limit(500_001).count() <= 500_000
+        lines = (src.join(F.broadcast(needed.withColumnRenamed("at_blk", "blk")), ["file_path", "blk"], "left_semi")
+                 .select(*src.columns) if few else src)
         texts = lookup_small(lines.mapInArrow(_texts, "file_path string, at_blk bigint, text string"),
                              needed, ["file_path", "at_blk"])
         rows = (tails.unionByName(whole.join(texts, ["file_path", "at_blk"]).select(*tails.columns))
