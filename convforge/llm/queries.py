@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convforge.llm import decontam, fingerprints, jaccard, langid, licenses, mixing, quality, secrets, sharding, toxicity
+from convforge.llm import (decontam, fingerprints, jaccard, langid, licenses, mixing, piece_codec, quality, secrets,
+                           sharding, toxicity)
 from convforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +83,14 @@ def op8(spark, sf_dir):
 @register("op9_ngram_jaccard")
 def op9(spark, sf_dir):
     return jaccard.ngram_jaccard_join(table(spark, sf_dir, "documents"), words=3, similarity=(90, 100))
+
+
+@register("op11_sentencepiece")
+def op11(spark, sf_dir):
+    from public_tokenizers import path
+    model = path("piece_bpe_32k.model")
+    encoded = piece_codec.encode(table(spark, sf_dir, "documents"), model, keep=("doc_id",))
+    return piece_codec.decode(encoded, model, keep=("doc_id", "ids")).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
