@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convforge.llm import (decontam, fingerprints, jaccard, langid, licenses, mixing, piece_codec, quality, secrets,
-                           sharding, toxicity)
+from convforge.llm import (decontam, fingerprints, hard_negatives, jaccard, langid, licenses, mixing, piece_codec,
+                           quality, secrets, sharding, toxicity, whitening)
 from convforge.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,15 @@ def op11(spark, sf_dir):
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op12_hard_negatives")
+def op12(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(
+        table(spark, sf_dir, "embeddings").withColumn("label", label), anchors=F.col("id") % 100 == 0)
+
+
+@register("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
