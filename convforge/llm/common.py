@@ -37,7 +37,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` returned, once nothing reads them any more (what
+    was made from them is itself written or collected)."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(conf).delete(path, True)
 
 
 #: Rows and bytes of text that a Python worker and the JVM beside it hold at once.

@@ -1,9 +1,9 @@
 """SentencePiece encoding and decoding through a table of distinct chunks.
 
 A piece of the vocabulary never holds a white-space marker after another
-character, and some characters (line breaks, most ideographs) occur in no piece
-of several characters.  So no piece crosses the place before a marker, or beside
-such a lone character: a text falls into *chunks* (marked words, cut at lone
+character; no piece joins a line break to anything, nor a comma to a letter before
+it.  So no piece crosses the place before a marker, or such a place inside a marked
+word: a text falls into *chunks* (marked words, cut where no piece joins the two
 characters) that are segmented independently of each other.
 
 1. Frequent chunks: every task counts the chunks of its texts and reports those
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convforge.llm.common import bounded_batches, written
+from convforge.llm.common import bounded_batches, discard, written
 
 MARK = "▁"
 #: Chunks in the broadcast table; rarer ones take the other way, at any number.
@@ -45,6 +45,30 @@ COUNTED, COUNTED_CHARS = 1 << 18, 1 << 26
 #: Partitions among which a longer chunk's places are spread, as such a one may be frequent.
 LONG_SPREAD = 32
 _KEY = ["_key", "_check"]
+#: What a cut inside a marked word puts before the character.
+CUT = rf" {MARK}\g<0>"
+#: Longer chunks are cut at every lone character, not only at those of ASCII.
+LONG = 48
+
+
+def _runs(parts: list[str]) -> list[str]:
+    """Runs of empty strings are markers of their own: they belong to the marked word
+    that follows, or are one chunk."""
+    out, at = [], 0
+    while True:
+        try:
+            i = parts.index("", at)
+        except ValueError:
+            return out + parts[at:]
+        out += parts[at:i]
+        at = i
+        while at < len(parts) and not parts[at]:
+            at += 1
+        if at < len(parts) and not parts[at].startswith(MARK):
+            out.append(" " * (at - i) + parts[at])
+            at += 1
+        else:
+            out.append(" " * (at - i - 1))
 
 
 class Chunks:
@@ -62,7 +86,7 @@ class Chunks:
         if sp.normalize(sample) != MARK + sample.replace(" ", MARK):
             raise ValueError("the model normalises text; chunks are cut for models that only mark white space")
         self.size = sp.get_piece_size()
-        together = set()
+        together, joined = set(), set()
         for i in range(self.size):
             p = sp.id_to_piece(i)
             if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i):
@@ -71,35 +95,51 @@ class Chunks:
                 raise ValueError(f"piece {p!r} crosses a white-space marker")
             if len(p) > 1:
                 together.update(p)
+            joined.update(zip(p, p[1:]))
         if "\n" in together:
             raise ValueError("a piece joins a line break to another character")
         together.discard(MARK)
         self.lone = re.compile("[^ " + "".join(map(re.escape, sorted(together))) + "]+")
+        ascii_ = [chr(c) for c in range(128) if chr(c) != " "]
+        self.lone_ascii = [c for c in ascii_ if c not in together]
+        # Characters that no letter or digit precedes in a piece: cut before them,
+        # but not after one that does (a space stands for a marker here).
+        before = {c: "".join(x for x in [" ", *ascii_] if (x.replace(" ", MARK), c) in joined)
+                  for c in ascii_ if c in together and not any(x.isalnum() and y == c for x, y in joined)}
+        self.before = re.compile("|".join(f"{re.escape(c)}(?<![{re.escape(x)}].)" if x else re.escape(c)
+                                          for c, x in before.items()) or "(?!)")
         self.mark = sp.piece_to_id(MARK)
         self.lead = len(sp.encode("\n"))
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
 
-    @staticmethod
-    def _apart(m: re.Match) -> str:
-        return f" {MARK}" + f" {MARK}".join(m.group()) + f" {MARK}"
-
     def cut(self, text: str) -> list[str]:
-        """The chunks of a text in order; none for the empty text."""
+        """The chunks of a text in order; none for the empty text.
+
+        Spaces stand for markers; a cut without one is written `` ▁``, so that a
+        split at spaces gives the chunks in their notation.
+        """
         if not text:
             return []
-        parts = self.lone.sub(self._apart, text.replace(MARK, " ")).split(" ")
-        if "" not in parts:
-            return parts
-        # A marker before a marked chunk belongs to it: a run of markers is one chunk.
-        out, run = [], ""
-        for i, p in enumerate(parts):
-            following = parts[i + 1] if i + 1 < len(parts) else MARK
-            if not p and not following.startswith(MARK):
-                run += " "
-            else:
-                out.append(run + p)
-                run = ""
-        return out
+        s = self.before.sub(CUT, " " + text.replace(MARK, " "))[1:]
+        for c in self.lone_ascii:
+            if c in s:
+                s = s.replace(c, f" {MARK}{c} {MARK}")
+        parts = s.split(" ")
+        if "" in parts:
+            parts = _runs(parts)
+        if not text.isascii() and max(map(len, parts)) > LONG:
+            parts = [q for p in parts for q in (self._apart(p) if len(p) > LONG else (p,))]
+        return parts
+
+    def _apart(self, chunk: str) -> list[str]:
+        """A long chunk (text without spaces) is cut at all lone characters."""
+        mark = MARK if chunk.startswith(MARK) else ""
+        body = chunk[len(mark):]
+        spaces = len(body) - len(body.lstrip(" "))  # a run of markers stays with what follows
+        rest = self.lone.sub(lambda m: f" {MARK}" + f" {MARK}".join(m.group()) + f" {MARK}", body[spaces:]).split(" ")
+        if spaces and not rest[0]:
+            return [" " * spaces, *rest[1:]]
+        return [mark + " " * spaces + rest[0], *rest[1:]]
 
     def segment(self, chunks: list[str]) -> list[bytes]:
         """The ids of each chunk, packed."""
@@ -181,9 +221,10 @@ def frequent_chunks(texts: DataFrame, model: Shared, limit: int) -> pa.Table:
             break
         least = r["o"]
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (counts.where(octave >= least).repartition(parts, "chunk")
-                  .mapInArrow(segment, "chunk string, n bigint, ids binary").toArrow()
-                  .sort_by([("n", "descending"), ("chunk", "ascending")]))
+    top = (counts.where(octave >= least).repartition(parts, "chunk")
+                 .mapInArrow(segment, "chunk string, n bigint, ids binary").toArrow())
+    discard(counts)
+    return top.sort_by([("n", "descending"), ("chunk", "ascending")])
 
 
 def _pack(codes: np.ndarray) -> bytes:
@@ -197,29 +238,35 @@ def _unpack(data: bytes) -> np.ndarray:
     return planes[0] | planes[1] << 8 | planes[2] << 16
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions start, ..., start + size - 1 of every range, one after the other."""
+    end = np.cumsum(size)
+    return np.arange(end[-1] if len(end) else 0) + np.repeat(start - end + size, size)
+
+
 class Table:
-    """The frequent chunks: code k (from 1) has the ids flat[start[k]:start[k] + size[k]]."""
+    """The frequent chunks: code k (from 1) has the ids flat[start[k]:start[k] + size[k]];
+    the last code has those that end every text."""
 
-    def __init__(self, rows: pa.Table, dtype: np.dtype):
+    def __init__(self, rows: pa.Table, tail: list[int], dtype: np.dtype):
         self.chunks = rows.column("chunk").combine_chunks()
-        ids = rows.column("ids").to_pylist()
-        self.flat = np.frombuffer(b"".join(ids) + bytes(dtype.itemsize), dtype=dtype)  # never empty
+        ids = [*rows.column("ids").to_pylist(), np.array(tail, dtype=dtype).tobytes()]
+        self.flat = np.frombuffer(b"".join(ids), dtype=dtype)
         self.size = np.array([0, *(len(x) // dtype.itemsize for x in ids)], dtype=np.int64)
         self.start = np.cumsum(self.size) - self.size
 
-
-def _gather(codes: np.ndarray, rare: list[bytes], table: Table) -> np.ndarray:
-    """The ids of a text: those of its frequent chunks, its rare ones' in their places."""
-    size, start = table.size[codes], table.start[codes]
-    at = np.flatnonzero(codes == 0)
-    extra = [np.frombuffer(r, dtype=table.flat.dtype) for r in rare]
-    size[at] = [len(x) for x in extra]
-    end = np.cumsum(size)
-    index = np.arange(end[-1] if len(end) else 0) + np.repeat(start - end + size, size)
-    out = table.flat.take(index, mode="clip")
-    for k, x in zip(at, extra):
-        out[end[k] - len(x):end[k]] = x
-    return out
+    def gather(self, codes: list[np.ndarray], rare: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each ends): those of the frequent chunks, and the rare
+        ones' in their places, which are those of code 0."""
+        last = np.array([len(self.size) - 1], dtype=np.uint32)
+        ends = np.cumsum([len(c) + 1 for c in codes])
+        codes = np.concatenate([x for c in codes for x in (c, last)])
+        size, start = self.size[codes], self.start[codes]
+        at = np.flatnonzero(codes == 0)
+        lens = np.array([len(r) // self.flat.itemsize for r in rare], dtype=np.int64)
+        size[at], start[at] = lens, len(self.flat) + np.cumsum(lens) - lens
+        ids = np.concatenate([self.flat, np.frombuffer(b"".join(rare), dtype=self.flat.dtype)])
+        return ids[_ranges(start, size)], np.cumsum(size)[ends - 1]
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
@@ -235,7 +282,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: tuple
     with open(model_path, "rb") as f:
         proto = f.read()
     here = Chunks(proto)
-    dtype, tail = here.dtype, [here.sp.eos_id()] if end_id else []
+    tail = [here.sp.eos_id()] if end_id else []
     model = Shared(spark.sparkContext, proto)
     kept = [f"_keep_{i}" for i in range(len(keep))]
     text = F.make_valid_utf8(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
@@ -243,7 +290,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: tuple
     src = src.withColumns({"_key": F.xxhash64("_text"), "_check": F.hash("_text")})
 
     top = frequent_chunks(src.select("_text"), model, min(frequent, (1 << 24) - 1))
-    table = Shared(spark.sparkContext, Table(top, dtype))
+    table = Shared(spark.sparkContext, Table(top, tail, here.dtype))
 
     def rare(batches):
         chunks, codes = _worker(model), _codes_of(table)
@@ -286,14 +333,14 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: tuple
                                              names=[*b.schema.names[1:], "_codes"])
 
     def gather(batches):
-        frequent_ids, last = table.value, np.array(tail, dtype=np.int32)
+        frequent_ids = table.value
         for b in batches:
-            out = [np.append(_gather(_unpack(c), [x["_ids"] for x in r or ()], frequent_ids).astype(np.int32), last)
-                   for c, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in out])])
-            flat = pa.array(np.concatenate(out) if out else np.zeros(0, np.int32), pa.int32())
-            yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
-                                             names=[*b.schema.names[2:], "ids"])
+            if not b.num_rows:
+                continue
+            ids, ends = frequent_ids.gather([_unpack(c) for c in b.column(0).to_pylist()],
+                                            [x["_ids"] for r in b.column(1).to_pylist() for x in r or ()])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*b.columns[2:], lists], names=[*b.schema.names[2:], "ids"])
 
     def ddl(names, df):
         return ", ".join(f"{n} {df.schema[n].dataType.simpleString()}" for n in names)
@@ -310,6 +357,57 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: tuple
                  .select(*[F.col(k).alias(c) for c, k in zip(keep, kept)], "ids"))
 
 
+class Surfaces:
+    """The bytes that each piece stands for in a decoded text."""
+
+    def __init__(self, proto: bytes):
+        import sentencepiece
+        self.sp = sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
+        n = sp.get_piece_size()
+        self.control = np.array([sp.is_control(i) for i in range(n)])
+        self.unknown = np.array([sp.is_unknown(i) for i in range(n)])
+        names = [sp.id_to_piece(i) for i in range(n)]
+        data = [b"" if self.control[i] else bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode()
+                for i, p in enumerate(names)]
+        self.marked = np.array([p.startswith(MARK) for p in names])
+        self.size = np.array([len(d) for d in data], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(data), dtype=np.uint8)
+
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of the id lists.  Unknown ids, control ids before others and bytes
+        that are no UTF-8 are left to the library."""
+        size = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+        ids = np.asarray(lists.flatten()).astype(np.int64)
+        end = np.cumsum(size)
+        first = (end - size)[size > 0]
+        inner = np.ones(len(ids), dtype=bool)
+        inner[end[size > 0] - 1] = False
+        if lists.null_count == 0 and not (self.unknown[ids] | self.control[ids] & inner).any():
+            begin, width = self.start[ids], self.size[ids]
+            strip = first[self.marked[ids[first]]]  # the marker that stands before every text
+            begin[strip] += 1
+            width[strip] -= 1
+            data = self.flat[_ranges(begin, width)].tobytes()
+            offset = np.concatenate([[0], np.concatenate([[0], np.cumsum(width)])[end]])
+            try:
+                for a, b in zip(offset[:-1].tolist(), offset[1:].tolist()):
+                    data[a:b].decode()
+            except UnicodeDecodeError:
+                pass
+            else:
+                return pa.Array.from_buffers(pa.large_string(), len(size), [
+                    None, pa.py_buffer(offset.astype(np.int64).tobytes()), pa.py_buffer(data)]).cast(pa.string())
+        return pa.array([None if i is None else self.sp.decode(i) for i in lists.to_pylist()], pa.string())
+
+
+def _surfaces(shared, cache={}) -> Surfaces:
+    if shared.id not in cache:
+        cache.clear()
+        cache[shared.id] = Surfaces(shared.value)
+    return cache[shared.id]
+
+
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",),
            into: str = "decoded") -> DataFrame:
     """The text of every row's ids, as the library decodes them (null: null)."""
@@ -319,12 +417,9 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", keep: tupl
     src = bounded_batches(encoded).select(F.col(ids_col).alias("_ids"), *[F.col(c).alias(k) for c, k in zip(keep, kept)])
 
     def run(batches):
-        import sentencepiece
-        sp = sentencepiece.SentencePieceProcessor(model_proto=model.value)
+        pieces = _surfaces(model)
         for b in batches:
-            text = [None if i is None else sp.decode(i) for i in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(text, pa.string())],
-                                             names=[*b.schema.names[1:], into])
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pieces.decode(b.column(0))], names=[*b.schema.names[1:], into])
 
     fields = [f"{k} {src.schema[k].dataType.simpleString()}" for k in kept]
     return (src.mapInArrow(run, ", ".join([*fields, f"`{into}` string"]))

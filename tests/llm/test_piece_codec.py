@@ -19,7 +19,8 @@ with open(MODEL, "rb") as f:
 
 ODD = ["", " ", "  ", "   ", "▁", "▁▁x", " a", "a ", "a  b", "a   b  ", "\n", "\n\n", " \n ", "a\nb", "a \n b", "\n a",
        "a\t\tb", "\r\n x\r", "中文字 中 文", "x中y", "é ß é", "\U0001F600\U0001F600 a", "\x00a\x00 \x01", "<s> </s> <0x0A> <unk>",
-       "ﬁ Ａ 　 \xa0 ﻿", "(){};\r\n    return  x;\n\n\t}", "a" * 3000, "ab " * 2000, "\n" * 50 + " " * 40 + "z"]
+       "ﬁ Ａ 　 \xa0 ﻿", "(){};\r\n    return  x;\n\n\t}", "a" * 3000, "ab " * 2000, "中文" * 60 + "ab 中" * 3,
+       "    " + "中" * 90, "x" * 60 + "\u3042" * 3 + "y", " ,a, b ,,c.. ... .....d. ,. \n, ,\n.", "...." * 9 + ",;:!?)" * 5, "a ,b\t,c", "\n" * 50 + " " * 40 + "z"]
 
 
 def whole(text):
@@ -36,12 +37,22 @@ def test_chunks_of_odd_texts_equal_the_library(text):
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list(" ▁\n\t\rabcthe,.(){};\"'/*>中é́\U0001F600\x00\x01Ж")), max_size=60)
+@given(st.text(alphabet=st.sampled_from(list(" ▁\n\t\rabcthe,.(){};\"'/*>中é́\U0001F600\x00\x01Ж!?:9")), max_size=140)
        | st.text(max_size=40))
 def test_chunks_of_any_text_equal_the_library(text):
     assert whole(text) == SP.encode(text)
 
 
+SURFACES = piece_codec.Surfaces(SP.serialized_model_proto())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 300) | st.integers(0, SP.get_piece_size() - 1) | st.just(2), max_size=12), max_size=4))
+def test_any_ids_decode_as_the_library_does(lists):
+    got = SURFACES.decode(piece_codec.pa.array(lists, piece_codec.pa.list_(piece_codec.pa.int32())))
+    assert got.to_pylist() == [SP.decode(i) for i in lists]
+
+
 def expected(rows, keep):
     return sorted(((k, SP.encode(t or "") + [SP.eos_id()]) for k, t in rows), key=str) if keep else None
 
