@@ -24,6 +24,7 @@ over a few partitions), so no key of step 2 is hot.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections import Counter
 from itertools import repeat
@@ -38,6 +39,8 @@ from convforge.llm.common import bounded_batches, discard, written
 MARK = "▁"
 #: Chunks in the broadcast table; rarer ones take the other way, at any number.
 MAX_FREQUENT = 1 << 19
+#: First bytes of codes of one byte and of two; the others' have two more.
+ONE, TWO = 150, 96
 #: A broadcast chunk's characters and those of all of them at most.
 MAX_FREQUENT_CHARS, MAX_TABLE_CHARS = 256, 1 << 25
 #: Distinct chunks, and characters of text, after which a counting task reports and starts anew.
@@ -228,14 +231,27 @@ def frequent_chunks(texts: DataFrame, model: Shared, limit: int) -> pa.Table:
 
 
 def _pack(codes: np.ndarray) -> bytes:
-    """Codes below 2**24 as three compressed byte planes."""
-    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
-    return zlib.compress(np.ascontiguousarray(planes.T).tobytes(), 1)
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(3, -1).astype(np.uint32)
-    return planes[0] | planes[1] << 8 | planes[2] << 16
+    """Codes in one, two or three bytes, the frequent ones in one; first bytes, then the
+    others, compressed."""
+    v = codes.astype(np.int64)
+    two, three = np.flatnonzero((v >= ONE) & (v < ONE + TWO * 256)), np.flatnonzero(v >= ONE + TWO * 256)
+    first = v.copy()
+    first[two] = ONE + (v[two] - ONE >> 8)
+    rest = v[three] - ONE - TWO * 256
+    first[three] = ONE + TWO + (rest >> 16)
+    data = (first.astype(np.uint8).tobytes() + ((v[two] - ONE) & 255).astype(np.uint8).tobytes()
+            + (rest & 0xFFFF).astype("<u2").tobytes())
+    return struct.pack("<I", len(v)) + zlib.compress(data, 1)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    n, = struct.unpack_from("<I", packed)
+    data = np.frombuffer(zlib.decompress(packed[4:]), dtype=np.uint8)
+    v = data[:n].astype(np.int64)
+    two, three = np.flatnonzero((v >= ONE) & (v < ONE + TWO)), np.flatnonzero(v >= ONE + TWO)
+    v[two] = ONE + (v[two] - ONE << 8) + data[n:n + len(two)]
+    v[three] = ONE + TWO * 256 + (v[three] - ONE - TWO << 16) + data[n + len(two):].copy().view("<u2")
+    return v
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -258,7 +274,7 @@ class Table:
     def gather(self, codes: list[np.ndarray], rare: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each ends): those of the frequent chunks, and the rare
         ones' in their places, which are those of code 0."""
-        last = np.array([len(self.size) - 1], dtype=np.uint32)
+        last = np.array([len(self.size) - 1], dtype=np.int64)
         ends = np.cumsum([len(c) + 1 for c in codes])
         codes = np.concatenate([x for c in codes for x in (c, last)])
         size, start = self.size[codes], self.start[codes]
@@ -287,9 +303,9 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: tuple
     kept = [f"_keep_{i}" for i in range(len(keep))]
     text = F.make_valid_utf8(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     src = bounded_batches(docs).select(text.alias("_text"), *[F.col(c).alias(k) for c, k in zip(keep, kept)])
-    src = src.withColumns({"_key": F.xxhash64("_text"), "_check": F.hash("_text")})
+    src = src.withColumns({"_key": F.xxhash64("_text"), "_check": F.pmod(F.hash("_text"), F.lit(1 << 16)).cast("bigint")})
 
-    top = frequent_chunks(src.select("_text"), model, min(frequent, (1 << 24) - 1))
+    top = frequent_chunks(src.select("_text"), model, min(frequent, MAX_FREQUENT))
     table = Shared(spark.sparkContext, Table(top, tail, here.dtype))
 
     def rare(batches):
@@ -302,27 +318,29 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: tuple
                 place += range(len(r))
                 found += r
             at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(1).take(at), b.column(2).take(at), pa.array(place, pa.int32()),
-                                              pa.array(found, pa.string())], names=[*_KEY, "_place", "_chunk"])
+            # one number for the check and the place among the text's rare chunks
+            where = (np.asarray(b.column(2).take(at)) << 32) + np.array(place, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(1).take(at), pa.array(where, pa.int64()),
+                                              pa.array(found, pa.string())], names=["_key", "_where", "_chunk"])
 
     def segment(batches):
         """Equal chunks are neighbours here, and copies of a place among them too."""
         chunks, last, ids, place = _worker(model), None, b"", None
         for b in batches:
-            seen = b.column(3).to_pylist()
+            seen = b.column(2).to_pylist()
             new = [c for i, c in enumerate(seen) if c != (seen[i - 1] if i else last)]
             packed, keep_rows, out = iter(chunks.segment(new)), [], []
-            places = zip(*[b.column(k).to_pylist() for k in range(3)])
-            for i, (c, p) in enumerate(zip(seen, places)):
+            for i, (c, p) in enumerate(zip(seen, zip(b.column(0).to_pylist(), b.column(1).to_pylist()))):
                 if c != last:
                     last, ids, place = c, next(packed), None
                 if p != place:
                     place = p
                     keep_rows.append(i)
-                    out.append(ids)
+                    out.append(struct.pack(">I", p[1] & 0xFFFFFFFF) + ids)  # sorts by place
             at = pa.array(keep_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*[b.column(k).take(at) for k in range(3)], pa.array(out, pa.binary())],
-                                             names=[*_KEY, "_place", "_ids"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(at), pa.array(np.asarray(b.column(1).take(at)) >> 32, pa.int64()),
+                 pa.array(out, pa.binary())], names=[*_KEY, "_ids"])
 
     def codes(batches):
         chunks, known = _worker(model), _codes_of(table).get
@@ -338,19 +356,19 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: tuple
             if not b.num_rows:
                 continue
             ids, ends = frequent_ids.gather([_unpack(c) for c in b.column(0).to_pylist()],
-                                            [x["_ids"] for r in b.column(1).to_pylist() for x in r or ()])
+                                            [x[4:] for r in b.column(1).to_pylist() for x in r or ()])
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*b.columns[2:], lists], names=[*b.schema.names[2:], "ids"])
 
     def ddl(names, df):
         return ", ".join(f"{n} {df.schema[n].dataType.simpleString()}" for n in names)
 
-    found = (src.select("_text", *_KEY).mapInArrow(rare, "_key bigint, _check int, _place int, _chunk string")
+    found = (src.select("_text", *_KEY).mapInArrow(rare, "_key bigint, _where bigint, _chunk string")
                 .repartition("_chunk", F.when(F.length("_chunk") > MAX_FREQUENT_CHARS, F.pmod("_key", F.lit(LONG_SPREAD)))
                              .otherwise(0))
-                .sortWithinPartitions("_chunk", *_KEY, "_place")
-                .mapInArrow(segment, "_key bigint, _check int, _place int, _ids binary"))
-    found = found.groupBy(*_KEY).agg(F.array_sort(F.collect_list(F.struct("_place", "_ids"))).alias("_rare"))
+                .sortWithinPartitions("_chunk", "_key", "_where")
+                .mapInArrow(segment, "_key bigint, _check bigint, _ids binary"))
+    found = found.groupBy(*_KEY).agg(F.array_sort(F.collect_list("_ids")).alias("_rare"))
     coded = src.select("_text", *_KEY, *kept).mapInArrow(codes, ddl([*_KEY, *kept], src) + ", _codes binary")
     return (coded.join(found, _KEY, "left").select("_codes", "_rare", *kept)
                  .mapInArrow(gather, ", ".join([*([ddl(kept, src)] if kept else []), "ids array<int>"]))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -99,3 +100,12 @@ def test_query_equals_the_library(spark, small_docs):
         want.add((r["doc_id"], len(ids), sha(" ".join(map(str, ids))), sha(SP.decode(ids))))
     got = queries.QUERIES["op11_sentencepiece"](spark, "/root/testdata/sf0.001").collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_codes_survive_packing():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 3000):
+        codes = rng.integers(0, 10 ** rng.integers(1, 7, n)).clip(max=piece_codec.MAX_FREQUENT + 1)
+        assert (piece_codec._unpack(piece_codec._pack(codes)) == codes).all()
+    edge = np.array([0, 149, 150, 149 + 96 * 256, 150 + 96 * 256, piece_codec.MAX_FREQUENT + 1])
+    assert (piece_codec._unpack(piece_codec._pack(edge)) == edge).all()
