@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
+    if _recorded is not None:
+        _recorded.append(out)
     return out
 
 
+#: Where ``recording`` notes what ``written`` makes.
+_recorded: list[DataFrame] | None = None
+
+
+@contextmanager
+def recording(tables: list[DataFrame]):
+    """Note in ``tables`` what is written meanwhile, to ``discard`` it later."""
+    global _recorded
+    before, _recorded = _recorded, tables
+    try:
+        yield
+    finally:
+        _recorded = before
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove tables that ``written`` returned, once nothing reads them any more (what
     was made from them is itself written or collected)."""
@@ -63,6 +81,12 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def row_key(id_col: str, text_col: str):
+    """A key of a row that is never null and differs where id or text do; by id, null last."""
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                    F.xxhash64(text_col).alias("a"), F.xxhash64(F.lit(1), text_col).alias("b"))
+
+
 def attach_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Equi-join ``small`` (already materialised) to ``big``: broadcast when its

@@ -22,13 +22,14 @@ def _checksum(edges: DataFrame) -> tuple:
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``edges`` (u, v) of bigint vertices -> (v, root) for every vertex that is
-    not its component's least; loops and repeated edges are harmless."""
+    not its component's least; loops and repeated edges are harmless.  Raises if
+    ``max_rounds`` are too few."""
     e = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"),
                                              F.least("u", "v").alias("v")).distinct(), "cc")
     state = _checksum(e)
     for _ in range(max_rounds):
         if not state[0]:
-            break
+            return e.select(F.col("u").alias("v"), F.col("v").alias("root"))
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -40,6 +41,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         e = written(small, "cc")
         now = _checksum(e)
         if now == state:
-            break
+            return e.select(F.col("u").alias("v"), F.col("v").alias("root"))
         state = now
-    return e.select(F.col("u").alias("v"), F.col("v").alias("root"))
+    raise RuntimeError(f"components are not complete after {max_rounds} rounds")

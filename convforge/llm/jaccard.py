@@ -8,14 +8,15 @@ linked sets share a token in a short prefix of each.
 1. Classes that share prefix tokens are partitioned into groups of similar
    sets: those with one first shared token that may be near the group's pivot.
 2. The token-group matrix holds, per token and group, the union of the members'
-   index prefixes with the range of their sizes, the most tokens that can
-   follow, and the group's centre and radius in parity signatures.  From it a
-   class's overlap with any member of a group is bounded; only groups whose
-   bound reaches the required overlap qualify.
+   prefixes with the range of their sizes and the most tokens that can follow.
+   Groups meet groups in it (by token and size band), and the overlap of any two
+   members is bounded, as is their difference by the groups' centres and radii in
+   parity signatures; only pairs of groups whose bounds allow a link qualify.
 3. Each class is compared with its group's pivot, pivots with the pivots of
-   qualifying groups.  Then qualifying groups are opened, but only towards
-   members that these links have not already put in the same component.
-   Sizes and parity bitmaps bound the difference of two sets before that.
+   qualifying groups.  Then qualifying pairs of groups are opened, but only where
+   these links have not already put their members in the same component.  A
+   class's size and signature, then parity bitmaps, bound the difference before
+   that.
 4. Every comparison is verified on the full sets.  Components of the links give
    the result, so no group of copies is expanded into all its pairs.
 
@@ -134,7 +135,7 @@ def _plausible(n: str, bits: str, size: str, bits2: str, num: int, den: int) ->
 
 
 def _sets(docs: DataFrame, words: int, num: int, den: int, classes: np.ndarray) -> DataFrame:
-    """(_id, n, d1, d2, s0..s7, bits, tokens): size, digest and parity bitmaps of each set
+    """(_id, hash, n, d1, d2, s0..s7, bits, tokens): hash of the text, size, digest and parity bitmaps of each set
     and its prefix in token order."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)  # 2**SKETCH_BITS small integers
 
@@ -159,14 +160,15 @@ def _sets(docs: DataFrame, words: int, num: int, den: int, classes: np.ndarray)
                     first = first[np.argsort(key[first], kind="stable")]
                     tokens[i] = u[first].view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n), pa.array(np.ascontiguousarray(d[:, 0])),
+                [b.column(0), b.column(2), pa.array(n), pa.array(np.ascontiguousarray(d[:, 0])),
                  pa.array(np.ascontiguousarray(d[:, 1])),
                  *[pa.array(np.ascontiguousarray(g[:, k])) for k in range(len(SIGNATURE))],
                  *[pa.array(x, pa.list_(pa.int64())) for x in (bits, tokens)]],
-                names=["_id", "n", "d1", "d2", *SIGNATURE, "bits", "tokens"])
+                names=["_id", "hash", "n", "d1", "d2", *SIGNATURE, "bits", "tokens"])
 
     kind = docs.schema["_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"_id {kind}, n bigint, d1 bigint, d2 bigint, "
+    docs = docs.select("_id", "_text", F.xxhash64("_text").alias("hash"))
+    return docs.mapInArrow(run, f"_id {kind}, hash bigint, n bigint, d1 bigint, d2 bigint, "
                                 + "".join(f"{c} bigint, " for c in SIGNATURE) + "bits array<bigint>, tokens array<bigint>")
 
 
@@ -181,8 +183,11 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, n
     joined to both sides of a pair.
     """
     used = pairs.select(F.explode(F.array("u", "v")).alias("cid")).distinct()
-    wanted = written(classes.select("cid", "rep", "d1", "d2").join(used, "cid"), "join-used")
-    source = attach_small(docs, wanted.withColumnRenamed("rep", "_id"), "_id").select("cid", "d1", "d2", "_text")
+    wanted = written(classes.select("cid", "rep", "hash", "d1", "d2").join(used, "cid"), "join-used")
+    # An id may be null or name several texts: the text's hash is part of the key.
+    source = attach_small(docs.withColumn("_hash", F.xxhash64("_text")), wanted,
+                          F.col("_id").eqNullSafe(F.col("rep")) & (F.col("_hash") == F.col("hash")))
+    source = source.select("cid", "d1", "d2", "_text")
 
     def sets(batches):
         seen = set()  # a repeated row gives its set once per task
@@ -237,8 +242,9 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = _sketch(src.select("_text"), words)
     sets = written(_sets(src, words, num, den, order), "join-rows")
     classes = written(sets.where("n > 0").groupBy("n", "d1", "d2")
-                      .agg(F.min("_id").alias("rep"), F.first(F.struct("tokens", "bits", *SIGNATURE)).alias("s"))
-                      .select("n", "d1", "d2", "rep", "s.*")
+                      .agg(F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("rep"), "hash")).alias("r"),
+                           F.first(F.struct("tokens", "bits", *SIGNATURE)).alias("s"))
+                      .select("n", "d1", "d2", "r.rep", "r.hash", "s.*")
                       .withColumn("cid", F.monotonically_increasing_id()), "join-classes")
 
     # Prefix tokens that at least two classes have, one of them in its index prefix.
@@ -274,30 +280,42 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # centre less the radius.
     centres = member.where("cid = grp").select("grp", F.col("n").alias("centre_n"),
                                                *[F.col(c).alias(f"p{k}") for k, c in enumerate(SIGNATURE)])
-    radius = member.groupBy("grp").agg(F.max("away").alias("radius"))
-
-    # Token-group matrix, and the qualifying groups of every class.
-    rows = written(posts.join(member.select("cid", "grp", *SIGNATURE), "cid"), "join-rows")
-    matrix = (rows.where("idx").groupBy("token", "grp")
-                  .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.expr("n - pos")).alias("rest"))
-                  .join(centres.drop("centre_n").join(radius, "grp"), "grp"))
-    query = rows.select("token", "cid", "n", "pos", F.col("grp").alias("own"), *SIGNATURE).withColumn(
-        "least", F.expr(_ceil("n", num, den)))
-    bound = F.expr(f"""grp <> own and hi >= least and lo <= n
-        and least(n - pos, rest) >= {_ceil('n + greatest(lo, least)', num, num + den)}
-        and {_apart(SIGNATURE, CENTRE)} - radius <= {differ.format('least(hi, n)')}""")
-    opened = written(query.join(matrix, "token").where(bound)
-                     .select("cid", "n", "least", "own", "grp").distinct()
-                     .unionByName(member.select("cid", "n", F.expr(_ceil("n", num, den)).alias("least"),
-                                                F.col("grp").alias("own"), "grp")), "join-open")
+
+    # Token-group matrix: per token and group, what its members' prefixes allow.  Groups
+    # meet groups, so that a row of the join stands for all pairs of their members.
+    rows = posts.join(member.select("cid", "grp"), "cid")
+    about = written(member.groupBy("grp").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"),
+                                              F.max("away").alias("radius"))
+                    .join(centres, "grp"), "join-groups")
+    matrix = written(rows.groupBy("token", "grp").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.expr("n - pos")).alias("rest"),
+        F.min(F.when(F.col("idx"), F.col("n"))).alias("lo1"), F.max(F.when(F.col("idx"), F.col("n"))).alias("hi1"),
+        F.max(F.when(F.col("idx"), F.expr("n - pos"))).alias("rest1")), "join-matrix")
+    # Linked sets' sizes differ at most by the factor den / num: bands a little wider,
+    # each group in those of its members, asked from the own band and the one below.
+    width = max(math.log(den / num), 1e-9) * (1 + 1e-9)
+    band = f"cast(floor(ln({{}}) / {width!r}) as bigint)"
+    index = matrix.where("lo1 is not null").select(
+        "token", "grp", "lo1", "hi1", "rest1", F.explode(F.expr(f"sequence({band.format('lo1')}, {band.format('hi1')})")).alias("band"))
+    asks = matrix.select("token", F.col("grp").alias("own"), "lo", "hi", "rest", F.explode(F.expr(
+        f"sequence({band.format('lo')} - 1, {band.format('hi')})")).alias("band"))
+    n0, s0 = "greatest(lo, lo1)", f"greatest(lo1, {_ceil('greatest(lo, lo1)', num, den)})"
+    met = (asks.join(index, ["token", "band"])
+           .where(F.expr(f"own <> grp and hi1 >= {_ceil('lo', num, den)} and lo1 <= hi "
+                         f"and least(rest, rest1) >= {_ceil(f'{n0} + {s0}', num, num + den)}"))
+           .select("own", "grp").distinct())
+    own = about.select(F.col("grp").alias("own"), F.col("most_n").alias("own_n"), F.col("radius").alias("own_r"),
+                       *[F.col(c).alias(f"s{k}") for k, c in enumerate(CENTRE)])
+    close = F.expr(f"""{_apart(SIGNATURE, CENTRE)} - radius - own_r
+        <= (own_n + least(own_n, most_n)) * {den - num} div {num + den}""")
+    between = written(met.join(about, "grp").join(own, "own").where(close).select("own", "grp"), "join-between")
 
     star = member.where("cid <> grp").select(F.greatest("cid", "grp").alias("u"), F.least("cid", "grp").alias("v"))
-    ends = centres.select("grp", "centre_n")
-    between = (opened.where("grp <> own").select("own", "grp").distinct()
-               .join(ends, "grp").join(ends.toDF("own", "n1"), "own")
-               .where(F.expr(f"{den} * least(n1, centre_n) >= {num} * greatest(n1, centre_n)"))
-               .select(F.greatest("own", "grp").alias("u"), F.least("own", "grp").alias("v")))
-    tried = written(star.unionByName(between).distinct(), "join-pairs")
+    ends = about.select("grp", "centre_n")
+    pivots_met = (between.join(ends, "grp").join(ends.toDF("own", "n1"), "own")
+                  .where(F.expr(f"{den} * least(n1, centre_n) >= {num} * greatest(n1, centre_n)"))
+                  .select(F.greatest("own", "grp").alias("u"), F.least("own", "grp").alias("v")))
+    tried = written(star.unionByName(pivots_met).distinct(), "join-pairs")
     maps = maps.select("cid", "n", "bits")
     likely = written(tried.join(maps.toDF("u", "n", "bits"), "u").join(maps.toDF("v", "size", "bits2"), "v")
                      .where(_plausible("n", "bits", "size", "bits2", num, den)).select("u", "v"), "join-likely")
@@ -306,15 +324,24 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # Open the qualifying groups towards members of other components whose size and
     # parity bitmap allow the similarity.  Most of a group of copies is in one
-    # component by now: its members meet only the group's other members.
+    # component by now: two groups of one component are not opened at all, and a
+    # class asks only where members of another component are.
     part = written(member.join(roots.withColumnRenamed("v", "cid"), "cid", "left")
                    .join(maps.select("cid", "bits"), "cid")
-                   .select("cid", "n", "grp", "bits", F.coalesce("root", "cid").alias("root")), "join-parts")
+                   .select("cid", "n", "grp", *SIGNATURE, "bits", F.coalesce("root", "cid").alias("root")), "join-parts")
     sizes = part.groupBy("grp", "root").agg(F.count("*").alias("c"))
     main = sizes.groupBy("grp").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("roots"))
-    main = main.select("grp", F.col("m.root").alias("main"), "roots")
-    asking = (opened.drop("own").join(main, "grp").join(part.select("cid", "root", "bits"), "cid")
-              .where("roots > 1 or root <> main"))
+    main = written(main.select("grp", F.col("m.root").alias("main"), "roots"), "join-main")
+    opened = (between.unionByName(main.where("roots > 1").select(F.col("grp").alias("own"), "grp"))
+              .join(main, "grp").join(main.toDF("own", "own_main", "own_roots"), "own")
+              .where("roots > 1 or own_roots > 1 or main <> own_main")
+              .join(about.select("grp", "least_n", "most_n", "radius", *CENTRE), "grp"))
+    asking = (part.select("cid", "n", F.col("grp").alias("own"), *SIGNATURE, "root")
+              .join(opened, "own")
+              .where(F.expr(f"""(roots > 1 or root <> main) and most_n >= {_ceil('n', num, den)} and least_n <= n
+                  and {_apart(SIGNATURE, CENTRE)} - radius <= {differ.format('least(most_n, n)')}"""))
+              .select("cid", "n", F.expr(_ceil("n", num, den)).alias("least"), "grp", "main", "roots", "root")
+              .join(part.select("cid", "bits"), "cid"))
     target = part.select("grp", F.col("root").alias("other"), F.col("cid").alias("m"), F.col("n").alias("size"),
                          F.col("bits").alias("bits2"))
     fits = F.expr("other <> root and size >= least and size <= n and "

@@ -92,8 +92,8 @@ def solve_rates(hist: DataFrame, targets: DataFrame, cap: int = 3, tol: float =
             F.when(F.col("_open") & ~done & (hi - lo > 1e-13), F.abs(f) / F.col("target"))
              .otherwise(0.0).alias("miss")), "mix-state")
         if (state.agg(F.max("miss")).head()[0] or 0.0) <= tol:  # one number
-            break
-    return state
+            return state
+    raise RuntimeError(f"the dual is not solved after {max_steps} steps")
 
 
 def _pick(flips: DataFrame, bin_col: str) -> DataFrame:

@@ -135,7 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     rest = lab.where("_side = 0").orderBy("_h", "_id").limit(calibration_docs).select("_id", "_y")
     cal = source.join(F.broadcast(rest), "_id")
-    got = _differences(cal, good, bad, "_text", ["_id", "_y"]).select("_y", "_diff", "_bytes").collect()
+    # One row per id, whatever the number of its rows.
+    got = (_differences(cal, good, bad, "_text", ["_id", "_y"]).groupBy("_id")
+           .agg(F.max(F.struct("_bytes", "_diff", "_y")).alias("r")).select("r.*").collect())
     y = np.array([r["_y"] for r in got], dtype=float)
     if len(set(y.tolist())) < 2:
         rate = (y.sum() + 1.0) / (len(y) + 2.0)

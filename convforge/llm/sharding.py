@@ -5,7 +5,8 @@ small row each) are prefix-summed; a row's global byte position is its
 partition's offset plus the running sum inside the partition.  The line of all
 bytes is cut into ``n_shards`` equal targets; a row belongs to the shard that
 holds its midpoint, so a shard differs from its target by less than the
-largest row.  DataFrame operations only.
+largest row.  Only sizes and checksums are sorted; texts move once, when the shards
+are known.  DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -30,19 +31,25 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id",
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))
+    # What is kept (texts) moves once, at the end; a row knows it by its content.
+    kept = [f"_keep_{i}" for i in range(len(keep))]
     base = docs.select(
         F.col(id_col).alias("_id"),
         (F.octet_length(text) + F.lit(overhead)).cast("bigint").alias("_size"),
         F.crc32(text).alias("_crc"),
-        *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)])
+        *([F.xxhash64(*keep).alias("_a"), F.xxhash64(F.lit(1), *keep).alias("_b")] if keep else []),
+        *[F.col(c).alias(k) for c, k in zip(keep, kept)])
     # The partition number is written with the rows, so every later step (and
-    # a retried task) sees the same partitioning.
-    base = written(base.repartitionByRange(parts, "_id", "_crc", "_size")
-                       .withColumn("_part", F.spark_partition_id()), "shard-rows")
+    # a retried task) sees the same partitioning.  The last part of the order
+    # lets equal rows fall into several partitions.
+    order = ["_id", "_crc", "_size", "_tie"]
+    narrow = base.drop(*kept).withColumn("_tie", F.monotonically_increasing_id())
+    narrow = written(narrow.repartitionByRange(parts, *order)
+                           .withColumn("_part", F.spark_partition_id()), "shard-rows")
 
     # One row per partition: bounded by the number of partitions.
     upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (base.groupBy("_part").agg(F.sum("_size").alias("_bytes"), F.count("*").alias("_rows"))
+    offsets = (narrow.groupBy("_part").agg(F.sum("_size").alias("_bytes"), F.count("*").alias("_rows"))
                    .select("_part",
                            F.coalesce(F.sum("_bytes").over(upto), F.lit(0)).alias("_byte0"),
                            F.coalesce(F.sum("_rows").over(upto), F.lit(0)).alias("_row0"),
@@ -50,9 +57,9 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id",
                                Window.unboundedPreceding, Window.unboundedFollowing)).alias("_total")))
     offsets = written(offsets, "shard-offsets")
 
-    inside = Window.partitionBy("_part").orderBy("_id", "_crc", "_size")
+    inside = Window.partitionBy("_part").orderBy(*order)
     run = inside.rowsBetween(Window.unboundedPreceding, -1)
-    rows = (base.withColumn("_seq", F.row_number().over(inside) - 1)
+    rows = (narrow.withColumn("_seq", F.row_number().over(inside) - 1)
                 .withColumn("_before", F.coalesce(F.sum("_size").over(run), F.lit(0)))
                 .join(F.broadcast(offsets), "_part")
                 .withColumn("_row", F.col("_row0") + F.col("_seq"))
@@ -62,9 +69,17 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id",
                     f"cast(_twice as decimal(28,0)) * {int(n_shards)} div (2 * cast(_total as decimal(28,0)))"
                 ).cast("int"))))
     firsts = rows.groupBy("shard").agg(F.min("_row").alias("_first"))  # at most n_shards rows
-    return (rows.join(F.broadcast(firsts), "shard")
-                .select(F.col("_id").alias(id_col), F.col("_size").alias("size"),
-                        F.col("_crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
-                        (F.col("_row") - F.col("_first")).cast("bigint").alias("slot"),
-                        F.lit(None).cast("int").alias("grown_shard"),
-                        *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)]))
+    out = (rows.join(F.broadcast(firsts), "shard")
+               .select("_id", "_size", "_crc", *(["_a", "_b"] if keep else []), F.lit("bytes").alias("law"), "shard",
+                       (F.col("_row") - F.col("_first")).cast("bigint").alias("slot"),
+                       F.lit(None).cast("int").alias("grown_shard")))
+    if keep:
+        # Rows equal in id and content are one row here, and get all their slots back.
+        same = ["_null", "_id0", "_crc", "_a", "_b"]
+
+        def keyed(df):
+            return df.withColumns({"_null": F.col("_id").isNull(), "_id0": F.coalesce(F.col("_id").cast("string"), F.lit(""))})
+        once = keyed(base).groupBy(*same).agg(F.first(F.struct(*kept)).alias("_kept"))
+        out = keyed(out).join(once, same).select("*", "_kept.*")
+    return out.select(F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
+                      "law", "shard", "slot", "grown_shard", *[F.col(k).alias(c) for c, k in zip(keep, kept)])

@@ -120,7 +120,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                   .join(F.broadcast(chosen), "_id").select("_id", "_y", "_text"))
     rows = written(_word_rows(source), "toxicity-sample")
     toxic = F.col("_y") > 0
-    words = (rows.groupBy("word").agg(F.sum(F.when(toxic, 1).otherwise(0)).alias("t"),
+    once = rows.select("_id", "_y", "word").distinct()  # repeated rows of an id count once
+    words = (once.groupBy("word").agg(F.sum(F.when(toxic, 1).otherwise(0)).alias("t"),
                                       F.sum(F.when(toxic, 0).otherwise(1)).alias("c"))
                  .where(F.col("t") + F.col("c") >= LEAST_DOCS))
     n_t = max(1, sum(r["_y"] > 0 for r in picked))

@@ -90,3 +90,33 @@ def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (7, 7)]
     got = {r["v"]: r["root"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     assert got == {**{i: 0 for i in range(1, 201)}, 501: 500}
+
+
+def test_rows_without_an_id_link_and_bridge(spark):
+    """A row with a null id that is near to two others which are not near to each other,
+    null-id near copies of each other, and one id with two near texts."""
+    w = ["w%d" % i for i in range(100)]
+    left, mid, right = w[:], w[3:] + ["x1", "x2", "x3"], w[6:] + ["x1", "x2", "x3", "y1", "y2", "y3"]
+    other = ["v%d" % i for i in range(80)]
+    rows = [(5, " ".join(left)), (None, " ".join(mid)), (9, " ".join(right)), (None, " ".join(other)),
+            (None, " ".join(other[:-1] + ["z"])), (3, " ".join(other[1:])), (3, " ".join(other[2:] + ["q"])),
+            (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = joined(df, words=3, similarity=(90, 100))
+    assert got == brute(rows, 3, 90, 100)
+    assert {c for d, _, c in got if d in (5, 9)} == {5}
+
+
+def test_a_hot_group_that_no_pivot_unites(spark):
+    """Copies with edits of their own: any two differ by more than the original and one."""
+    rng = random.Random(4)
+    base = ["w%d" % i for i in range(200)]
+    rows = []
+    for i in range(60):
+        t = list(base)
+        for k in rng.sample(range(200), rng.choice((2, 3, 5, 6))):
+            t[k] = "e%d_%d" % (i, k)
+        rows.append((i, " ".join(t)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for k, num, den in ((3, 90, 100), (1, 97, 100), (2, 1, 1)):
+        assert joined(df, words=k, similarity=(num, den)) == brute(rows, k, num, den)

@@ -11,8 +11,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_registered():
     names = E.queries()
-    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] and "pipeline" in names
-    assert len([n for n in names if n.startswith("op")]) == 10
+    assert [n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")] and "pipeline" in names
+    assert len([n for n in names if n.startswith("op")]) == 13
 
 
 def test_stages(spark, small_docs):
@@ -64,3 +64,27 @@ def test_stages_on_awkward_rows(spark, awkward, nothing):
             if name == "near_duplicates" and n:
                 assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(
                     ["1", "3", "4", "5", "6", "6", "None", "7", "8", "9"])
+
+
+def test_decisions_are_by_row(spark):
+    """Ids that are null or shared by several texts: only the rows concerned go."""
+    w = ["w%d" % i for i in range(120)]
+    text = " ".join(w)
+    near = " ".join(w[:-1] + ["x"])
+    other = " ".join("v%d" % i for i in range(90))
+    item = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("text").head()["text"]
+    rows = [(1, text), (2, near), (2, other), (3, other + " more"), (None, text), (None, "a text of its own"),
+            (1, text), (4, item), (4, "clean " + other[::-1]), (None, item + " tail"), (5, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    stages = dict(corpus_pipeline.STAGES)
+    left = sorted(((r["doc_id"], r["text"]) for r in stages["near_duplicates"](spark, docs, SF_SMALL).collect()), key=str)
+    assert left == sorted([(1, text), (2, other), (None, "a text of its own"), (4, "clean " + other[::-1]), (5, None), (5, ""),
+                           *[(i, t) for i, t in rows if t and item in t and i == 4]]
+                          + ([] if near_enough(item) else [(None, item + " tail")]), key=str)
+    left = sorted(((r["doc_id"], r["text"]) for r in stages["decontamination"](spark, docs, SF_SMALL).collect()), key=str)
+    assert left == sorted([(i, t) for i, t in rows if item not in (t or "")], key=str)
+
+
+def near_enough(item):
+    n = max(1, len(item.split()) - 4)
+    return n >= 0.8 * (n + 1)

@@ -356,3 +356,19 @@ def test_fingerprints_equal_brute_force(spark, small_docs, awkward, nothing, par
 def test_held_out_is_crc32(spark):
     rows = spark.range(50).select("id", common.held_out("id", 4, 2).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 4 == 2) for r in rows)
+
+
+# --- repeated rows in fits ------------------------------------------------------
+def test_repeated_rows_leave_the_models_as_they_are(spark, small_docs, small_labels):
+    ten = small_docs.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(10)))).drop("_k")
+    one, many = (quality.fit(d, small_labels) for d in (small_docs, ten))
+    assert one.weights == many.weights and one.good == many.good
+    one, many = (toxicity.fit(d, small_labels) for d in (small_docs, ten))
+    assert (one.vocabulary == many.vocabulary).all() and np.allclose(one.weights, many.weights)
+
+
+def test_unfinished_iterations_raise(spark, small_docs):
+    from convforge.llm.components import components
+    path = spark.createDataFrame([(i, i + 1) for i in range(500)], "u bigint, v bigint")
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        components(path, max_rounds=2)
