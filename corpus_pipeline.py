@@ -7,13 +7,34 @@ one's ``docs``.
 
 from __future__ import annotations
 
+import functools
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convforge.llm import decontam, jaccard, mixing, quality, sharding
-from convforge.llm.common import attach_small, table, written
+from convforge.llm.common import attach_small, discard, recording, row_key, table, written
+
+_left: list[DataFrame] = []
+
+
+def stage(fn):
+    """A stage, which first removes what the one before left in the checkpoint folder:
+    by then that one's result is written, and nothing else reads its intermediates.
+    Collecting garbage lets Spark's cleaner remove its shuffle files too."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(*_left)
+        _left.clear()
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        with recording(_left):
+            return fn(spark, docs, sf_dir)
+    return run
 
 
+@stage
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality.fit(docs, quality.learnable(table(spark, sf_dir, "labels")))
@@ -21,30 +42,35 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.score(docs, model, keep=tuple(columns)).where("predicted = 1").select(*columns)
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the least id; five-word
-    shingles, Jaccard similarity 0.8 or more.  Of repeated rows with that id one
-    stays; rows without words or without an id belong to no group and stay."""
-    groups = jaccard.ngram_jaccard_join(docs, words=5, similarity=(80, 100))
-    gone = written(groups.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct(),
-                   "duplicate-ids")
-    left = attach_small(docs, gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = written(groups.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count()
-                    .where("count > 1").select("doc_id"), "repeated-ids")
+    """One document of each group of near duplicates, that of the least id (null last);
+    five-word shingles, Jaccard similarity 0.8 or more.  Decisions are by row: texts
+    that share an id stand for themselves, rows equal in id and text are one.  Rows
+    without words belong to no group and stay."""
+    keyed = docs.withColumn("_row", row_key("doc_id", "text"))
+    groups = jaccard.ngram_jaccard_join(keyed, id_col="_row", words=5, similarity=(80, 100))
+    groups = written(groups.where("n_shingles > 0"), "groups")
+    gone = written(groups.where("_row <> component_id").select("_row").distinct(), "duplicates")
+    left = attach_small(keyed, gone, "_row", "left_anti")
+    twice = written(groups.where("_row = component_id").groupBy("_row").count()
+                    .where("count > 1").select("_row"), "repeated")
     if twice.isEmpty():
-        return left
-    # Rows that share an id: once per id and text.
-    once = attach_small(left, twice, "doc_id").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return attach_small(left, twice, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+        return left.select(*docs.columns)
+    once = attach_small(left, twice, "_row", "left_semi").dropDuplicates(["_row"])
+    return attach_small(left, twice, "_row", "left_anti").unionByName(once).select(*docs.columns)
 
 
+@stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
-    found = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = written(found.select("doc_id").distinct(), "contaminated-ids")
-    return attach_small(docs, gone, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no passage of the benchmark; decisions are by row."""
+    keyed = docs.withColumn("_row", row_key("doc_id", "text"))
+    found = decontam.find_contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="_row")
+    gone = written(found.select("_row").distinct(), "contaminated")
+    return attach_small(keyed, gone, "_row", "left_anti").select(*docs.columns)
 
 
+@stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows repeated as often as the mix takes them."""
     names = tuple(docs.columns)
@@ -55,6 +81,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                  .select(*[F.col(k).alias(c) for c, k in zip(names, keep)]))
 
 
+@stage
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their shard and their slot in it."""
     rest = tuple(c for c in docs.columns if c != "doc_id")
@@ -76,6 +103,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    before = None
+    for name, fn in STAGES:
+        docs = written(fn(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
