@@ -292,18 +292,29 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.min(F.when(F.col("idx"), F.col("n"))).alias("lo1"), F.max(F.when(F.col("idx"), F.col("n"))).alias("hi1"),
         F.max(F.when(F.col("idx"), F.expr("n - pos"))).alias("rest1")), "join-matrix")
     # Linked sets' sizes differ at most by the factor den / num: bands a little wider,
-    # each group in those of its members, asked from the own band and the one below.
+    # each group in those of its members and the one below.  Two groups meet once per
+    # token, in the lowest band that both have, and either may hold the larger set.
     width = max(math.log(den / num), 1e-9) * (1 + 1e-9)
     band = f"cast(floor(ln({{}}) / {width!r}) as bigint)"
-    index = matrix.where("lo1 is not null").select(
-        "token", "grp", "lo1", "hi1", "rest1", F.explode(F.expr(f"sequence({band.format('lo1')}, {band.format('hi1')})")).alias("band"))
-    asks = matrix.select("token", F.col("grp").alias("own"), "lo", "hi", "rest", F.explode(F.expr(
-        f"sequence({band.format('lo')} - 1, {band.format('hi')})")).alias("band"))
-    n0, s0 = "greatest(lo, lo1)", f"greatest(lo1, {_ceil('greatest(lo, lo1)', num, den)})"
-    met = (asks.join(index, ["token", "band"])
-           .where(F.expr(f"own <> grp and hi1 >= {_ceil('lo', num, den)} and lo1 <= hi "
-                         f"and least(rest, rest1) >= {_ceil(f'{n0} + {s0}', num, num + den)}"))
-           .select("own", "grp").distinct())
+    facts = ["lo", "hi", "rest", "lo1", "hi1", "rest1", "low_band"]
+    side = matrix.withColumn("low_band", F.expr(band.format("lo")) - 1)
+    side = side.select("token", F.explode(F.expr(f"sequence(low_band, {band.format('hi')})")).alias("band"), "grp", *facts)
+
+    def allows(x: str, y: str) -> str:
+        """A set of x may be linked with one of y that is no larger and has the token early."""
+        n0 = f"greatest({x}lo, {y}lo1)"
+        s0 = f"greatest({y}lo1, {_ceil(n0, num, den)})"
+        return f"""coalesce({y}hi1 >= {_ceil(f'{x}lo', num, den)} and {y}lo1 <= {x}hi
+            and least({x}rest, {y}rest1) >= {_ceil(f'{n0} + {s0}', num, num + den)}, false)"""
+
+    met = (side.toDF("token", "band", "x", *[f"x_{c}" for c in facts])
+           .join(side.toDF("token", "band", "y", *[f"y_{c}" for c in facts]), ["token", "band"])
+           .where(F.expr(f"x < y and band = greatest(x_low_band, y_low_band) "
+                         f"and ({allows('x_', 'y_')} or {allows('y_', 'x_')})"))
+           .select("x", "y", F.expr(allows("x_", "y_")).alias("xy"), F.expr(allows("y_", "x_")).alias("yx"))
+           .groupBy("x", "y").agg(F.max("xy").alias("xy"), F.max("yx").alias("yx")))
+    met = (met.where("xy").select(F.col("x").alias("own"), F.col("y").alias("grp"))
+           .unionByName(met.where("yx").select(F.col("y").alias("own"), F.col("x").alias("grp"))))
     own = about.select(F.col("grp").alias("own"), F.col("most_n").alias("own_n"), F.col("radius").alias("own_r"),
                        *[F.col(c).alias(f"s{k}") for k, c in enumerate(CENTRE)])
     close = F.expr(f"""{_apart(SIGNATURE, CENTRE)} - radius - own_r
