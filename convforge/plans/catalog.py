@@ -31,6 +31,7 @@ from convforge.plans import evaluate as ev
 from convforge.plans import injected as inj
 from convforge.plans import oracle as oq
 from convforge.plans import prepare as prep
+from convforge.plans import training_text as tt
 from convforge.sources import curated as cur
 from convforge.sources import processed as pr
 from convforge.streaming import ingest as stream
@@ -690,3 +691,79 @@ def q_eval_report(spark, sf_dir):
     return (doc.select("perplexity", "num_val_samples", F.posexplode("sample_responses").alias("position", "s"))
             .select(F.round("perplexity", 4).alias("perplexity"), "num_val_samples",
                     F.col("position").cast("bigint").alias("position"), "s.user_query", "s.expected", "s.generated"))
+
+
+@register("curated_turns", f"""
+WITH {oq.VALID_MSGS_CTE},
+t AS (SELECT * FROM vm WHERE role = 'user' OR (role = 'assistant' AND conv_id % 5 <> 0)),
+g AS (SELECT conv_id, CAST(count(*) AS BIGINT) AS n_messages, count(*) FILTER (WHERE role = 'assistant') AS replies,
+             md5(string_agg(role || ':' || content, chr(10) ORDER BY turn)) AS turns_md5
+      FROM t GROUP BY conv_id)
+SELECT conv_id, n_messages, turns_md5,
+       CASE WHEN n_messages < 2 THEN 'messages_not_list_or_short'
+            WHEN replies = 0 THEN 'missing_user_or_assistant' ELSE 'ok' END AS outcome
+FROM g""")
+def q_curated_turns(spark, sf_dir):
+    # Every valid conversation is one curated block of all its user and assistant turns;
+    # each fifth loses its replies and must be rejected.
+    path = scratch_path(spark, "curated-turns")
+    label = F.when(F.col("m.role") == "user", F.lit("User")).otherwise(F.lit("Assistant"))
+    turns = (valid_nested(spark, sf_dir).select("conv_id", F.posexplode("messages").alias("pos", "m"))
+             .where("m.role = 'user' or (m.role = 'assistant' and conv_id % 5 <> 0)")
+             .select("conv_id", F.struct("pos", F.concat(F.lit("**"), label, F.lit(":** "), F.col("m.content"))
+                                         .alias("line")).alias("t")))
+    blocks = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("t")).select(
+        (F.col("conv_id") % 3).alias("grp"),
+        F.concat(F.lit("### Conversation "), F.col("conv_id").cast("string"), F.lit("\n"),
+                 F.array_join(F.col("t.line"), "\n\n"), F.lit("\n\n---")).alias("value"))
+    blocks.write.partitionBy("grp").mode("overwrite").text(path)
+    docs = (spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
+            .text(path, wholetext=True)
+            .select(F.col("_metadata.file_name").alias("file_name"), "value"))
+    lines = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
+    parsed = cur.parse_curated(docs).select(
+        F.regexp_extract("title", r"(\d+)", 1).cast("bigint").alias("conv_id"), "messages",
+        F.size("messages").cast("bigint").alias("n_messages"), F.md5(lines).alias("turns_md5"))
+    return va.validate_typed(parsed).select("conv_id", "n_messages", "turns_md5",
+                                            F.coalesce("reason", F.lit("ok")).alias("outcome"))
+
+
+@register("invalid_utf8", f"""
+WITH {oq.VALID_MSGS_CTE},
+f AS (SELECT conv_id, arg_min(content, turn) AS content, bool_or(contains(content, chr(65533))) AS had
+      FROM vm GROUP BY conv_id),
+r AS (SELECT unnest(['lines', 'values']) AS reader)
+SELECT reader, conv_id, CASE WHEN conv_id % 3 < 2 THEN chr(65533) ELSE '' END || content AS first_content,
+       had OR conv_id % 3 < 2 AS replaced
+FROM f CROSS JOIN r""")
+def q_invalid_utf8(spark, sf_dir):
+    # A lone byte, or the beginning of a character that goes no further, before the first
+    # content of two conversations in three; the same bytes as lines and as values.
+    line = F.to_json(F.struct(F.col("conv_id").alias("id"), "messages"))
+    at = F.instr(line, '"content":"') + F.lit(len('"content":"') - 1)
+    bad = (F.when(F.col("conv_id") % 3 == 0, F.unhex(F.lit("FF")))
+           .when(F.col("conv_id") % 3 == 1, F.unhex(F.lit("E4B8"))).otherwise(F.unhex(F.lit(""))))
+    damaged = F.concat(F.substring(line, F.lit(1), at).cast("binary"), bad,
+                       F.substring(line, at + 1, F.length(line)).cast("binary")).cast("string")
+    path = scratch_path(spark, "invalid-bytes")
+    valid_nested(spark, sf_dir).select(damaged.alias("value")).write.mode("overwrite").text(path)
+    lines = prep.ingest(spark, path, jsonl_glob="*.txt", json_glob=None).withColumn("reader", F.lit("lines"))
+    values = prep.ingest(spark, path, jsonl_glob=None, json_glob="*.txt").withColumn("reader", F.lit("values"))
+    return lines.unionByName(values).where("reason is null").select(
+        "reader", F.get_json_object("value", "$.id").cast("bigint").alias("conv_id"),
+        F.col("messages")[0]["content"].alias("first_content"), "replaced")
+
+
+@register("split_preview", f"""
+WITH {oq.labelled_text_cte()}
+SELECT split, substring(text, 1, 500) AS preview FROM lt WHERE split_rank = 1""")
+def q_split_preview(spark, sf_dir):
+    # The first formatted example of each written split (a report of one row each).
+    root = scratch_path(spark, "preview")
+    out = None
+    for label in (splitting.TRAIN, splitting.VAL):
+        pr.write_jsonl(nested_split(spark, sf_dir, label), f"{root}/{label}", order="split_rank")
+        texts = tt.training_texts(pr.read_processed(spark, f"{root}/{label}"), max_tokens=None)
+        part = tt.first_text_preview(texts).select(F.lit(label).alias("split"), "preview")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -58,7 +58,8 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
 
     Columns: file_path, file_name, object_index, line_no (JSONL only, the
     reference's warning line), value, reason, bad_index, messages,
-    errors_before.  ``reason`` is NULL for accepted rows.
+    errors_before, replaced.  ``reason`` is NULL for accepted rows; ``replaced`` tells
+    that the value holds U+FFFD, which stands for bytes that are no UTF-8 (Q14).
     ``explode_arrays`` turns each element of a top-level JSON
     array into its own value (``element_index``); by default such an array
     is one rejected value, as in the reference.
@@ -96,7 +97,7 @@ def ingest(spark: SparkSession, raw_dir: str, reader: str = "auto",
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.withColumn("replaced", F.contains("value", F.lit("\ufffd")))
 
 
 @dataclass

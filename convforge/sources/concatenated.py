@@ -345,7 +345,8 @@ def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("blk"),
         (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")
-         >= F.col("_metadata.file_size")).alias("last"), "value")
+         >= F.col("_metadata.file_size")).alias("last"),
+        F.make_valid_utf8("value").alias("value"))  # Q14: other bytes become U+FFFD
     parts = write_through(src.mapInArrow(_decode_splits, _SPLIT), "json-splits")
     # A split may hold no line start: the next one with lines follows.
     by_file = Window.partitionBy("file_path").orderBy("blk")

@@ -1,10 +1,12 @@
 """Curated chats written as Markdown.
 
 Blocks are separated by rule lines (``---``); a block has a ``###`` heading
-and two labelled turns, ``**<user label>:** text`` then
-``**<assistant label>:** text`` (texts may span lines).  Each block becomes
-a two-message conversation (plus an optional system message) ready to be
-unioned with the other sources.  A curated document is hand-written and
+and labelled turns, ``**<user label>:** text`` and
+``**<assistant label>:** text`` (texts may span lines), any number in any order.
+Each block with a turn becomes a conversation of its turns (plus an optional
+system message); the rules of every other source then accept or reject it, so a
+lone turn or one without a reply is a reject with a reason.  A block without
+turns is prose.  A curated document is hand-written and
 small, so each file is read whole; files are read in parallel.
 """
 
@@ -27,15 +29,16 @@ def parse_curated(docs: DataFrame, user_label: str = "User",
     u, a = re.escape(user_label), re.escape(assistant_label)
     blocks = docs.select("file_name", *keep, F.posexplode(F.split(F.col(text), r"\n\s*-{3,}\s*(?:\n|$)"))
                          .alias("block_index", "block"))
-    user_re = rf"(?s)\*\*{u}:\*\*(.*?)\*\*{a}:\*\*"
-    asst_re = rf"(?s)\*\*{a}:\*\*(.*)$"
-    parsed = (blocks.where(F.col("block").rlike(user_re))
+    label = rf"\*\*({u}|{a}):\*\*"
+    turn = rf"(?s){label}(.*?)(?=\*\*(?:{u}|{a}):\*\*|\z)"
+    parsed = (blocks.where(F.col("block").rlike(label))
               .select("file_name", *keep, F.col("block_index").cast("int").alias("block_index"),
                       py_strip(F.regexp_extract("block", r"(?m)^###\s*(.*)$", 1)).alias("title"),
-                      py_strip(F.regexp_extract("block", user_re, 1)).alias("user"),
-                      py_strip(F.regexp_extract("block", asst_re, 1)).alias("assistant")))
-    turn = lambda r, c: F.struct(F.lit(r).alias("role"), F.col(c).alias("content"))
-    msgs = F.array(turn("user", "user"), turn("assistant", "assistant"))
+                      F.regexp_extract_all("block", F.lit(turn), F.lit(1)).alias("_who"),
+                      F.regexp_extract_all("block", F.lit(turn), F.lit(2)).alias("_what")))
+    msgs = F.transform("_who", lambda w, i: F.struct(
+        F.when(w == user_label, F.lit("user")).otherwise(F.lit("assistant")).alias("role"),
+        py_strip(F.get("_what", i)).alias("content")))
     if system_prompt is not None:
         msgs = F.concat(F.array(F.struct(F.lit("system").alias("role"),
                                          F.lit(system_prompt).alias("content"))), msgs)

@@ -17,14 +17,11 @@ so they can be reported; ``operators.validate.validate_values`` marks them
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from convforge.functions.jsonparse import strict_parse
 from convforge.functions.text import is_blank
-from convforge.operators.joins import lookup_small
 from convforge.session import write_through
 from convforge.sources.concatenated import read_mixed_json
 
@@ -48,28 +45,14 @@ def relative_name(spark: SparkSession, path: str):
             .otherwise(F.col("_metadata.file_name")))
 
 
-_ORDINALS = ("_all", "_counted")
+def readable(col):
+    """Text as read from a file: bytes that are no UTF-8 become U+FFFD (Q14), before
+    any function or Python worker meets them."""
+    return F.make_valid_utf8(col)
 
 
-def _local_ordinals(file_at: int, block_at: int, counted_at: int | None):
-    """Running counts per input split, of all rows and of the counted ones: the rows
-    of a split arrive in order in one task, so nothing is shuffled."""
-    def run(batches):
-        split, rows, counted = None, 0, 0
-        for b in batches:
-            paths, starts = b.column(file_at).to_pylist(), b.column(block_at).to_pylist()
-            flags = b.column(counted_at).to_pylist() if counted_at is not None else [True] * b.num_rows
-            every, some = [], []
-            for p, s, f in zip(paths, starts, flags):
-                if (p, s) != split:
-                    split, rows, counted = (p, s), 0, 0
-                rows += 1
-                counted += bool(f)
-                every.append(rows)
-                some.append(counted)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(every, pa.int64()), pa.array(some, pa.int64())],
-                                             names=[*b.schema.names, *_ORDINALS])
-    return run
+#: Rows that are not counted, and input splits, up to which their table is broadcast.
+MAX_GAPS, MAX_SPLITS = 5_000_000, 500_000
 
 
 def number_within_file(df: DataFrame, file_col: str = "file_path", block_col: str = "_blk",
@@ -77,31 +60,46 @@ def number_within_file(df: DataFrame, file_col: str = "file_path", block_col: st
     """0-based position of each row inside its file, in file order.
 
     ``df`` must still have the rows of the scan in scan order (row-local steps
-    only).  One pass counts within each input split (``block_col``) and writes the
-    rows; one narrow row per split is then summed up within its file and joined
-    back.  With ``counted`` (a boolean column) only those rows are numbered and
-    only they advance the count; the others get NULL.  ``line_col`` adds the
-    1-based number among all rows.
+    only): the rows of an input split (``block_col``) then lie one after the other
+    in one task, and differ by their position in Spark's monotone row numbers.  The
+    rows are written with those and not shuffled; one narrow row per split is summed
+    up within its file and joined back.  With ``counted`` (a boolean column) only
+    those rows are numbered and only they advance the count; the others get NULL.
+    A split's row lists the few that do not count, in groups of the root of their
+    number, so that a row finds those before it in two short steps.  ``line_col``
+    adds the 1-based number among all rows.
     """
-    if counted is not None:
-        df = df.withColumn("_is", F.coalesce(counted, F.lit(False)))
-    names = df.columns
-    schema = StructType([*df.schema.fields, *[StructField(c, LongType()) for c in _ORDINALS]])
-    rows = write_through(df.mapInArrow(_local_ordinals(
-        names.index(file_col), names.index(block_col),
-        names.index("_is") if counted is not None else None), schema), "numbered")
-    per_block = rows.groupBy(file_col, block_col).agg(F.max("_all").alias("_n"), F.max("_counted").alias("_c"))
+    flag = F.lit(True) if counted is None else F.coalesce(counted, F.lit(False))
+    rows = write_through(df.withColumns({"_is": flag, "_at": F.monotonically_increasing_id()}), "numbered")
+    per_split = (rows.groupBy(file_col, block_col)
+                 .agg(F.min("_at").alias("_at0"), F.count(F.lit(1)).alias("_n"), F.count_if("_is").alias("_c"),
+                      F.array_sort(F.collect_list(F.when(~F.col("_is"), F.col("_at")))).alias("_gaps"))
+                 .withColumn("_w", F.greatest(F.ceil(F.sqrt(F.size("_gaps"))).cast("int"), F.lit(1)))
+                 .withColumn("_groups", F.expr("transform(sequence(0, greatest(size(_gaps) - 1, 0) div _w), "
+                                               "i -> slice(_gaps, cast(i * _w + 1 as int), _w))")))
     before = (Window.partitionBy(file_col).orderBy(block_col)
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = write_through(per_block.select(
-        file_col, block_col, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+    offsets = write_through(per_split.select(
+        file_col, block_col, "_at0", "_w", "_groups", F.size("_gaps").alias("_k"),
+        F.transform("_groups", lambda g: F.get(g, F.lit(0))).alias("_firsts"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_c0")), "split-offsets")
-    index = F.col("_c0") + F.col("_counted") - 1
-    res = lookup_small(rows, offsets, [file_col, block_col]).withColumn(
-        out, index if counted is None else F.when(F.col("_is"), index))
+    size = offsets.agg(F.count(F.lit(1)).alias("splits"), F.sum("_k").alias("gaps")).head()
+    if size["splits"] <= MAX_SPLITS and (size["gaps"] or 0) <= MAX_GAPS:
+        offsets = F.broadcast(offsets)
+    at = F.col("_at") - F.col("_at0")
+    res = rows.join(offsets, [file_col, block_col])
     if line_col:
-        res = res.withColumn(line_col, F.col("_n0") + F.col("_all"))
-    return res.drop("_is", *_ORDINALS, "_n0", "_c0")
+        res = res.withColumn(line_col, F.col("_n0") + at + 1)
+    if counted is None:
+        index = F.col("_c0") + at
+    else:
+        full = "size(filter(_firsts, f -> f < _at))"
+        gaps = F.expr(f"case when {full} = 0 then 0 else ({full} - 1) * _w "
+                      f"+ size(filter(get(_groups, {full} - 1), g -> g < _at)) end")
+        index = F.when(F.col("_is"), F.col("_c0") + at - F.when(F.col("_k") == 0, 0).otherwise(gaps))
+    return (res.withColumn(out, index.cast("bigint"))
+            .drop("_is", "_at", "_at0", "_w", "_groups", "_firsts", "_k", "_n0", "_c0"))
 
 
 def read_jsonl_lines(spark: SparkSession, path: str, glob: str = "*.jsonl",
@@ -119,7 +117,7 @@ def read_jsonl_lines(spark: SparkSession, path: str, glob: str = "*.jsonl",
              .select(F.col("_metadata.file_path").alias("file_path"),
                      relative_name(spark, path).alias("file_name"),
                      F.col("_metadata.file_block_start").alias("_blk"),
-                     "value"))
+                     readable("value").alias("value")))
     return lines if keep_blank else lines.where(~is_blank(F.col("value")))
 
 

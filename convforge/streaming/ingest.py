@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from convforge.operators import validate as va
 from convforge.plans.prepare import validate_jsonl_lines
 from convforge.session import write_through
-from convforge.sources.raw import relative_name
+from convforge.sources.raw import readable, relative_name
 
 
 KEYS = ["file_path", "file_name", "object_index", "line_no"]
@@ -54,7 +54,7 @@ def start_ingest(spark: SparkSession, source_dir: str, output_dir: str,
         F.col("_metadata.file_path").alias("file_path"),
         relative_name(spark, source_dir).alias("file_name"),
         F.col("_metadata.file_block_start").alias("_blk"),
-        "value")
+        readable("value").alias("value"))
     w = (lines.writeStream.foreachBatch(_batch_writer(output_dir))
          .option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

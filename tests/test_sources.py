@@ -267,3 +267,63 @@ def test_q4_optional_array_explosion(spark, tmp_dir):
     res = prep.prepare_data(spark, tmp_dir, os.path.join(tmp_dir, "out"), val_ratio=0.2,
                             explode_arrays=True)
     assert res.stats["conversations"] == 5 and (res.train, res.val) == (4, 1)
+
+
+def test_numbering_with_many_uncounted_lines(spark, tmp_dir):
+    """Blank and undecodable lines in any amount, small input splits, several files."""
+    import random
+    rng = random.Random(2)
+    want = []
+    for f in range(3):
+        lines = [rng.choice(["", "  ", "{bad", '{"a":%d}' % i, "[1]"]) if f else '{"a":%d}' % i for i in range(700)]
+        with open(os.path.join(tmp_dir, f"f{f}.jsonl"), "w") as h:
+            h.write("\n".join(lines) + "\n")
+        n = 0
+        for k, line in enumerate(lines, 1):
+            good = line.startswith("{\"") or line == "[1]"
+            if line.strip():
+                want.append((f"f{f}.jsonl", k, n if good else None))
+            n += good
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        lines = raw.read_jsonl_lines(spark, tmp_dir, keep_blank=True)
+        got = raw.number_within_file(lines, counted=F.col("value").rlike(r'^(\{"|\[1\])'), line_col="line_no")
+        plan = got._jdf.queryExecution().toString()
+        rows = got.where("trim(value) <> ''").select("file_name", "line_no", "object_index").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((tuple(r) for r in rows), key=str) == sorted(want, key=str)
+    assert "Arrow" not in plan and "Python" not in plan
+
+
+def test_bytes_that_are_no_utf8_read_alike(spark, tmp_dir):
+    """One file as lines and as values: a lone byte, a cut character, an overlong form and a
+    surrogate become replacement characters; nothing stops."""
+    line = b'{"messages":[{"role":"user","content":"%s q"},{"role":"assistant","content":"r"}]}'
+    texts = [b"\xff", b"\xe4\xb8", b"a\x80b", b"\xc3\xa9 fine", b"\xf0\x9f\x98", b"plain"]
+    for name in ("a.jsonl", "b.json"):
+        with open(os.path.join(tmp_dir, name), "wb") as h:
+            h.write(b"\n".join(line % t for t in texts) + b"\n")
+    from convforge.plans import prepare as prep
+    rows = {}
+    for r in prep.ingest(spark, tmp_dir).collect():
+        assert r["reason"] is None
+        rows.setdefault(r["file_name"], []).append((r["object_index"], r["messages"][0]["content"], r["replaced"]))
+    a, b = sorted(rows["a.jsonl"]), sorted(rows["b.json"])
+    assert a == b and [c for _, c, _ in a] == [t.decode(errors="replace") + " q" for t in texts]
+    assert [x for *_, x in a] == [True, True, True, False, True, False]
+
+
+def test_curated_turns_of_any_number(spark, tmp_dir):
+    from convforge.plans import prepare as prep
+    blocks = ["# Chats\nsome prose", "### Two\n**User:** a\n\n**Assistant:** b\nmore\n\n**User:** c\n**Assistant:** d",
+              "### No reply\n**User:** alone", "### Reply first\n**Assistant:** x\n**User:** y",
+              "### Blank\n**User:**   \n**Assistant:** z", "### Two users\n**User:** p\n**User:** q"]
+    with open(os.path.join(tmp_dir, "c.md"), "w") as h:
+        h.write("\n\n---\n\n".join(blocks) + "\n")
+    got = prep.ingest(spark, tmp_dir, curated_glob="*.md").orderBy("object_index").collect()
+    assert [r["reason"] for r in got] == [None, "messages_not_list_or_short", None, "blank_content", "missing_user_or_assistant"]
+    assert [(m["role"], m["content"]) for m in got[0]["messages"]] == [
+        ("user", "a"), ("assistant", "b\nmore"), ("user", "c"), ("assistant", "d")]
+    assert [m["role"] for m in got[2]["messages"]] == ["assistant", "user"]
