@@ -84,14 +84,45 @@ def ranked_running(df: DataFrame, bucket: Column, order, sums=(),
     return out.drop("_bkt", "_off", *[f"_o_{c}" for c in sums])
 
 
-def running_within(df: DataFrame, partition, order, block: Column, sums,
-                   prefix: str = "run_", materialize_input: bool = False) -> DataFrame:
-    """Inclusive running sums of ``sums`` inside each ``partition`` group.
+def exclusive_sums(blocks: DataFrame, partition: list[str], block: str, sums: list[str],
+                   fan: int = 10_000, levels: int = 2) -> DataFrame:
+    """Sums of all blocks before each one, within its ``partition`` group.
+
+    ``blocks`` has one row per group and block number, with a column ``_s_<name>`` per
+    name in ``sums``; ``_o_<name>`` is added.  The table itself may be too large for
+    one task: at every level but the last, blocks are gathered ``fan`` numbers at a
+    time, the sums before a gathered block are found one level up, and each is
+    summed up on its own.  The last level orders a group's remaining rows in one
+    task: a ``fan ** (levels - 1)``-th of the group's blocks.
+    """
+    def before(by):
+        return Window.partitionBy(*by).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+
+    def until(by):
+        return {f"_o_{c}": F.coalesce(F.sum(f"_s_{c}").over(before(by)), F.lit(0)) for c in sums}
 
-    Same two-level idea as ``ranked_running`` but per group: ``block`` is an
-    order-preserving coarsening of ``order`` inside a group (e.g. ``line_no
-    div 10000``).  Per-block totals (one row per block) are prefix-summed per
-    group; each block is then summed on its own, so one enormous group is
+    if levels <= 1:
+        return blocks.withColumns(until(partition))
+    up = blocks.withColumn("_up", F.expr(f"{block} div {int(fan)}"))
+    gathered = (up.groupBy(*partition, "_up").agg(*[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in sums])
+                .withColumnRenamed("_up", block))
+    above = exclusive_sums(gathered, partition, block, sums, fan, levels - 1).select(
+        *partition, F.col(block).alias("_up"), *[F.col(f"_o_{c}").alias(f"_above_{c}") for c in sums])
+    return (up.withColumns(until([*partition, "_up"])).join(above, [*partition, "_up"])
+            .withColumns({f"_o_{c}": F.col(f"_o_{c}") + F.col(f"_above_{c}") for c in sums})
+            .drop("_up", *[f"_above_{c}" for c in sums]))
+
+
+def running_within(df: DataFrame, partition, order, block: Column, sums,
+                   prefix: str = "run_", materialize_input: bool = False,
+                   fan: int = 10_000, levels: int = 2) -> DataFrame:
+    """Inclusive running sums of ``sums`` inside each ``partition`` group (no
+    partition: over the whole table).
+
+    Same idea as ``ranked_running`` but per group: ``block`` is an
+    order-preserving whole-number coarsening of ``order`` inside a group (e.g.
+    ``line_no div 10000``).  Per-block totals (one row per block) are summed up per
+    group in ``levels`` levels of ``fan`` (``exclusive_sums``); each block is then summed on its own, so one enormous group is
     spread over all of its blocks instead of one task.  The block offsets
     are joined back with an equi-join (AQE broadcasts them when small).
     """
@@ -102,11 +133,7 @@ def running_within(df: DataFrame, partition, order, block: Column, sums,
     if materialize_input:
         b = materialize(b)
     per_block = b.groupBy(*partition, "_blk2").agg(*[F.sum(c).alias(f"_s_{c}") for c in sums])
-    before = (Window.partitionBy(*partition).orderBy("_blk2")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_block.select(
-        *partition, "_blk2",
-        *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums])
+    offsets = exclusive_sums(per_block, partition, "_blk2", sums, fan, levels).drop(*[f"_s_{c}" for c in sums])
     within = (Window.partitionBy(*partition, "_blk2").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = b.join(offsets, [*partition, "_blk2"])

@@ -23,7 +23,7 @@ from convforge.operators import render as rd
 from convforge.operators import replay as rp
 from convforge.operators import review as rv
 from convforge.operators import score as sc
-from convforge.operators.ordering import md5_bucket
+from convforge.operators.ordering import md5_bucket, running_within
 from convforge.operators import split as splitting
 from convforge.operators import stats as st
 from convforge.operators import validate as va
@@ -767,3 +767,18 @@ def q_split_preview(spark, sf_dir):
         part = tt.first_text_preview(texts).select(F.lit(label).alias("split"), "preview")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@register("running_sums", f"""
+WITH {oq.PROFILE_CTE}, {oq.split_cte()}
+SELECT conv_id, split, split_rank,
+       CAST(sum(n_chars) OVER (PARTITION BY split ORDER BY split_rank) AS BIGINT) AS run_chars,
+       CAST(sum(n_messages) OVER (PARTITION BY split ORDER BY split_rank) AS BIGINT) AS run_messages
+FROM labelled""")
+def q_running_sums(spark, sf_dir):
+    # Blocks of two rows, gathered three at a time: four levels at any input size.
+    s = conv_split(spark, sf_dir).select("conv_id", "split", "split_rank", "n_chars", "n_messages")
+    r = running_within(s, "split", "split_rank", F.expr("(split_rank - 1) div 2"), ["n_chars", "n_messages"],
+                       fan=3, levels=4, materialize_input=True)
+    return r.select("conv_id", "split", "split_rank", F.col("run_n_chars").cast("bigint").alias("run_chars"),
+                    F.col("run_n_messages").cast("bigint").alias("run_messages"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from convforge.functions.template import CHATML, ChatTemplate
 from convforge.functions.text import timestamp_suffix, two_decimals
+from convforge.operators.ordering import running_within
 from convforge.operators import render as rd
 from convforge.operators import review as rv
 from convforge.operators import score as sc
@@ -92,9 +93,15 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
 
 
 def running(scores: DataFrame, order: str = "example", every: int = 10) -> DataFrame:
-    """W1 on scores keyed by a contiguous 1-based dataset position."""
-    bucket = F.floor((F.col(order) - 1) / F.lit(10_000)).cast("bigint")
-    return sc.running_perplexity(scores, order, bucket, every=every)
+    """W1 on scores keyed by a contiguous 1-based dataset position, of any length: blocks
+    of 10,000 examples are summed up in three levels."""
+    bucket = F.expr(f"({order} - 1) div 10000")
+    s = (scores.withColumn("_ln", F.coalesce(F.col("loss") * F.col("n_tokens"), F.lit(0.0)))
+         .withColumn("_n", F.when(F.col("loss").isNotNull(), F.col("n_tokens")).otherwise(F.lit(0))))
+    r = running_within(s, [], order, bucket, ["_ln", "_n"], levels=3)
+    return (r.where(F.col(order) % every == 0)
+            .select(F.col(order).cast("bigint").alias("processed"),
+                    F.exp(F.col("run__ln") / F.nullif(F.col("run__n"), F.lit(0))).alias("running_perplexity")))
 
 
 def main(argv=None) -> int:
