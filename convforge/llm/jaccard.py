@@ -313,8 +313,10 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                          f"and ({allows('x_', 'y_')} or {allows('y_', 'x_')})"))
            .select("x", "y", F.expr(allows("x_", "y_")).alias("xy"), F.expr(allows("y_", "x_")).alias("yx"))
            .groupBy("x", "y").agg(F.max("xy").alias("xy"), F.max("yx").alias("yx")))
-    met = (met.where("xy").select(F.col("x").alias("own"), F.col("y").alias("grp"))
-           .unionByName(met.where("yx").select(F.col("y").alias("own"), F.col("x").alias("grp"))))
+    met = met.select(F.explode(F.filter(F.array(
+        F.when(F.col("xy"), F.struct(F.col("x").alias("own"), F.col("y").alias("grp"))),
+        F.when(F.col("yx"), F.struct(F.col("y").alias("own"), F.col("x").alias("grp")))), lambda m: m.isNotNull())).alias("m")
+        ).select("m.own", "m.grp")
     own = about.select(F.col("grp").alias("own"), F.col("most_n").alias("own_n"), F.col("radius").alias("own_r"),
                        *[F.col(c).alias(f"s{k}") for k, c in enumerate(CENTRE)])
     close = F.expr(f"""{_apart(SIGNATURE, CENTRE)} - radius - own_r
