@@ -177,12 +177,6 @@ def _split_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int,
         yield whole(key, lines)
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for path, blk, _, text in _split_texts(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([blk], pa.int64()), pa.array([text])],
-                                         names=["file_path", "at_blk", "text"])
-
-
 def _decode_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines in scan order -> value rows, then one summary row per input split."""
     names = [f.split()[0] for f in _SPLIT.split(", ")]
@@ -255,7 +249,7 @@ def _reach(pdf):
 
 
 def _decode_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (file_path, blk, i, until, k, at_blk, text), sorted, where k = i has the open
+    """Rows (file_path, blk, i, until, k, at_blk, text, last), sorted, where k = i has the open
     value's text and the others whole splits -> rows like those of _decode_seams."""
     names = [f.split()[0] for f in _JOINED.split(", ")]
     kinds = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_()}
@@ -283,7 +277,8 @@ def _decode_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     key, parts = None, []
     for b in batches:
-        for path, blk, _, until, k, at, text in zip(*(c.to_pylist() for c in b.columns)):
+        for path, blk, _, until, k, at, text, last in zip(*(c.to_pylist() for c in b.columns)):
+            text = text.rstrip() if last else text  # as in _split_texts
             if key is not None and (path, blk, until) != key:
                 yield finish(key, parts)
                 parts = []
@@ -311,15 +306,17 @@ def _decide(src: DataFrame, parts: DataFrame, ends: DataFrame, undecided: DataFr
             .select("file_path", "blk", "i", "until", "k", "at_blk"), "json-wanted")
         tails = (wanted.where("k = i")
                  .join(parts.where("open").select("file_path", "blk", F.col("tail").alias("text")), ["file_path", "blk"])
-                 .select(*wanted.columns, "text"))
+                 .select(*wanted.columns, "text", F.lit(False).alias("last")))
         whole = wanted.where("k > i")
         needed = write_through(whole.select("file_path", "at_blk").distinct(), "json-needed")
-        # Only their lines go to Python; a broadcast join keeps them in scan order, a shuffle join would not.
-        few = needed.limit(500_001).count() <= 500_000
-        lines = (src.join(F.broadcast(needed.withColumnRenamed("at_blk", "blk")), ["file_path", "blk"], "left_semi")
-                 .select(*src.columns) if few else src)
-        texts = lookup_small(lines.mapInArrow(_texts, "file_path string, at_blk bigint, text string"),
-                             needed, ["file_path", "at_blk"])
+        # The wanted splits' texts, put together from their lines in scan order without Python.
+        lines = src.withColumn("at", F.monotonically_increasing_id()).withColumnRenamed("blk", "at_blk")
+        texts = (lookup_small(lines, needed, ["file_path", "at_blk"])
+                 .groupBy("file_path", "at_blk", "last")
+                 .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("lines"))
+                 .select("file_path", "at_blk", "last",
+                         F.concat(F.array_join(F.col("lines.value"), "\n"),
+                                  F.when(F.col("last"), "").otherwise("\n")).alias("text")))
         rows = (tails.unionByName(whole.join(texts, ["file_path", "at_blk"]).select(*tails.columns))
                 .repartition("file_path", "blk").sortWithinPartitions("file_path", "blk", "k"))
         got = write_through(rows.mapInArrow(_decode_chains, _JOINED), "json-chains")
