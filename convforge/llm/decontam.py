@@ -14,6 +14,7 @@ block against all documents, whose texts never move.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ from convforge.llm.common import bitmap, blocks, bounded_batches, find, gram_has
 RARE = 1e-9
 SHORTEST, LONGEST = 3, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Words in common, edits taken off, that count in an item of any length.
+ENOUGH = 20
 #: Words of test items that one pass over the documents takes (bounded broadcast).
 BLOCK_WORDS = 500_000
 
@@ -141,7 +144,7 @@ def _align_windows(items, windows, cells: int = 2_000_000):
     return out
 
 
-def _block(docs: DataFrame, items: list[tuple], threshold: float) -> DataFrame:
+def _block(docs: DataFrame, items: list[tuple], threshold: float, enough: int) -> DataFrame:
     ids = [i for i, _ in items]
     words = _item_words([t for _, t in items])
     vocabulary = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]))
@@ -170,20 +173,24 @@ def _block(docs: DataFrame, items: list[tuple], threshold: float) -> DataFrame:
                 # Passages around seeds; those that overlap are one.
                 windows, place = [], []
                 slack = lambda k: 4 + len(items[k]) // 4
-                last = None
-                for r, k, begin in sorted(set(hits)):
+                last, held = None, []
+                for (r, k, begin), n in sorted(Counter(hits).items()):
                     lo = max(int(w.offset[r]), begin - slack(k))
                     hi = min(int(w.offset[r + 1]), begin + len(items[k]) + slack(k))
                     if last and last[:2] == (r, k) and lo <= last[3]:
                         last = (r, k, last[2], hi)
                         place[-1] = last
+                        held[-1] += n
                     else:
                         last = (r, k, lo, hi)
                         place.append(last)
+                        held.append(n)
                 windows = [(k, w.hash[lo:hi]) for _, k, lo, hi in place]
                 best = {}
-                for (r, k, lo, _), (share, s, e) in zip(place, _align_windows(items, windows)):
-                    if share >= threshold and share > best.get((r, k), (0,))[0]:
+                for (r, k, lo, _), (share, s, e), n in zip(place, _align_windows(items, windows), held):
+                    # Frequent words alone can align far; a part must hold many rare seeds as well.
+                    part = share * len(items[k]) >= enough and 2 * n >= enough
+                    if (part or share >= threshold) and share > best.get((r, k), (0,))[0]:
                         best[r, k] = (share, lo - int(w.offset[r]) + s, lo - int(w.offset[r]) + e)
                 found += [(w.first + r, k, *v) for (r, k), v in best.items()]
             cols = list(zip(*found)) if found else [[]] * 5
@@ -199,8 +206,9 @@ def _block(docs: DataFrame, items: list[tuple], threshold: float) -> DataFrame:
 
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text",
-                       threshold: float = 0.5) -> DataFrame:
-    """Documents that hold at least ``threshold`` of a test item.
+                       threshold: float = 0.5, enough: int = ENOUGH) -> DataFrame:
+    """Documents that hold at least ``threshold`` of a test item, or an alignment with
+    it worth ``enough`` words with half as many seeds (a part of a long item).
 
     Returns the document's id, ``item_id``, ``score`` (0 to 1, of the best passage)
     and the passage's words [start_word, end_word); words are runs of letters,
@@ -217,7 +225,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
         rows = [(r["k"], r["t"]) for r in it.where(F.pmod(F.xxhash64("k", "t"), F.lit(n)) == k)
                 .orderBy("k", "t").collect()]  # one block
         if rows:
-            parts.append(_block(src, rows, threshold))
+            parts.append(_block(src, rows, threshold, enough))
     if not parts:
         return (src.where("false").select("_id").withColumn("item_id", F.lit(0).cast("bigint"))
                 .withColumn("score", F.lit(0.0)).withColumn("start_word", F.lit(0).cast("bigint"))
