@@ -77,6 +77,20 @@ def digest(v: np.ndarray) -> str:
     return hashlib.sha256(v[:LANES].astype("<u8").tobytes()).hexdigest()
 
 
+def encode(v: np.ndarray) -> bytes:
+    """The whole vector as bytes: the places that are not 0 (4 bytes each), then their sums (8 bytes each)."""
+    place = np.flatnonzero(v)
+    return place.astype("<u4").tobytes() + v[place].astype("<u8").tobytes()
+
+
+def decode(data: bytes) -> np.ndarray:
+    """The vector that ``encode`` wrote; ``insert``, ``delete``, ``digest`` and ``likeness`` take it."""
+    out = np.zeros(LANES + 3 * LEVELS * CELLS, dtype=np.uint64)
+    n = len(data) // 12
+    out[np.frombuffer(data, "<u4", n)] = np.frombuffer(data, "<u8", n, 4 * n)
+    return out
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Estimated paragraphs in common over paragraphs in either (multisets, copies
     counted); 1 for equal vectors.
@@ -130,21 +144,23 @@ _DDL = ("n_chars bigint, edited_sha256 string, fingerprint string, edited_finger
 
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: tuple[str, ...] = ()) -> DataFrame:
-    """``n_chars`` (code points) and ``fingerprint`` of every row (null text: empty)."""
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    """``n_chars`` (code points), ``fingerprint`` and ``vector`` (see ``encode``) of every
+    row (null text: empty)."""
+    from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
     cols = [F.col(id_col), *[F.col(c) for c in keep]]
     src = bounded_batches(docs).select(*cols, F.col(text_col).cast("string").alias("_text"))
     out = StructType([*src.schema.fields[:-1], StructField("n_chars", LongType()),
-                      StructField("fingerprint", StringType())])
+                      StructField("fingerprint", StringType()), StructField("vector", BinaryType())])
 
     def run(batches):
         for b in batches:
             texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
             kept = [b.column(i) for i in range(b.num_columns - 1)]
+            got = [(digest(v), encode(v)) for v in (vector(paragraphs(t)) for t in texts)]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array([len(t) for t in texts], pa.int64()),
-                 pa.array([digest(vector(paragraphs(t))) for t in texts], pa.string())],
-                names=[*b.schema.names[:-1], "n_chars", "fingerprint"])
+                 pa.array([d for d, _ in got], pa.string()), pa.array([e for _, e in got], pa.binary())],
+                names=[*b.schema.names[:-1], "n_chars", "fingerprint", "vector"])
 
     return src.mapInArrow(run, out)
 

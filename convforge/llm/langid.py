@@ -9,8 +9,9 @@ over all segmentations) on a bounded sample of labelled texts.
 
 Words are separated by white space and carry the vocabulary's word-start
 marker.  Single bytes are pieces too, so that every word has a segmentation;
-words over ``LONGEST`` bytes are scored as consecutive runs of that length.
-The recursions are vectorised over the distinct words of equal length.
+a word of any length is scored over all its segmentations.  The recursions are
+vectorised over the distinct words of equal length, of words over ``LONGEST``
+bytes over all of a block.  Only the fit takes such words in runs of that length.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def load_pieces(path: str = VOCABULARY) -> list[bytes]:
         p = (" " if p.startswith("▁") else "") + p.lstrip("▁")
         if p and "▁" not in p and " " not in p[1:]:
             out.add(p.encode())
-    return sorted(p for p in out if len(p) <= LONGEST + 1)
+    return sorted(out)
 
 
 class Pieces:
@@ -88,6 +89,69 @@ def forward(pieces: Pieces, words: np.ndarray, prob: np.ndarray) -> np.ndarray:
     return alpha[-1]
 
 
+def forward_long(pieces: Pieces, data: np.ndarray, start: np.ndarray, end: np.ndarray, prob: np.ndarray,
+                 cells: int = 1 << 18) -> np.ndarray:
+    """Log probability, under every language, of the words data[start:end] of any
+    lengths, each after the marker.
+
+    One step takes a byte of all words that reach so far.  Only as many states are
+    held as the longest piece has bytes, rescaled before they can underflow; the
+    pieces are found for ``cells`` bytes of the words at a time.
+    """
+    size = end - start + 1
+    order = np.argsort(-size, kind="stable")
+    size, start = size[order], start[order]
+    ring, langs = pieces.longest + 1, prob.shape[1]
+    alpha = np.zeros((ring, len(size), langs))
+    alpha[0] = 1.0
+    scale, out = np.zeros((len(size), langs)), np.zeros((len(size), langs))
+    t0 = 0
+    while len(size) and t0 < size[0]:
+        live = int(np.searchsorted(-size, -t0))  # words with more than t0 bytes come first
+        width = min(max(pieces.longest, cells // live), int(size[0]) - t0)
+        back = min(t0, pieces.longest - 1)
+        place = np.arange(t0 - back, t0 + width)
+        at = start[:live, None] + np.maximum(place - 1, 0)
+        m = np.where(place == 0, MARK, data[np.minimum(at, len(data) - 1)])
+        p, q = _powers(len(place))
+        total = np.zeros((live, len(place) + 1), dtype=np.uint64)
+        np.cumsum(_BYTE[m] * p, axis=1, out=total[:, 1:])
+        ends, rows, lengths, ids = [], [], [], []
+        for n in range(1, min(pieces.longest, len(place)) + 1):
+            h = (total[:, n:] - total[:, :-n]) * q[:len(place) - n + 1]
+            r, s = np.nonzero(pieces.map[h >> _SHIFT])
+            e = s + n - back  # bytes after t0 at the piece's end
+            ok = (e > 0) & (t0 + e <= size[r])
+            r, s, e = r[ok], s[ok], e[ok]
+            where = np.minimum(np.searchsorted(pieces.keys, h[r, s]), len(pieces.keys) - 1)
+            ok = pieces.keys[where] == h[r, s]
+            ends.append(e[ok])
+            rows.append(r[ok])
+            lengths.append(np.full(int(ok.sum()), n))
+            ids.append(pieces.ids[where[ok]])
+        ends, rows, lengths, ids = (np.concatenate(x) for x in (ends, rows, lengths, ids))
+        by = np.argsort(ends, kind="stable")
+        rows, lengths, ids = rows[by], lengths[by], ids[by]
+        cut = np.searchsorted(ends[by], np.arange(1, width + 2))
+        for e in range(1, width + 1):
+            t, span = t0 + e, slice(cut[e - 1], cut[e])
+            alpha[t % ring] = 0.0
+            np.add.at(alpha[t % ring], rows[span], alpha[(t - lengths[span]) % ring, rows[span]] * prob[ids[span]])
+            if t % 8 == 0:
+                top = alpha.max(axis=0)
+                top[top <= 0] = 1.0
+                alpha /= top
+                scale += np.log(top)
+            done = slice(int(np.searchsorted(-size, -t)), int(np.searchsorted(-size, -t, side="right")))
+            if done.start < done.stop:
+                with np.errstate(divide="ignore"):
+                    out[done] = np.log(alpha[t % ring, done]) + scale[done]
+        t0 += width
+    back_order = np.empty_like(out)
+    back_order[order] = out
+    return back_order
+
+
 def _expected(pieces: Pieces, words: np.ndarray, weight: np.ndarray, prob: np.ndarray) -> np.ndarray:
     """Expected piece counts over all segmentations (forward-backward)."""
     n = words.shape[1]
@@ -120,18 +184,16 @@ def _by_length(words: list[bytes]):
                 np.array([i for _, i in g])) for n, g in groups.items()}
 
 
-def _runs(w, rows: np.ndarray):
-    """The words ``rows`` of a block as ``_by_length`` gives them: (matrix, index in
-    ``rows``), gathered from the block's bytes."""
-    start, size = w.start[rows], w.end[rows] - w.start[rows]
-    for k in range(0, int(size.max(initial=0)), LONGEST):
-        left = np.minimum(size - k, LONGEST)
-        for n in np.unique(left[left > 0]):
-            i = np.flatnonzero(left == n)
-            m = w.data[(start[i] + k)[:, None] + np.arange(n)]
-            if k == 0:
-                m = np.column_stack([np.full(len(i), MARK, dtype=np.uint8), m])
-            yield m, i
+def _short(w, rows: np.ndarray, size: np.ndarray, cells: int = 1 << 18):
+    """The words ``rows`` of a block, of at most LONGEST bytes, by length: (matrix with the
+    marker first, index in ``rows``), of about ``cells`` bytes at a time."""
+    for n in np.unique(size[(size > 0) & (size <= LONGEST)]):
+        every = np.flatnonzero(size == n)
+        step = max(1, cells // int(n))
+        for a in range(0, len(every), step):
+            i = every[a:a + step]
+            m = w.data[w.start[rows[i]][:, None] + np.arange(n)]
+            yield np.column_stack([np.full(len(i), MARK, dtype=np.uint8), m]), i
 
 
 @dataclass
@@ -232,8 +294,14 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                 logs = np.zeros((len(keys), langs))
                 logs[have] = value[at[have]]
                 new = np.flatnonzero(~have)
-                for m, index in _runs(w, first[new]):  # a word once per run length and offset
-                    logs[new[index]] += np.log(np.maximum(forward(table, m, model.prob), 1e-300))
+                rows = first[new]
+                size = w.end[rows] - w.start[rows]
+                for m, i in _short(w, rows, size):
+                    logs[new[i]] = np.log(np.maximum(forward(table, m, model.prob), 1e-300))
+                long = np.flatnonzero(size > LONGEST)
+                for a in range(0, len(long), 10_000):
+                    i = long[a:a + 10_000]
+                    logs[new[i]] = forward_long(table, w.data, w.start[rows[i]], w.end[rows[i]], model.prob)
                 if len(new) and len(known) + len(new) <= cache_words:
                     known = np.concatenate([known, keys[new]])
                     order = np.argsort(known)

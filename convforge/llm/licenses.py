@@ -47,7 +47,9 @@ NOTICES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
-_SEEDS = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def _seeds(n: int) -> np.ndarray:
+    """The first n of an endless row of odd multipliers, one a band."""
+    return np.random.default_rng(7).integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def bands_needed(least_shingles: int, block: int, containment: float = CONTAINMENT, miss: float = MISS) -> int:
@@ -55,7 +57,7 @@ def bands_needed(least_shingles: int, block: int, containment: float = CONTAINME
     of a template with ``least_shingles`` collides with probability 1 - miss."""
     held = containment * least_shingles
     jaccard = held / (2 * block + least_shingles - held)
-    return min(len(_SEEDS), math.ceil(math.log(miss) / math.log(1 - min(jaccard, 0.999))))
+    return math.ceil(math.log(miss) / math.log1p(-min(jaccard, 0.999)))
 
 
 def _classes(templates: dict[str, str], containment: float) -> list[dict]:
@@ -74,7 +76,7 @@ def _classes(templates: dict[str, str], containment: float) -> list[dict]:
     for c in out.values():
         c["bands"] = bands_needed(min(map(len, c["sets"])), c["size"], containment)
         c["all"] = np.unique(np.concatenate(c["sets"]))
-        c["least"] = np.array([[mix64(s * k).min() for k in _SEEDS[:c["bands"]]] for s in c["sets"]])
+        c["least"] = np.array([[mix64(s * k).min() for k in _seeds(c["bands"])] for s in c["sets"]])
     return [out[k] for k in sorted(out)]
 
 
@@ -105,8 +107,8 @@ def _scan(w, s: np.ndarray, off: np.ndarray, c: dict, containment: float):
     after = np.where(follows[window], np.searchsorted(used, window + 1), at)
     after = np.minimum(after, len(used) - 1)
     agree = np.zeros((len(window), len(c["sets"])), dtype=bool)
-    for k in range(c["bands"]):
-        low = np.minimum.reduceat(mix64(part * _SEEDS[k]), begin)
+    for k, seed in enumerate(_seeds(c["bands"])):
+        low = np.minimum.reduceat(mix64(part * seed), begin)
         agree |= np.minimum(low[at], low[after])[:, None] == c["least"][:, k]
     for i, t in zip(*np.nonzero(agree)):
         b = window[i]

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +104,28 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(counts[i], slope, atol=1e-4)
 
 
+def test_long_words_sum_all_segmentations():
+    pieces = sorted({*(bytes([b]) for b in b" abc"), b" a", b"ab", b"bca", b"cc" * 20, b"abcabcab" * 5})
+    prob = np.random.default_rng(3).random((len(pieces), 2)) * 0.01
+    table = langid.Pieces(pieces)
+    rng = random.Random(4)
+    words = [b"".join(rng.choice([b"a", b"b", b"c", b"cc" * 20, b"abcabcab" * 5]) for _ in range(n))
+             for n in (1, 33, 33, 50, 120)]
+
+    def log_total(w, k):  # decimals cannot underflow
+        f = [Decimal(1)]
+        for e in range(1, len(w) + 1):
+            f.append(sum(f[e - len(p)] * Decimal(prob[i, k]) for i, p in enumerate(pieces) if w[:e].endswith(p)))
+        return float(f[-1].ln())
+
+    data = np.frombuffer(b"x" + b"".join(words), dtype=np.uint8)
+    end = 1 + np.cumsum([len(w) for w in words])
+    start = end - [len(w) for w in words]
+    for cells in (64, 1 << 18):
+        got = langid.forward_long(table, data, start, end, prob, cells)
+        assert np.allclose(got, [[log_total(b" " + w, k) for k in (0, 1)] for w in words], rtol=1e-9)
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.fit(langid.learnable(docs), docs_per_language=40, rounds=2)
@@ -235,10 +258,11 @@ def test_licenses(spark, awkward, nothing):
 
 
 def test_bands_guarantee():
-    for n, block in ((3, 4), (8, 16), (30, 64)):
+    for n, block in ((3, 4), (8, 16), (30, 64), (1, 64), (2, 512)):
         b = licenses.bands_needed(n, block)
         j = 0.8 * n / (2 * block + 0.2 * n)
-        assert (1 - j) ** b <= licenses.MISS or b == 256
+        assert (1 - j) ** b <= licenses.MISS < (1 - j) ** (b - 1) + 1e-12
+    assert (licenses._seeds(300)[:256] == licenses._seeds(256)).all()
 
 
 # --- decontamination -------------------------------------------------------
@@ -292,7 +316,37 @@ def test_decontamination(spark, awkward, nothing):
     assert {r["doc_id"] for r in exact.collect()} == {1, 2}
 
 
+def test_decontamination_of_a_part_of_a_long_item(spark):
+    rng = random.Random(5)
+    word = lambda: "v%d" % min(int(rng.paretovariate(0.7)), 30_000)
+    item = [word() for _ in range(200)]
+    docs = []
+    for i in range(120):
+        t = [word() for _ in range(300)]
+        held = item[50:145] if i == 3 else item[100:130] if i == 4 else []
+        docs.append((i, " ".join(t[:150] + held + t[150:])))
+    got = decontam.find_contamination(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                      spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string"))
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert set(rows) == {3, 4} and 0.45 < rows[3]["score"] < 0.55
+    assert rows[3]["start_word"] <= 152 and rows[3]["end_word"] >= 243
+
+
 # --- fingerprints ----------------------------------------------------------
+def test_paragraphs_go_in_and_out_of_the_stored_vector(spark):
+    lines = [f"paragraph {i}" for i in range(40)]
+    rows = [(0, "\n".join(lines)), (1, "\n".join(lines[5:])), (2, None)]
+    got = {r["doc_id"]: r for r in fingerprints.fingerprint(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    whole, part, none = (fingerprints.decode(got[i]["vector"]) for i in range(3))
+    head = [x.encode() for x in lines[:5]]
+    assert got[2]["vector"] == b"" and not none.any()
+    assert fingerprints.encode(fingerprints.delete(whole, head)) == got[1]["vector"]
+    assert fingerprints.digest(fingerprints.insert(part, head)) == got[0]["fingerprint"]
+    assert fingerprints.encode(fingerprints.delete(part, [x.encode() for x in lines[5:]])) == b""
+    assert abs(fingerprints.likeness(whole, part) - 35 / 40) < 0.05
+
+
 def test_fingerprint_is_a_multiset_hash():
     a, b, c = ([f"paragraph {i}".encode() for i in r] for r in (range(5), range(5, 9), range(3)))
     assert (fingerprints.vector([*a, *b]) == fingerprints.vector([*b, *a])).all()
