@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from convforge.operators.joins import lookup_small
 from convforge.schemas import MIXED_JSON_SEPARATORS
 from convforge.session import write_through
+from convforge.sources.ranges import by_range, range_texts
 
 # Not a number and infinity have no JSON form; as null they meet the same rules.
 _DECODER = json.JSONDecoder(parse_constant=lambda _: None)
@@ -288,11 +289,31 @@ def _decode_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield finish(key, parts)
 
 
+def _whole_texts(src: DataFrame, needed: DataFrame) -> DataFrame:
+    """(file_path, blk, last, text) of the ``needed`` splits: read by their byte ranges
+    where Python workers can open the file, else put together from the lines of a scan
+    of the files, in scan order and without Python."""
+    ranged = by_range(needed.sparkSession, F.col("file_path"))
+    texts = range_texts(needed.where(ranged))
+    scanned = needed.where(~ranged).select("file_path", "blk")
+    if scanned.isEmpty():
+        return texts
+    lines = src.withColumn("at", F.monotonically_increasing_id())
+    return texts.unionByName(
+        lookup_small(lines, scanned, ["file_path", "blk"])
+        .groupBy("file_path", "blk", "last")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("lines"))
+        .select("file_path", "blk", "last",
+                F.concat(F.array_join(F.col("lines.value"), "\n"),
+                         F.when(F.col("last"), "").otherwise("\n")).alias("text")))
+
+
 def _decide(src: DataFrame, parts: DataFrame, ends: DataFrame, undecided: DataFrame) -> list[DataFrame]:
     """Rows of _decode_chains for every ``undecided`` split (file_path, blk)."""
     files = write_through(undecided.select("file_path").distinct(), "json-undecided-files")
     splits = write_through(
-        lookup_small(ends.select("file_path", "blk", "lowest", "final", "deepest"), files, ["file_path"])
+        lookup_small(ends.select("file_path", "blk", "next_blk", "last", "lowest", "final", "deepest"), files,
+                     ["file_path"])
         .join(undecided.withColumn("undecided", F.lit(True)), ["file_path", "blk"], "left")
         .na.fill(False, ["undecided"])
         .withColumn("k", F.row_number().over(Window.partitionBy("file_path").orderBy("blk")) - 1), "json-balances")
@@ -302,22 +323,18 @@ def _decide(src: DataFrame, parts: DataFrame, ends: DataFrame, undecided: DataFr
     while not left.isEmpty():
         wanted = write_through(
             left.select("*", F.explode(F.sequence("i", F.least("until", F.col("i") + further))).alias("k"))
-            .join(splits.select("file_path", "k", F.col("blk").alias("at_blk")), ["file_path", "k"])
-            .select("file_path", "blk", "i", "until", "k", "at_blk"), "json-wanted")
+            .join(splits.select("file_path", "k", F.col("blk").alias("at_blk"), F.col("next_blk").alias("end"), "last"),
+                  ["file_path", "k"])
+            .select("file_path", "blk", "i", "until", "k", "at_blk", "end", "last"), "json-wanted")
+        columns = ["file_path", "blk", "i", "until", "k", "at_blk", "text", "last"]
         tails = (wanted.where("k = i")
                  .join(parts.where("open").select("file_path", "blk", F.col("tail").alias("text")), ["file_path", "blk"])
-                 .select(*wanted.columns, "text", F.lit(False).alias("last")))
+                 .withColumn("last", F.lit(False)).select(*columns))
         whole = wanted.where("k > i")
-        needed = write_through(whole.select("file_path", "at_blk").distinct(), "json-needed")
-        # The wanted splits' texts, put together from their lines in scan order without Python.
-        lines = src.withColumn("at", F.monotonically_increasing_id()).withColumnRenamed("blk", "at_blk")
-        texts = (lookup_small(lines, needed, ["file_path", "at_blk"])
-                 .groupBy("file_path", "at_blk", "last")
-                 .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("lines"))
-                 .select("file_path", "at_blk", "last",
-                         F.concat(F.array_join(F.col("lines.value"), "\n"),
-                                  F.when(F.col("last"), "").otherwise("\n")).alias("text")))
-        rows = (tails.unionByName(whole.join(texts, ["file_path", "at_blk"]).select(*tails.columns))
+        needed = write_through(whole.select("file_path", F.col("at_blk").alias("blk"), "end", "last").distinct(),
+                               "json-needed")
+        texts = _whole_texts(src, needed).withColumnRenamed("blk", "at_blk").drop("last")
+        rows = (tails.unionByName(whole.join(texts, ["file_path", "at_blk"]).select(*columns))
                 .repartition("file_path", "blk").sortWithinPartitions("file_path", "blk", "k"))
         got = write_through(rows.mapInArrow(_decode_chains, _JOINED), "json-chains")
         done.append(got.where("not coalesce(undecided, false)"))
@@ -349,7 +366,8 @@ def read_mixed_json(spark: SparkSession, path: str, glob: str = "*.json",
     by_file = Window.partitionBy("file_path").orderBy("blk")
     ends = write_through(
         parts.where("n is not null")
-        .select("file_path", "blk", "n", "total", "blank", F.col("cum").alias("last_cum"), "lowest", "final", "deepest")
+        .select("file_path", "blk", "n", "total", "blank", "last", F.col("cum").alias("last_cum"), "lowest", "final",
+                "deepest")
         .withColumn("next_blk", F.lead("blk").over(by_file))
         # White space at the end of the file's last lines is none of its content.
         .withColumn("total", F.col("total") - F.when(F.col("next_blk").isNull(), F.col("blank")).otherwise(0)),

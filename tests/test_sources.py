@@ -211,6 +211,11 @@ def test_value_over_many_splits_is_decided_over_its_own_splits(spark, tmp_dir, m
             seen[size] = sorted(map(tuple, got), key=str)
             if size == "1500":
                 assert again["one.json"] < 60, again
+            # Files that Python workers cannot open are scanned instead: the same rows.
+            spark.conf.set("spark.convforge.rangeSchemes", "none")
+            scanned = raw.read_mixed_json(spark, tmp_dir).select(*COLUMNS).collect()
+            spark.conf.unset("spark.convforge.rangeSchemes")
+            assert sorted(map(tuple, scanned), key=str) == seen[size]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     for n, parts in files.items():
@@ -327,3 +332,36 @@ def test_curated_turns_of_any_number(spark, tmp_dir):
     assert [(m["role"], m["content"]) for m in got[0]["messages"]] == [
         ("user", "a"), ("assistant", "b\nmore"), ("user", "c"), ("assistant", "d")]
     assert [m["role"] for m in got[2]["messages"]] == ["assistant", "user"]
+
+
+def test_byte_ranges_hold_the_lines_of_the_scan(spark, tmp_dir):
+    """Any line terminators, bytes that are no UTF-8, odd names, splits without a line."""
+    import random
+
+    from pyspark.sql import Window
+
+    from convforge.sources import concatenated, ranges
+    rng = random.Random(5)
+    for i, name in enumerate(["a b%20c#d.txt", "\u00e9.txt", "ends.txt", "long.txt"]):
+        parts = [b"x" * rng.choice([0, 0, 1, 5, 30, 200 if i == 3 else 3]) + rng.choice([b"", "\u4e8c".encode(), b"\xe4\xb8"])
+                 + rng.choice([b"\n", b"\r\n", b"\r", b"\r\r\n"]) for _ in range(150)]
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(b"".join(parts) + (b"" if i == 2 else b"end"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("16", "61"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            src = spark.read.text(tmp_dir).select(
+                F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("blk"),
+                (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")
+                 >= F.col("_metadata.file_size")).alias("last"), F.make_valid_utf8("value").alias("value"))
+            needed = concatenated.write_through(src.select("file_path", "blk", "last").distinct().withColumn(
+                "end", F.lead("blk").over(Window.partitionBy("file_path").orderBy("blk"))), "needed")
+            assert needed.where(~ranges.by_range(spark, F.col("file_path"))).isEmpty()
+            got = {tuple(r)[:2]: tuple(r)[2:] for r in ranges.range_texts(needed).collect()}
+            spark.conf.set("spark.convforge.rangeSchemes", "none")
+            want = {tuple(r)[:2]: tuple(r)[2:] for r in concatenated._whole_texts(src, needed).collect()}
+            spark.conf.unset("spark.convforge.rangeSchemes")
+            assert len(got) > 50 and got == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
