@@ -59,6 +59,6 @@ def two_decimals(col) -> Column:
     return F.format_string("%.2f", _c(col))
 
 
-def timestamp_suffix() -> Column:
-    """``%Y%m%d_%H%M%S`` of the current time."""
-    return F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss")
+def timestamp_suffix(at=None) -> Column:
+    """``%Y%m%d_%H%M%S`` of a time, by default the current one."""
+    return F.date_format(F.current_timestamp() if at is None else _c(at), "yyyyMMdd_HHmmss")

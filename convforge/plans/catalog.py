@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from convforge.functions.template import CHATML
-from convforge.functions.text import is_blank, preview, py_strip
+from convforge.functions.text import is_blank, preview, py_strip, timestamp_suffix
+from convforge.functions.tokenizer import RankTokenizer
 from convforge.operators import conversations as conv
 from convforge.operators import generate as gen
 from convforge.operators import render as rd
@@ -28,6 +29,7 @@ from convforge.operators import split as splitting
 from convforge.operators import stats as st
 from convforge.operators import validate as va
 from convforge.plans import evaluate as ev
+from convforge.plans import inference as inf
 from convforge.plans import injected as inj
 from convforge.plans import oracle as oq
 from convforge.plans import prepare as prep
@@ -35,7 +37,7 @@ from convforge.plans import training_text as tt
 from convforge.sources import curated as cur
 from convforge.sources import processed as pr
 from convforge.streaming import ingest as stream
-from convforge.session import apply_core_conf, scratch_path
+from convforge.session import apply_core_conf, scratch_path, write_through
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -150,13 +152,15 @@ def valid_nested(spark, sf_dir) -> DataFrame:
     return va.accepted(va.validate_typed(nested), ["conv_id"])
 
 
-def nested_split(spark, sf_dir, split: str | None = None, val_ratio=0.1, seed=42) -> DataFrame:
+def nested_split(spark, sf_dir, split: str | None = None, val_ratio=0.1, seed=42,
+                 labels: DataFrame | None = None) -> DataFrame:
     """(conv_id, split, split_rank, messages) of valid conversations, of one split or
-    both.  The split is ranked on the narrow profile; only the turns of the
-    wanted conversations are then nested (the join and the grouping share one
-    shuffle on conv_id)."""
+    both.  The split is ranked on the narrow profile (or given as ``labels``); only the
+    turns of the wanted conversations are then nested (the join and the grouping share
+    one shuffle on conv_id)."""
     keys = ["conv_id", "split", "split_rank"]
-    labels = conv_split(spark, sf_dir, val_ratio, seed).select(*keys)
+    if labels is None:
+        labels = conv_split(spark, sf_dir, val_ratio, seed).select(*keys)
     if split is not None:
         labels = labels.where(F.col("split") == split)
     turns = (table(spark, sf_dir, "conversations").join(labels, "conv_id")
@@ -263,15 +267,17 @@ def q_message_preview(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Scoring and perplexity
 # ---------------------------------------------------------------------------
-def split_texts(spark, sf_dir, split: str | None = None) -> DataFrame:
+def split_texts(spark, sf_dir, split: str | None = None, labels: DataFrame | None = None) -> DataFrame:
     """(conv_id, split, split_rank, text) of valid conversations, of one split or both."""
-    return rd.chat_text(nested_split(spark, sf_dir, split), ["conv_id", "split", "split_rank"])
+    return rd.chat_text(nested_split(spark, sf_dir, split, labels=labels), ["conv_id", "split", "split_rank"])
 
 
 def unigram_val_scores(spark, sf_dir) -> DataFrame:
-    # Each split is rendered where it is read; no text is written.
-    scorer = sc.UnigramScorer.fit(split_texts(spark, sf_dir, splitting.TRAIN))
-    return scorer.score(split_texts(spark, sf_dir, splitting.VAL), ["conv_id", "split_rank"])
+    # The corpus is validated and ranked once; its narrow labels feed fit and scoring,
+    # and each split is rendered where it is read (no text is written).
+    labels = write_through(conv_split(spark, sf_dir).select("conv_id", "split", "split_rank"), "split-labels")
+    scorer = sc.UnigramScorer.fit(split_texts(spark, sf_dir, splitting.TRAIN, labels))
+    return scorer.score(split_texts(spark, sf_dir, splitting.VAL, labels), ["conv_id", "split_rank"])
 
 
 @register("example_scores", f"""
@@ -782,3 +788,92 @@ def q_running_sums(spark, sf_dir):
                        fan=3, levels=4, materialize_input=True)
     return r.select("conv_id", "split", "split_rank", F.col("run_n_chars").cast("bigint").alias("run_chars"),
                     F.col("run_n_messages").cast("bigint").alias("run_messages"))
+
+
+@register("single_answer", f"""
+SELECT conv_id, turn, {oq.echo_generated('prompt')} AS answer
+FROM (SELECT conv_id, turn,
+             {oq.chatml("'system'", "'You are a helpful assistant.'")} ||
+             {oq.chatml("'user'", oq.strip('text'))} || {oq.GEN_PROMPT} AS prompt
+      FROM conversations WHERE role = 'user' AND length({oq.strip('text')}) > 0
+      ORDER BY conv_id, turn LIMIT 1)""")
+def q_single_answer(spark, sf_dir):
+    # The single-query job, asked the corpus' first user message.
+    asked = (table(spark, sf_dir, "conversations")
+             .where((F.col("role") == "user") & ~is_blank(F.col("text")))
+             .agg(F.min(F.struct("conv_id", "turn", py_strip(F.col("text")).alias("text"))).alias("q"))
+             .where("q is not null").select("q.*").first())
+    rows = [] if asked is None else [(asked["conv_id"], asked["turn"],
+                                      inf.answer_one(spark, asked["text"], gen.EchoGenerator))]
+    return spark.createDataFrame(rows, "conv_id bigint, turn bigint, answer string")
+
+
+@register("limited_perplexity", f"""
+WITH {oq.labelled_text_cte()},
+s AS (SELECT split_rank, 1.0 + (ascii(md5(substring(text, 1, 6144))) % 7) / 10.0 AS loss,
+             least(length(substring(text, 1, 6144)) // 3, 2048) AS n
+      FROM lt WHERE split = 'val' AND split_rank <= 7),
+r AS (SELECT split_rank, sum(loss * n) OVER (ORDER BY split_rank) AS sl, sum(n) OVER (ORDER BY split_rank) AS sn
+      FROM s)
+SELECT CAST(split_rank AS BIGINT) AS processed, printf('%.2f', exp(sl / sn)) AS running_display,
+       (SELECT round(exp(sum(loss * n) / sum(n)), 4) FROM s) AS perplexity,
+       (SELECT CAST(count(*) AS BIGINT) FROM lt WHERE split = 'val') AS num_val_samples
+FROM r WHERE split_rank % 2 = 0""")
+def q_limited_perplexity(spark, sf_dir):
+    # The evaluation job over the first seven examples of a written validation split (the
+    # limit is the feature): the report's perplexity beside the running values as shown.
+    root = scratch_path(spark, "limited")
+    pr.write_jsonl(nested_split(spark, sf_dir, splitting.VAL), f"{root}/val.jsonl", order="split_rank")
+    ev.evaluate(spark, f"{root}/val.jsonl", gen.EchoGenerator, scorer_factory=LengthScorer, max_samples=7,
+                running_every=2, output=f"{root}/report.json")
+    report = spark.read.schema("perplexity double, num_val_samples bigint").json(
+        f"{root}/report.json", multiLine=True).first()
+    return spark.read.parquet(f"{root}/report.json_running").select(
+        "processed", "running_display", F.round(F.lit(report["perplexity"]).cast("double"), 4).alias("perplexity"),
+        F.lit(report["num_val_samples"]).cast("bigint").alias("num_val_samples"))
+
+
+@register("report_names", """
+SELECT event_id, 'eval_results_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' AS report_name FROM events""")
+def q_report_names(spark, sf_dir):
+    # The name of a report that is written at an event's time.
+    name = F.concat(F.lit("eval_results_"), timestamp_suffix("ts"), F.lit(".json"))
+    return table(spark, sf_dir, "events").select("event_id", name.alias("report_name"))
+
+
+@register("empty_corpus", f"""
+WITH {oq.INJECTED_CTE},
+k AS (SELECT 'all' AS lines, outcome FROM expct
+      UNION ALL SELECT 'damaged', outcome FROM expct WHERE m BETWEEN 1 AND 9)
+SELECT lines, CAST(count(*) AS BIGINT) AS n,
+       CASE WHEN count(*) FILTER (WHERE outcome = 'ok') = 0 THEN 'no valid conversations found'
+            ELSE 'prepared' END AS outcome
+FROM k GROUP BY lines""")
+def q_empty_corpus(spark, sf_dir):
+    # The preparation job stops when no line is left, as with the damaged ones alone.
+    lines = inj.damaged_lines(table(spark, sf_dir, "conversations"))
+    out = None
+    for name, chosen in (("all", F.lit(True)), ("damaged", F.col("dmg").between(1, 9))):
+        root = scratch_path(spark, f"corpus-{name}")
+        lines.where(chosen).select("value").write.mode("overwrite").text(f"{root}/raw")
+        try:
+            prep.prepare_data(spark, f"{root}/raw", f"{root}/out", jsonl_glob="*.txt", json_glob=None)
+            outcome = "prepared"
+        except ValueError as e:
+            outcome = str(e)
+        part = spark.read.text(f"{root}/raw").agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("lines"), "n", F.lit(outcome).alias("outcome"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("truncate_exact_text")
+def q_truncate_exact_text(spark, sf_dir):
+    # Real tokens of a public vocabulary: beyond SQL, compared with a plain loop in the tests.
+    # The settings name another vocabulary file and its pattern.
+    import public_tokenizers
+    factory = RankTokenizer(
+        spark.conf.get("spark.convforge.tokenizerFile", None) or public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        spark.conf.get("spark.convforge.tokenizerPattern", None) or public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rd.truncate_exact(docs, factory).select("doc_id", "text", "n_tokens", "is_truncated")

@@ -20,7 +20,7 @@ from convforge.operators import render as rd
 from convforge.operators import review as rv
 from convforge.operators import score as sc
 from convforge.operators.joins import attach_results
-from convforge.schemas import DEFAULT_MAX_TOKENS, DEFAULT_NUM_SAMPLES
+from convforge.schemas import DEFAULT_MAX_TOKENS, DEFAULT_NUM_SAMPLES, RUNNING_EVERY
 from convforge.session import materialize
 from convforge.sources import processed as pr
 
@@ -36,12 +36,14 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
              template: ChatTemplate = CHATML, max_tokens: int = DEFAULT_MAX_TOKENS,
              output: str | None = None, output_dir: str = "outputs",
              tokenizer_factory: Callable | None = None, batch_size: int | None = None,
-             num_partitions: int | None = None, scores_table: DataFrame | None = None) -> dict:
+             num_partitions: int | None = None, scores_table: DataFrame | None = None,
+             running_every: int = RUNNING_EVERY) -> dict:
     """Run the evaluation; returns perplexity, sample count and report path.
 
     ``scorer_factory`` scores with a user model; without it the unigram
     stand-in is fitted on ``train_path``.  ``max_samples`` limits perplexity
-    to the first examples (O2), ``num_samples`` the review (O3).
+    to the first examples (O2), ``num_samples`` the review (O3);
+    ``running_every`` spaces the rows of the running perplexity.
     ``batch_size`` / ``num_partitions`` size the model calls (see
     ``generate.batch_generate``).  ``scores_table`` takes scores produced
     elsewhere -- (file_name, line_index, loss, n_tokens) of the validation
@@ -77,7 +79,7 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
     # Scores feed the overall and the running value: computed once.
     scores = materialize(scores)
     ppl = sc.perplexity(scores)
-    run = running(scores).withColumn("running_display", two_decimals("running_perplexity"))
+    run = running(scores, every=running_every).withColumn("running_display", two_decimals("running_perplexity"))
     # Generated once: the report reads it twice.
     review = materialize(rv.review_table(val, "example", generator_factory, num_samples, template,
                                          batch_size=batch_size, num_partitions=num_partitions))
@@ -92,7 +94,7 @@ def evaluate(spark: SparkSession, val_path: str, generator_factory: Callable,
             "report_path": output, "running_path": f"{output}_running"}
 
 
-def running(scores: DataFrame, order: str = "example", every: int = 10) -> DataFrame:
+def running(scores: DataFrame, order: str = "example", every: int = RUNNING_EVERY) -> DataFrame:
     """W1 on scores keyed by a contiguous 1-based dataset position, of any length: blocks
     of 10,000 examples are summed up in three levels."""
     bucket = F.expr(f"({order} - 1) div 10000")
