@@ -5,8 +5,10 @@ are one class.  Tokens have one global order, rare ones first (frequencies from
 a fixed-size counting sketch over the whole corpus, ties by hash), so that
 linked sets share a token in a short prefix of each.
 
-1. Classes that share prefix tokens are partitioned into groups of similar
-   sets: those with one first shared token that may be near the group's pivot.
+1. Classes that share prefix tokens are partitioned into groups of similar sets.
+   Every token has a hub, the class with the fewest rarer tokens before it (of a
+   family of edits mostly the text that they were made from); a class joins that
+   of its tokens' hubs that is the most wanted and that it may be near to.
 2. The token-group matrix holds, per token and group, the union of the members'
    prefixes with the range of their sizes and the most tokens that can follow.
    Groups meet groups in it (by token and size band), and the overlap of any two
@@ -78,11 +80,11 @@ def _sketch(texts: DataFrame, words: int) -> np.ndarray:
         rows = written(rows.withColumn("part", F.floor(F.col("part") / MERGE).cast("bigint"))
                            .groupBy("block", "part").applyInArrow(merge, ddl), "sketch")
         top //= MERGE
-    total = np.zeros(size, dtype=np.int64)
+    classes = np.zeros(size, dtype=np.uint16)
     for r in rows.collect():  # SKETCH_BLOCKS rows
-        total[r["block"] * step:(r["block"] + 1) * step] = np.frombuffer(
-            zlib.decompress(r["counts"]), dtype=np.int64)
-    return np.minimum(np.floor(8 * np.log2(total + 1.0)), 511).astype(np.uint16)
+        total = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.int64)
+        classes[r["block"] * step:(r["block"] + 1) * step] = np.minimum(np.floor(8 * np.log2(total + 1.0)), 511)
+    return classes
 
 
 def _distinct(shingles: np.ndarray, off: np.ndarray):
@@ -260,26 +262,34 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                      (F.col("at") % (1 << 32)).alias("pos")).withColumn("idx", idx))
     posts = written(posts, "join-posts")
 
-    # Groups of similar classes: those with one first shared token, around a pivot
-    # (fewest rare tokens of its own first); one that cannot be as similar to the
-    # pivot as the join asks is a group of its own.
+    # Groups of similar classes.  In a family of edits of one text, that text has the
+    # family's tokens at the front of its prefix, where edits have tokens of their own.
+    # So a token's hub is the class that has it foremost, and a class joins the hub of
+    # one of its tokens: of those that may be as similar as the join asks, the one with
+    # the most votes (a hub's tokens have a vote of every class that has them).  One
+    # without such a hub is a group of its own.  A hub may itself be in another's group.
     maps = written(classes.select("cid", "n", *SIGNATURE, "bits")
                    .join(posts.select("cid").distinct(), "cid", "left_semi"), "join-maps")
-    first = posts.groupBy("cid").agg(F.min(F.struct("pos", "token")).alias("f")).join(maps.drop("bits"), "cid")
-    first = first.select("cid", "n", F.col("f.token").alias("token"), F.col("f.pos").alias("at"), *SIGNATURE)
-    pivots = (first.groupBy("token").agg(F.min(F.struct("at", "cid", "n", *SIGNATURE)).alias("p"))
-              .select("token", F.col("p.cid").alias("pivot"), F.col("p.n").alias("pivot_n"),
-                      *[F.col(f"p.{c}").alias(f"p{k}") for k, c in enumerate(SIGNATURE)]))
+    hubs = posts.groupBy("token").agg(F.min(F.struct("pos", "cid")).alias("p"), F.count("*").alias("held"))
+    hubs = hubs.select("token", F.col("p.cid").alias("pivot"), "held")
+    flat = maps.drop("bits")
+    pivots = (flat.join(hubs.groupBy("pivot").agg(F.sum("held").alias("votes")), F.col("cid") == F.col("pivot"))
+              .select("pivot", "votes", F.col("n").alias("pivot_n"), *[F.col(c).alias(p) for c, p in zip(SIGNATURE, CENTRE)]))
     differ = f"(n + {{}}) * {den - num} div {num + den}"  # elements that two linked sets may differ in
     near = F.expr(f"""{den} * least(n, pivot_n) >= {num} * greatest(n, pivot_n)
         and {_apart(SIGNATURE, CENTRE)} <= {differ.format('pivot_n')}""")
-    member = written(first.drop("at").join(pivots, "token").withColumn("near", near).select(
-        "cid", "n", *SIGNATURE, F.when(F.col("near"), F.col("pivot")).otherwise(F.col("cid")).alias("grp"),
-        F.when(F.col("near"), F.expr(_apart(SIGNATURE, CENTRE))).otherwise(0).alias("away")), "join-members")
+    asked = (posts.select("token", "cid").join(hubs.select("token", "pivot"), "token").select("cid", "pivot").distinct()
+             .join(flat, "cid").join(pivots, "pivot").where(near)
+             .select("cid", "n", *SIGNATURE, "votes", "pivot", F.expr(_apart(SIGNATURE, CENTRE)).alias("away")))
+    alone = flat.select("cid", "n", *SIGNATURE, F.lit(0).cast("bigint").alias("votes"), F.col("cid").alias("pivot"),
+                        F.lit(0).alias("away"))
+    member = written(asked.unionByName(alone).groupBy("cid", "n", *SIGNATURE)
+                     .agg(F.max(F.struct("votes", "pivot", "away")).alias("p"))
+                     .select("cid", "n", *SIGNATURE, F.col("p.pivot").alias("grp"), "p.away"), "join-members")
     # A group's centre and radius: q is at least as far from a member as from the
     # centre less the radius.
-    centres = member.where("cid = grp").select("grp", F.col("n").alias("centre_n"),
-                                               *[F.col(c).alias(f"p{k}") for k, c in enumerate(SIGNATURE)])
+    centres = flat.select(F.col("cid").alias("grp"), F.col("n").alias("centre_n"),
+                          *[F.col(c).alias(p) for c, p in zip(SIGNATURE, CENTRE)])
 
     # Token-group matrix: per token and group, what its members' prefixes allow.  Groups
     # meet groups, so that a row of the join stands for all pairs of their members.

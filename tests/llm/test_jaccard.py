@@ -5,6 +5,7 @@ from itertools import combinations
 
 import pytest
 
+from convforge.llm import jaccard
 from convforge.llm.components import components
 from convforge.llm.jaccard import ngram_jaccard_join
 
@@ -120,3 +121,29 @@ def test_a_hot_group_that_no_pivot_unites(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     for k, num, den in ((3, 90, 100), (1, 97, 100), (2, 1, 1)):
         assert joined(df, words=k, similarity=(num, den)) == brute(rows, k, num, den)
+
+
+def test_pairs_of_groups_do_not_grow_with_the_square_of_a_family(spark, monkeypatch):
+    """Edits of one text, some of which coincide and so begin with a token that few
+    share, are in its group: four times the family has not 16 times the pairs."""
+    kept, real, pairs = {}, jaccard.written, []
+
+    def keep(df, name):
+        kept[name] = real(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(jaccard, "written", keep)
+    for size in (100, 400):
+        rng = random.Random(8)
+        base = ["w%d" % i for i in range(200)]
+        rows = []
+        for i in range(size):
+            t = list(base)
+            for k in rng.sample(range(200), rng.choice((1, 2, 4)) if i else 0):
+                t[k] = "e%d" % rng.randrange(4)
+            rows.append((i * 37 % 1009, " ".join(t)))
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        assert joined(df, words=5, similarity=(80, 100)) == brute(rows, 5, 80, 100)
+        per_token = kept["join-matrix"].groupBy("token").count().collect()
+        pairs.append(sum(r["count"] * (r["count"] - 1) // 2 for r in per_token))
+    assert pairs[1] < 6 * max(pairs[0], 100)
